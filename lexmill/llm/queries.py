@@ -20,6 +20,16 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language, learnt from the documents that aren't held out."""
+    from .langid import fit, identify
+
+    docs = table(spark, sf_dir, "documents")
+    fold = F.crc32(F.col("doc_id").cast("string")) % 5
+    found = identify(docs, fit(docs.where(fold != 0)), spans=False)
+    return found.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a benchmark item, with the item and the similarity."""
     from .decontaminate import leaks
