@@ -37,6 +37,16 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality, learnt from labels that aren't held out."""
+    from .quality_classifier import fit, score
+
+    docs = table(spark, sf_dir, "documents")
+    fold = F.crc32(F.col("doc_id").cast("string")) % 5
+    found = score(docs, fit(docs, table(spark, sf_dir, "labels"), usable=fold != 0))
+    return found.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's token pieces with the sequence and offset that hold them."""
     from .packing import pack_documents
