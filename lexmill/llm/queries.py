@@ -47,6 +47,13 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, formatted and read back."""
+    from .chat import conversations_with_probe, format_turns, read_back
+
+    return read_back(format_turns(conversations_with_probe(table(spark, sf_dir, "conversations"))))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's token pieces with the sequence and offset that hold them."""
     from .packing import pack_documents
