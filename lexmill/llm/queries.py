@@ -47,6 +47,13 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record, written to dictionary-compressed archives and read back."""
+    from .warc import archive, read_archives
+
+    return read_archives(archive(spark, table(spark, sf_dir, "pages")))
+
+
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, formatted and read back."""
     from .chat import conversations_with_probe, format_turns, read_back
@@ -66,4 +73,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op8_warc": """
+            WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+            d AS (SELECT page_id, octet_length(payload) AS n, sha1(payload) AS digest FROM p),
+            w AS (SELECT digest, max(page_id) AS winner FROM d WHERE n >= 1000 GROUP BY digest)
+            SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+                   CASE WHEN winner IS NOT NULL AND winner <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+                   CASE WHEN winner <> page_id THEN winner END AS refers_to
+            FROM d LEFT JOIN w USING (digest)
+        """,
+    }
