@@ -11,6 +11,7 @@ packed once each; an empty table packs to an empty table; extra columns are igno
 
 from __future__ import annotations
 
+import functools
 import math
 import os
 import re
@@ -29,12 +30,26 @@ CAPACITY = 2048
 END_ID = 0
 SHARD_PIECES = 20_000
 TOKENIZER = "word_bpe_49k.json"
-#: Words that a worker keeps with their ids, and the longest that it keeps.
-CACHE_WORDS, CACHE_BYTES = 800_000, 48
+#: Words that a worker keeps with their ids, and their bytes; beyond either it starts anew.
+CACHE_WORDS, CACHE_BYTES = 800_000, 30_000_000
 SLICE_BYTES = 2_000_000
 #: A full stop or comma that ends a word of ASCII letters is a token of its own in this vocabulary.
 STOP = re.compile(rb"(?<=[a-z])([.,])(?![^\x20\x09-\x0D])")
-LETTERS = re.compile(rb"[a-z]+")
+#: Words of Latin letters, U+00C0 to U+00FF included, which the vocabulary doesn't cut further.
+LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+
+
+class Places(dict):
+    """Numbers words as they are asked for; ``new`` has those since it was last emptied."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        place = self[word] = len(self)
+        self.new.append(word)
+        return place
 
 
 def tokenizer_path(name: str) -> str:
@@ -64,10 +79,9 @@ class WordTokens:
         self.reset()
 
     def reset(self) -> None:
-        self.place: dict[bytes, int] = {}
-        self.known = 0
+        self.place = Places()
         self.starts, self.lengths = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
-        self.pool, self.used = np.zeros(4096, np.uint32), 0
+        self.pool, self.used, self.bytes = np.zeros(4096, np.uint32), 0, 0
 
     def ids_of(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of ``words`` one after another, and how many each has."""
@@ -76,50 +90,53 @@ class WordTokens:
         return np.fromiter((i for x in found for i in x), np.uint32, int(sizes.sum())), sizes
 
     def ids_of_letters(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """As ``ids_of``, for words of ASCII letters: one text, cut after each id that ends a word."""
-        lines = [b" ".join(words[i : i + 200]).decode("ascii") for i in range(0, len(words), 200)]
+        """As ``ids_of``, for words of letters: one text, cut after each id that ends a word."""
+        lines = [b" ".join(words[i : i + 200]).decode("utf-8") for i in range(0, len(words), 200)]
         flat = np.fromiter((i for x in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False) for i in x.ids), np.uint32)
         ends = np.flatnonzero(self.ends_word[flat]) + 1
         return (flat, np.diff(ends, prepend=0)) if len(ends) == len(words) else self.ids_of(words)
 
-    def learn(self, words: list[bytes]) -> None:
-        """Encodes words that have no place yet."""
-        plain = [w for w in words if LETTERS.fullmatch(w)]
-        other = [w for w in words if not LETTERS.fullmatch(w)]
-        (flat_a, sizes_a), (flat_b, sizes_b) = self.ids_of_letters(plain), self.ids_of(other)
-        words, flat, sizes = plain + other, np.concatenate((flat_a, flat_b)), np.concatenate((sizes_a, sizes_b))
-        first = self.known
-        while len(self.starts) < first + len(words):
+    def learn(self) -> None:
+        """Encodes the words that were numbered last."""
+        words, self.place.new = self.place.new, []
+        first = len(self.place) - len(words)
+        is_plain = np.fromiter((LETTERS.fullmatch(w) is not None for w in words), bool, len(words))
+        (flat_a, sizes_a), (flat_b, sizes_b) = self.ids_of_letters([w for w, x in zip(words, is_plain, strict=True) if x]), self.ids_of([w for w, x in zip(words, is_plain, strict=True) if not x])
+        flat, sizes = np.concatenate((flat_a, flat_b)), np.concatenate((sizes_a, sizes_b))
+        while len(self.starts) < len(self.place):
             self.starts, self.lengths = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.lengths, 2 * len(self.lengths))
         while len(self.pool) < self.used + len(flat):
             self.pool = np.resize(self.pool, 2 * len(self.pool))
         self.pool[self.used : self.used + len(flat)] = flat
-        self.lengths[first : first + len(words)] = sizes
-        self.starts[first : first + len(words)] = self.used + np.cumsum(sizes) - sizes
+        at = first + np.concatenate((np.flatnonzero(is_plain), np.flatnonzero(~is_plain)))
+        self.lengths[at] = sizes
+        self.starts[at] = self.used + np.cumsum(sizes) - sizes
         self.used += len(flat)
-        self.known += len(words)
-        self.place.update(zip(words, range(first, first + len(words)), strict=True))
 
     def encode(self, slices: list[bytes]) -> list[np.ndarray]:
         """Ids of each slice of text."""
         split = [STOP.sub(rb" \1", x.lower()).split() for x in slices]
         counts = np.fromiter(map(len, split), np.int64, len(split))
         words = [w for x in split for w in x]
-        if self.known > CACHE_WORDS:
+        if len(self.place) > CACHE_WORDS or self.bytes > CACHE_BYTES:
             self.reset()
-        if missing := list(set(words) - self.place.keys()):
-            self.learn(missing)
         at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+        self.bytes += sum(map(len, self.place.new))
+        self.learn()
         sizes = self.lengths[at]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
         flat = self.pool[np.repeat(self.starts[at] - (ends - sizes), sizes) + np.arange(total)]
         bounds = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(counts)))]
-        if any(len(w) > CACHE_BYTES for w in missing):
-            self.place = {w: i for w, i in self.place.items() if len(w) <= CACHE_BYTES}
         return [flat[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
+@functools.lru_cache(maxsize=1)
+def worker_tokens(path: str) -> WordTokens:
+    """A worker's encoder, kept with its words from task to task."""
+    return WordTokens(path)
+
+
 def encoded(texts: Iterable[bytes], words: WordTokens) -> Iterator[np.ndarray]:
     """Ids of each text, texts gathered up to a bounded number of bytes and long ones sliced."""
     held: list[bytes] = []
@@ -142,7 +159,7 @@ def token_pieces(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     """Pieces of at most ``capacity`` ids; with ``keep_ids`` the ids come along as an array."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordTokens(tokenizer)
+        words = worker_tokens(tokenizer)
         for batch in batches:
             texts = (x or b"" for x in batch.column(1).cast(pa.binary()).to_pylist())
             out: dict[str, list] = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "ids")}
