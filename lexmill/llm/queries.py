@@ -12,6 +12,25 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's secrets: counts by pattern, a digest of their spans, and all spans."""
+    from .secrets import KINDS, count_of, scan, spans_text
+
+    found = scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", *[count_of("found", k).alias(f"n_{k}") for k, *_ in KINDS],
+        F.sha2(spans_text("found", len(KINDS)), 256).alias("base_sha256"), spans_text("found").alias("spans"),
+    )
+
+
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's measures and the verdict of the rule cascade."""
+    from .quality_rules import judge
+
+    found = judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint and the smallest document that its links reach."""
     from .simhash import near_duplicates
