@@ -214,50 +214,77 @@ def stepped(low: int, high: int, size: int) -> Iterator[tuple[int, int]]:
     yield low, high
 
 
+def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple[object, bytes]]]:
+    """Items with a text, in blocks of about ``block_bytes``; one block is on the driver at a time."""
+    items = benchmark.select(F.col(item_col).alias("item_id"), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = math.ceil(total / block_bytes)
+    for block in range(blocks):
+        rows = [(r.item_id, r.text.encode()) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()]
+        yield sorted(rows, key=lambda r: (str(r[0]), r[1]))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", similarity: float = SIMILARITY, radius: int = RADIUS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``doc_id, item_id, first_word, similarity``: each document that holds an item, best window.
 
     A window is similar from ``similarity`` on. Items come in blocks of at most ``block_bytes``.
     """
-    items = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text")).where(F.col("text").isNotNull())
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = math.ceil(total / block_bytes)
-    doc_type, item_type = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_col].dataType.simpleString()
-    schema = f"doc_id {doc_type}, item_id {item_type}, first_word long, similarity double"
+    doc_type, item_type = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_col].dataType
+    schema = f"doc_id {doc_type}, item_id {item_type.simpleString()}, first_word long, similarity double"
+
+    def scanner(rows: list[tuple[object, bytes]]):
+        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            items = Items(rows, radius, similarity)
+            for batch in batches:
+                found = list(batch_hits(items, batch.column(1)))
+                keys = batch.column(0).take(pa.array([i for i, _ in found], pa.int64()))
+                columns = list(zip(*(hit for _, hit in found), strict=True)) or [[], [], []]
+                kinds = [to_arrow_type(item_type), pa.int64(), pa.float64()]
+                yield pa.RecordBatch.from_arrays([keys, *[pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]], ["doc_id", "item_id", "first_word", "similarity"])
+
+        return scan
+
     found = None
-    for block in range(blocks):
-        rows = [(r.item_id, r.text.encode()) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()]
-        rows.sort(key=lambda r: (str(r[0]), r[1]))
-        part = docs.select(F.col(id_col), F.col(text_col)).mapInArrow(scanner(rows, to_arrow_type(benchmark.schema[item_col].dataType), radius, similarity), schema)
+    for rows in item_blocks(benchmark, item_col, item_text_col, block_bytes):
+        part = docs.select(F.col(id_col), F.col(text_col)).mapInArrow(scanner(rows), schema)
         found = part if found is None else found.unionByName(part)
     return docs.sparkSession.createDataFrame([], schema) if found is None else found
 
 
-def scanner(rows: list[tuple[object, bytes]], item_type: pa.DataType, radius: int, similarity: float):
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = Items(rows, radius, similarity)
-        for batch in batches:
-            keys, texts = batch.column(0), batch.column(1).cast(pa.binary())
-            out: list[tuple] = []
+def without_leaks(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", similarity: float = SIMILARITY, radius: int = RADIUS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of ``docs``, all columns, that hold no item."""
+    at, schema = docs.columns.index(text_col), docs.schema
+
+    def dropper(rows: list[tuple[object, bytes]]):
+        def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            items = Items(rows, radius, similarity)
+            for batch in batches:
+                clean = np.ones(batch.num_rows, bool)
+                clean[[i for i, _ in batch_hits(items, batch.column(at))]] = False
+                yield batch.filter(pa.array(clean))
+
+        return drop
+
+    for rows in item_blocks(benchmark, item_col, item_text_col, block_bytes):
+        docs = docs.mapInArrow(dropper(rows), schema)
+    return docs
+
+
+def batch_hits(items: Items, texts: pa.Array) -> Iterator[tuple[int, tuple[object, int, float]]]:
+    """Row and hit of each item found in a column of texts."""
+    held, size = [], 0
+    for i, text in enumerate(texts.cast(pa.binary())):
+        buffer = text.as_buffer() if text.is_valid else b""
+        if len(buffer) > SLICE_BYTES:
+            for hit in items.search(long_text_hashes(buffer.to_pybytes())):
+                yield i, hit
+        elif len(buffer):
+            held.append((i, buffer))
+            size += len(buffer)
+        if size > SLICE_BYTES:
+            yield from hits(items, held)
             held, size = [], 0
-            for i, text in enumerate(texts):
-                if text.is_valid and len(buffer := text.as_buffer()):
-                    if len(buffer) > SLICE_BYTES:
-                        out += [(keys[i].as_py(), *hit) for hit in items.search(long_text_hashes(buffer.to_pybytes()))]
-                        continue
-                    held.append((i, buffer))
-                    size += len(buffer)
-                if size > SLICE_BYTES:
-                    out += [(keys[k].as_py(), *hit) for k, hit in hits(items, held)]
-                    held, size = [], 0
-            out += [(keys[k].as_py(), *hit) for k, hit in hits(items, held)]
-            columns = list(zip(*out, strict=True)) or [[], [], [], []]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], keys.type), pa.array(columns[1], item_type), pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.float64())],
-                ["doc_id", "item_id", "first_word", "similarity"],
-            )
-
-    return scan
+    yield from hits(items, held)
 
 
 def hits(items: Items, held: list[tuple[int, pa.Buffer]]) -> Iterator[tuple[int, tuple]]:

@@ -271,3 +271,23 @@ def identify(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"doc_id {kind}, lang_pred string, score double" + ", spans array<struct<start:long,end:long,lang:string>>" * spans
     return docs.select(id_col, text_col).mapInArrow(predict, schema)
+
+
+def with_language(docs: DataFrame, model: Model, least_score: float, *, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose language is known with at least ``least_score``."""
+    at = docs.columns.index(text_col)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, held, size = [], [], 0
+            for text in batch.column(at).to_pylist():
+                held.append(text or "")
+                size += len(held[-1])
+                if size > SLICE_CHARS:
+                    found += label_texts(held, model)
+                    held, size = [], 0
+            if held:
+                found += label_texts(held, model)
+            yield batch.filter(pa.array([lang != UNDETERMINED and score >= least_score for lang, score, _ in found], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
