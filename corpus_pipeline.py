@@ -1,28 +1,79 @@
-"""The training-data pipeline: stages over ``documents``, each written and reread by the next."""
+"""The training-data pipeline: stages over ``documents``, each written and reread by the next.
+
+Every stage but the last filters rows and keeps the columns of ``documents``:
+
+* language ID drops documents without letters, or of which no language has half the letters;
+* SimHash near-dedup keeps one document of each group, that of the smallest id;
+* benchmark decontamination drops documents that hold a benchmark item;
+* secret scans drop documents in which a pattern or a window's entropy finds a secret;
+* best-fit packing returns the token pieces of what is left, with their sequences.
+
+Rows without an id have no place in a group of near-duplicates and pass that stage.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from lexmill.llm.decontaminate import without_leaks
+from lexmill.llm.langid import fit, with_language
 from lexmill.llm.packing import pack_documents
+from lexmill.llm.secrets import scan
 from lexmill.llm.shared import stored
+from lexmill.llm.simhash import near_duplicates
+
+#: The least share of letters that the language of a document has.
+LEAST_SCORE = 0.5
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a language, learnt from the documents that aren't held out."""
+    learnt = docs.where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
+    return with_language(docs, fit(learnt), LEAST_SCORE)
+
+
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    found = near_duplicates(docs.where(F.col("doc_id").isNotNull()))
+    first = stored(found.where("doc_id = component_id").groupBy("doc_id").count(), "first-of-group")
+    kept = docs.join(first, "doc_id", "left_semi").select(*docs.columns)
+    if not first.where("count > 1").isEmpty():  # repeated rows of one id
+        kept = kept.dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a secret."""
+    return scan(docs).where(F.size("found") == 0).select(*docs.columns)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of all documents, packed into sequences."""
     return pack_documents(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", language_id),
+    ("simhash_near_dedup", simhash_near_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("secret_scans", secret_scans),
     ("best_fit_packing", best_fit_packing),
 ]
 
-#: Token ids of a trained vocabulary are beyond SQL; tests hold the stages against brute force.
+#: Learnt models and token ids are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the table ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)
