@@ -2,41 +2,25 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+import gc
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
+
+from lexmill.storage import shared_dir, shared_path, stored
+
+__all__ = ["WORD_SPACE", "byte_slices", "release_shuffles", "shared_dir", "shared_path", "stored"]
 
 WORD_SPACE = r"[\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as ``spark.checkpoint.dir`` names it.
+def release_shuffles(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of steps whose results are stored.
 
-    Where the setting is missing, a local session gets a temporary folder; a cluster session is
-    refused, because its executors could not see such a folder.
+    They go once the driver's JVM has collected the objects that stand for them, which on an idle
+    driver can take half an hour; so it is asked to collect now.
     """
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if found:
-        return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    made = "file://" + tempfile.mkdtemp(prefix="lexmill-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
-
-
-def shared_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the shared folder and reread: lineage ends there, and a lost executor
-    costs a reread instead of a recomputation."""
-    spark = df.sparkSession
-    path = shared_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def byte_slices(payload: bytes, limit: int):

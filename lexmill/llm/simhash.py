@@ -25,6 +25,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexmill.operators.components import components
+
 from .shared import stored
 
 SHINGLE_WORDS = 3
@@ -141,8 +143,8 @@ def parts_of(distinct: DataFrame, radius: int, part_rows: int) -> DataFrame:
 
     A part is one block's value, or a pair of subtrees of it. ``fp`` is rotated so that the
     block's own bits, equal in the whole part, come last in the trie; ``differ`` counts the bits
-    by which the two nodes differ so far. ``side`` is 0 where both nodes are
-    the same, else 1 or 2. Parts of over ``part_rows`` rows are split by their next bits.
+    by which the two nodes differ so far. ``side`` is 0 where both nodes are the same, else 1 or 2.
+    Parts of over ``part_rows`` rows are split by their next bits.
     """
     blocks = []
     for i, (first, width) in enumerate(block_edges(radius)):
@@ -197,33 +199,6 @@ def fingerprint_edges(distinct: DataFrame, *, radius: int = RADIUS, part_rows: i
     return parts.join(shared, "part", "left_semi").groupBy("part").applyInArrow(join, "u long, v long").distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """``node, component``: for each node of ``edges`` the smallest node that it reaches.
-
-    Large and small stars alternate until the edges no longer change: then each edge joins a node
-    to its component's smallest. Minima are pre-aggregated, so a hub isn't gathered in one task.
-    """
-
-    def star(e: DataFrame, large: bool) -> DataFrame:
-        both = e.union(e.select("v", "u")) if large else e
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        near = both.join(least, "u")
-        if large:
-            near = near.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        else:
-            near = near.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
-        return near.where("u <> v").distinct()
-
-    edges = stored(edges, "edges")
-    before = None
-    while True:
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        before = now
-        edges = stored(star(stored(star(edges, True), "large-star"), False), "small-star")
-
-
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, part_rows: int = PART_ROWS) -> DataFrame:
     """``doc_id, fp, component_id`` for every row of ``docs``; ids must be longs."""
     prints = stored(fingerprints(docs, id_col=id_col, text_col=text_col), "fingerprints")
