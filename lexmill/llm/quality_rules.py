@@ -86,9 +86,10 @@ def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
 
 
-def ordered_rules(measured: DataFrame, rules: list[Rule], *, rows: int, sample_rows: int = SAMPLE_ROWS, runs: int = 2) -> list[Rule]:
-    """``rules`` by falling rejection per cost, both estimated on about ``sample_rows`` of ``rows``."""
-    sample = stored(measured.sample(fraction=min(1.0, sample_rows / max(1, rows)), seed=11).limit(2 * sample_rows), "rule-sample")
+def ordered_rules(docs: DataFrame, rules: list[Rule], *, text_col: str = "text", sample_rows: int = SAMPLE_ROWS, runs: int = 2) -> list[Rule]:
+    """``rules`` by falling rejection per cost, both estimated on about ``sample_rows`` of ``docs``."""
+    chosen = docs.sample(fraction=min(1.0, sample_rows / max(1, docs.count())), seed=11).limit(2 * sample_rows)
+    sample = stored(measures(chosen, text_col=text_col), "rule-sample")
 
     def seconds(column: Column) -> tuple[float, float]:
         took, share = [], 0.0
@@ -119,6 +120,6 @@ def cascade(rules: list[Rule]) -> Column:
 def judge(docs: DataFrame, *, text_col: str = "text", rules: list[Rule] | None = None) -> DataFrame:
     """Adds the measures, ``base_failed`` and ``kept`` to each row."""
     measured = measures(docs, text_col=text_col)
-    rules = ordered_rules(measured, standard_rules() if rules is None else rules, rows=docs.count())
+    rules = ordered_rules(docs, standard_rules() if rules is None else rules, text_col=text_col)
     kept = F.when(F.col("base_failed"), False).otherwise(cascade(rules))
     return measured.withColumn("base_failed", base_failed()).withColumn("kept", kept)
