@@ -134,6 +134,23 @@ def containment(left: Column | str, right: Column | str) -> tuple[Column, Column
     return F.when(smaller > 0, shared / smaller).otherwise(F.lit(0.0)), F.when(smaller > 0, shared).otherwise(0)
 
 
+INLINE_BREAK = r"\[\*([0-9]+)\]?|\*([0-9]+)\]"
+
+
+def inline_breaks(text: Column | str) -> Column:
+    """Text without bracketed page markers, and the markers: ``label`` and ``offset`` into it."""
+    text = F.coalesce(column(text), F.lit(""))
+    marks, pieces = F.regexp_extract_all(text, F.lit(INLINE_BREAK), F.lit(0)), F.split(text, INLINE_BREAK)
+    start = F.struct(F.array().cast("array<struct<label:string,offset:bigint>>").alias("found"), F.lit(0).cast("long").alias("at"), F.lit(0).alias("n"))
+
+    def step(a: Column, mark: Column) -> Column:
+        at = a["at"] + F.length(F.get(pieces, a["n"]))
+        hit = F.struct(F.regexp_extract(mark, "([0-9]+)", 1).alias("label"), at.alias("offset"))
+        return F.struct(F.array_append(a["found"], hit).alias("found"), at.alias("at"), (a["n"] + 1).alias("n"))
+
+    return F.struct(F.array_join(pieces, "").alias("text"), F.aggregate(marks, start, step, lambda a: a["found"]).alias("breaks"))
+
+
 def fold_tokens(text: Column | str) -> Column:
     """Search tokens: runs of letters, digits and marks, in lower case, without diacritics."""
     from .arrow import without_diacritics

@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lexmill.queries import relational, texts
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return relational.QUERIES | texts.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return relational.SQL | texts.SQL
