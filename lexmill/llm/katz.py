@@ -11,7 +11,8 @@ whose counts leave no mass is scaled by n / (n + 1).
 Texts never move. They are tokenised once into blocks of bounded size, kept as files in the folder
 that driver and executors share. A block asks for the counts of its distinct words, and then of its
 distinct bigrams; questions go to partitions by hash, where the counts of all blocks are added up
-(that is the model, in partitions), and answers go back in the order of the question. A very
+(that is the model, in partitions), and answers go back in the order of the question. Answers about
+words number them, so that questions about bigrams are small differences of numbers. A very
 common word or bigram costs one question per block, and a context with very many followers is
 spread over partitions by its followers; so no key gathers rows in one place. Each block then
 scores its documents by lookups alone.
@@ -34,7 +35,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import byte_slices, shared_path, stored
+from .shared import byte_slices, release_shuffles, shared_path, stored
 from .warc import filesystem
 
 #: Counts up to this are discounted.
@@ -53,17 +54,40 @@ def word_hash(word: bytes) -> int:
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays, whole numbers in their narrowest type, compressed."""
+    """Arrays, compressed; whole numbers in their narrowest type, first bytes first."""
     out = []
     for a in arrays:
         if a.dtype.kind in "iu" and a.dtype != np.uint64:
             a = a.astype(np.min_scalar_type(int(a.max()) if len(a) else 0))
-        out.append((a.dtype.str, zstandard.compress(a.tobytes(), 1)))
+        planes = a.view(np.uint8).reshape(len(a), -1).T
+        out.append((a.dtype.str, zstandard.compress(planes.tobytes(), 1)))
     return pickle.dumps(out)
 
 
 def unpack(data: bytes) -> list[np.ndarray]:
-    return [np.frombuffer(zstandard.decompress(raw), kind) for kind, raw in pickle.loads(data)]
+    out = []
+    for kind, raw in pickle.loads(data):
+        planes = np.frombuffer(zstandard.decompress(raw), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+        out.append(np.ascontiguousarray(planes.T).view(kind).ravel())
+    return out
+
+
+def steps(values: np.ndarray, runs: np.ndarray) -> np.ndarray:
+    """Values that rise inside runs, as a run's first value and then differences."""
+    out = np.diff(values, prepend=0)
+    first = (np.cumsum(runs) - runs)[runs > 0]
+    out[first] = values[first]
+    return out
+
+
+def unsteps(differences: np.ndarray, runs: np.ndarray) -> np.ndarray:
+    total = np.cumsum(whole(differences))
+    first, runs = (np.cumsum(runs) - runs)[runs > 0], runs[runs > 0]
+    return total - np.repeat(total[first] - whole(differences)[first], runs)
+
+
+def one_run(values: np.ndarray) -> np.ndarray:
+    return np.array([len(values)])
 
 
 def whole(a: np.ndarray) -> np.ndarray:
@@ -205,8 +229,16 @@ def answer_words(table: pa.Table) -> pa.Table:
     totals = np.bincount(place, np.concatenate([whole(b[1]) for b in bodies]), len(distinct)).astype(np.int64)
     cuts = np.cumsum([len(b[0]) for b in bodies])[:-1]
     part = table.column("part")[0].as_py()
-    rows = [(name, part, pack(totals[at]), None) for name, at in zip(table.column("block").to_pylist(), np.split(place, cuts), strict=True)]
-    return rows_out([*rows, (None, part, None, counts_of_counts(totals))], ANSWER_ROWS)
+    rows = [(name, part, pack(totals[at], steps(at, one_run(at))), None) for name, at in zip(table.column("block").to_pylist(), np.split(place, cuts), strict=True)]
+    return rows_out([*rows, (None, part, None, [*counts_of_counts(totals), len(totals)])], ANSWER_ROWS)
+
+
+def first_numbers(answers: DataFrame, parts: int) -> np.ndarray:
+    """The number of each part's first word, where words of all parts are numbered by hash."""
+    sizes = np.zeros(parts + 1, np.int64)
+    for row in answers.where("block IS NULL").select("part", F.element_at("stats", -1).alias("n")).collect():
+        sizes[row.part + 1] = row.n
+    return np.cumsum(sizes)
 
 
 def totals_of(answers: DataFrame) -> list[int]:
@@ -263,7 +295,7 @@ def place_of(context: np.ndarray, lane: np.ndarray, parts: int) -> np.ndarray:
 class Questions:
     """A block's distinct bigrams of known words, and where their counts are kept.
 
-    ``contexts`` are those asked about at each place, ``runs`` how many bigrams follow each there
+    ``at_context`` are those asked about at each place, ``run`` how many bigrams follow each there
     (none where a spread context is asked only for its sums).
     """
 
@@ -296,21 +328,24 @@ class Questions:
             yield p, slice(*self.context_bounds[p : p + 2]), slice(*self.pair_bounds[p : p + 2])
 
 
-def joined(answers: list[tuple[int, bytes]]) -> np.ndarray:
-    return np.concatenate([whole(unpack(body)[0]) for _, body in sorted(answers)])
+def joined(answers: list[tuple[int, bytes]], first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts and numbers of a block's words."""
+    bodies = [(p, unpack(body)) for p, body in sorted(answers)]
+    return np.concatenate([whole(b[0]) for _, b in bodies]), np.concatenate([first[p] + np.cumsum(whole(b[1])) for p, b in bodies])
 
 
-def ask_pairs(answers: DataFrame, folder: str, learnt_docs: int, parts: int, spread: int, n_blocks: int) -> DataFrame:
+def ask_pairs(answers: DataFrame, folder: str, first: np.ndarray, learnt_docs: int, parts: int, spread: int, n_blocks: int) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
         name = table.column("block")[0].as_py()
         block = Block(folder, name)
-        counts = joined(list(zip(table.column("part").to_pylist(), table.column("body").to_pylist(), strict=True)))
+        counts, numbers = joined(list(zip(table.column("part").to_pylist(), table.column("body").to_pylist(), strict=True)), first)
         q = Questions(block, counts, learnt_docs, parts, spread)
         own = np.bincount(q.place, block.learnt, len(q.distinct)).astype(np.int64)
         rows = []
         for p, contexts, pairs in q.parts():
             asked = q.asked[pairs]
-            rows.append((p, name, pack(block.hashes[q.at_context[contexts]], q.run[contexts], block.hashes[q.word[asked]], own[asked], counts[q.word[asked]])))
+            context, run_, word = numbers[q.at_context[contexts]], q.run[contexts], q.word[asked]
+            rows.append((p, name, pack(steps(context, one_run(context)), run_, steps(numbers[word], run_), own[asked], counts[word])))
         return rows_out(rows, QUESTION_ROWS)
 
     return answers.where("block IS NOT NULL").repartition(n_blocks, "block").groupBy("block").applyInArrow(run, QUESTION)
@@ -323,10 +358,10 @@ def answer_pairs(words: Words):
     def run(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
         bodies = [unpack(x) for x in table.column("body").to_pylist()]
-        contexts, context_at = np.unique(np.concatenate([b[0] for b in bodies]), return_inverse=True)
+        contexts, context_at = np.unique(np.concatenate([np.cumsum(whole(b[0])) for b in bodies]), return_inverse=True)
         runs = np.concatenate([whole(b[1]) for b in bodies])
         pair_context = np.repeat(context_at, runs)
-        followers, follower_at = np.unique(np.concatenate([b[2] for b in bodies]), return_inverse=True)
+        followers, follower_at = np.unique(np.concatenate([unsteps(b[2], whole(b[1])) for b in bodies]), return_inverse=True)
         distinct, first, place = np.unique(pair_context * len(followers) + follower_at, return_index=True, return_inverse=True)
         totals = np.bincount(place, np.concatenate([whole(b[3]) for b in bodies]), len(distinct)).astype(np.int64)
         seen = totals > 0
@@ -345,12 +380,12 @@ def answer_pairs(words: Words):
     return run
 
 
-def score_blocks(word_answers: DataFrame, pair_answers: DataFrame, folder: str, words: Words, pairs: Discounts, learnt_docs: int, parts: int, spread: int, n_blocks: int, kind: str) -> DataFrame:
+def score_blocks(word_answers: DataFrame, pair_answers: DataFrame, folder: str, first: np.ndarray, words: Words, pairs: Discounts, learnt_docs: int, parts: int, spread: int, n_blocks: int, kind: str) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
         name = table.column("block")[0].as_py()
         block = Block(folder, name)
         got = list(zip(table.column("kind").to_pylist(), table.column("part").to_pylist(), table.column("body").to_pylist(), strict=True))
-        counts = joined([(p, b) for k, p, b in got if k == 0])
+        counts, _ = joined([(p, b) for k, p, b in got if k == 0], first)
         q = Questions(block, counts, learnt_docs, parts, spread)
         size = len(block.hashes)
         seen = np.zeros(len(q.distinct), np.int64)
@@ -367,12 +402,12 @@ def score_blocks(word_answers: DataFrame, pair_answers: DataFrame, folder: str,
         with np.errstate(divide="ignore", invalid="ignore"):
             weight = np.where(n > 0, (1 - kept / norm) / (1 - chances), 1.0)
             chance = np.where(seen > 0, pairs(seen) / norm[q.context], weight[q.context] * words(counts)[q.word])
-        first = np.cumsum(block.counts) - block.counts
+        starts = np.cumsum(block.counts) - block.counts
         base = np.log10((counts + 1) / (words.total + words.types + 1))
-        add = lambda x: np.add.reduceat(x, first)
+        add = lambda x: np.add.reduceat(x, starts)
         columns = [
             block.keys, pa.array(block.held), pa.array(block.counts.astype(np.int64)), pa.array(add((counts > 0).astype(np.int64)[block.tokens])),
-            pa.array(np.full(len(first), words.total, np.int64)), pa.array(add(base[block.tokens])), pa.array(add(np.log10(chance)[q.place])),
+            pa.array(np.full(len(starts), words.total, np.int64)), pa.array(add(base[block.tokens])), pa.array(add(np.log10(chance)[q.place])),
         ]
         return pa.table(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
@@ -393,8 +428,11 @@ def score(docs: DataFrame, held: Column, *, id_col: str = "doc_id", text_col: st
     word_parts, pair_parts = -(-n_words // words_each), -(-tokens // pairs_each)
     asked = ask_words(manifest.repartition(n_blocks), folder, word_parts)
     word_answers = stored(asked.repartition(word_parts, "part").groupBy("part").applyInArrow(answer_words, ANSWER), "word-answers")
+    release_shuffles(spark)
     words = Words(totals_of(word_answers))
-    asked = ask_pairs(word_answers, folder, learnt_docs, pair_parts, spread, n_blocks)
+    first = first_numbers(word_answers, word_parts)
+    asked = ask_pairs(word_answers, folder, first, learnt_docs, pair_parts, spread, n_blocks)
     pair_answers = stored(asked.repartition(pair_parts, "part").groupBy("part").applyInArrow(answer_pairs(words), ANSWER), "pair-answers")
+    release_shuffles(spark)
     pairs = Discounts(totals_of(pair_answers))
-    return score_blocks(word_answers, pair_answers, folder, words, pairs, learnt_docs, pair_parts, spread, n_blocks, kind)
+    return score_blocks(word_answers, pair_answers, folder, first, words, pairs, learnt_docs, pair_parts, spread, n_blocks, kind)
