@@ -10,7 +10,6 @@ from .text import column
 # Fields that a server sets anew on each read.
 VOLATILE_FIELDS = ("date_created", "date_modified", "resource_uri", "absolute_url")
 CITATION_VOLATILE = ("date_created", "date_modified")
-CITATION = "struct<reporter:string,volume:string,page:string,type:int>"
 
 
 def clean_citations(citations: Column | str) -> Column:
@@ -24,7 +23,7 @@ def first_citation(citations: Column | str, reporter: str = "U.S.") -> Column:
     A volume has digits alone and loses leading zeros; a page isn't blank, nor the number zero.
     """
     usable = F.filter(
-        F.coalesce(column(citations), F.array().cast(f"array<{CITATION}>")),
+        column(citations),
         lambda c: (c["reporter"] == reporter) & c["volume"].rlike("^[0-9]+$") & c["page"].isNotNull() & c["page"].rlike(r"(?U)\S"),
     )
     first = F.get(usable, F.lit(0))
