@@ -5,8 +5,8 @@ if it shares a shingle with it, so windows are formed around such places alone;
 match is lost. Each of those windows has the size of the item and a SimHash fingerprint, kept up
 by running bit counts. Fingerprints of items lie in ``radius + 1`` tables keyed by a block of
 bits each: two fingerprints within ``radius`` bits agree on a block, so all within the radius are
-found. Candidates are then checked by the exact weighted similarity of their word shingles, the
-sum of smaller over the sum of larger multiplicities times the shingle's weight.
+found. Candidates are then checked by the exact weighted similarity of their word shingles: each
+weighs as often as it occurs, and the sum of the smaller weights is taken over that of the larger.
 
 Items are the stated query set: they are read in blocks of bounded size, each block is one pass
 over the documents, and no shuffle moves texts.
@@ -116,8 +116,8 @@ def window_prints(hashes: np.ndarray, size: int) -> np.ndarray:
 class Items:
     """A block of benchmark items, indexed by shingle and by blocks of their fingerprints' bits."""
 
-    def __init__(self, rows: list[tuple[object, bytes]], radius: int, similarity: float, weights: dict[int, float] | None = None):
-        self.radius, self.similarity, self.weights = radius, similarity, weights or {}
+    def __init__(self, rows: list[tuple[object, bytes]], radius: int, similarity: float):
+        self.radius, self.similarity = radius, similarity
         self.ids, self.sizes, self.widths, self.bags, self.words = [], [], [], [], []
         self.of: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
         prints = []
@@ -153,14 +153,10 @@ class Items:
         at = np.flatnonzero(agree)
         return at[np.bitwise_count(prints[at] ^ own) <= self.radius]
 
-    def weight(self, h: int) -> float:
-        return self.weights.get(h, 1.0)
-
     def exact(self, window: list[int], n: int) -> float:
         own, bag = self.bags[n], Counter(window)
-        low = sum(min(c, own[h]) * self.weight(h) for h, c in bag.items() if h in own)
-        high = sum(c * self.weight(h) for h, c in bag.items()) + sum(c * self.weight(h) for h, c in own.items()) - low
-        return low / high if high else 0.0
+        low = sum(min(c, own[h]) for h, c in bag.items() if h in own)
+        return low / (bag.total() + own.total() - low)
 
     def search(self, words: np.ndarray) -> Iterator[tuple[object, int, float]]:
         """Item, first word and similarity of the best window of each item found in a document."""

@@ -1,4 +1,4 @@
-"""The thin queries ``opN_<name>`` over whole tables, and the SQL of those that SQL can express."""
+"""The thin queries ``opN_<name>`` over whole tables."""
 
 from __future__ import annotations
 
@@ -99,14 +99,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
-        "op8_warc": """
-            WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
-            d AS (SELECT page_id, octet_length(payload) AS n, sha1(payload) AS digest FROM p),
-            w AS (SELECT digest, max(page_id) AS winner FROM d WHERE n >= 1000 GROUP BY digest)
-            SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
-                   CASE WHEN winner IS NOT NULL AND winner <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
-                   CASE WHEN winner <> page_id THEN winner END AS refers_to
-            FROM d LEFT JOIN w USING (digest)
-        """,
-    }
+    from .oracles import oracle_sql
+
+    return oracle_sql()
