@@ -10,9 +10,10 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexmill import config
 from lexmill.functions.text import plain_words, shingles, year_of
 from lexmill.operators import classify, clean, hierarchy, publish, reconcile, resolve, select, unpivot
-from lexmill.sources import archive, records
+from lexmill.sources import archive, records, rest
 from lexmill.storage import stored
 
 LONGEST = tuple(f"source_{k}" for k in hierarchy.TEXT_FIELDS)
@@ -105,7 +106,21 @@ def tally(rows: DataFrame, column: str) -> dict[str, int]:
     return {str(r[0]): r[1] for r in rows.groupBy(column).count().orderBy(column).collect()}
 
 
+def extract(raw: str, parent_url: str, child_url: str, after: str, before: str) -> dict:
+    """Mirrors an API's records between two dates; what is there already isn't fetched again."""
+    client = rest.Client(headers=config.headers(config.api_token()))
+    return rest.extract(client, parent_url, child_url, after, before, Path(raw), timestamp(), commit())
+
+
+def mirror_gaps(spark: SparkSession, raw: str) -> tuple[DataFrame, DataFrame]:
+    """Declared children that the mirror lacks, and children without a parent there."""
+    parents = hierarchy.normalize_parents(records.read_records(spark, f"{raw}/clusters", records.PARENT))
+    children = hierarchy.normalize_children(records.read_records(spark, f"{raw}/opinions", records.CHILD))
+    return hierarchy.undelivered(parents, children, "cluster_id", "declared_ids", "opinion_id"), hierarchy.orphans(children, parents, "cluster_id", "cluster_id").select("opinion_id", "cluster_id")
+
+
 STAGES = {
+    "extract": lambda s, a: extract(a.raw, a.url, a.children, a.after, a.before),
     "package-mirror": lambda s, a: archive.pack(Path(a.raw), Path(a.target)),
     "fetch-mirror": lambda s, a: archive.fetch(a.url, Path(a.raw), Path(a.ledger), Path(a.target)),
     "materialize": lambda s, a: materialize(s, a.raw, a.staging),
@@ -122,7 +137,7 @@ STAGES = {
 def main(args: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("stage", choices=STAGES)
-    for name in ("raw", "staging", "ledger", "key", "target", "url"):
+    for name in ("raw", "staging", "ledger", "key", "target", "url", "children", "after", "before"):
         parser.add_argument(f"--{name}", default="")
     found = parser.parse_args(args)
     from lexmill.session import build_session

@@ -250,6 +250,30 @@ def citation_first_wins(spark: SparkSession, d: str) -> DataFrame:
     return publish.first_of_equal(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"], order).select("l_orderkey", "l_linenumber", "l_returnflag", "l_quantity")
 
 
+@query("""
+    SELECT p_partkey, p_name FROM part
+    WHERE p_name ILIKE 'RED%' AND p_size BETWEEN 5 AND 40 AND p_type IN ('ECONOMY', 'SMALL', 'STANDARD') AND p_brand IS DISTINCT FROM 'Brand#2' AND p_retailprice IS NOT NULL
+      AND EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey)
+""")
+def predicates(spark: SparkSession, d: str) -> DataFrame:
+    """Pattern, range, list, null-safe and existence predicates; all but the last reach the scan."""
+    parts = table(spark, d, "part").where(
+        F.col("p_name").ilike("RED%") & F.col("p_size").between(5, 40) & F.col("p_type").isin("ECONOMY", "SMALL", "STANDARD") & ~F.col("p_brand").eqNullSafe("Brand#2") & F.col("p_retailprice").isNotNull()
+    )
+    return parts.join(table(spark, d, "lineitem").select(F.col("l_partkey").alias("p_partkey")), "p_partkey", "left_semi").select("p_partkey", "p_name")
+
+
+@query("""
+    SELECT c_custkey, c_mktsegment, CAST(count(o_orderkey) AS BIGINT) AS n_orders, sum(o_totalprice) AS total
+    FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey, c_mktsegment
+""")
+def parents_with_sums(spark: SparkSession, d: str) -> DataFrame:
+    """Parents with count and sum of their children, the sum null where there are none."""
+    sums = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("o_orderkey").alias("n_orders"), F.sum("o_totalprice").alias("total"))
+    rows = table(spark, d, "customer").select("c_custkey", "c_mktsegment").join(sums, "c_custkey", "left")
+    return rows.select("c_custkey", "c_mktsegment", F.coalesce("n_orders", F.lit(0)).alias("n_orders"), "total")
+
+
 # --- reports --------------------------------------------------------------------------------
 
 

@@ -9,6 +9,7 @@ import urllib.error
 import pytest
 from pyspark.sql import functions as F
 
+from lexmill import config
 from lexmill.plans import checks, stages
 from lexmill.sources import archive, records, rest
 from lexmill.streaming import ingest
@@ -180,6 +181,26 @@ def test_stages_from_files_to_tables(spark, tmp_path):
     assert spark.table("scotus_decisions").select("cluster_id").collect()[0][0] == 1
 
 
+def test_settings(tmp_path, monkeypatch):
+    monkeypatch.delenv(config.TOKEN_VARIABLE, raising=False)
+    with pytest.raises(RuntimeError, match=config.TOKEN_VARIABLE):
+        config.api_token(tmp_path / "none")
+    (tmp_path / ".env").write_text(f"A=1\n{config.TOKEN_VARIABLE} = 'abc'\n")
+    assert config.headers(config.api_token(tmp_path / ".env"))["Authorization"] == "Token abc"
+    monkeypatch.setenv(config.TOKEN_VARIABLE, "env")
+    assert config.api_token(tmp_path / ".env") == "env"
+    assert config.Folders(tmp_path / "x").make().raw.is_dir()
+
+
+def test_mirror_gaps(spark, tmp_path):
+    raw = mirror(tmp_path / "raw")
+    rest.store(raw / "clusters", parent(1, 10, 11))
+    (raw / "opinions/10.json").write_text('{"id": 10, "cluster": "/c/1/", "type": "t"}')
+    (raw / "opinions/12.json").write_text('{"id": 12, "cluster": "/c/9/", "type": "t"}')
+    missing, lost = stages.mirror_gaps(spark, str(raw))
+    assert [tuple(r) for r in missing.collect()] == [(1, 11)] and [tuple(r) for r in lost.collect()] == [(12, 9)]
+
+
 def test_materialize_drops_older_tables(spark, tmp_path):
     raw = mirror(tmp_path / "raw")
     rest.store(raw / "clusters", parent(1))
