@@ -10,6 +10,7 @@ from lexmill.functions import text as X
 from lexmill.operators import classify, hierarchy, publish, select, snapshots, unpivot
 from lexmill.plans.checks import suite
 from lexmill.session import table
+from lexmill.storage import stored
 
 QUERIES, SQL = {}, {}
 
@@ -105,11 +106,15 @@ def citation_parse(spark: SparkSession, d: str) -> DataFrame:
 
 
 def judged_documents(spark: SparkSession, d: str) -> DataFrame:
-    """Documents in the shape of records: made-up volumes, pages and identifiers, labels as ledger."""
+    """Documents in the shape of records: made-up volumes, pages and identifiers, labels as ledger.
+
+    Texts are read once, for a name and a hash; the rest of a plan works on narrow rows.
+    """
     docs = table(spark, d, "documents")
     records = docs.select(
         F.col("doc_id").alias("cluster_id"), F.substring("text", 1, 40).alias("case_name"), (F.col("doc_id") % 24).cast("int").alias("us_volume"),
         ((F.col("doc_id") * 7) % 900).cast("string").alias("us_page"), F.when(F.col("doc_id") % 11 != 0, F.lit("cited")).alias("us_cite"), F.when(F.col("doc_id") % 3 == 0, F.col("lang")).alias("scdb_id"),
+        F.sha2("text", 256).alias("text_hash"),
     )
     ledger = table(spark, d, "labels").where("toxic = 1").select(F.col("doc_id").alias("cluster_id"), F.when(F.col("quality") == 1, "keep").otherwise("drop").alias("disposition"))
     return classify.scope(records, ledger)
@@ -162,9 +167,8 @@ def status_partition(spark: SparkSession, d: str) -> DataFrame:
 
 def published_documents(spark: SparkSession, d: str) -> DataFrame:
     """Judged documents, with exact copies as duplicates of the smallest id in scope."""
-    judged = judged_documents(spark, d)
-    kept = judged.where("is_scotus = 'true'").select("cluster_id")
-    texts = table(spark, d, "documents").select(F.col("doc_id").alias("cluster_id"), F.sha2("text", 256).alias("h")).join(kept, "cluster_id")
+    judged = stored(judged_documents(spark, d), "judged")
+    texts = judged.where("is_scotus = 'true'").select("cluster_id", F.col("text_hash").alias("h"))
     first = texts.groupBy("h").agg(F.min("cluster_id").alias("first"))
     resolved = texts.join(first, "h").select(
         "cluster_id", F.when(F.col("cluster_id") == F.col("first"), "canonical").otherwise("duplicate").alias("dedup_role"),
