@@ -39,7 +39,8 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """One document of each group of near-duplicates."""
     found = near_duplicates(docs.where(F.col("doc_id").isNotNull()))
     first = stored(found.where("doc_id = component_id").groupBy("doc_id").count(), "first-of-group")
-    kept = docs.join(first, "doc_id", "left_semi").select(*docs.columns)
+    # both sides grow with the corpus, so the plan is a merge join at every size
+    kept = docs.join(first.hint("merge"), "doc_id", "left_semi").select(*docs.columns)
     if not first.where("count > 1").isEmpty():  # repeated rows of one id
         kept = kept.dropDuplicates(["doc_id"])
     return kept.unionByName(docs.where(F.col("doc_id").isNull()))
