@@ -30,6 +30,15 @@ def column(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def bound(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often and wherever ``use`` names it.
+
+    Without it the optimizer may copy the value's expression into a lambda and compute it there
+    for every element.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def caption_tokens(name: Column | str, dropped: tuple[str, ...] = STOP_WORDS) -> Column:
     """Distinctive tokens of a caption: a sorted array without repeats. A null has none."""
     text = F.replace(F.lower(F.coalesce(column(name), F.lit(""))), F.lit("m'"), F.lit("mc"))
@@ -59,10 +68,13 @@ def plain_words(text: Column | str) -> Column:
 
 def shingles(words: Column | str, size: int = 5) -> Column:
     """Distinct runs of ``size`` words, joined by spaces; fewer words have none."""
-    words = column(words)
-    last = F.size(words) - (size - 1)
-    starts = F.when(last >= 1, F.sequence(F.lit(1), F.greatest(last, F.lit(1)))).otherwise(F.array().cast("array<int>"))
-    return F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(words, i, size), " ")))
+
+    def runs(w: Column) -> Column:
+        last = F.size(w) - (size - 1)
+        starts = F.when(last >= 1, F.sequence(F.lit(1), F.greatest(last, F.lit(1)))).otherwise(F.array().cast("array<int>"))
+        return F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(w, i, size), " ")))
+
+    return bound(column(words), runs)
 
 
 def leading_int(value: Column | str) -> Column:
@@ -100,9 +112,8 @@ def suspects(text: Column | str, tokens: tuple[str, ...] = SUSPECT_TOKENS) -> Co
     """
     tiles = F.regexp_extract_all(F.coalesce(column(text), F.lit("")), F.lit(f"([A-Za-z]+|{BOX_GLYPH}|[^A-Za-z{BOX_GLYPH}]+)"), F.lit(1))
     kept = lambda t: F.lower(t).isin(*tokens) | (t == BOX_GLYPH)
-    # tiles that aren't hits join into gaps, so the fold takes one step for each hit
-    hits = F.filter(tiles, kept)
-    return tiled_offsets(hits, F.transform(tiles, lambda t: F.when(kept(t), F.lit(-1)).otherwise(F.length(t))))
+    gaps = lambda t: F.transform(t, lambda x: F.when(kept(x), F.lit(-1)).otherwise(F.length(x)))
+    return bound(tiles, lambda t: bound(F.filter(t, kept), lambda hits: tiled_offsets(hits, gaps(t))))
 
 
 def tiled_offsets(hits: Column, gaps: Column) -> Column:
@@ -139,16 +150,18 @@ INLINE_BREAK = r"\[\*([0-9]+)\]?|\*([0-9]+)\]"
 
 def inline_breaks(text: Column | str) -> Column:
     """Text without bracketed page markers, and the markers: ``label`` and ``offset`` into it."""
-    text = F.coalesce(column(text), F.lit(""))
-    marks, pieces = F.regexp_extract_all(text, F.lit(INLINE_BREAK), F.lit(0)), F.split(text, INLINE_BREAK)
     start = F.struct(F.array().cast("array<struct<label:string,offset:bigint>>").alias("found"), F.lit(0).cast("long").alias("at"), F.lit(0).alias("n"))
 
-    def step(a: Column, mark: Column) -> Column:
-        at = a["at"] + F.length(F.get(pieces, a["n"]))
-        hit = F.struct(F.regexp_extract(mark, "([0-9]+)", 1).alias("label"), at.alias("offset"))
-        return F.struct(F.array_append(a["found"], hit).alias("found"), at.alias("at"), (a["n"] + 1).alias("n"))
+    def marked(text: Column, pieces: Column) -> Column:
+        def step(a: Column, mark: Column) -> Column:
+            at = a["at"] + F.length(F.get(pieces, a["n"]))
+            hit = F.struct(F.regexp_extract(mark, "([0-9]+)", 1).alias("label"), at.alias("offset"))
+            return F.struct(F.array_append(a["found"], hit).alias("found"), at.alias("at"), (a["n"] + 1).alias("n"))
+
+        marks = F.regexp_extract_all(text, F.lit(INLINE_BREAK), F.lit(0))
+        return F.struct(F.array_join(pieces, "").alias("text"), F.aggregate(marks, start, step, lambda a: a["found"]).alias("breaks"))
 
-    return F.struct(F.array_join(pieces, "").alias("text"), F.aggregate(marks, start, step, lambda a: a["found"]).alias("breaks"))
+    return bound(F.coalesce(column(text), F.lit("")), lambda t: bound(F.split(t, INLINE_BREAK), lambda p: marked(t, p)))
 
 
 def fold_tokens(text: Column | str) -> Column:

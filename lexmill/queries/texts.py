@@ -43,13 +43,15 @@ SHINGLES_SQL = f"""
 """
 PAIRS_SQL = f"""
     WITH RECURSIVE {SHINGLES_SQL},
-    e AS (SELECT doc_id, unnest(sh) AS h FROM s),
+    k AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY list_sort(sh)) AS rep FROM s WHERE len(sh) >= 30),
+    e AS (SELECT doc_id, unnest(sh) AS h FROM s WHERE doc_id IN (SELECT rep FROM k)),
     c AS (SELECT a.doc_id AS left_id, b.doc_id AS right_id, count(*) AS n_shared FROM e a JOIN e b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY 1, 2 HAVING count(*) >= 30),
     pairs AS (SELECT left_id, right_id, n_shared, CAST(n_shared AS DOUBLE) / least(len(x.sh), len(y.sh)) AS containment
               FROM c JOIN s x ON x.doc_id = left_id JOIN s y ON y.doc_id = right_id WHERE 2 * n_shared >= least(len(x.sh), len(y.sh)))
 """
 GROUPS_SQL = PAIRS_SQL + """,
-    links AS (SELECT left_id AS a, right_id AS b FROM pairs UNION SELECT right_id, left_id FROM pairs),
+    lnk AS (SELECT left_id AS a, right_id AS b FROM pairs UNION SELECT doc_id, rep FROM k),
+    links AS (SELECT a, b FROM lnk UNION SELECT b, a FROM lnk),
     reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
     grouped AS (SELECT a AS doc_id, min(b) AS group_id FROM reach GROUP BY a)
 """
@@ -73,7 +75,8 @@ def shingle_counts(spark: SparkSession, d: str) -> DataFrame:
 
 @query(PAIRS_SQL + "SELECT left_id, right_id, n_shared, containment FROM pairs")
 def containment_pairs(spark: SparkSession, d: str) -> DataFrame:
-    return resolve.shared_shingle_pairs(shingled(spark, d))
+    """Different texts of which one holds half of the other's shingles; copies go by their smallest id."""
+    return resolve.representative_pairs(stored(resolve.shingle_sets(shingled(spark, d)), "sets"))
 
 
 @query(PAIRS_SQL + """
@@ -97,34 +100,37 @@ def name_similarity_pairs(spark: SparkSession, d: str) -> DataFrame:
     return scored.where(F.col("score") >= resolve.NAME_MERGE)
 
 
-@query(GROUPS_SQL + "SELECT doc_id, group_id FROM grouped")
+@query(GROUPS_SQL + "SELECT g.doc_id, coalesce(rep, g.doc_id) AS rep, group_id FROM grouped g LEFT JOIN k ON k.doc_id = g.doc_id")
 def duplicate_groups(spark: SparkSession, d: str) -> DataFrame:
     return resolve.groups_by_text(shingled(spark, d))
 
 
 @query(GROUPS_SQL + """,
-    k AS (SELECT doc_id, group_id, row_number() OVER (PARTITION BY group_id ORDER BY (doc_id NOT IN (SELECT doc_id FROM labels)), len(sh) DESC, doc_id) AS n FROM grouped JOIN s USING (doc_id)),
-    h AS (SELECT group_id, doc_id AS head FROM k WHERE n = 1)
-    SELECT k.doc_id, CASE WHEN n = 1 THEN 'canonical' ELSE 'duplicate' END AS dedup_role, CASE WHEN n > 1 THEN head END AS dup_of,
-      CASE WHEN n > 1 THEN CASE WHEN EXISTS (SELECT 1 FROM pairs p WHERE p.left_id = least(k.doc_id, head) AND p.right_id = greatest(k.doc_id, head)) THEN 'text' ELSE 'grouped' END END AS dup_method
-    FROM k JOIN h USING (group_id)
+    o AS (SELECT g.doc_id, group_id, coalesce(rep, g.doc_id) AS rep, row_number() OVER (PARTITION BY group_id ORDER BY (g.doc_id NOT IN (SELECT doc_id FROM labels)), len(sh) DESC, g.doc_id) AS n
+          FROM grouped g JOIN s ON s.doc_id = g.doc_id LEFT JOIN k ON k.doc_id = g.doc_id),
+    h AS (SELECT group_id, doc_id AS head, rep AS head_rep FROM o WHERE n = 1)
+    SELECT o.doc_id, CASE WHEN n = 1 THEN 'canonical' ELSE 'duplicate' END AS dedup_role, CASE WHEN n > 1 THEN head END AS dup_of,
+      CASE WHEN n > 1 THEN CASE WHEN rep = head_rep OR EXISTS (SELECT 1 FROM pairs p WHERE p.left_id = least(rep, head_rep) AND p.right_id = greatest(rep, head_rep)) THEN 'text' ELSE 'grouped' END END AS dup_method
+    FROM o JOIN h USING (group_id)
 """)
 def duplicate_records(spark: SparkSession, d: str) -> DataFrame:
     """Each document's role: labelled ones first, then more shingles, then the lower id, stand for a group."""
     docs = stored(shingled(spark, d), "shingled")
-    pairs = stored(resolve.shared_shingle_pairs(docs), "pairs")
-    found = components(pairs.select(F.col("right_id").alias("u"), F.col("left_id").alias("v")))
-    rows = docs.join(found.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").withColumn("group_id", F.coalesce("component", "doc_id"))
+    sets = stored(resolve.shingle_sets(docs), "sets")
+    pairs = stored(resolve.representative_pairs(sets), "pairs")
+    links = pairs.select(F.col("right_id").alias("u"), F.col("left_id").alias("v")).union(sets.where("id <> rep").select("id", "rep"))
+    found = components(links).select(F.col("node").alias("doc_id"), "component")
+    rows = docs.select("doc_id", F.size("shingles").alias("n")).join(sets.select(F.col("id").alias("doc_id"), "rep"), "doc_id", "left").join(found, "doc_id", "left")
+    rows = rows.select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep"), F.coalesce("component", "doc_id").alias("group_id"))
     rows = rows.join(table(spark, d, "labels").select("doc_id", F.lit(0).alias("labelled")).distinct(), "doc_id", "left")
-    order = F.struct(F.coalesce("labelled", F.lit(1)).alias("l"), (-F.size("shingles")).alias("n"), F.col("doc_id").alias("i"))
-    heads = rows.groupBy("group_id").agg(F.min_by("doc_id", order).alias("head"))
-    both = rows.select("doc_id", "group_id").join(heads, "group_id")
+    order = F.struct(F.coalesce("labelled", F.lit(1)).alias("l"), (-F.col("n")).alias("n"), F.col("doc_id").alias("i"))
+    heads = rows.groupBy("group_id").agg(F.min_by(F.struct("doc_id", "rep"), order).alias("h"))
+    both = rows.join(heads, "group_id").select("doc_id", "rep", F.col("h.doc_id").alias("head"), F.col("h.rep").alias("head_rep"))
     near = pairs.select("left_id", "right_id", F.lit("text").alias("how"))
-    both = both.join(near, (F.least("doc_id", "head") == F.col("left_id")) & (F.greatest("doc_id", "head") == F.col("right_id")), "left")
+    both = both.join(near, (F.least("rep", "head_rep") == F.col("left_id")) & (F.greatest("rep", "head_rep") == F.col("right_id")), "left")
     copy = F.col("doc_id") != F.col("head")
-    return both.select(
-        "doc_id", F.when(copy, "duplicate").otherwise("canonical").alias("dedup_role"), F.when(copy, F.col("head")).alias("dup_of"), F.when(copy, F.coalesce("how", F.lit("grouped"))).alias("dup_method")
-    )
+    how = F.when(F.col("rep") == F.col("head_rep"), "text").otherwise(F.coalesce("how", F.lit("grouped")))
+    return both.select("doc_id", F.when(copy, "duplicate").otherwise("canonical").alias("dedup_role"), F.when(copy, F.col("head")).alias("dup_of"), F.when(copy, how).alias("dup_method"))
 
 
 @query(GROUPS_SQL + """,
@@ -145,25 +151,25 @@ def ledger_union(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("doc_id", F.coalesce("component", "group_id").alias("group_id"), F.col("component").isNotNull().alias("by_ledger"))
 
 
-def block_records(spark: SparkSession, d: str, names: bool) -> DataFrame:
-    """Documents in the shape of records: source and language as block, every tenth with an identifier."""
+def block_records(spark: SparkSession, d: str, volume: str, known: str, names: bool) -> DataFrame:
+    """Documents in the shape of records; ``volume`` and language make a block."""
     docs = table(spark, d, "documents")
     text = docs.select(
-        F.col("doc_id").alias("cluster_id"), F.regexp_extract("source", "([0-9]+)", 1).cast("int").alias("us_volume"), F.col("lang").alias("us_page"),
-        (F.substring("text", 1, 60) if names else F.lit("")).alias("case_name"), F.when(F.col("doc_id") % 10 == 0, F.col("doc_id").cast("string")).alias("scdb_id"),
-        F.lit(None).cast("string").alias("year"), X.plain_words("text").alias("words"),
+        F.col("doc_id").alias("cluster_id"), F.expr(volume).cast("int").alias("us_volume"), F.col("lang").alias("us_page"), (F.substring("text", 1, 60) if names else F.lit("")).alias("case_name"),
+        F.when(F.expr(known), F.col("doc_id").cast("string")).alias("scdb_id"), F.lit(None).cast("string").alias("year"), X.plain_words("text").alias("words"),
     )
     return stored(text.select("*", X.shingles("words").alias("shingles")).drop("words"), "records")
 
 
 @query(f"""
     WITH {SHINGLES_SQL},
-    p AS (SELECT a.doc_id, b.doc_id AS anchor, len(list_intersect(a.sh, b.sh)) AS n, least(len(a.sh), len(b.sh)) AS m FROM s a JOIN s b USING (source, lang) WHERE a.doc_id % 10 <> 0 AND b.doc_id % 10 = 0)
+    e AS (SELECT doc_id, lang, doc_id % 50 AS v, (doc_id // 50) % 4 = 0 AS known, len(sh) AS m, unnest(sh) AS h FROM s),
+    p AS (SELECT a.doc_id, b.doc_id AS anchor, count(*) AS n, least(max(a.m), max(b.m)) AS m FROM e a JOIN e b ON a.h = b.h AND a.lang = b.lang AND a.v = b.v WHERE NOT a.known AND b.known GROUP BY 1, 2)
     SELECT doc_id, arg_min(anchor, row(-CAST(n AS DOUBLE) / m, anchor)) AS anchor FROM p WHERE n >= 30 AND 2 * n >= m GROUP BY doc_id
 """)
 def anchor_attach(spark: SparkSession, d: str) -> DataFrame:
     """Records without an identifier, with the anchor of their block whose text they match best."""
-    rows = block_records(spark, d, names=False)
+    rows = block_records(spark, d, "doc_id % 50", "doc_id div 50 % 4 = 0", names=False)
     found = resolve.attachments(resolve.keyed(rows))
     return found.select(F.col("u").alias("doc_id"), F.col("v").alias("anchor"))
 
@@ -171,7 +177,7 @@ def anchor_attach(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def resolve_records(spark: SparkSession, d: str) -> DataFrame:
     """The whole resolution over documents: anchors, pages, across pages, and a reviewed pair."""
-    rows = block_records(spark, d, names=True)
+    rows = block_records(spark, d, "regexp_extract(source, '([0-9]+)', 1)", "doc_id % 10 = 0", names=True)
     pair = rows.groupBy("us_volume").agg(F.max("cluster_id").alias("cluster_id"), F.min("cluster_id").alias("dup_of")).where("us_volume = 3 AND cluster_id > dup_of")
     return resolve.resolve(rows, pair.select("cluster_id", "dup_of"))
 
@@ -179,14 +185,14 @@ def resolve_records(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""
     WITH b AS (SELECT item_id, item_id % 17 AS v, {tokens_sql('text', (*X.MATCH_STOP_WORDS, *X.DESCRIPTOR_WORDS, *X.ROMAN_NUMERALS))} AS t FROM benchmark),
     p AS (SELECT doc_id, doc_id % 17 AS v, {tokens_sql('substr(text, 1, 400)', (*X.MATCH_STOP_WORDS, *X.DESCRIPTOR_WORDS, *X.ROMAN_NUMERALS))} AS t FROM documents)
-    SELECT item_id, doc_id, CAST(len(list_intersect(b.t, p.t)) AS DOUBLE) / len(b.t) AS score FROM b JOIN p USING (v) WHERE len(b.t) >= 2 AND 2 * len(list_intersect(b.t, p.t)) >= len(b.t)
+    SELECT item_id, doc_id, CAST(len(list_intersect(b.t, p.t)) AS DOUBLE) / len(b.t) AS score FROM b JOIN p USING (v) WHERE len(b.t) >= 2 AND 10 * len(list_intersect(b.t, p.t)) >= len(b.t)
 """)
 def page_token_score(spark: SparkSession, d: str) -> DataFrame:
-    """The share of a key's tokens that a record of its block has, from a half on."""
+    """The share of a key's tokens that a record of its block has, from a tenth on."""
     item = table(spark, d, "benchmark").select("item_id", (F.col("item_id") % 17).alias("v"), X.match_tokens("text").alias("t"))
     docs = table(spark, d, "documents").select("doc_id", (F.col("doc_id") % 17).alias("v"), X.match_tokens(F.substring("text", 1, 400)).alias("u"))
     score = F.size(F.array_intersect("t", "u")) / F.size("t")
-    return item.where(F.size("t") >= 2).join(docs, "v").select("item_id", "doc_id", score.alias("score")).where("score >= 0.5")
+    return item.where(F.size("t") >= 2).join(docs, "v").where(10 * F.size(F.array_intersect("t", "u")) >= F.size("t")).select("item_id", "doc_id", score.alias("score"))
 
 
 @query()
