@@ -51,6 +51,9 @@ def standard_rules(text: str = "text") -> list[Rule]:
     ]
 
 
+#: Runs of three words. Words are bound to a name: they must not be split anew for each window.
+WINDOWS = "transform(array(words), ws -> transform(slice(ws, 1, greatest(size(ws) - 2, 0)), (w, i) -> concat_ws(' ', w, ws[i + 1], ws[i + 2])))[0]"
+
 #: Words of 3-word windows found twice or more. Sorted windows stand next to their equals; the
 #: one-element arrays bind a value to a name, so that nothing is computed for other texts.
 REPEATED = """
@@ -69,7 +72,7 @@ def measures(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     spaces = " \t\n\x0b\x0c\r"
     rows = docs.withColumn("text", F.coalesce(F.col(text_col), F.lit("")))
     rows = rows.withColumn("words", F.array_remove(F.split("text", WORD_SPACE), ""))
-    rows = rows.withColumn("windows", F.expr("transform(slice(words, 1, greatest(size(words) - 2, 0)), (w, i) -> concat_ws(' ', w, words[i + 1], words[i + 2]))"))
+    rows = rows.withColumn("windows", F.expr(WINDOWS))
     lines = F.expr(r"filter(split(text, '\n'), x -> x RLIKE '[^\\x20\\x09-\\x0D]')")
     return rows.select(
         *[c for c in docs.columns if c not in ("text", "words", "windows", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
