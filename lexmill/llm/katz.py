@@ -427,12 +427,12 @@ def score(docs: DataFrame, held: Column, *, id_col: str = "doc_id", text_col: st
         return spark.createDataFrame([], f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     word_parts, pair_parts = -(-n_words // words_each), -(-tokens // pairs_each)
     asked = ask_words(manifest.repartition(n_blocks), folder, word_parts)
-    word_answers = stored(asked.repartition(word_parts, "part").groupBy("part").applyInArrow(answer_words, ANSWER), "word-answers")
+    word_answers = stored(asked.repartitionById(word_parts, F.col("part")).groupBy("part").applyInArrow(answer_words, ANSWER), "word-answers")
     release_shuffles(spark)
     words = Words(totals_of(word_answers))
     first = first_numbers(word_answers, word_parts)
     asked = ask_pairs(word_answers, folder, first, learnt_docs, pair_parts, spread, n_blocks)
-    pair_answers = stored(asked.repartition(pair_parts, "part").groupBy("part").applyInArrow(answer_pairs(words), ANSWER), "pair-answers")
+    pair_answers = stored(asked.repartitionById(pair_parts, F.col("part")).groupBy("part").applyInArrow(answer_pairs(words), ANSWER), "pair-answers")
     release_shuffles(spark)
     pairs = Discounts(totals_of(pair_answers))
     return score_blocks(word_answers, pair_answers, folder, first, words, pairs, learnt_docs, pair_parts, spread, n_blocks, kind)
