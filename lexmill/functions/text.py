@@ -104,31 +104,39 @@ def is_dirty(text: Column | str) -> Column:
     return text.contains(BOX_GLYPH) | F.lower(text).rlike(r"(?U)\b(" + "|".join(DIRTY_TOKENS) + r")\b")
 
 
+def before_each(lengths: Column, chunk: int = 256) -> Column:
+    """For each element of an array the sum of those before it; sums of chunks come first, so that
+    long arrays don't take quadratic time."""
+
+    def total(xs: Column) -> Column:
+        return F.aggregate(xs, F.lit(0).cast("long"), lambda a, b: a + b)
+
+    def over(parts: Column) -> Column:
+        inside = lambda p, first: F.transform(p, lambda x, i: first + total(F.slice(p, F.lit(1), i)))
+        return bound(F.transform(parts, total), lambda sums: F.flatten(F.transform(parts, lambda p, c: bound(total(F.slice(sums, F.lit(1), c)), lambda first: inside(p, first)))))
+
+    last = F.floor((F.size(lengths) - 1) / chunk).cast("int")
+    parts = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda c: F.slice(lengths, c * chunk + 1, F.lit(chunk)))
+    return F.when(F.size(lengths) > 0, bound(parts, over)).otherwise(F.array().cast("array<bigint>"))
+
+
 def suspects(text: Column | str, tokens: tuple[str, ...] = SUSPECT_TOKENS) -> Column:
     """Suspect spots in order: array of ``offset`` (code points from 0) and ``token``.
 
-    Runs of letters, box glyphs and what lies between them tile the text, so running sums of their
-    lengths are offsets; the fold emits hits and carries the offset along.
+    A spot is a whole run of ASCII letters that is a token in any case, or a box glyph. Spots and
+    the gaps between them tile the text, so running sums of their lengths are offsets.
     """
-    tiles = F.regexp_extract_all(F.coalesce(column(text), F.lit("")), F.lit(f"([A-Za-z]+|{BOX_GLYPH}|[^A-Za-z{BOX_GLYPH}]+)"), F.lit(1))
-    kept = lambda t: F.lower(t).isin(*tokens) | (t == BOX_GLYPH)
-    gaps = lambda t: F.transform(t, lambda x: F.when(kept(x), F.lit(-1)).otherwise(F.length(x)))
-    return bound(tiles, lambda t: bound(F.filter(t, kept), lambda hits: tiled_offsets(hits, gaps(t))))
-
+    pattern = f"(?i)(?<![A-Za-z])(?:{'|'.join(tokens)})(?![A-Za-z])|{BOX_GLYPH}"
 
-def tiled_offsets(hits: Column, gaps: Column) -> Column:
-    """Offsets of hits among gaps; ``gaps`` has each tile's length, and -1 in place of a hit."""
-    kind = "struct<hits:array<struct<offset:bigint,token:string>>,at:bigint,n:int>"
-    start = F.struct(F.array().cast("array<struct<offset:bigint,token:string>>").alias("hits"), F.lit(0).cast("long").alias("at"), F.lit(0).alias("n")).cast(kind)
+    def spots(hits: Column, gaps: Column) -> Column:
+        steps = F.transform(hits, lambda h, i: (F.length(h) + F.length(F.get(gaps, i))).cast("long"))
+        return bound(before_each(steps), lambda at: F.transform(hits, lambda h, i: F.struct((F.get(at, i) + F.length(F.get(gaps, i))).alias("offset"), h.alias("token"))))
 
-    def step(a: Column, g: Column) -> Column:
-        token = F.get(hits, a["n"])
-        hit = F.struct(a["at"].alias("offset"), token.alias("token"))
-        return F.when(
-            g < 0, F.struct(F.array_append(a["hits"], hit).alias("hits"), (a["at"] + F.length(token)).alias("at"), (a["n"] + 1).alias("n"))
-        ).otherwise(F.struct(a["hits"].alias("hits"), (a["at"] + g).alias("at"), a["n"].alias("n")))
+    def found(t: Column) -> Column:
+        return bound(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), lambda hits: bound(F.split(t, pattern), lambda gaps: spots(hits, gaps)))
 
-    return F.when(F.size(hits) > 0, F.aggregate(gaps, start, step, lambda a: a["hits"])).otherwise(F.array().cast("array<struct<offset:bigint,token:string>>"))
+    none = F.array().cast("array<struct<offset:bigint,token:string>>")
+    return bound(F.coalesce(column(text), F.lit("")), lambda t: F.when(t.rlike(pattern), found(t)).otherwise(none))
 
 
 def suspects_json(found: Column | str) -> Column:

@@ -16,13 +16,20 @@ FIRST_VOLUME, LAST_VOLUME = 2, 18
 DETAIL = "volume int, kind string, cluster_id long, page string, name string"
 
 
-def ratio(a: str, b: str) -> float:
-    return difflib.SequenceMatcher(None, a, b).ratio() if a and b else 0.0
+def ratio(a: str, b: str, floor: float) -> float:
+    """The ratio of two strings if it reaches ``floor``, else 0: two cheap bounds spare most of them."""
+    if not a or not b or 2 * min(len(a), len(b)) < floor * (len(a) + len(b)):
+        return 0.0
+    matcher = difflib.SequenceMatcher(None, a, b)
+    if matcher.quick_ratio() < floor:
+        return 0.0
+    found = matcher.ratio()
+    return found if found >= floor else 0.0
 
 
 def page_score(key: dict, kept: dict) -> float:
     """Ratio, or the share of the key's tokens that the record has, if the key has two or more."""
-    found, wanted = ratio(key["match"], kept["match"]), set(key["tokens"])
+    found, wanted = ratio(key["match"], kept["match"], PAGE_NAME), set(key["tokens"])
     return found if len(wanted) < 2 else max(found, len(wanted & set(kept["tokens"])) / len(wanted))
 
 
@@ -47,7 +54,7 @@ def match_volume(rows: pd.DataFrame) -> pd.DataFrame:
     for i, k in enumerate(keys):
         if i in done:
             continue
-        open_ = [(ratio(k["match"], c["match"]), -j) for j, c in enumerate(kept) if j not in taken]
+        open_ = [(ratio(k["match"], c["match"], VOLUME_NAME), -j) for j, c in enumerate(kept) if j not in taken]
         score, j = max(open_, default=(0.0, 0))
         if score >= VOLUME_NAME:
             taken[-j] = i
@@ -61,8 +68,8 @@ def match_volume(rows: pd.DataFrame) -> pd.DataFrame:
         if j in taken:
             kind = "matched"
         else:
-            near = max((ratio(c["match"], n) for n in named), default=0.0)
-            kind = "residual_duplicate" if near >= COPY_NAME or c["page"] in pages else "anomaly"
+            copy = c["page"] in pages or any(ratio(c["match"], n, COPY_NAME) for n in named)
+            kind = "residual_duplicate" if copy else "anomaly"
         out.append((c["volume"], kind, c["cluster_id"], c["page"], c["name"]))
     frame = pd.DataFrame(out, columns=["volume", "kind", "cluster_id", "page", "name"])
     return frame.astype({"cluster_id": "Int64"})

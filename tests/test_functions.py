@@ -1,5 +1,7 @@
 """Scalars: captions, shingles, citations, spots, markup."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -148,3 +150,17 @@ def test_search_folds(spark):
     find = lambda q: sorted(r.i for r in search.match(index, q, "i").collect())
     assert find("necessary proper") == [1] and find("Proper") == [1, 2] and find("naive") == [1] and find("none OR proper") == [1, 2] and find("necessary none") == []
     assert df.select(F.count("i")).first()[0] == 3
+
+
+def test_many_spots_in_one_text(spark):
+    rows = ["tbe x " * 3000, "bad" * 9, "■" * 700, "𝒳Bad é_bim9 ber"]
+    got = values(spark, text.suspects("x"), *rows)
+    for row, found in zip(rows, got):
+        want = [(m.start(), m[0]) for m in re.finditer("[A-Za-z]+|■", row) if m[0].lower() in text.SUSPECT_TOKENS or m[0] == "■"]
+        assert [(h.offset, h.token) for h in found] == want
+
+
+@pytest.mark.parametrize("size", [0, 1, 3, 4, 5, 17])
+def test_running_sums(spark, size):
+    df = spark.createDataFrame([(list(range(1, size + 1)),)], "a array<long>")
+    assert df.select(text.before_each(F.col("a"), 4)).first()[0] == [i * (i + 1) // 2 for i in range(size)]
