@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -288,8 +290,10 @@ def report_partition(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT (SELECT count(*) FROM documents) AS documents, (SELECT count(*) FROM labels) AS labels, (SELECT count(*) FROM pages) AS pages, (SELECT count(DISTINCT conv_id) FROM conversations) AS conversations")
 def report_totals(spark: SparkSession, d: str) -> DataFrame:
-    one = lambda name, agg=None: table(spark, d, name).agg((F.count(F.lit(1)) if agg is None else agg).alias(name))
-    return one("documents").crossJoin(one("labels")).crossJoin(one("pages")).crossJoin(one("conversations", F.count_distinct("conv_id")))
+    names = ("documents", "labels", "pages", "conversations")
+    one = lambda name: table(spark, d, name).agg((F.count_distinct("conv_id") if name == "conversations" else F.count(F.lit(1))).alias("n")).select(F.lit(name).alias("name"), "n")
+    counts = reduce(DataFrame.unionByName, map(one, names))
+    return counts.agg(*[F.max(F.when(F.col("name") == n, F.col("n"))).alias(n) for n in names])
 
 
 @query("""
