@@ -39,7 +39,7 @@ SIMILARITY = 0.8
 RADIUS = 20
 #: Bytes of item texts in one pass over the documents.
 BLOCK_BYTES = 8_000_000
-SLICE_BYTES = 1_000_000
+SLICE_BYTES = 400_000
 #: Shingles of which window fingerprints are held at once.
 RANGE_SHINGLES = 50_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -80,7 +80,7 @@ def word_hashes(buffer: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     has = b > a
     first, end = core[a[has]], core[b[has] - 1] + 1
     # differences of polynomial prefix sums, moved to a common power, are hashes of the words
-    up, down = powers(1 << max(20, int(len(buffer)).bit_length()))
+    up, down = powers(1 << max(19, int(len(buffer)).bit_length()))
     prefix = np.zeros(len(buffer) + 1, np.uint64)
     np.cumsum((LOWER[buffer].astype(np.uint64) + np.uint64(1)) * up[: len(buffer)], out=prefix[1:])
     return mixed((prefix[end] - prefix[first]) * down[first]), first

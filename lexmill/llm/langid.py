@@ -36,7 +36,7 @@ SWITCH_PENALTY = 12.0
 #: A language is a candidate for a script from this share of its letters on.
 SCRIPT_SHARE = 0.01
 BLOCK_WORDS = 512
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 1_000_000
 IMPOSSIBLE = -1e9
 
 #: First code points of ranges and the script that starts there.
@@ -59,9 +59,9 @@ SCRIPT_NAMES = sorted({name for _, name in SCRIPTS})
 @functools.lru_cache(maxsize=1)
 def characters() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """By code point: the lower-case one, whether it belongs to words (1) and is a letter (2), its script."""
-    every = [chr(i) for i in range(0x110000)]
-    lower = np.fromiter((ord(x) if len(x := c.lower()) == 1 else ord(c) for c in every), np.uint32, len(every))
-    kind = np.fromiter(({"L": 3, "M": 1}.get(unicodedata.category(c)[0], 0) for c in every), np.uint8, len(every))
+    every = range(0x110000)
+    lower = np.fromiter((ord(x) if len(x := chr(i).lower()) == 1 else i for i in every), np.uint32, len(every))
+    kind = np.fromiter(({"L": 3, "M": 1}.get(unicodedata.category(chr(i))[0], 0) for i in every), np.uint8, len(every))
     starts = np.array([a for a, _ in SCRIPTS])
     names = np.array([SCRIPT_NAMES.index(n) for _, n in SCRIPTS], np.uint8)
     return lower, kind, names[np.searchsorted(starts, np.arange(len(every)), side="right") - 1]
@@ -123,8 +123,8 @@ def fit(train: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lan
         held = np.zeros((len(langs), BUCKETS + len(SCRIPT_NAMES)), np.int64)
         place = {k: i for i, k in enumerate(langs)}
         for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for part in sliced(text):
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                for part in sliced(text.as_py()):
                     words = words_of(part)
                     held[place[lang], :BUCKETS] += np.bincount(words.buckets, minlength=BUCKETS)
                     held[place[lang], BUCKETS:] += np.bincount(words.script, weights=words.end - words.start, minlength=len(SCRIPT_NAMES)).astype(np.int64)
@@ -252,8 +252,8 @@ def identify(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
         for batch in batches:
             out: list[tuple] = []
             held, size = [], 0
-            for text in batch.column(1).to_pylist():
-                held.append(text or "")
+            for text in batch.column(1):
+                held.append(text.as_py() or "")
                 size += len(held[-1])
                 if size > SLICE_CHARS:
                     out += label_texts(held, model)
@@ -280,8 +280,8 @@ def with_language(docs: DataFrame, model: Model, least_score: float, *, text_col
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found, held, size = [], [], 0
-            for text in batch.column(at).to_pylist():
-                held.append(text or "")
+            for text in batch.column(at):
+                held.append(text.as_py() or "")
                 size += len(held[-1])
                 if size > SLICE_CHARS:
                     found += label_texts(held, model)

@@ -31,8 +31,8 @@ END_ID = 0
 SHARD_PIECES = 20_000
 TOKENIZER = "word_bpe_49k.json"
 #: Words that a worker keeps with their ids, and their bytes; beyond either it starts anew.
-CACHE_WORDS, CACHE_BYTES = 800_000, 30_000_000
-SLICE_BYTES = 2_000_000
+CACHE_WORDS, CACHE_BYTES = 600_000, 20_000_000
+SLICE_BYTES = 1_000_000
 #: A full stop or comma that ends a word of ASCII letters is a token of its own in this vocabulary.
 STOP = re.compile(rb"(?<=[a-z])([.,])(?![^\x20\x09-\x0D])")
 #: Words of Latin letters, U+00C0 to U+00FF included, which the vocabulary doesn't cut further.
@@ -161,7 +161,7 @@ def token_pieces(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = worker_tokens(tokenizer)
         for batch in batches:
-            texts = (x or b"" for x in batch.column(1).cast(pa.binary()).to_pylist())
+            texts = (x.as_py() or b"" for x in batch.column(1).cast(pa.binary()))
             out: dict[str, list] = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "ids")}
             for key, ids in zip(batch.column(0).to_pylist(), encoded(texts, words), strict=True):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
