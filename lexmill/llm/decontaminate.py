@@ -1,11 +1,10 @@
-"""Benchmark decontamination: SimHash of item-sized windows, multi-index search, exact check.
+"""Benchmark decontamination: shingle index, SimHash of item-sized windows, exact check.
 
 Each document is scanned once, as arrays over its bytes. A window can only be similar to an item
 if it shares a shingle with it, so windows are formed around such places alone; nothing that could
 match is lost. Each of those windows has the size of the item and a SimHash fingerprint, kept up
-by running bit counts. Fingerprints of items lie in ``radius + 1`` tables keyed by a block of
-bits each: two fingerprints within ``radius`` bits agree on a block, so all within the radius are
-found. Candidates are then checked by the exact weighted similarity of their word shingles: each
+by running bit counts. There are no tables by blocks of bits: the shingle index names the items, and
+a window's fingerprint is compared with that of each; the radius rejects few similar ones. Candidates are then checked by the exact weighted similarity of their word shingles: each
 weighs as often as it occurs, and the sum of the smaller weights is taken over that of the larger.
 
 Items are the stated query set: they are read in blocks of bounded size, each block is one pass
