@@ -5,6 +5,9 @@ lengths travel. Pieces are dealt evenly over shards of bounded size and each sha
 itself, so no key can make a shard large and a corpus of any size loses less than one sequence
 a shard.
 
+The local search looks at every bin, every piece and every pair of pieces; pieces of one length are
+alike, so a bin of ``capacity`` tokens offers at most ``capacity`` different exchanges.
+
 Defined results: a null or empty text is one piece that holds the end id alone; repeated rows are
 packed once each; an empty table packs to an empty table; extra columns are ignored.
 """
@@ -12,6 +15,7 @@ packed once each; an empty table packs to an empty table; extra columns are igno
 from __future__ import annotations
 
 import functools
+import json
 import math
 import os
 import re
@@ -65,19 +69,47 @@ class WordTokens:
     """Token ids of whole texts through a cache of white-space separated words.
 
     The vocabulary never joins text across white space, so ids of a text are those of its words
-    in order; it lower-cases, so ASCII letters are folded first. Ids lie in one growing pool; a word maps to its place there.
+    in order; it lower-cases, so ASCII letters are folded first, but in words that spell an added
+    token in some case: those are matched before folding. A file that doesn't behave so is refused.
+    Ids lie in one growing pool; a word maps to its place there.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.tokenizer = Tokenizer.from_file(tokenizer_path(path))
+        place = tokenizer_path(path)
+        self.tokenizer = Tokenizer.from_file(place)
+        with open(place, encoding="utf-8") as f:
+            facts = json.load(f)
+        self.check(facts)
+        self.marks = [t["content"].lower().encode() for t in facts.get("added_tokens") or []]
         self.ends_word = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.ends_word[i] = token.endswith("</w>")
         self.reset()
 
+    def check(self, facts: dict) -> None:
+        """Raises if words can't be encoded one by one, folded, with final stops apart."""
+        ids = lambda x: self.tokenizer.encode(x, add_special_tokens=False).ids
+        added = facts.get("added_tokens") or []
+        whole = all(not any(t[k] for k in ("normalized", "lstrip", "rstrip", "single_word")) and len(t["content"].split()) == 1 for t in added)
+        folds = ids("Ab CD") == ids("ab cd") == ids("ab") + ids("cd")
+        stops = all(ids(f"ab{x}") == ids("ab") + ids(x) for x in ".,")
+        if not (whole and folds and stops and facts["model"].get("end_of_word_suffix") == "</w>"):
+            raise ValueError("the tokenizer doesn't encode folded words one by one")
+
+    def split(self, text: bytes) -> list[bytes]:
+        """Words to encode, in order."""
+        low = text.lower()
+        if not any(m in low for m in self.marks):
+            return STOP.sub(rb" \1", low).split()
+        out = []
+        for word in text.split():
+            folded = word.lower()
+            out += [word] if any(m in folded for m in self.marks) else STOP.sub(rb" \1", folded).split()
+        return out
+
     def reset(self) -> None:
         self.place = Places()
         self.starts, self.lengths = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
@@ -115,7 +147,7 @@ class WordTokens:
 
     def encode(self, slices: list[bytes]) -> list[np.ndarray]:
         """Ids of each slice of text."""
-        split = [STOP.sub(rb" \1", x.lower()).split() for x in slices]
+        split = [self.split(x) for x in slices]
         counts = np.fromiter(map(len, split), np.int64, len(split))
         words = [w for x in split for w in x]
         if len(self.place) > CACHE_WORDS or self.bytes > CACHE_BYTES:
@@ -206,79 +238,85 @@ def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
     return bins
 
 
-def local_search(lengths: np.ndarray, bins: list[list[int]], capacity: int, targets: int = 200) -> list[list[int]]:
+def exchange_sizes(lengths: list[int]) -> tuple[dict[int, tuple[int, ...]], dict[int, tuple[int, ...]]]:
+    """For each size that a piece has, and that a piece or two have together, places of such pieces."""
+    by_length: dict[int, list[int]] = {}
+    for place, size in enumerate(lengths):
+        by_length.setdefault(size, []).append(place)
+    one = {size: (places[0],) for size, places in by_length.items()}
+    two, sizes = dict(one), sorted(by_length)
+    for i, a in enumerate(sizes):
+        for b in sizes[i:]:
+            if a != b or len(by_length[a]) > 1:
+                two.setdefault(a + b, (by_length[a][0], by_length[b][a == b]))
+    return one, two
+
+
+def at_most(sizes: dict[int, tuple[int, ...]], limit: int) -> np.ndarray:
+    """For each number up to ``limit``, the largest of ``sizes`` that isn't above it, else 0."""
+    table = np.zeros(limit + 1, np.int64)
+    known = [s for s in sizes if s <= limit]
+    table[known] = known
+    return np.maximum.accumulate(table)
+
+
+def local_search(lengths: np.ndarray, bins: list[list[int]], capacity: int) -> list[list[int]]:
     """Empties bins by moves and by one-for-one and two-for-one exchanges with other bins.
 
-    Each step takes, for the emptiest bin, the change that raises the sum of squared fills most;
-    that sum is an integer with a ceiling, so the search ends. It stops as soon as the number of
-    bins meets the bound ``ceil(total / capacity)``, or after ``targets`` bins in a row resist.
+    In each round every bin is visited, the emptiest first. Each step makes, of all changes that move tokens out of the
+    visited bin, the one that raises the sum of squared fills most: as that gain rises with the
+    tokens moved, the largest group that fits is the best one for each partner. The sum is an
+    integer with a ceiling, so the search ends: when no bin has a change left that raises it, or
+    when the number of bins meets the bound ``ceil(total / capacity)``.
     """
     lengths = lengths.astype(np.int64)
     bound = math.ceil(int(lengths.sum()) / capacity) if len(lengths) else 0
+    members = [list(b) for b in bins]
     where = np.zeros(len(lengths), np.int64)
-    for b, members in enumerate(bins):
-        where[members] = b
+    for b, own in enumerate(members):
+        where[own] = b
     fill = np.bincount(where, lengths, len(bins)).astype(np.int64) if len(bins) else np.zeros(0, np.int64)
-    live, stuck = np.ones(len(bins), bool), np.zeros(len(bins), bool)
-    left, resisted = len(bins), 0
-    while left > bound and resisted < targets:
-        able = live & ~stuck
-        if able.sum() < 1:
-            break
-        low = int(np.where(able, fill, capacity + 1).argmin())
-        others = live & (fill < capacity)
-        others[low] = False
-        open_docs = np.flatnonzero(others[where])
-        if not others.any():
-            break
-        moved_any = False
-        while True:
-            mine = np.flatnonzero(where == low)
-            if not len(mine):
-                break
-            best = (0, None, None, None)
-            groups = [(m,) for m in mine.tolist()] + [(a, b) for x, a in enumerate(mine.tolist()[:40]) for b in mine.tolist()[x + 1 : 40]]
-            for group in groups[:400]:
-                size = int(lengths[list(group)].sum())
-                if len(group) == 1:
-                    spots = np.flatnonzero(others & (capacity - fill >= size))
-                    if len(spots):
-                        b = spots[fill[spots].argmax()]
-                        gain = 2 * size * int(fill[b] - fill[low] + size)
-                        if gain > best[0]:
-                            best = (gain, group, None, int(b))
-                if len(open_docs):
-                    d = size - lengths[open_docs]
-                    at = where[open_docs]
-                    good = (d > 0) & (d <= capacity - fill[at])
-                    gain = np.where(good, 2 * d * (fill[at] - fill[low] + d), 0)
-                    k = int(gain.argmax())
-                    if gain[k] > best[0]:
-                        best = (int(gain[k]), group, int(open_docs[k]), int(at[k]))
-            gain, group, back, b = best
-            if not gain:
-                break
-            moved_any = True
-            for i in group:
-                where[i] = b
-                fill[b] += lengths[i]
-                fill[low] -= lengths[i]
-            if back is not None:
-                where[back] = low
-                fill[b] -= lengths[back]
-                fill[low] += lengths[back]
-            others[b] = fill[b] < capacity
-            open_docs = np.flatnonzero(others[where])
-        if fill[low] == 0:
-            live[low], left, resisted = False, left - 1, 0
-            stuck &= not moved_any
-        else:
-            stuck[low] = True
-            resisted += 1
-    packed: dict[int, list[int]] = {}
-    for i in np.lexsort((np.arange(len(lengths)), -lengths)).tolist():
-        packed.setdefault(int(where[i]), []).append(i)
-    return list(packed.values())
+    left, changed = len(bins), True
+    while changed and left > bound:
+        changed = False
+        waiting = fill > 0
+        while left > bound and waiting.any():
+            low = int(np.where(waiting, fill, capacity + 1).argmin())
+            waiting[low] = False
+            while members[low] and fill[low] < capacity and left > bound:
+                one, two = exchange_sizes([int(lengths[i]) for i in members[low]])
+                own = int(fill[low])
+                space = capacity - fill
+                space[low] = 0
+                open_bins = np.flatnonzero((space > 0) & (fill > 0))
+                if not len(open_bins):
+                    break
+                moved = at_most(one, capacity)[space[open_bins]]
+                move_gain = 2 * moved * (fill[open_bins] - own + moved)
+                docs = np.flatnonzero(space[where] > 0)
+                at, size = where[docs], lengths[docs]
+                taken = at_most(two, 2 * capacity)[size + space[at]]
+                d = taken - size
+                swap_gain = np.where(d > 0, 2 * d * (fill[at] - own + d), 0)
+                m, x = int(move_gain.argmax()), int(swap_gain.argmax()) if len(docs) else -1
+                if max(int(move_gain[m]), int(swap_gain[x]) if x >= 0 else 0) <= 0:
+                    break
+                if x < 0 or move_gain[m] >= swap_gain[x]:
+                    group, target, back = one[int(moved[m])], int(open_bins[m]), None
+                else:
+                    group, target, back = two[int(taken[x])], int(at[x]), int(docs[x])
+                for i in [members[low][k] for k in group]:
+                    members[low].remove(i)
+                    members[target].append(i)
+                    where[i] = target
+                if back is not None:
+                    members[target].remove(back)
+                    members[low].append(back)
+                    where[back] = low
+                fill[target], fill[low] = lengths[members[target]].sum(), lengths[members[low]].sum() if members[low] else 0
+                changed = True
+            left -= not members[low]
+    return [sorted(own, key=lambda i: (-lengths[i], i)) for own in members if own]
 
 
 def pack(pieces: DataFrame, *, capacity: int = CAPACITY, shard_pieces: int = SHARD_PIECES) -> DataFrame:

@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 from lexmill.llm import packing as p
 from lexmill.llm.queries import op10_best_fit_packing
 
-TEXTS = [None, "", " ", "A b.", "The,. cat's 'S sat. é. É, ß… ÀÖ×÷øÿ naïve.", "a\x0bb\x1cc\x85d\xa0e", "<|endoftext|>x <|startoftext|> y", "é ́x İ ΣΣ Σ", "word " * 5000, "𝒳𝒴 数 123 4.5", "x" * 3000]
+TEXTS = [None, "", " ", "A b.", "The,. cat's 'S sat. é. É, ß… ÀÖ×÷øÿ naïve.", "a\x0bb\x1cc\x85d\xa0e", "<|endoftext|>x <|startoftext|> y", "<|ENDOFTEXT|> a", "<|StartOfText|>", "A.<|EndOfText|>, b.<|endoftext|>. C<|ENDOFTEXT|><|endoftext|>d", "<|end oftext|> <|endoftext |>", "é ́x İ ΣΣ Σ", "word " * 5000, "𝒳𝒴 数 123 4.5", "x" * 3000]
 
 
 @pytest.fixture(scope="module")
@@ -28,6 +28,11 @@ def test_ids_are_the_tokenizers(tokenizer, monkeypatch):
             assert got == [x.ids for x in tokenizer.encode_batch([t or "" for t in TEXTS], add_special_tokens=False)]
 
 
+def test_other_tokenizers_are_refused():
+    with pytest.raises(ValueError, match="one by one"):
+        p.WordTokens("byte_bpe_50k.json")
+
+
 def check(rows, texts, tokenizer):
     by = defaultdict(list)
     for r in rows:
@@ -47,7 +52,7 @@ def check(rows, texts, tokenizer):
 
 
 def test_odd_texts(spark, tokenizer):
-    texts = [*enumerate(TEXTS), (8, TEXTS[8])]
+    texts = [*enumerate(TEXTS), (4, TEXTS[4])]
     df = spark.createDataFrame([(*r, "c") for r in texts], "doc_id long, text string, piece string")
     check(p.pack_documents(df).collect(), texts, tokenizer)
     assert p.pack_documents(df.limit(0)).collect() == []
@@ -69,3 +74,34 @@ def test_local_search_empties_bins(seed):
     assert sorted(i for b in after for i in b) == list(range(2000))
     assert max(lengths[b].sum() for b in after) <= 2048
     assert len(after) <= len(before) and (seed == 3 or len(after) < len(before) or len(before) == -(-lengths.sum() // 2048))
+
+
+@pytest.mark.parametrize(("low", "high", "most"), [(500, 900, 1454), (300, 1100, 1391)])
+def test_search_has_no_caps(low, high, most):
+    lengths = np.random.default_rng(0).integers(low, high, 4000)
+    assert len(p.local_search(lengths, p.best_fit(lengths, 2048), 2048)) <= most
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_search_ends_where_no_change_helps(seed):
+    rng = np.random.default_rng(seed)
+    lengths = rng.integers(1, [12, 30, 60][seed % 3], 40)
+    bins = p.local_search(lengths, p.best_fit(lengths, 64), 64)
+    if len(bins) == -(-lengths.sum() // 64):
+        return
+    fill = [int(lengths[b].sum()) for b in bins]
+    for x, own in enumerate(bins):
+        groups = [(i,) for i in own] + [(i, j) for i in own for j in own if i < j]
+        for y, other in enumerate(bins):
+            for back in [None, *other]:
+                for g in groups if x != y else []:
+                    d = int(lengths[list(g)].sum()) - (0 if back is None else int(lengths[back]))
+                    if d > 0 and fill[y] + d <= 64 and fill[x] < 64 and (back is not None or len(g) == 1):
+                        assert (fill[y] + d) ** 2 + (fill[x] - d) ** 2 <= fill[y] ** 2 + fill[x] ** 2
+
+
+def test_ties_and_equal_lengths():
+    lengths = np.full(1000, 700)
+    assert len(p.local_search(lengths, p.best_fit(lengths, 2048), 2048)) == 500
+    lengths = np.ones(5000, np.int64)
+    assert len(p.local_search(lengths, p.best_fit(lengths, 2048), 2048)) == 3
