@@ -68,7 +68,7 @@ def validate(spark: SparkSession, staging: str, key: str, report: str) -> str:
     summary, detail = reconcile.reconcile(records.read_answer_key(spark, key), resolved)
     summary, detail = records.write_stage(summary, staging, "stg_validate_volume"), records.write_stage(detail, staging, "stg_validate_detail")
     records.write_csv(summary.orderBy("volume"), report, ("volume", "n_keep", "n_reference", "n_matched", "n_missing", "n_extra"))
-    return reconcile.format_report(summary, detail)
+    return "\n".join(reconcile.format_report(summary, detail))
 
 
 def reselect(spark: SparkSession, staging: str) -> dict[str, int]:
@@ -121,7 +121,7 @@ def mirror_gaps(spark: SparkSession, raw: str) -> tuple[DataFrame, DataFrame]:
 
 STAGES = {
     "extract": lambda s, a: extract(a.raw, a.url, a.children, a.after, a.before),
-    "package-mirror": lambda s, a: archive.pack(Path(a.raw), Path(a.target)),
+    "package-mirror": lambda s, a: archive.package(Path(a.raw), Path(a.target), Path(a.ledger)),
     "fetch-mirror": lambda s, a: archive.fetch(a.url, Path(a.raw), Path(a.ledger), Path(a.target)),
     "materialize": lambda s, a: materialize(s, a.raw, a.staging),
     "scope": lambda s, a: scope(s, a.staging, a.ledger),

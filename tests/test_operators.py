@@ -138,8 +138,9 @@ def test_reconciliation(spark):
     )
     assert sorted(tuple(r) for r in summary.collect()) == [(2, 5, 3, 3, 0, 2), (3, 0, 1, 0, 1, 0), (4, 0, 0, 0, 0, 0)]
     assert {(r.kind, r.cluster_id) for r in detail.collect()} == {("residual_duplicate", 4), ("anomaly", 5), ("missing", None)}
-    report = reconcile.format_report(summary, detail)
-    assert "0miss/2extra" in report and "vol3 MISSING p1 'Lost v. Found'" in report and "(+1)" in report
+    report = list(reconcile.format_report(summary, detail))
+    assert [x.strip() for x in report[2].split("|")[1:-1]] == ["2", "5", "3", "3", "0", "2", "no"] and [x.strip() for x in report[5].split("|")[1:-1]] == ["all", "5", "4", "3", "1", "2", "no"]
+    assert report[6:] == ["volume 2: residual duplicate on page 80 id 4 “Marbury vs Madison”", "volume 2: anomaly on page 99 id 5 “Nobody Else”", "volume 3: missing on page 1 “Lost v. Found”"]
 
 
 STATUS = [((0, None, None), "not_scotus"), ((1, "duplicate", 99), "duplicate"), ((1, "canonical", 2), "included"), ((1, "canonical", 18), "included"), ((1, "canonical", 19), "outside_volume"),
@@ -180,7 +181,7 @@ def test_publish(spark, tmp_path):
     assert [tuple(r) for r in spark.table("ocr_suspects").orderBy("ordinal").collect()] == [(10, 1, 0, "tbe"), (10, 2, 10, "■")]
     assert spark.table("duplicate_clusters").first().canonical_case_name == "A"
     assert [tuple(r) for r in reports.report(spark, "search").collect()] == [("A", "5 U.S. 1")]
-    for name in reports.REPORTS:
+    for name in reports.SECTIONS:
         assert reports.report(spark, name).count() >= 1
     assert {r.key: r.value for r in spark.table("meta").collect()}["staging_git_commit"] == "abc"
     rules = publish.integrity(*[spark.table(t) for t in ("clusters", "opinions", "citations", "page_breaks", "ocr_suspects")])

@@ -44,6 +44,7 @@ def test_retries():
     client = server.client()
     assert client.get("http://h/x", paced=True) == {"ok": 1}
     assert server.slept == [4, 10, 15] and client.pace == 1.5
+    assert client.log == {"attempts": 4, "retry_after": 1, "server_errors": 1, "network_errors": 1}
     with pytest.raises(urllib.error.HTTPError):
         Server(x=[(404, {})]).client().get("http://h/x")
     with pytest.raises(RuntimeError, match="no answer"):
@@ -59,6 +60,7 @@ def test_mirror_and_resume(tmp_path):
     args = ("http://h/parents", "http://h/children", "1801-05-01", "1801-09-30", tmp_path)
     manifest = rest.extract(server.client(), *args)
     assert (manifest["n_clusters"], manifest["n_opinions"], manifest["opinions_fetched_this_run"]) == (2, 1, 1)
+    assert (manifest["wider_than_run"], manifest["requests"]["attempts"], manifest["requests"]["retry_after"]) == (0, 5, 0)
     assert manifest["clusters_by_year"] == [{"year": 1801, "api_count": 2, "stored": 2, "pages": 2}]
     again = Server(children=[{"results": []}])
     assert [x["cluster_id"] for x in rest.mirror_children(again.client(), "http://h/children", tmp_path / "clusters", tmp_path / "opinions")] == [2]
@@ -66,22 +68,23 @@ def test_mirror_and_resume(tmp_path):
 
 @pytest.mark.parametrize(
     ("body", "match"),
-    [({"results": [parent(1), parent(1)]}, "twice"), ({"count": 3, "results": [parent(1)]}, "stored 1 of 3"), ({"results": [{"id": 1}]}, "missing required"), ({"results": [{**parent(1), "citations": {}}]}, "expected array")],
+    [({"results": [parent(1), parent(1)]}, "twice"), ({"count": 3, "results": [parent(1)]}, "1 records stored, 3 declared"), ({"results": [{"id": 1}]}, "is absent"), ({"results": [{**parent(1), "citations": {}}]}, "is no array")],
 )
 def test_bad_listings(tmp_path, body, match):
     with pytest.raises((RuntimeError, ValueError), match=match):
-        rest.mirror_parents(Server(p=[body]).client(), "http://h/p", "1801-01-01", "1801-12-31", tmp_path)
+        rest.mirror_span(Server(p=[body]).client(), "http://h/p", ("1801-01-01", "1801-12-31"), tmp_path, {})
 
 
 def test_bad_children(tmp_path):
     rest.store(tmp_path, parent(1, 10))
-    for body, match in (({"results": [], "next": "x"}, "pages"), ({"results": []}, "absent")):
+    for body, match in (({"results": [], "next": "x"}, "several pages"), ({"results": []}, "absent")):
         with pytest.raises(RuntimeError, match=match):
             rest.mirror_children(Server(c=[body]).client(), "http://h/c", tmp_path, tmp_path)
 
 
 def test_unique_records_of_a_span():
-    assert list(rest.year_windows("1801-05-01", "1803-02-01")) == [(1801, "1801-05-01", "1801-12-31"), (1802, "1802-01-01", "1802-12-31"), (1803, "1803-01-01", "1803-02-01")]
+    assert rest.spans("1801-05-01", "1803-02-01") == [("1801-05-01", "1801-12-31"), ("1802-01-01", "1802-12-31"), ("1803-01-01", "1803-02-01")]
+    assert rest.spans("1801-05-01", "1801-06-01") == [("1801-05-01", "1801-06-01")] and rest.spans("1801-05-01", "1800-06-01") == []
     server = Server(p=[{"results": [{"id": 1}, {"id": 1}]}, {"results": [{"id": 1}, {"id": 2}]}])
     assert [r["id"] for r in rest.fetch_unique(server.client(), "http://h/p", "1801-01-01", "1802-12-31")] == [1, 2]
 
@@ -98,7 +101,7 @@ def test_archive_is_stable_and_verified(tmp_path):
     raw, ledger, pack = mirror(tmp_path / "raw"), tmp_path / "CHECKSUMS", tmp_path / "mirror.tar.gz"
     first = archive.pack(raw, pack)
     assert archive.pack(raw, tmp_path / "again.tar.gz") == first
-    archive.write_ledger(raw, pack, ledger)
+    assert archive.package(raw, pack, ledger) == first
     data = pack.read_bytes()
     target = tmp_path / "copy"
     target.mkdir()
@@ -108,17 +111,17 @@ def test_archive_is_stable_and_verified(tmp_path):
     (target / "clusters/1.json").write_text("[]")
     (target / "clusters/2.json").write_text("{}")
     (target / "opinions/10.json").unlink()
-    assert archive.verify(target, archive.read_ledger(ledger)) == [("clusters/1.json", "hash mismatch"), ("opinions/10.json", "missing"), ("clusters/2.json", "not in ledger")]
+    assert archive.verify(target, archive.read_ledger(ledger)) == [("clusters/1.json", "hash mismatch"), ("clusters/2.json", "not in ledger"), ("opinions/10.json", "missing")]
     with pytest.raises(RuntimeError, match="hash"):
         archive.fetch("http://h/a", target, ledger, tmp_path / "got/mirror.tar.gz", lambda r, timeout: io.BytesIO(b"x"))
 
 
 def test_unsafe_members():
     names = {"clusters/1.json": True, "/clusters/1.json": False, "clusters/../x": False, "other/1.json": False}
-    assert {n: archive.is_safe(tarfile.TarInfo(n)) for n in names} == names
+    assert {n: archive.admitted(tarfile.TarInfo(n), "/tmp") is not None for n in names} == names
     link = tarfile.TarInfo("clusters/l")
     link.type = tarfile.SYMTYPE
-    assert not archive.is_safe(link)
+    assert archive.admitted(link, "/tmp") is None
 
 
 def test_ledgers_and_csv(spark, tmp_path):
@@ -172,7 +175,7 @@ def test_stages_from_files_to_tables(spark, tmp_path):
     assert stages.scope(spark, s, f"{tmp_path}/none.csv") == {"false": 1, "true": 3}
     assert stages.dedup(spark, s, f"{tmp_path}/pairs.csv") == {"canonical": 2, "duplicate": 1}
     report = stages.validate(spark, s, f"{tmp_path}/key.csv", f"{tmp_path}/report")
-    assert "MISSING p1 'Lost v. Found'" in report and next((tmp_path / "report").glob("*.csv")).read_text().startswith("volume,n_keep")
+    assert "volume 6: missing on page 1 “Lost v. Found”" in report and next((tmp_path / "report").glob("*.csv")).read_text().startswith("volume,n_keep")
     assert stages.reselect(spark, s) == {"source_html": 2}
     assert stages.clean_texts(spark, s) == {"texts": 2, "page_breaks": 1, "with_suspects": 1}
     found = stages.load(spark, s, f"{tmp_path}/out")
