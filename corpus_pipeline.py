@@ -4,7 +4,8 @@ Every stage but the last filters rows and keeps the columns of ``documents``:
 
 * language ID drops documents without letters, or of which no language has half the letters;
 * near-dedup keeps one document of each group of near copies, that of the smallest id: texts whose
-  sets of five-word shingles have a Jaccard similarity of 0.8 (`op3` has the narrower SimHash links);
+  sets of five-word shingles have a Jaccard similarity of 0.8, linked by the SimHash trie of `op3`
+  where they differ least, and by prefix filters where they differ more;
 * benchmark decontamination drops documents that hold a benchmark item;
 * secret scans drop documents in which a pattern or a window's entropy finds a secret;
 * best-fit packing returns the token pieces of what is left, with their sequences.
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from lexmill.llm.decontaminate import without_leaks
 from lexmill.llm.langid import fit, with_language
-from lexmill.llm.near_copies import near_copies
+from lexmill.llm.near_copies import without_near_copies
 from lexmill.llm.packing import pack_documents
 from lexmill.llm.secrets import scan
 from lexmill.llm.shared import stored
@@ -38,14 +39,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, that of the smallest id."""
-    found = stored(near_copies(docs.where(F.col("doc_id").isNotNull())), "near-copies")
-    first = stored(found.groupBy("group_id").agg(F.min("doc_id").alias("doc_id")).groupBy("doc_id").count(), "first-of-group")
-    # both sides grow with the corpus, so the plan is a merge join at every size
-    kept = docs.join(first.hint("merge"), "doc_id", "left_semi").select(*docs.columns)
-    repeated = found.groupBy("doc_id").count().where("count > 1").join(first, "doc_id", "left_semi")
-    if not repeated.isEmpty():  # repeated rows of one id
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+    return without_near_copies(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import gc
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lexmill.storage import shared_dir, shared_path, stored
 
-__all__ = ["WORD_SPACE", "byte_slices", "release_shuffles", "shared_dir", "shared_path", "stored"]
+__all__ = ["WORD_SPACE", "byte_slices", "packed", "release_shuffles", "shared_dir", "shared_path", "stored"]
 
 WORD_SPACE = r"[\x20\x09-\x0D]+"
 
@@ -23,6 +24,11 @@ def release_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """``row``: each row as one struct, so that no name of its columns can clash with another."""
+    return docs.select(F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in docs.columns]).alias("row"))
+
+
 def byte_slices(payload: bytes, limit: int):
     """``payload`` in order, cut at ASCII white space into slices of about ``limit`` bytes."""
     start, size = 0, len(payload)

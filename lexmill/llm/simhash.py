@@ -1,7 +1,8 @@
 """SimHash near-duplicate groups by a binary-trie self-join.
 
 Fingerprints come from one Arrow pass over whole texts. Equal fingerprints fold into one row with
-their smallest id before anything is joined, so a group of exact copies costs one row. The distinct
+their smallest id before anything is joined, so a group of exact copies costs one row; back again, rows of
+very common fingerprints learn their label without a shuffle. The distinct
 fingerprints are then joined: two of them within ``radius`` bits agree on at least one of
 ``radius + 1`` blocks of bits, so each goes once to each of its blocks, and within a block a binary
 trie is traversed as pairs of nodes, adding up the bits by which their prefixes differ and leaving
@@ -12,7 +13,8 @@ Each part returns a forest instead of all its links, so its output never exceeds
 components of the forest's edges come from alternating large and small stars.
 
 Defined results: a null or empty text has fingerprint zero and is linked like any other; repeated
-rows share a fingerprint; an empty table gives an empty table; extra columns are ignored.
+rows share a fingerprint, and unrelated texts of one id don't; a null id is never a component's
+smallest; an empty table gives an empty table; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,8 +28,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.operators.components import components
+from lexmill.operators.keyed import lookup
 
-from .shared import stored
+from .shared import byte_slices, stored
 
 SHINGLE_WORDS = 3
 SEED = 42
@@ -37,31 +40,47 @@ BITS = 64
 PART_ROWS, SPLIT_BITS = 50_000, 3
 #: Node pairs of fewer pairs of rows than this are compared outright.
 LEAF_PAIRS = 4096
-HASHES_AT_ONCE = 200_000
+HASHES_AT_ONCE, SLICE_BYTES = 200_000, 1_000_000
 
 
-def majority_bits(hashes: np.ndarray) -> int:
-    """The 64 bits that are set in over half of ``hashes``."""
+def shingle_hashes(text: bytes, shingle_words: int) -> Iterator[np.ndarray]:
+    """Hashes of the word shingles of a UTF-8 text in order, ASCII letters folded, slice by slice."""
+    held: list[bytes] = []
+    whole, digest = True, xxhash.xxh64_intdigest
+    for part in byte_slices(text, SLICE_BYTES):
+        words = held + part.lower().split()
+        held = words
+        if len(words) < shingle_words:
+            continue
+        joined = b" ".join(words)
+        ends = (np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1).tolist()
+        starts = [0] + [e + 1 for e in ends[:-shingle_words]]
+        yield np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, ends[shingle_words - 1 :], strict=True)), np.uint64, len(starts))
+        whole, held = False, words[len(words) - shingle_words + 1 :]
+    if whole and held:
+        yield np.array([digest(b" ".join(held), SEED)], np.uint64)
+
+
+def bit_counts(hashes: np.ndarray) -> np.ndarray:
+    """How often each of the 64 bits is set."""
     counts = np.zeros(BITS, np.int64)
     for i in range(0, len(hashes), HASHES_AT_ONCE):
         part = hashes[i : i + HASHES_AT_ONCE]
         counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * counts > len(hashes), bitorder="little").view(np.uint64)[0])
+    return counts
+
+
+def majority(counts: np.ndarray, n: int) -> int:
+    """The bits that are set in over half of ``n`` hashes."""
+    return int(np.packbits(2 * counts > n, bitorder="little").view(np.uint64)[0])
 
 
 def fingerprint(text: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
-    """SimHash of the word shingles of a UTF-8 text, ASCII letters folded."""
-    words = text.lower().split()
-    if not words:
-        return 0
-    joined = b" ".join(words)
-    if len(words) <= shingle_words:
-        return xxhash.xxh64_intdigest(joined, SEED)
-    ends = (np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1).tolist()
-    starts = [0] + [e + 1 for e in ends[: -shingle_words]]
-    digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, ends[shingle_words - 1 :], strict=True)), np.uint64, len(starts))
-    return majority_bits(hashes)
+    """SimHash of the word shingles of a UTF-8 text; memory doesn't grow with its words."""
+    counts, n = np.zeros(BITS, np.int64), 0
+    for hashes in shingle_hashes(text, shingle_words):
+        counts, n = counts + bit_counts(hashes), n + len(hashes)
+    return majority(counts, n)
 
 
 def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -200,10 +219,13 @@ def fingerprint_edges(distinct: DataFrame, *, radius: int = RADIUS, part_rows: i
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, part_rows: int = PART_ROWS) -> DataFrame:
-    """``doc_id, fp, component_id`` for every row of ``docs``; ids must be longs."""
+    """``doc_id, fp, component_id`` for every row of ``docs``."""
     prints = stored(fingerprints(docs, id_col=id_col, text_col=text_col), "fingerprints")
-    distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("node")), "distinct")
-    known = distinct.where(F.col("node").isNotNull())
-    linked = components(fingerprint_edges(known, radius=radius, part_rows=part_rows))
-    labels = distinct.join(linked, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return prints.join(labels, "fp").select("doc_id", "fp", "component_id")
+    distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), "distinct")
+    linked = components(fingerprint_edges(distinct.select("fp", F.col("fp").alias("node")), radius=radius, part_rows=part_rows))
+    # fingerprints with the one that stands for their component, and the smallest id among all of these
+    headed = stored(distinct.join(linked.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", "n", F.coalesce("component", "fp").alias("head")), "headed")
+    sizes = headed.agg(F.count(F.lit(1)), F.sum("n")).first()
+    heads = headed.groupBy("head").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("size"))
+    labels = lookup(headed.select("fp", "n", "head"), heads, "head", "size", sizes[0]).select("fp", "component_id", "n")
+    return lookup(prints, labels, "fp", "n", sizes[1] or 0).select("doc_id", "fp", "component_id")

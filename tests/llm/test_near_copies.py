@@ -48,3 +48,21 @@ def test_random_edits(spark):
         rows.append((i, " ".join(words)))
     want = slow_kept(rows)
     assert 20 < len(want) < 240 and kept(spark, rows) == want
+
+
+def test_repeated_ids_and_clashing_columns(spark):
+    names = "mark string, row string, set_id string, group_id string, `a.b` string, component_id int, node int, n int, h int, first boolean"
+    a, b = "one two three four five six seven eight", "other words stand in this row of the same id"
+    rows = [(2, a), (5, a), (5, b), (5, b), (7, b), (None, a), (None, a), (8, None), (9, "")]
+    df = spark.createDataFrame([(i, t, "en", "s", 1, *"vwxyz", 1, 2, 3, 4, True) for i, t in rows], f"{SCHEMA}, {names}")
+    got = pipeline.simhash_near_dedup(spark, df, "")
+    assert got.columns == df.columns
+    assert sorted((str(r.doc_id), r.text) for r in got.collect()) == sorted([("2", a), ("5", b), ("None", a), ("None", a), ("8", None)], key=lambda x: (x[0], x[1]))
+    assert {tuple(r)[5:] for r in got.collect()} == {(*"vwxyz", 1, 2, 3, 4, True)}
+
+
+def test_unrelated_texts_of_one_id_stay_apart(spark):
+    from lexmill.llm.simhash import near_duplicates
+
+    df = spark.createDataFrame([(1, "a b c"), (9, "a b c"), (9, "x y z"), (4, "x y z"), (None, "x y z")], "doc_id long, text string")
+    assert sorted((str(r.doc_id), r.component_id) for r in near_duplicates(df).collect()) == [("1", 1), ("4", 4), ("9", 1), ("9", 4), ("None", 4)]

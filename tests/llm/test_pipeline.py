@@ -5,8 +5,8 @@ from collections import defaultdict
 import corpus_pipeline as pipeline
 from lexmill.llm import queries as q
 from tests.llm.test_decontaminate import slow as similarity
+from tests.llm.test_near_copies import slow_kept
 from tests.llm.test_secrets import slow as slow_secrets
-from tests.llm.test_simhash import slow_components, slow_fingerprint
 
 DIR = "/root/testdata/sf0.001"
 
@@ -23,10 +23,8 @@ def test_each_stage_by_its_own_input(spark):
     assert kept.columns == docs.columns
     assert ids(kept) == sorted(i for i, _ in rows if found[i][0] != "und" and found[i][1] >= 0.5)
 
-    prints = {i: slow_fingerprint(t) for i, t in rows}
-    label = slow_components(prints)
     kept = pipeline.simhash_near_dedup(spark, docs, DIR)
-    assert kept.columns == docs.columns and ids(kept) == sorted(set(label.values()))
+    assert kept.columns == docs.columns and ids(kept) == slow_kept(rows)
 
     items = [r.text for r in spark.read.parquet(f"{DIR}/benchmark.parquet").collect()]
     words = [set(t.split()) for t in items]
