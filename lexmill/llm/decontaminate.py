@@ -1,14 +1,18 @@
-"""Benchmark decontamination: shingle index, SimHash of item-sized windows, exact check.
-
-Each document is scanned once, as arrays over its bytes. A window can only be similar to an item
-if it shares a shingle with it, so windows are formed around such places alone; nothing that could
-match is lost. Each of those windows has the size of the item and a SimHash fingerprint, kept up
-by running bit counts. There are no tables by blocks of bits: the shingle index names the items, and
-a window's fingerprint is compared with that of each; the radius rejects few similar ones. Candidates are then checked by the exact weighted similarity of their word shingles: each
-weighs as often as it occurs, and the sum of the smaller weights is taken over that of the larger.
-
-Items are the stated query set: they are read in blocks of bounded size, each block is one pass
-over the documents, and no shuffle moves texts.
+"""Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming blocks, exact check.
+
+Each document is scanned once, as arrays over its bytes. For every size that an item has, windows of
+that many shingles get a SimHash fingerprint, from running counts of set bits; windows without any
+shingle of any item are passed over, since they can't be similar to one. Fingerprints are cut into
+``BLOCKS`` blocks of bits. Two of them within ``radius`` bits agree in one block but for
+``radius // BLOCKS`` bits, so an item stands in a table under every (block, value) that near to its
+own, and looking up a window's blocks finds all items within the radius: these are the candidates,
+wherever they come from in the text. Around each candidate, windows are checked by the exact
+weighted similarity of their word shingles: each weighs as often as it occurs, and the sum of the
+smaller weights is taken over that of the larger.
+
+Items are the stated query set. They are split into blocks of bounded size, stored in the shared
+folder, from which workers read them; each block is one pass over the documents, and no shuffle
+moves texts. The driver holds their number alone.
 
 Defined results: words are folded (ASCII case, punctuation at their ends); a null or empty text and
 an item without words match nothing; an item of fewer than five words is one shingle; repeated
@@ -25,19 +29,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .shared import byte_slices
+from .shared import byte_slices, shared_path
+from .warc import filesystem
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
-#: Differing bits up to which windows are candidates. Windows of 0.8 similarity share 8 of 9
-#: shingles and so differ in about 9 bits on average, with a deviation of about 3.
-RADIUS = 20
+#: Differing bits up to which windows are candidates, and blocks of bits that are looked up. Windows
+#: of 0.8 similarity differ in about 9 bits, with a deviation of about 3; those next to them, which
+#: make candidates too, in hardly more.
+RADIUS, BLOCKS, BLOCK_BITS = 15, 4, 16
 #: Bytes of item texts in one pass over the documents.
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 1_000_000
 SLICE_BYTES = 400_000
 #: Shingles of which window fingerprints are held at once.
 RANGE_SHINGLES = 50_000
@@ -57,6 +65,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 CLASS = np.full(256, 2, np.uint8)
 CLASS[[9, 10, 11, 12, 13, 32]] = 0
 CLASS[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = 1
+PUNCTUATION = bytes(np.flatnonzero(CLASS == 1).astype(np.uint8))
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -85,8 +94,27 @@ def word_hashes(buffer: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return mixed((prefix[end] - prefix[first]) * down[first]), first
 
 
+def long_word_hash(word: bytes) -> np.ndarray:
+    """``word_hashes`` of one word of any length, piece by piece."""
+    core = word.strip(PUNCTUATION)
+    up, _ = powers(1 << 19)
+    total, factor = np.zeros(1, np.uint64), np.ones(1, np.uint64)
+    for i in range(0, len(core), 1 << 18):
+        part = LOWER[np.frombuffer(core[i : i + (1 << 18)], np.uint8)].astype(np.uint64) + np.uint64(1)
+        total += factor * (part * up[: len(part)]).sum(dtype=np.uint64)
+        factor *= up[len(part)]
+    return mixed(total[: bool(core)])
+
+
 def long_text_hashes(text: bytes) -> np.ndarray:
-    return np.concatenate([word_hashes(np.frombuffer(x, np.uint8))[0] for x in byte_slices(text, SLICE_BYTES)])
+    """Hashes of the words of a text of any length; a slice is long only if a word in it is."""
+    out = []
+    for part in byte_slices(text, SLICE_BYTES):
+        if len(part) <= 2 * SLICE_BYTES:
+            out.append(word_hashes(np.frombuffer(part, np.uint8))[0])
+        else:
+            out += [long_word_hash(w) for w in part.split()]
+    return np.concatenate(out)
 
 
 def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
@@ -104,88 +132,130 @@ def bits_of(hashes: np.ndarray) -> np.ndarray:
     return np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
 
 
-def window_prints(hashes: np.ndarray, size: int) -> np.ndarray:
-    """SimHash of every run of ``size`` shingles, from running counts of set bits."""
+def running_bits(hashes: np.ndarray) -> np.ndarray:
+    """How often each bit is set in the first 0, 1, 2, ... of ``hashes``."""
     running = np.zeros((len(hashes) + 1, 64), np.int32)
     np.cumsum(bits_of(hashes), axis=0, out=running[1:])
+    return running
+
+
+def window_prints(running: np.ndarray, size: int) -> np.ndarray:
+    """SimHash of every run of ``size`` shingles, from their running bits."""
     set_bits = 2 * (running[size:] - running[:-size]) > size
     return np.packbits(set_bits, axis=1, bitorder="little").view(np.uint64).ravel()
 
 
+@functools.lru_cache(maxsize=4)
+def flips(most: int) -> np.ndarray:
+    """All values of a block with at most ``most`` bits."""
+    values = np.arange(1 << BLOCK_BITS, dtype=np.uint32)
+    return values[np.bitwise_count(values) <= most]
+
+
+def block_values(prints: np.ndarray) -> np.ndarray:
+    """A row for each print: its blocks' values, with the block's number above them."""
+    shifts = np.arange(BLOCKS, dtype=np.uint64) * np.uint64(BLOCK_BITS)
+    values = (prints[:, None] >> shifts) & np.uint64((1 << BLOCK_BITS) - 1)
+    return values.astype(np.uint32) | (np.arange(BLOCKS, dtype=np.uint32) << np.uint32(BLOCK_BITS))
+
+
+class BlockTable:
+    """Fingerprints by their blocks: finds all within ``radius`` bits of others."""
+
+    def __init__(self, prints: np.ndarray, radius: int):
+        self.prints, self.radius = prints, radius
+        near = flips(radius // BLOCKS)
+        keys = (block_values(prints)[:, :, None] ^ near).reshape(-1)
+        owner = np.repeat(np.arange(len(prints), dtype=np.int32), BLOCKS * len(near))
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.owner = keys[order], owner[order]
+
+    def near(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of places, in ``prints`` and among the table's own, within the radius."""
+        asked = block_values(prints).reshape(-1)
+        first, end = np.searchsorted(self.keys, asked, "left"), np.searchsorted(self.keys, asked, "right")
+        sizes = end - first
+        at = np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+        window, own = np.repeat(np.arange(len(asked)) // BLOCKS, sizes), self.owner[at]
+        close = np.bitwise_count(prints[window] ^ self.prints[own]) <= self.radius
+        pairs = np.unique(window[close] * len(self.prints) + own[close])
+        return pairs // len(self.prints), pairs % len(self.prints)
+
+
 class Items:
-    """A block of benchmark items, indexed by shingle and by blocks of their fingerprints' bits."""
+    """A block of benchmark items: their shingles, and tables of their fingerprints by size."""
 
     def __init__(self, rows: list[tuple[object, bytes]], radius: int, similarity: float):
-        self.radius, self.similarity = radius, similarity
-        self.ids, self.sizes, self.widths, self.bags, self.words = [], [], [], [], []
-        self.of: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
-        prints = []
+        self.similarity = similarity
+        self.ids, self.bags = [], []
+        groups: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
+        known: dict[int, set[int]] = defaultdict(set)
         for key, text in rows:
             words = long_text_hashes(text)
             if not len(words):
                 continue
             width = min(SHINGLE_WORDS, len(words))
             hashes = shingle_hashes(words, width)
-            n = len(self.ids)
+            groups[width, len(hashes)].append((len(self.ids), int(window_prints(running_bits(hashes), len(hashes))[0])))
             self.ids.append(key)
-            self.sizes.append(len(hashes))
-            self.widths.append(width)
             self.bags.append(Counter(hashes.tolist()))
-            prints.append(int(window_prints(hashes, len(hashes))[0]))
-            for h in self.bags[-1]:
-                self.of[width][h].append(n)
-        self.prints = np.array(prints, np.uint64)
-        self.known = {w: np.array(sorted(x), np.uint64) for w, x in self.of.items()}
+            known[width].update(self.bags[-1])
+        self.tables = {k: ([n for n, _ in own], BlockTable(np.array([p for _, p in own], np.uint64), radius)) for k, own in sorted(groups.items())}
+        self.known = {w: np.array(sorted(x), np.uint64) for w, x in known.items()}
         self.filters = {}
         for w, x in self.known.items():
             self.filters[w] = np.zeros(1 << 20, bool)
             self.filters[w][(x & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-        edges = [64 * i // (radius + 1) for i in range(radius + 2)]
-        self.blocks = [(np.uint64(a), np.uint64((1 << (b - a)) - 1)) for a, b in zip(edges[:-1], edges[1:], strict=True)]
-
-    def near(self, prints: np.ndarray, n: int) -> np.ndarray:
-        """Which ``prints`` agree with item ``n`` on a block and lie within the radius."""
-        own = self.prints[n]
-        agree = np.zeros(len(prints), bool)
-        for shift, mask in self.blocks:
-            agree |= (prints >> shift) & mask == (own >> shift) & mask
-        at = np.flatnonzero(agree)
-        return at[np.bitwise_count(prints[at] ^ own) <= self.radius]
-
-    def exact(self, window: list[int], n: int) -> float:
-        own, bag = self.bags[n], Counter(window)
-        low = sum(min(c, own[h]) for h, c in bag.items() if h in own)
-        return low / (bag.total() + own.total() - low)
+
+    def spots(self, hashes: np.ndarray, width: int) -> np.ndarray:
+        """Where shingles of any item are."""
+        at = np.flatnonzero(self.filters[width][(hashes & np.uint64((1 << 20) - 1)).astype(np.int64)])
+        return at[np.isin(hashes[at], self.known[width])]
+
+    def best_window(self, hashes: list[int], size: int, n: int) -> tuple[float, int]:
+        """The highest similarity to item ``n`` of a window of ``size``, and the first such window."""
+        own, bag, low = self.bags[n], Counter(), 0
+        total = own.total()
+        best = (0.0, 0)
+        for i, h in enumerate(hashes):
+            if h in own:
+                bag[h] += 1
+                low += bag[h] <= own[h]
+            if i >= size and (gone := hashes[i - size]) in own:
+                low -= bag[gone] <= own[gone]
+                bag[gone] -= 1
+            if i + 1 >= size:
+                found = low / (size + total - low)
+                best = max(best, (found, -(i + 1 - size)))
+        return best[0], -best[1]
 
     def search(self, words: np.ndarray) -> Iterator[tuple[object, int, float]]:
         """Item, first word and similarity of the best window of each item found in a document."""
-        for width, known in self.known.items():
-            hashes = shingle_hashes(words, width)
-            spots = np.flatnonzero(self.filters[width][(hashes & np.uint64((1 << 20) - 1)).astype(np.int64)])
-            spots = spots[np.isin(hashes[spots], known)]
-            at: dict[int, list[int]] = defaultdict(list)
-            for p in spots.tolist():
-                for n in self.of[width][int(hashes[p])]:
-                    at[n].append(p)
-            for n, places in at.items():
-                size = self.sizes[n]
-                best = (0.0, 0)
-                for low, high in merged(places, size, len(hashes)):
-                    part = hashes[low:high]
-                    take = min(size, len(part))
-                    near = self.near(window_prints(part, take), n)
-                    for s in near.tolist():
-                        found = self.exact(part[s : s + take].tolist(), n)
-                        if found > best[0]:
-                            best = (found, low + s)
-                if best[0] >= self.similarity:
-                    yield self.ids[n], best[1], best[0]
+        best: dict[int, tuple[float, int]] = {}
+        hashes = {w: shingle_hashes(words, w) for w in self.known}
+        places = {w: self.spots(h, w).tolist() for w, h in hashes.items()}
+        running: dict[tuple[int, int, int], np.ndarray] = {}
+        for (width, size), (numbers, table) in self.tables.items():
+            for low, high in merged(places[width], size, len(hashes[width])):
+                part = hashes[width][low:high]
+                if (width, low, high) not in running:  # whole short texts come again for each size
+                    running = {(width, low, high): running_bits(part)}
+                take = min(size, len(part))
+                windows, found = table.near(window_prints(running[width, low, high], take))
+                for k in np.unique(found).tolist():
+                    at = windows[found == k]
+                    for a, b in merged(at.tolist(), take, len(part) - take + 1):
+                        score, first = self.best_window(part[a : b + take - 1].tolist(), take, numbers[k])
+                        if score >= self.similarity and (score, -(low + a + first)) > best.get(numbers[k], (0.0, 0)):
+                            best[numbers[k]] = (score, -(low + a + first))
+        for n, (score, first) in sorted(best.items()):
+            yield self.ids[n], -first, score
 
 
 def merged(places: list[int], size: int, total: int) -> Iterator[tuple[int, int]]:
     """Ranges of shingles that hold every window of ``size`` around ``places``, cut to the text.
 
-    Places must be in order; few of them are searched like many: the exact check decides.
+    Places must be in order. Ranges of windows around candidates are found the same way.
     """
     low = high = None
     for p in places:
@@ -209,27 +279,41 @@ def stepped(low: int, high: int, size: int) -> Iterator[tuple[int, int]]:
     yield low, high
 
 
-def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple[object, bytes]]]:
-    """Items with a text, in blocks of about ``block_bytes``; one block is on the driver at a time."""
+def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> list[str]:
+    """Stores the items that have a text, in blocks of about ``block_bytes``, and returns their paths."""
     items = benchmark.select(F.col(item_col).alias("item_id"), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = math.ceil(total / block_bytes)
-    for block in range(blocks):
-        rows = [(r.item_id, r.text.encode()) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()]
-        yield sorted(rows, key=lambda r: (str(r[0]), r[1]))
+    if not blocks:
+        return []
+    path = shared_path(benchmark.sparkSession, "items")
+    numbered = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
+    numbered.repartition("block").write.partitionBy("block").parquet(path)
+    there = numbered.select("block").distinct().toLocalIterator()
+    return sorted(f"{path}/block={r.block}" for r in there)
+
+
+@functools.lru_cache(maxsize=1)
+def read_block(path: str, radius: int, similarity: float) -> Items:
+    """A block of items in a worker, kept from task to task."""
+    where, place = filesystem(path)
+    files = [f for f in where.get_file_info(fs.FileSelector(place)) if f.path.endswith(".parquet")]
+    table = pa.concat_tables([pq.ParquetFile(where.open_input_file(f.path)).read(["item_id", "text"]) for f in files])
+    rows = zip(table.column("item_id").to_pylist(), (x.encode() for x in table.column("text").to_pylist()), strict=True)
+    return Items(sorted(rows, key=lambda r: (str(r[0]), r[1])), radius, similarity)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", similarity: float = SIMILARITY, radius: int = RADIUS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``doc_id, item_id, first_word, similarity``: each document that holds an item, best window.
 
-    A window is similar from ``similarity`` on. Items come in blocks of at most ``block_bytes``.
+    A window is similar from ``similarity`` on. Items come in blocks of about ``block_bytes``.
     """
     doc_type, item_type = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_col].dataType
     schema = f"doc_id {doc_type}, item_id {item_type.simpleString()}, first_word long, similarity double"
 
-    def scanner(rows: list[tuple[object, bytes]]):
+    def scanner(path: str):
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            items = Items(rows, radius, similarity)
+            items = read_block(path, radius, similarity)
             for batch in batches:
                 found = list(batch_hits(items, batch.column(1)))
                 keys = batch.column(0).take(pa.array([i for i, _ in found], pa.int64()))
@@ -240,8 +324,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text
         return scan
 
     found = None
-    for rows in item_blocks(benchmark, item_col, item_text_col, block_bytes):
-        part = docs.select(F.col(id_col), F.col(text_col)).mapInArrow(scanner(rows), schema)
+    for path in item_blocks(benchmark, item_col, item_text_col, block_bytes):
+        part = docs.select(F.col(id_col), F.col(text_col)).mapInArrow(scanner(path), schema)
         found = part if found is None else found.unionByName(part)
     return docs.sparkSession.createDataFrame([], schema) if found is None else found
 
@@ -250,9 +334,9 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "tex
     """The rows of ``docs``, all columns, that hold no item."""
     at, schema = docs.columns.index(text_col), docs.schema
 
-    def dropper(rows: list[tuple[object, bytes]]):
+    def dropper(path: str):
         def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            items = Items(rows, radius, similarity)
+            items = read_block(path, radius, similarity)
             for batch in batches:
                 clean = np.ones(batch.num_rows, bool)
                 clean[[i for i, _ in batch_hits(items, batch.column(at))]] = False
@@ -260,8 +344,8 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "tex
 
         return drop
 
-    for rows in item_blocks(benchmark, item_col, item_text_col, block_bytes):
-        docs = docs.mapInArrow(dropper(rows), schema)
+    for path in item_blocks(benchmark, item_col, item_text_col, block_bytes):
+        docs = docs.mapInArrow(dropper(path), schema)
     return docs
 
 
@@ -293,10 +377,7 @@ def hits(items: Items, held: list[tuple[int, pa.Buffer]]) -> Iterator[tuple[int,
     # only texts with a shingle that some item has are searched one by one
     wanted = np.zeros(len(held), bool)
     for width in items.known:
-        hashes = shingle_hashes(words, width)
-        spots = np.flatnonzero(items.filters[width][(hashes & np.uint64((1 << 20) - 1)).astype(np.int64)])
-        spots = spots[np.isin(hashes[spots], items.known[width])]
-        wanted[np.searchsorted(bounds, spots, side="right") - 1] = True
+        wanted[np.searchsorted(bounds, items.spots(shingle_hashes(words, width), width), side="right") - 1] = True
     for k in np.flatnonzero(wanted).tolist():
         for hit in items.search(words[bounds[k] : bounds[k + 1]]):
             yield held[k][0], hit

@@ -4,8 +4,9 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 
-from lexmill.llm.decontaminate import Items, leaks, long_text_hashes, shingle_hashes, word_hashes
+from lexmill.llm.decontaminate import BlockTable, Items, block_values, leaks, long_text_hashes, long_word_hash, shingle_hashes, word_hashes
 
 PUNCT = "".join(chr(i) for i in range(33, 127) if not chr(i).isalnum())
 
@@ -72,12 +73,43 @@ def test_long_text_and_empty_tables(spark):
     assert leaks(d, b.limit(0)).collect() == [] and leaks(d.limit(0), b).collect() == []
 
 
-def test_radius_guarantee():
-    rng = np.random.default_rng(0)
-    rows = [(i, " ".join("w%d" % x for x in rng.integers(0, 99, 30)).encode()) for i in range(20)]
-    items = Items(rows, 6, 0.8)
-    prints = np.array([int(items.prints[i]) ^ sum(1 << int(b) for b in rng.choice(64, rng.integers(0, 9), replace=False)) for i in range(20) for _ in range(50)], np.uint64)
-    for n in range(20):
-        want = np.flatnonzero(np.bitwise_count(prints ^ items.prints[n]) <= 6)
-        assert (items.near(prints, n) == want).all()
+@pytest.mark.parametrize("radius", [3, 6, 15])
+def test_block_tables_find_all_within_the_radius(radius):
+    rng = np.random.default_rng(radius)
+    own = rng.integers(0, 1 << 63, 20, dtype=np.uint64)
+    own[7] = own[3]
+    table = BlockTable(own, radius)
+    prints = np.array([int(own[i]) ^ sum(1 << int(b) for b in rng.choice(64, rng.integers(0, 2 * radius), replace=False)) for i in range(20) for _ in range(50)], np.uint64)
+    windows, found = table.near(prints)
+    got = set(zip(windows.tolist(), found.tolist(), strict=True))
+    assert got == {(w, n) for w in range(len(prints)) for n in range(20) if int(prints[w] ^ own[n]).bit_count() <= radius}
+    # the blocks select: of far prints few are even compared
+    far = rng.integers(0, 1 << 63, 2000, dtype=np.uint64)
+    asked = block_values(far).reshape(-1)
+    compared = np.searchsorted(table.keys, asked, "right") - np.searchsorted(table.keys, asked, "left")
+    assert compared.sum() < 0.06 * len(far) * len(own)
+
+
+def test_best_window_is_the_plain_one():
+    rnd = random.Random(2)
+    words = lambda n: " ".join(rnd.choice("abcd") for _ in range(n))
+    for _ in range(60):
+        item, doc = words(rnd.randrange(5, 14)), words(rnd.randrange(30, 60))
+        items = Items([(1, item.encode())], 15, 0.8)
+        hashes = shingle_hashes(long_text_hashes(doc.encode()), 5).tolist()
+        assert items.best_window(hashes, len(item.split()) - 4, 0)[0] == pytest.approx(slow(doc, item))
+
+
+def test_short_texts_have_no_long_shingles():
     assert len(shingle_hashes(long_text_hashes(b"a b"), 5)) == 0
+
+
+def test_long_words_hash_like_others(monkeypatch):
+    rnd = random.Random(1)
+    for n in (0, 1, 5, (1 << 18) - 1, 1 << 18, 600_001):
+        word = "".join(rnd.choice("aBz9-") for _ in range(n)).encode()
+        plain, _ = word_hashes(np.frombuffer(b"(" + word + b").", np.uint8)) if n else (np.zeros(0, np.uint64), None)
+        assert long_word_hash(b"(" + word + b").").tolist() == plain.tolist()
+    text = b"a b " + b"x-" * 600_000 + b"y c"
+    whole, _ = word_hashes(np.frombuffer(text, np.uint8))
+    assert long_text_hashes(text).tolist() == whole.tolist()
