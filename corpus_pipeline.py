@@ -24,7 +24,7 @@ from lexmill.llm.decontaminate import without_leaks
 from lexmill.llm.langid import fit, with_language
 from lexmill.llm.near_copies import without_near_copies
 from lexmill.llm.packing import pack_documents
-from lexmill.llm.secrets import scan
+from lexmill.llm.secrets import without_secrets
 from lexmill.llm.shared import stored
 
 #: The least share of letters that the language of a document has.
@@ -49,7 +49,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a secret."""
-    return scan(docs).where(F.size("found") == 0).select(*docs.columns)
+    return without_secrets(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

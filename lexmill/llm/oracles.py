@@ -59,15 +59,16 @@ def secret_spans() -> str:
     kinds = " ".join(f"WHEN regexp_matches(m, {text(p)}) THEN '{n}'" for n, p, *_ in secrets.CLASSES)
     shown = " ".join(f"WHEN kind = '{n}' THEN {'lower(m)' if folded else 'm'}" for n, _, _, folded, _ in secrets.CLASSES)
     ceiling = " ".join(f"WHEN kind = '{n}' THEN {secrets.weight(secrets.WINDOW) - round(secrets.WINDOW * bits * secrets.MILLION)}" for n, _, _, _, bits in secrets.CLASSES)
+    gone = lambda x: f"regexp_replace({x}, {text(secrets.ALLOWED_WORD)}, '\\1{secrets.MARK}\\2', 'g')"
     bases = " UNION ALL ".join(f"SELECT k, rank, kind, start, finish FROM {n}" for n, *_ in secrets.KINDS)
     return f"""
         WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text FROM documents), {", ".join(parts)},
         c AS (SELECT DISTINCT m, CASE {kinds} END AS kind FROM candidate WHERE NOT ({allowed})),
-        v AS (SELECT m, kind, CASE {shown} END AS s, CASE {ceiling} END AS ceiling FROM c),
+        v AS (SELECT m, kind, unnest(string_split({gone(gone(f"CASE {shown} END"))}, '{secrets.MARK}')) AS s, CASE {ceiling} END AS ceiling FROM c),
         win AS (SELECT m, kind, ceiling, s, unnest(range(1, length(s) - {secrets.WINDOW} + 2)) AS i FROM v),
-        ch AS (SELECT m, kind, ceiling, i, substr(s, CAST(i + j AS BIGINT), 1) AS x FROM win, range({secrets.WINDOW}) AS r(j)),
-        n AS (SELECT m, kind, ceiling, i, x, count(*) AS c FROM ch GROUP BY ALL),
-        e AS (SELECT m, kind, ceiling, i, sum(CAST(round(c * log2(c) * {secrets.MILLION}) AS BIGINT)) AS total FROM n GROUP BY ALL),
+        ch AS (SELECT m, kind, ceiling, s, i, substr(s, CAST(i + j AS BIGINT), 1) AS x FROM win, range({secrets.WINDOW}) AS r(j)),
+        n AS (SELECT m, kind, ceiling, s, i, x, count(*) AS c FROM ch GROUP BY ALL),
+        e AS (SELECT m, kind, ceiling, s, i, sum(CAST(round(c * log2(c) * {secrets.MILLION}) AS BIGINT)) AS total FROM n GROUP BY ALL),
         high AS (SELECT DISTINCT m, kind FROM e WHERE total <= ceiling),
         f AS ({bases} UNION ALL SELECT k, rank, high.kind, start, finish FROM candidate JOIN high USING (m)),
         a AS (SELECT k, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access, count(*) FILTER (WHERE kind = 'hex') AS n_hex,

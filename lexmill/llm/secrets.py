@@ -7,11 +7,15 @@ text with very many matches doesn't take quadratic time.
 Candidate strings, long runs of token characters, get a class by their alphabet. A fold over their
 characters keeps the counts of the last ``WINDOW`` ones, one in and one out per step, and with them
 the sum of ``c * log2(c)``, in whole millionths: the Shannon entropy of each window, exactly. A
-string is a finding if a window's entropy reaches its class's bound, unless the allow-list knows it.
+string is a finding if a window's entropy reaches its class's bound. The allow-list knows shapes of
+whole strings, which are never findings, and words: a window that overlaps one, as a whole part
+between separators, doesn't count, the others of the string do.
 
 Defined results: a null text is empty; without findings ``spans`` is empty and the digest is that of
 the empty string; spans that overlap are all kept, ordered by start, then kind; repeated rows repeat;
-an empty table gives an empty table; extra columns are ignored.
+an empty table gives an empty table; other columns, whatever their names, come back as they were, but
+for one named like the result, which gives way to it. Time is linear in a text's length and in a
+candidate's.
 """
 
 from __future__ import annotations
@@ -21,6 +25,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import packed
+
 #: Kinds in the order of their listing, with pattern, group to measure and least length.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 KINDS = (
@@ -41,9 +47,12 @@ ALLOWED = (
     "^[A-Za-z_=/+-]+$",
     "^[0-9_=/+-]+$",
     "^[A-Z]?[a-z]+([-_/][A-Z]?[a-z0-9]{1,12})+$",
-    "(?i)example|sample|dummy|placeholder|xxxx|changeme",
     "(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
 )
+#: Allowed words between separators; a mark, which no candidate holds, takes their place. Two in a
+#: row share a separator, so the pattern is applied twice.
+ALLOWED_WORD = "(?i)(^|[-+/_=])(?:example|sample|dummy|placeholder|changeme|x{4,})($|[-+/_=])"
+MARK = "~"
 CHUNK = 256
 MILLION = 1_000_000
 
@@ -85,7 +94,7 @@ def weight(count: int) -> int:
 
 
 def window_reaches(value: str, alphabet: str, folded: bool, bits: float) -> str:
-    """Whether some window of ``value`` has an entropy of at least ``bits``.
+    """Whether some window of ``value`` without an allowed word has an entropy of at least ``bits``.
 
     The entropy of ``WINDOW`` characters is log2(WINDOW) less the weighted sum of their counts over
     WINDOW; so it is high where that sum is low, and the fold keeps the lowest sum.
@@ -93,40 +102,56 @@ def window_reaches(value: str, alphabet: str, folded: bool, bits: float) -> str:
     weights = "array(" + ", ".join(f"{weight(c)}L" for c in range(WINDOW + 2)) + ")"
     ceiling = weight(WINDOW) - round(WINDOW * bits * MILLION)
     text = f"lower({value})" if folded else value
-    place = lambda at: f"(instr('{alphabet}', substring(t, {at}, 1)) - 1)"
+    for _ in range(2):
+        text = f"regexp_replace({text}, {quoted(ALLOWED_WORD)}, '$1{MARK}$2')"
     return f"""
-    transform(array({text}), t -> transform(array({weights}), w ->
-      aggregate(sequence(1, length(t)), named_struct('counts', array_repeat(0, {len(alphabet)}), 'sum', 0L, 'least', {1 << 60}L),
-        (a, i) -> transform(array(named_struct('in', {place("i")}, 'out', CASE WHEN i > {WINDOW} THEN {place(f"i - {WINDOW}")} ELSE -1 END)), k ->
-          transform(array(named_struct(
-            'counts', CASE WHEN k.in = k.out THEN a.counts ELSE transform(a.counts, (c, j) -> c + CASE WHEN j = k.in THEN 1 WHEN j = k.out THEN -1 ELSE 0 END) END,
-            'sum', CASE WHEN k.in = k.out THEN a.sum ELSE a.sum + w[a.counts[k.in] + 1] - w[a.counts[k.in]]
-              + CASE WHEN k.out >= 0 THEN w[a.counts[k.out] - 1] - w[a.counts[k.out]] ELSE 0L END END)), n ->
-            named_struct('counts', n.counts, 'sum', n.sum, 'least', CASE WHEN i >= {WINDOW} THEN least(a.least, n.sum) ELSE a.least END))[0])[0],
-        a -> a.least <= {ceiling}L))[0])[0]"""
+    transform(array({weights}), w -> exists(filter(split({text}, '{MARK}'), s -> length(s) >= {WINDOW}), s ->
+      transform(array(transform(split(s, ''), c -> instr('{alphabet}', c) - 1)), p ->
+        aggregate(sequence(0, size(p) - 1), named_struct('counts', array_repeat(0, {len(alphabet)}), 'sum', 0L, 'least', {1 << 60}L),
+          (a, i) -> transform(array(named_struct('in', p[i], 'out', CASE WHEN i >= {WINDOW} THEN p[i - {WINDOW}] ELSE -1 END)), k ->
+            transform(array(named_struct(
+              'counts', CASE WHEN k.in = k.out THEN a.counts ELSE transform(a.counts, (c, j) -> c + CASE WHEN j = k.in THEN 1 WHEN j = k.out THEN -1 ELSE 0 END) END,
+              'sum', CASE WHEN k.in = k.out THEN a.sum ELSE a.sum + w[a.counts[k.in] + 1] - w[a.counts[k.in]]
+                + CASE WHEN k.out >= 0 THEN w[a.counts[k.out] - 1] - w[a.counts[k.out]] ELSE 0L END END)), n ->
+              named_struct('counts', n.counts, 'sum', n.sum, 'least', CASE WHEN i >= {WINDOW - 1} THEN least(a.least, n.sum) ELSE a.least END))[0])[0],
+          a -> a.least <= {ceiling}L))[0]))[0]"""
 
 
 def entropy_kind(value: str) -> str:
     """The class whose entropy bound ``value`` reaches, or null; the allow-list comes first."""
-    allowed = " OR ".join(f"{value} RLIKE {quoted(p)}" for p in ALLOWED)
+    # a repeated group that gives nothing back is matched in a loop, not by recursion
+    allowed = " OR ".join(f"{value} RLIKE {quoted(p.replace(')+$', ')++$'))}" for p in ALLOWED)
     cases = " ".join(f"WHEN {value} RLIKE {quoted(p)} THEN CASE WHEN {window_reaches(value, alphabet, folded, bits)} THEN '{name}' END" for name, p, alphabet, folded, bits in CLASSES)
     return f"CASE WHEN {allowed} THEN NULL {cases} END"
 
 
-def scan(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
-    """Adds ``found``: an array of ``start, rank, kind, end`` by start and kind; ranks below
-    ``len(KINDS)`` are those of the patterns."""
-    rows = docs.withColumn("text_", F.coalesce(F.col(text_col), F.lit("")))
+def findings(rows: DataFrame) -> DataFrame:
+    """``row, found`` of ``row, text``."""
     for name, pattern, measure, least in KINDS:
-        rows = rows.withColumn(f"found_{name}", located("text_", pattern, measure, least))
-    rows = rows.withColumn("found_entropy", located("text_", CANDIDATE))
+        rows = rows.withColumn(f"found_{name}", located("text", pattern, measure, least))
+    rows = rows.withColumn("found_entropy", located("text", CANDIDATE))
     parts = [
         F.expr(f"transform(found_{name}, x -> named_struct('start', x.start, 'rank', {rank}, 'kind', '{name}', 'end', x.end))")
         for rank, (name, *_) in enumerate(KINDS)
     ]
     high = F.expr(f"""filter(transform(found_entropy, x -> named_struct('start', x.start, 'rank', {len(KINDS)}, 'kind', {entropy_kind("x.match")}, 'end', x.end)), x -> x.kind IS NOT NULL)""")
-    names = [f"found_{name}" for name, *_ in KINDS]
-    return rows.withColumn("found", F.sort_array(F.concat(*parts, high))).drop("text_", "found_entropy", *names)
+    return rows.select("row", F.sort_array(F.concat(*parts, high)).alias("found"))
+
+
+def with_text(docs: DataFrame, text_col: str) -> DataFrame:
+    return packed(docs).select("row", F.coalesce(F.col("row").getField(text_col), F.lit("")).alias("text"))
+
+
+def scan(docs: DataFrame, *, text_col: str = "text", found_col: str = "found") -> DataFrame:
+    """Adds ``found_col``: an array of ``start, rank, kind, end`` by start and kind; ranks below
+    ``len(KINDS)`` are those of the patterns."""
+    own = [F.col("row").getField(c).alias(c) for c in docs.columns if c != found_col]
+    return findings(with_text(docs, text_col)).select(*own, F.col("found").alias(found_col))
+
+
+def without_secrets(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, in which nothing is found."""
+    return findings(with_text(docs, text_col)).where(F.size("found") == 0).select("row.*")
 
 
 def spans_text(found: str, most_rank: int | None = None) -> Column:
