@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
+import threading
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,7 +28,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new path in the shared folder; inside a ``scratched`` function it is removed in the end."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if scopes():
+        scopes()[-1].append(path)
+    return path
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -34,3 +41,41 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = shared_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a file or folder, if it is there."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+_local = threading.local()
+
+
+def scopes() -> list[list[str]]:
+    """Paths made inside each ``scratched`` function that runs in this thread, the outermost first."""
+    if not hasattr(_local, "scopes"):
+        _local.scopes = []
+    return _local.scopes
+
+
+def scratched(label: str) -> Callable[[Callable[..., DataFrame]], Callable[..., DataFrame]]:
+    """Stores the DataFrame that a function returns, and then removes all else that it stored."""
+
+    def decorate(build: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        @functools.wraps(build)
+        def run(*args, **kwargs) -> DataFrame:
+            made: list[str] = []
+            scopes().append(made)
+            try:
+                result = build(*args, **kwargs)
+            finally:
+                scopes().pop()
+            kept = stored(result, label)
+            for path in made:
+                remove(kept.sparkSession, path)
+            return kept
+
+        return run
+
+    return decorate
