@@ -1,21 +1,26 @@
-"""Katz backoff scoring: Good-Turing discounted bigrams over a unigram model, exactly normalised.
+"""Katz backoff scoring: Good-Turing discounted n-grams of any order, exactly normalised.
 
-    P(w | h) = d(c(h,w)) * c(h,w) / c(h)   if c(h,w) > 0, else   a(h) * P(w)
-    a(h)     = (1 - sum of P(w | h) over seen w) / (1 - sum of P(w) over seen w)
+    P(w | h) = d(c(h,w)) * c(h,w) / c(h)   if c(h,w) > 0, else   a(h) * P(w | h without its first word)
+    a(h)     = (1 - sum of P(w | h) over seen w) / (1 - sum of P(w | shorter h) over the same w)
     P(w)     = d(c(w)) * c(w) / N          if c(w) > 0, else the mass that the discounts left
 
-so all words that follow a context, with one class for words never seen, sum to one. Discounts are
-Katz's for counts up to five; where a corpus has no valid ones, counts lose a half. A context
-whose counts leave no mass is scaled by n / (n + 1).
+evaluated order by order, from the lowest up, so that each order has the one below at hand. All words
+that follow a context, with one class for words never seen, sum to one. Discounts are Katz's for
+counts up to five, for each order by itself; where a corpus has no valid ones, counts lose a half. A
+context whose counts leave no mass is scaled by n / (n + 1). A context that was never seen is passed over.
 
 Texts never move. They are tokenised once into blocks of bounded size, kept as files in the folder
-that driver and executors share. A block asks for the counts of its distinct words, and then of its
-distinct bigrams; questions go to partitions by hash, where the counts of all blocks are added up
-(that is the model, in partitions), and answers go back in the order of the question. Answers about
-words number them, so that questions about bigrams are small differences of numbers. A very
-common word or bigram costs one question per block, and a context with very many followers is
-spread over partitions by its followers; so no key gathers rows in one place. Each block then
-scores its documents by lookups alone.
+that driver and executors share. For each order a block asks for the counts of its distinct n-grams;
+questions go to partitions by a hash of the context, where the counts of all blocks are added up:
+these are the tables of the model, in partitions. Answers go back in the order of the questions, and
+number the n-grams, so that an n-gram of the next order is two numbers, its context's and its word's.
+A very common n-gram costs one question per block, and a context with very many followers is spread
+over partitions by its followers; so no key gathers rows in one place.
+
+Questions and answers are files in the shared folder too: a task writes one and says where each part
+lies, the reader takes its slices. So no message is larger than its slice, a lost executor loses no
+messages, and a step's files are deleted as soon as the next one has read them. There is at most one
+message for each pair of block and partition, and none without a question.
 
 Words are told apart by 64-bit hashes. Defined results: a null or empty text is its end token
 alone; a null id isn't held out; repeated rows are trained on and scored each; extra columns are
@@ -24,51 +29,60 @@ ignored; an empty table gives an empty table; without training text every token
 
 from __future__ import annotations
 
-import pickle
 import uuid
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import byte_slices, release_shuffles, shared_path, stored
+from lexmill.storage import remove, scratched
+
+from .shared import byte_slices, shared_path, stored
 from .warc import filesystem
 
+ORDER = 3
 #: Counts up to this are discounted.
 DISCOUNTED = 5
 BLOCK_BYTES = 8_000_000
 SLICE_BYTES = 2_000_000
 #: Questions that a partition answers, about; followers of a context beyond which it is spread.
-WORDS_EACH, PAIRS_EACH, SPREAD = 500_000, 2_000_000, 500_000
-#: Pseudo-words: the end of a text, and the context of its first word. No word has white space.
-END, START = b"\n", b"\t"
+WORDS_EACH, GRAMS_EACH, SPREAD = 500_000, 2_000_000, 500_000
+#: The end of a text, counted as a word; no word has white space. The context of a text's first word.
+END, START = b"\n", 1 << 62
 SEED = 5
+#: A number is a partition's number and a place in it.
+PLACE_BITS = 32
 
 
-def word_hash(word: bytes) -> int:
-    return xxhash.xxh64_intdigest(word, SEED)
+# --- arrays as bytes ------------------------------------------------------------------------
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays, compressed; whole numbers in their narrowest type, first bytes first."""
+    """Arrays, compressed; whole numbers in their narrowest type, first bytes first. Each has its
+    type in three letters, its size in four bytes, and its bytes."""
     out = []
     for a in arrays:
         if a.dtype.kind in "iu" and a.dtype != np.uint64:
             a = a.astype(np.min_scalar_type(int(a.max()) if len(a) else 0))
-        planes = a.view(np.uint8).reshape(len(a), -1).T
-        out.append((a.dtype.str, zstandard.compress(planes.tobytes(), 1)))
-    return pickle.dumps(out)
+        data = zstandard.compress(a.view(np.uint8).reshape(len(a), a.dtype.itemsize).T.tobytes(), 1)
+        out += [a.dtype.str.encode(), len(data).to_bytes(4, "little"), data]
+    return b"".join(out)
 
 
 def unpack(data: bytes) -> list[np.ndarray]:
-    out = []
-    for kind, raw in pickle.loads(data):
-        planes = np.frombuffer(zstandard.decompress(raw), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    out, at = [], 0
+    while at < len(data):
+        kind, size = np.dtype(data[at : at + 3].decode()), int.from_bytes(data[at + 3 : at + 7], "little")
+        planes = np.frombuffer(zstandard.decompress(data[at + 7 : at + 7 + size]), np.uint8).reshape(kind.itemsize, -1)
         out.append(np.ascontiguousarray(planes.T).view(kind).ravel())
+        at += 7 + size
     return out
 
 
@@ -94,20 +108,56 @@ def whole(a: np.ndarray) -> np.ndarray:
     return a.astype(np.int64)
 
 
-class Counter(dict):
-    def __missing__(self, word: bytes) -> int:
-        place = self[word] = len(self)
-        return place
+# --- messages -------------------------------------------------------------------------------
+
+MESSAGE = "part int, block string, path string, first long, size long, stats array<long>"
+MESSAGE_ROWS = pa.schema([("part", pa.int32()), ("block", pa.string()), ("path", pa.string()), ("first", pa.int64()), ("size", pa.int64()), ("stats", pa.list_(pa.int64()))])
+
+
+def write_file(folder: str, data: list[bytes]) -> str:
+    where, place = filesystem(f"{folder}/{uuid.uuid4().hex}")
+    where.create_dir(place.rpartition("/")[0], recursive=True)
+    with where.open_output_stream(place) as sink:
+        for x in data:
+            sink.write(x)
+    return f"{folder}/{place.rpartition('/')[2]}"
+
+
+def send(folder: str, messages: list[tuple[int, str, bytes]], stats: tuple[int, str | None, list[int]] | None = None) -> pa.Table:
+    """Writes the messages (part, block, body) to one file; rows that say where they are, and one of
+    no block with the part's table and counts of counts."""
+    path = write_file(folder, [body for *_, body in messages]) if messages else ""
+    rows, at = [], 0
+    for part, block, body in messages:
+        rows.append((part, block, path, at, len(body), None))
+        at += len(body)
+    rows += [(stats[0], None, stats[1], None, None, stats[2])] if stats else []
+    return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True) if rows else [[]] * len(MESSAGE_ROWS), MESSAGE_ROWS, strict=True)], schema=MESSAGE_ROWS)
+
+
+def receive(rows: pa.Table) -> Iterator[list[np.ndarray]]:
+    """The bodies of messages, in the rows' order."""
+    for path, first, size in zip(*(rows.column(k).to_pylist() for k in ("path", "first", "size")), strict=True):
+        where, place = filesystem(path)
+        with where.open_input_file(place) as source:
+            source.seek(first)
+            yield unpack(source.read(size))
 
 
 # --- blocks ---------------------------------------------------------------------------------
 
 
+class Places(dict):
+    def __missing__(self, word: bytes) -> int:
+        place = self[word] = len(self)
+        return place
+
+
 def write_block(folder: str, keys: pa.Array, held: np.ndarray, texts: list[bytes]) -> tuple[str, int, int]:
-    """Tokenises texts into a file: ids, held-out flags, tokens per text, hashes of distinct words
-    in order, and tokens as places among them. Returns name, tokens and distinct words."""
-    places = Counter()
-    end, start = places[END], places[START]
+    """Tokenises texts into a file: ids, held-out flags, tokens per text, hashes of distinct words by
+    falling frequency, and tokens as places among them. Returns path, tokens and distinct words."""
+    places = Places()
+    end = places[END]
     tokens, counts = [], []
     for text in texts:
         n = 1
@@ -117,45 +167,33 @@ def write_block(folder: str, keys: pa.Array, held: np.ndarray, texts: list[bytes
             n += len(words)
         tokens.append(np.array([end], np.uint32))
         counts.append(n)
-    hashes = np.fromiter(map(word_hash, places), np.uint64, len(places))
-    order = np.argsort(hashes)
+    flat = np.concatenate(tokens)
+    order = np.argsort(-np.bincount(flat, minlength=len(places)), kind="stable")
     rank = np.empty(len(order), np.uint32)
     rank[order] = np.arange(len(order), dtype=np.uint32)
-    name = uuid.uuid4().hex
-    where, place = filesystem(f"{folder}/{name}")
-    where.create_dir(place.rpartition("/")[0], recursive=True)
-    flat = rank[np.concatenate(tokens)]
-    body = {"held": pa.array([held]), "counts": pa.array([np.array(counts)]), "hashes": pa.array([hashes[order]]), "tokens": pa.array([flat]), "marks": pa.array([[int(rank[end]), int(rank[start])]])}
-    table = pa.table(body | {"keys": pa.array([keys.to_pylist()], pa.list_(keys.type))})
-    with where.open_output_stream(place) as sink, pa.ipc.new_file(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
-        writer.write_table(table)
-    return name, len(flat), len(hashes)
+    hashes = np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in places), np.uint64, len(places))
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, pa.schema([("keys", keys.type)])) as writer:
+        writer.write_table(pa.table({"keys": keys}))
+    ids = sink.getvalue().to_pybytes()
+    path = write_file(folder, [len(ids).to_bytes(8, "little"), ids, pack(held.astype(np.uint8), np.array(counts), hashes[order], rank[flat])])
+    return path, len(flat), len(places)
 
 
 class Block:
     """A block's file, read back."""
 
-    def __init__(self, folder: str, name: str):
-        where, place = filesystem(f"{folder}/{name}")
+    def __init__(self, path: str):
+        where, place = filesystem(path)
         with where.open_input_file(place) as source:
-            table = pa.ipc.open_file(source).read_all()
-        get = lambda k: table.column(k).combine_chunks().flatten()
-        self.hashes, self.held = get("hashes").to_numpy(), get("held").to_numpy(zero_copy_only=False)
-        self.counts, self.tokens, self.keys = get("counts").to_numpy(), get("tokens").to_numpy(), get("keys")
-        self.end, self.start = get("marks").to_pylist()
+            data = source.read()
+        cut = 8 + int.from_bytes(data[:8], "little")
+        self.keys = pa.ipc.open_stream(data[8:cut]).read_all().column("keys").combine_chunks()
+        held, counts, self.hashes, tokens = unpack(data[cut:])
+        self.held, self.counts, self.tokens = held.astype(bool), whole(counts), whole(tokens)
+        self.first = np.cumsum(self.counts) - self.counts
         self.learnt = np.repeat(~self.held, self.counts)
-
-    def word_counts(self) -> np.ndarray:
-        """Training tokens of each distinct word."""
-        return np.bincount(self.tokens[self.learnt], minlength=len(self.hashes))
-
-    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        """Context and word of each token, as one number, and that number's place in the sorted
-        distinct ones."""
-        context = np.empty(len(self.tokens), np.int64)
-        context[1:] = self.tokens[:-1]
-        context[np.cumsum(self.counts) - self.counts] = self.start
-        return np.unique(context * len(self.hashes) + self.tokens, return_inverse=True)
+        self.by_hash = np.argsort(self.hashes)
 
 
 def blocks(docs: DataFrame, folder: str, held: Column, *, id_col: str, text_col: str) -> DataFrame:
@@ -186,24 +224,7 @@ def blocks(docs: DataFrame, folder: str, held: Column, *, id_col: str, text_col:
     return stored(found.mapInArrow(run, "block string, tokens long, words long, learnt_docs long"), "blocks")
 
 
-# --- questions and answers ------------------------------------------------------------------
-
-QUESTION = "part int, block string, body binary"
-ANSWER = "block string, part int, body binary, stats array<long>"
-
-
-def rows_out(rows: list[tuple], schema: pa.Schema) -> pa.Table:
-    return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True) if rows else [[]] * len(schema), schema, strict=True)], schema=schema)
-
-
-QUESTION_ROWS = pa.schema([("part", pa.int32()), ("block", pa.string()), ("body", pa.binary())])
-ANSWER_ROWS = pa.schema([("block", pa.string()), ("part", pa.int32()), ("body", pa.binary()), ("stats", pa.list_(pa.int64()))])
-
-
-def ranges(hashes: np.ndarray, parts: int) -> np.ndarray:
-    """Bounds of the parts among sorted hashes: each has an equal share of the hash space."""
-    width = (1 << 64) // parts + 1
-    return np.concatenate(([0], np.searchsorted(hashes, np.array([width * i for i in range(1, parts)], np.uint64)), [len(hashes)])).astype(np.int64)
+# --- discounts ------------------------------------------------------------------------------
 
 
 def counts_of_counts(totals: np.ndarray) -> list[int]:
@@ -211,45 +232,8 @@ def counts_of_counts(totals: np.ndarray) -> list[int]:
     return [int(totals.sum()), int((totals > 0).sum())] + [int((totals == r).sum()) for r in range(1, DISCOUNTED + 2)]
 
 
-def ask_words(manifest: DataFrame, folder: str, parts: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for name in batch.column(0).to_pylist():
-                block = Block(folder, name)
-                own, bounds = block.word_counts(), ranges(block.hashes, parts)
-                rows = [(p, name, pack(block.hashes[a:b], own[a:b])) for p, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)) if b > a]
-                yield from rows_out(rows, QUESTION_ROWS).to_batches()
-
-    return manifest.select("block").mapInArrow(run, QUESTION)
-
-
-def answer_words(table: pa.Table) -> pa.Table:
-    bodies = [unpack(x) for x in table.column("body").to_pylist()]
-    distinct, place = np.unique(np.concatenate([b[0] for b in bodies]), return_inverse=True)
-    totals = np.bincount(place, np.concatenate([whole(b[1]) for b in bodies]), len(distinct)).astype(np.int64)
-    cuts = np.cumsum([len(b[0]) for b in bodies])[:-1]
-    part = table.column("part")[0].as_py()
-    rows = [(name, part, pack(totals[at], steps(at, one_run(at))), None) for name, at in zip(table.column("block").to_pylist(), np.split(place, cuts), strict=True)]
-    return rows_out([*rows, (None, part, None, [*counts_of_counts(totals), len(totals)])], ANSWER_ROWS)
-
-
-def first_numbers(answers: DataFrame, parts: int) -> np.ndarray:
-    """The number of each part's first word, where words of all parts are numbered by hash."""
-    sizes = np.zeros(parts + 1, np.int64)
-    for row in answers.where("block IS NULL").select("part", F.element_at("stats", -1).alias("n")).collect():
-        sizes[row.part + 1] = row.n
-    return np.cumsum(sizes)
-
-
-def totals_of(answers: DataFrame) -> list[int]:
-    """Sums of the parts' counts of counts."""
-    width = DISCOUNTED + 3
-    row = answers.where("block IS NULL").agg(*[F.sum(F.col("stats")[i]).alias(str(i)) for i in range(width)]).first()
-    return [int(x or 0) for x in row]
-
-
 class Discounts:
-    """Factors for counts up to ``DISCOUNTED``, from counts of counts."""
+    """Factors for counts up to ``DISCOUNTED``, from counts of counts; all are above 0 and below 1."""
 
     def __init__(self, stats: list[int]):
         n = [0, *stats[2:]]
@@ -262,177 +246,354 @@ class Discounts:
         if not factors or not all(0 < f < 1 for f in factors):
             factors = [(r - 0.5) / r for r in range(1, k + 1)]
         self.factors = np.array([0.0, *factors, 1.0])
+        self.total, self.types = stats[0], stats[1]
+        # of single words: what the discounts leave; without mass for unseen words, one more token makes some
+        left = sum(c * (r - float(self(np.array([r]))[0])) for r, c in enumerate(stats[2 : 2 + DISCOUNTED], 1))
+        self.norm, self.left = (self.total, left) if left > 0 else (self.total + 1, 1.0)
 
     def __call__(self, counts: np.ndarray) -> np.ndarray:
         """Discounted counts."""
         return self.factors[np.minimum(counts, DISCOUNTED + 1)] * counts
 
 
-class Words:
-    """The unigram model: probabilities by count, and that of each word never seen."""
+def stats_of(answers: DataFrame) -> list[int]:
+    """Sums of the partitions' counts of counts."""
+    row = answers.where("block IS NULL").agg(*[F.sum(F.col("stats")[i]).alias(str(i)) for i in range(DISCOUNTED + 3)]).first()
+    return [int(x or 0) for x in row]
 
-    def __init__(self, stats: list[int]):
-        self.total, self.types = stats[0], stats[1]
-        self.discount = Discounts(stats)
-        left = sum(n * (r - float(self.discount(np.array([r]))[0])) for r, n in enumerate(stats[2 : 2 + DISCOUNTED], 1))
-        # without mass for unseen words, one more token makes some
-        self.norm, self.left = (self.total, left) if left > 0 else (self.total + 1, 1.0)
 
-    def __call__(self, counts: np.ndarray) -> np.ndarray:
-        return np.where(counts > 0, self.discount(counts), self.left) / self.norm
+# --- n-grams of a block ---------------------------------------------------------------------
 
 
-def spread_of(count: np.ndarray, spread: int) -> np.ndarray:
-    """Over how many places a context of so many tokens is spread."""
-    return np.maximum(1, -(-count // spread))
+@dataclass
+class Grams:
+    """A block's n-grams of one order: for each token the place of the n-gram that it ends, for each
+    n-gram its count and number, and for each token the scale of its context's counts."""
+
+    place: np.ndarray
+    count: np.ndarray
+    number: np.ndarray
+    norm: np.ndarray
 
 
 def place_of(context: np.ndarray, lane: np.ndarray, parts: int) -> np.ndarray:
-    x = (context ^ (lane.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xD6E8FEB86659FD93)
+    x = (context.astype(np.uint64) ^ (lane.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xD6E8FEB86659FD93)
     return ((x ^ (x >> np.uint64(32))) % np.uint64(parts)).astype(np.int64)
 
 
+def word_ranges(hashes: np.ndarray, parts: int) -> np.ndarray:
+    """Bounds of the parts among sorted hashes: each has an equal share of the hash space."""
+    width = (1 << 64) // parts + 1
+    return np.concatenate(([0], np.searchsorted(hashes, np.array([width * i for i in range(1, parts)], np.uint64)), [len(hashes)])).astype(np.int64)
+
+
 class Questions:
-    """A block's distinct bigrams of known words, and where their counts are kept.
+    """What a block asks about its n-grams of one order above the first.
 
-    ``at_context`` are those asked about at each place, ``run`` how many bigrams follow each there
-    (none where a spread context is asked only for its sums).
+    ``distinct`` n-grams are pairs of a context, a place among the n-grams of the order below or
+    behind them for the start of a text, and a word. ``asked`` are those whose context and whose
+    shorter n-gram have counts. At each part there are contexts, ``run`` of which says how many asked
+    n-grams follow it there. A context ``wants`` its sums if a word follows it that isn't asked
+    about, or if it is spread, so that each of its places is asked.
     """
 
-    def __init__(self, block: Block, counts: np.ndarray, learnt_docs: int, parts: int, spread: int):
-        self.distinct, self.place = block.pairs()
-        size = len(block.hashes)
-        self.context, self.word = self.distinct // size, self.distinct % size
-        self.context_counts = counts.copy()
-        self.context_counts[block.start] = learnt_docs
-        known = self.context_counts[self.context] > 0
-        self.asked = np.flatnonzero(known & (counts[self.word] > 0))
-        context, word = self.context[self.asked], self.word[self.asked]
-        lanes = spread_of(self.context_counts, spread)
-        where = place_of(block.hashes[context], block.hashes[word] % lanes[context].astype(np.uint64), parts)
-        # contexts at each place: every lane of a known context of the block, with or without bigrams
+    def __init__(self, block: Block, words: Grams, lower: Grams, learnt_docs: int, parts: int, spread: int):
+        n_words, n_lower = len(words.count), len(lower.count)
+        context = np.empty(len(block.tokens), np.int64)
+        context[1:] = lower.place[:-1]
+        context[block.first] = n_lower
+        self.token_context = context
+        self.distinct, self.at, self.place = np.unique(context * n_words + block.tokens, return_index=True, return_inverse=True)
+        self.context, self.word = self.distinct // n_words, self.distinct % n_words
+        self.context_count, number = np.append(lower.count, learnt_docs), np.append(lower.number, START)
+        self.lower_count = lower.count[lower.place[self.at]]
+        known = self.context_count[self.context] > 0
+        asked = known & (self.lower_count > 0)
+        lanes = np.maximum(1, -(-self.context_count // spread))
+        self.norm = np.zeros(n_lower + 1, np.int64)
+        self.norm[self.context] = lower.norm[self.at]
+        wants = lanes > 1
+        wants[self.context[known & ~asked]] = True
+        # contexts in the order of their numbers, so that these rise inside a part
+        by_number = np.argsort(number, kind="stable")
+        rank = np.empty(n_lower + 1, np.int64)
+        rank[by_number] = np.arange(n_lower + 1)
+        # at each part: every lane of a known context
         own = np.unique(self.context[known])
         every = np.repeat(own, lanes[own])
         lane = np.arange(len(every)) - np.repeat(np.cumsum(lanes[own]) - lanes[own], lanes[own])
-        at = np.unique(place_of(block.hashes[every], lane, parts) * size + every)
-        self.at_part, self.at_context = at // size, at % size
-        order = np.lexsort((word, context, where))
-        self.asked, key = self.asked[order], (where * size + context)[order]
-        self.run = np.bincount(np.searchsorted(at, key), minlength=len(at))
-        self.context_bounds = np.searchsorted(self.at_part, np.arange(parts + 1))
-        self.pair_bounds = np.concatenate(([0], np.cumsum(self.run)))[self.context_bounds]
+        at = np.unique(place_of(number[every], lane, parts) * (n_lower + 1) + rank[every])
+        at_part, self.at_context = at // (n_lower + 1), by_number[at % (n_lower + 1)]
+        self.wants, self.at_number = wants[self.at_context], number[self.at_context]
+        asked = np.flatnonzero(asked)
+        c, w = self.context[asked], words.number[self.word[asked]]
+        key = place_of(number[c], w % lanes[c], parts) * (n_lower + 1) + rank[c]
+        order = np.lexsort((w, key))
+        self.asked, self.asked_word = asked[order], w[order]
+        self.run = np.bincount(np.searchsorted(at, key[order]), minlength=len(at))
+        self.context_bounds = np.searchsorted(at_part, np.arange(parts + 1))
+        self.gram_bounds = np.concatenate(([0], np.cumsum(self.run)))[self.context_bounds]
 
     def parts(self) -> Iterator[tuple[int, slice, slice]]:
-        """Each place with its contexts and its bigrams."""
+        """Each part with its contexts and its asked n-grams."""
         for p in np.flatnonzero(np.diff(self.context_bounds)).tolist():
-            yield p, slice(*self.context_bounds[p : p + 2]), slice(*self.pair_bounds[p : p + 2])
+            yield p, slice(*self.context_bounds[p : p + 2]), slice(*self.gram_bounds[p : p + 2])
+
+    def bodies(self, own: np.ndarray) -> Iterator[tuple[int, bytes]]:
+        """A message for each part: contexts with what they want, the scale of their shorter context
+        and their runs; words, and counts of n-grams in the block and of the shorter ones."""
+        for p, contexts, grams in self.parts():
+            asked, run = self.asked[grams], self.run[contexts]
+            number = self.at_number[contexts]
+            yield p, pack(
+                steps(number, one_run(number)), self.wants[contexts].astype(np.uint8), self.norm[self.at_context[contexts]], run,
+                steps(self.asked_word[grams], run), own[asked], self.lower_count[asked],
+            )
+
+
+@dataclass
+class Model:
+    """What a step knows of the orders that are done: a folder, how many texts were learnt from, the
+    number of parts of each order, and each order's discounts."""
+
+    learnt_docs: int
+    spread: int
+    parts: list[int]
+    discounts: list[Discounts]
+
+
+class Climb:
+    """A block's n-grams order by order, from the answers about them."""
+
+    def __init__(self, block: Block, model: Model, messages: pa.Table):
+        self.block, self.model = block, model
+        kinds, parts = messages.column("kind").to_pylist(), messages.column("part").to_pylist()
+        self.at: dict[int, dict[int, int]] = defaultdict(dict)
+        for i, (k, p) in enumerate(zip(kinds, parts, strict=True)):
+            self.at[k][p] = i
+        self.messages = messages
+        self.words = self.single()
+
+    def answers(self, order: int) -> Iterator[tuple[int, list[np.ndarray]]]:
+        """Part and body of the answers about an order, by part."""
+        rows = sorted(self.at[order].items())
+        yield from zip((p for p, _ in rows), receive(self.messages.take(pa.array([i for _, i in rows], pa.int64()))), strict=True)
+
+    def single(self) -> Grams:
+        block, count, number = self.block, [], []
+        for p, (totals, at) in self.answers(1):
+            count.append(whole(totals))
+            number.append((p << PLACE_BITS) + np.cumsum(whole(at)))
+        out = Grams(block.tokens, np.empty(len(block.hashes), np.int64), np.empty(len(block.hashes), np.int64), np.full(len(block.tokens), self.model.discounts[0].norm if self.model.discounts else 0, np.int64))
+        out.count[block.by_hash], out.number[block.by_hash] = np.concatenate(count), np.concatenate(number)
+        return out
+
+    def questions(self, order: int, lower: Grams) -> Questions:
+        return Questions(self.block, self.words, lower, self.model.learnt_docs, self.model.parts[order - 1], self.model.spread)
+
+    def up(self, order: int, lower: Grams) -> tuple[Grams, Questions, np.ndarray]:
+        """The n-grams of an order, with what was asked, and the weight of each context's backoff,
+        which is right where it wants one."""
+        q, discount = self.questions(order, lower), self.model.discounts[order - 1]
+        count, number = np.zeros((2, len(q.distinct)), np.int64)
+        kept, chances, partial = np.zeros(len(q.context_count)), np.zeros(len(q.context_count)), np.zeros(len(q.context_count), bool)
+        answers = dict(self.answers(order))
+        for p, contexts, grams in q.parts():
+            totals, at, full, told, *sums, chance = answers[p]
+            count[q.asked[grams]] = totals
+            if len(at):
+                number[q.asked[grams]] = (p << PLACE_BITS) + np.cumsum(whole(at))
+            # a context stands once at a part, so plain indexing adds up
+            where = q.at_context[contexts]
+            partial[where] |= full == 0
+            where = where[told > 0]
+            kept[where] += discount(np.arange(1, DISCOUNTED + 1)) @ np.stack([whole(x) for x in sums[:DISCOUNTED]]) + whole(sums[DISCOUNTED])
+            chances[where] += chance
+        norm = q.context_count + ~partial
+        with np.errstate(divide="ignore", invalid="ignore"):
+            weight = np.where(q.context_count > 0, (1 - kept / norm) / (1 - chances), 1.0)
+        return Grams(q.place, count, number, norm[q.token_context]), q, weight
+
+    def top(self, order: int) -> Grams:
+        """The n-grams of an order whose answers are there."""
+        found = self.words
+        for k in range(2, order + 1):
+            found, _, _ = self.up(k, found)
+        return found
+
+    def chances(self) -> np.ndarray:
+        """The probability of each token, by the highest order."""
+        discount, found = self.model.discounts[0], self.words
+        p = (np.where(found.count > 0, discount(found.count), discount.left) / discount.norm)[found.place]
+        for k in range(2, len(self.model.discounts) + 1):
+            found, q, weight = self.up(k, found)
+            norm = found.norm[q.at]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                p = np.where(found.count > 0, self.model.discounts[k - 1](found.count) / norm, weight[q.context] * p[q.at])[q.place]
+        return p
+
+
+# --- steps ----------------------------------------------------------------------------------
+
 
+def ask_words(manifest: DataFrame, folder: str, parts: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                block = Block(name)
+                own = np.bincount(block.tokens[block.learnt], minlength=len(block.hashes))[block.by_hash]
+                hashes = block.hashes[block.by_hash]
+                bounds = word_ranges(hashes, parts)
+                bodies = [(p, name, pack(hashes[a:b], own[a:b])) for p, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)) if b > a]
+                yield from send(folder, bodies).to_batches()
+
+    return manifest.select("block").mapInArrow(run, MESSAGE)
+
+
+def answer_words(folder: str, keep: str | None) -> Callable[[pa.Table], pa.Table]:
+    """Counts of words, which become numbers in the order of their hashes."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        bodies, part = list(receive(rows)), rows.column("part")[0].as_py()
+        distinct, place = np.unique(np.concatenate([b[0] for b in bodies]), return_inverse=True)
+        totals = np.bincount(place, np.concatenate([whole(b[1]) for b in bodies]), len(distinct)).astype(np.int64)
+        path = write_table(f"{keep}/1", {"word": (part << PLACE_BITS) + np.arange(len(distinct)), "hash": distinct.view(np.int64), "count": totals}) if keep else None
+        cuts = np.cumsum([len(b[0]) for b in bodies])[:-1]
+        names = rows.column("block").to_pylist()
+        return send(folder, [(part, name, pack(totals[at], steps(at, one_run(at)))) for name, at in zip(names, np.split(place, cuts), strict=True)], (part, path, counts_of_counts(totals)))
+
+    return run
 
-def joined(answers: list[tuple[int, bytes]], first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Counts and numbers of a block's words."""
-    bodies = [(p, unpack(body)) for p, body in sorted(answers)]
-    return np.concatenate([whole(b[0]) for _, b in bodies]), np.concatenate([first[p] + np.cumsum(whole(b[1])) for p, b in bodies])
 
+def ask_grams(told: DataFrame, folder: str, model: Model, n_blocks: int) -> DataFrame:
+    """Questions about the order above those that ``told`` has the answers to."""
+    order = len(model.discounts) + 1
 
-def ask_pairs(answers: DataFrame, folder: str, first: np.ndarray, learnt_docs: int, parts: int, spread: int, n_blocks: int) -> DataFrame:
-    def run(table: pa.Table) -> pa.Table:
-        name = table.column("block")[0].as_py()
-        block = Block(folder, name)
-        counts, numbers = joined(list(zip(table.column("part").to_pylist(), table.column("body").to_pylist(), strict=True)), first)
-        q = Questions(block, counts, learnt_docs, parts, spread)
+    def run(rows: pa.Table) -> pa.Table:
+        name = rows.column("block")[0].as_py()
+        block = Block(name)
+        climb = Climb(block, model, rows)
+        q = climb.questions(order, climb.top(order - 1))
         own = np.bincount(q.place, block.learnt, len(q.distinct)).astype(np.int64)
-        rows = []
-        for p, contexts, pairs in q.parts():
-            asked = q.asked[pairs]
-            context, run_, word = numbers[q.at_context[contexts]], q.run[contexts], q.word[asked]
-            rows.append((p, name, pack(steps(context, one_run(context)), run_, steps(numbers[word], run_), own[asked], counts[word])))
-        return rows_out(rows, QUESTION_ROWS)
+        return send(folder, [(p, name, body) for p, body in q.bodies(own)])
 
-    return answers.where("block IS NOT NULL").repartition(n_blocks, "block").groupBy("block").applyInArrow(run, QUESTION)
+    return told.repartition(n_blocks, "block").groupBy("block").applyInArrow(run, MESSAGE)
 
 
-def answer_pairs(words: Words):
-    """Counts of bigrams, and for each context asked about: how many of its bigrams have each
-    discounted count, the sum of the other counts, and the sum of its words' probabilities."""
+def answer_grams(folder: str, lower: Discounts, last: bool, keep: str | None, order: int) -> Callable[[pa.Table], pa.Table]:
+    """Counts of n-grams and, for contexts that want them, how many of their n-grams have each
+    discounted count, the sum of the other counts, and the sum of the words' lower probabilities."""
 
-    def run(table: pa.Table) -> pa.Table:
-        part = table.column("part")[0].as_py()
-        bodies = [unpack(x) for x in table.column("body").to_pylist()]
+    def run(rows: pa.Table) -> pa.Table:
+        bodies, part = list(receive(rows)), rows.column("part")[0].as_py()
         contexts, context_at = np.unique(np.concatenate([np.cumsum(whole(b[0])) for b in bodies]), return_inverse=True)
-        runs = np.concatenate([whole(b[1]) for b in bodies])
-        pair_context = np.repeat(context_at, runs)
-        followers, follower_at = np.unique(np.concatenate([unsteps(b[2], whole(b[1])) for b in bodies]), return_inverse=True)
-        distinct, first, place = np.unique(pair_context * len(followers) + follower_at, return_index=True, return_inverse=True)
-        totals = np.bincount(place, np.concatenate([whole(b[3]) for b in bodies]), len(distinct)).astype(np.int64)
+        gram_context = np.repeat(context_at, np.concatenate([whole(b[3]) for b in bodies]))
+        norms = np.ones(len(contexts), np.int64)
+        norms[context_at] = np.concatenate([whole(b[2]) for b in bodies])
+        followers, follower_at = np.unique(np.concatenate([unsteps(b[4], whole(b[3])) for b in bodies]), return_inverse=True)
+        distinct, first, place = np.unique(gram_context * max(1, len(followers)) + follower_at, return_index=True, return_inverse=True)
+        totals = np.bincount(place, np.concatenate([whole(b[5]) for b in bodies]), len(distinct)).astype(np.int64)
         seen = totals > 0
-        of, c = pair_context[first][seen], totals[seen]
-        chance = words(np.concatenate([whole(b[4]) for b in bodies])[first][seen])
+        of, c = gram_context[first][seen], totals[seen]
+        chance = lower(np.concatenate([whole(b[6]) for b in bodies])[first][seen]) / norms[of]
         sums = [np.bincount(of, c == r, len(contexts)).astype(np.int64) for r in range(1, DISCOUNTED + 1)]
+        full = np.stack(sums).sum(axis=0) == 0
         sums.append(np.bincount(of, np.where(c > DISCOUNTED, c, 0), len(contexts)).astype(np.int64))
         chances = np.bincount(of, chance, len(contexts))
-        cuts = np.cumsum([len(b[2]) for b in bodies])[:-1]
-        context_cuts = np.cumsum([len(b[0]) for b in bodies])[:-1]
-        rows = []
-        for name, at, c_at in zip(table.column("block").to_pylist(), np.split(place, cuts), np.split(context_at, context_cuts), strict=True):
-            rows.append((name, part, pack(totals[at], *[s[c_at] for s in sums], chances[c_at]), None))
-        return rows_out([*rows, (None, part, None, counts_of_counts(totals))], ANSWER_ROWS)
+        columns = {"context": contexts[of], "word": followers[follower_at[first][seen]], "number": (part << PLACE_BITS) + np.flatnonzero(seen), "count": c, "lower": chance}
+        path = write_table(f"{keep}/{order}", columns) if keep else None
+        messages = []
+        cuts, context_cuts = np.cumsum([len(b[4]) for b in bodies])[:-1], np.cumsum([len(b[0]) for b in bodies])[:-1]
+        for name, body, at, c_at in zip(rows.column("block").to_pylist(), bodies, np.split(place, cuts), np.split(context_at, context_cuts), strict=True):
+            told = body[1] > 0
+            told[np.repeat(np.arange(len(c_at)), whole(body[3]))[totals[at] == 0]] = True
+            numbers = np.zeros(0, np.int64) if last else steps(at, one_run(at))
+            messages.append((part, name, pack(totals[at], numbers, full[c_at].astype(np.uint8), told.astype(np.uint8), *[s[c_at][told] for s in sums], chances[c_at][told])))
+        return send(folder, messages, (part, path, counts_of_counts(totals)))
 
     return run
 
 
-def score_blocks(word_answers: DataFrame, pair_answers: DataFrame, folder: str, first: np.ndarray, words: Words, pairs: Discounts, learnt_docs: int, parts: int, spread: int, n_blocks: int, kind: str) -> DataFrame:
-    def run(table: pa.Table) -> pa.Table:
-        name = table.column("block")[0].as_py()
-        block = Block(folder, name)
-        got = list(zip(table.column("kind").to_pylist(), table.column("part").to_pylist(), table.column("body").to_pylist(), strict=True))
-        counts, _ = joined([(p, b) for k, p, b in got if k == 0], first)
-        q = Questions(block, counts, learnt_docs, parts, spread)
-        size = len(block.hashes)
-        seen = np.zeros(len(q.distinct), np.int64)
-        kept, chances = np.zeros(size), np.zeros(size)
-        answers = {p: unpack(b) for k, p, b in got if k == 1}
-        for p, contexts, asked in q.parts():
-            found = answers[p]
-            seen[q.asked[asked]] = found[0]
-            mass = pairs(np.arange(1, DISCOUNTED + 1)) @ np.stack([whole(x) for x in found[1 : 1 + DISCOUNTED]]) + whole(found[1 + DISCOUNTED])
-            np.add.at(kept, q.at_context[contexts], mass)
-            np.add.at(chances, q.at_context[contexts], found[-1])
-        n = q.context_counts.astype(float)
-        norm = np.where(kept < n, n, n + 1)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            weight = np.where(n > 0, (1 - kept / norm) / (1 - chances), 1.0)
-            chance = np.where(seen > 0, pairs(seen) / norm[q.context], weight[q.context] * words(counts)[q.word])
-        starts = np.cumsum(block.counts) - block.counts
-        base = np.log10((counts + 1) / (words.total + words.types + 1))
-        add = lambda x: np.add.reduceat(x, starts)
+def write_table(folder: str, columns: dict[str, np.ndarray]) -> str:
+    """A part's table as a file of its own name, which the part's row tells."""
+    sink = pa.BufferOutputStream()
+    pq.write_table(pa.table(columns), sink, compression="zstd")
+    return write_file(folder, [sink.getvalue().to_pybytes()])
+
+
+SCORES = "held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+
+
+def score_blocks(told: DataFrame, model: Model, n_blocks: int, kind: str) -> DataFrame:
+    def run(rows: pa.Table) -> pa.Table:
+        block = Block(rows.column("block")[0].as_py())
+        climb, words = Climb(block, model, rows), model.discounts[0]
+        count = climb.words.count
+        base = np.log10((count + 1) / (words.total + words.types + 1))
+        add = lambda x: np.add.reduceat(x, block.first)
         columns = [
-            block.keys, pa.array(block.held), pa.array(block.counts.astype(np.int64)), pa.array(add((counts > 0).astype(np.int64)[block.tokens])),
-            pa.array(np.full(len(starts), words.total, np.int64)), pa.array(add(base[block.tokens])), pa.array(add(np.log10(chance)[q.place])),
+            block.keys, pa.array(block.held), pa.array(block.counts), pa.array(add((count > 0).astype(np.int64)[block.tokens])),
+            pa.array(np.full(len(block.counts), words.total, np.int64)), pa.array(add(base[block.tokens])), pa.array(add(np.log10(climb.chances()))),
         ]
         return pa.table(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    both = word_answers.withColumn("kind", F.lit(0)).unionByName(pair_answers.withColumn("kind", F.lit(1))).where("block IS NOT NULL").drop("stats")
-    schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return both.repartition(n_blocks, "block").groupBy("block").applyInArrow(run, schema)
+    return told.repartition(n_blocks, "block").groupBy("block").applyInArrow(run, f"doc_id {kind}, {SCORES}")
 
 
-def score(docs: DataFrame, held: Column, *, id_col: str = "doc_id", text_col: str = "text", words_each: int = WORDS_EACH, pairs_each: int = PAIRS_EACH, spread: int = SPREAD) -> DataFrame:
-    """Learns from the rows where ``held`` isn't true and scores all rows."""
+@scratched("scores")
+def score(docs: DataFrame, held: Column, *, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, words_each: int = WORDS_EACH, grams_each: int = GRAMS_EACH, spread: int = SPREAD, keep: str | None = None) -> DataFrame:
+    """Learns from the rows where ``held`` isn't true and scores all rows, by n-grams of ``order`` words.
+
+    With ``keep``, a folder, the model's tables stay there, for ``tables``.
+    """
     spark = docs.sparkSession
-    folder = shared_path(spark, "tokens")
-    manifest = blocks(docs, folder, F.coalesce(held, F.lit(False)), id_col=id_col, text_col=text_col)
-    n_blocks, tokens, n_words, learnt_docs = manifest.agg(F.count(F.lit(1)), F.sum("tokens"), F.sum("words"), F.sum("learnt_docs")).first()
     kind = docs.schema[id_col].dataType.simpleString()
+    manifest = blocks(docs, shared_path(spark, "tokens"), F.coalesce(held, F.lit(False)), id_col=id_col, text_col=text_col)
+    n_blocks, tokens, n_words, learnt_docs = manifest.agg(F.count(F.lit(1)), F.sum("tokens"), F.sum("words"), F.sum("learnt_docs")).first()
     if not n_blocks:
-        return spark.createDataFrame([], f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
-    word_parts, pair_parts = -(-n_words // words_each), -(-tokens // pairs_each)
-    asked = ask_words(manifest.repartition(n_blocks), folder, word_parts)
-    word_answers = stored(asked.repartitionById(word_parts, F.col("part")).groupBy("part").applyInArrow(answer_words, ANSWER), "word-answers")
-    release_shuffles(spark)
-    words = Words(totals_of(word_answers))
-    first = first_numbers(word_answers, word_parts)
-    asked = ask_pairs(word_answers, folder, first, learnt_docs, pair_parts, spread, n_blocks)
-    pair_answers = stored(asked.repartitionById(pair_parts, F.col("part")).groupBy("part").applyInArrow(answer_pairs(words), ANSWER), "pair-answers")
-    release_shuffles(spark)
-    pairs = Discounts(totals_of(pair_answers))
-    return score_blocks(word_answers, pair_answers, folder, first, words, pairs, learnt_docs, pair_parts, spread, n_blocks, kind)
+        return spark.createDataFrame([], f"doc_id {kind}, {SCORES}")
+    model, told = Model(learnt_docs, spread, [], []), None
+    for k in range(1, order + 1):
+        model.parts.append(-(-n_words // words_each) if k == 1 else -(-tokens // grams_each))
+        asking, telling = shared_path(spark, f"questions-{k}"), shared_path(spark, f"answers-{k}")
+        asked = ask_words(manifest.repartition(n_blocks), asking, model.parts[0]) if k == 1 else ask_grams(told, asking, model, n_blocks)
+        answer = answer_words(telling, keep) if k == 1 else answer_grams(telling, model.discounts[-1], k == order, keep, k)
+        asked = stored(asked, "asked")
+        answers = stored(asked.repartitionById(model.parts[-1], F.col("part")).groupBy("part").applyInArrow(answer, MESSAGE), "answered")
+        remove(spark, asking)
+        model.discounts.append(Discounts(stats_of(answers)))
+        if keep:
+            answers.where("block IS NULL").select("part", "path").write.parquet(f"{keep}/parts/order={k}")
+        answers = answers.where("block IS NOT NULL").withColumn("kind", F.lit(k))
+        told = answers if told is None else told.unionByName(answers)
+    if keep:
+        rows = [(k, d.norm, d.left, d.factors.tolist()) for k, d in enumerate(model.discounts, 1)]
+        spark.createDataFrame(rows, "order int, norm long, left double, factors array<double>").write.parquet(f"{keep}/discounts")
+    return score_blocks(told, model, n_blocks, kind)
+
+
+def table(spark: SparkSession, keep: str, order: int) -> DataFrame:
+    """The table of an order that ``score`` kept: ``word, hash, count, p`` of words, else ``context,
+    word, number, count, p, alpha``. A context is the number of an n-gram of the order below, or START;
+    ``alpha`` is the weight of what a context backs off to."""
+    columns = {"word": "long", "hash": "long", "count": "long"} if order == 1 else {"context": "long", "word": "long", "number": "long", "count": "long", "lower": "double"}
+    schema = pa.schema([(k, pa.int64() if v == "long" else pa.float64()) for k, v in columns.items()])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                where, place = filesystem(path)
+                with where.open_input_file(place) as source:
+                    yield from pq.ParquetFile(source).read().cast(schema).to_batches(100_000)
+
+    files = spark.read.parquet(f"{keep}/parts").where(F.col("order") == order)
+    rows = files.select("path").repartition(max(1, files.count())).mapInArrow(read, ", ".join(f"{k} {v}" for k, v in columns.items()))
+    facts = spark.read.parquet(f"{keep}/discounts").where(F.col("order") == order).first()
+    factors = F.array(*map(F.lit, facts.factors))
+    kept = factors[F.least(F.col("count"), F.lit(DISCOUNTED + 1)).cast("int")] * F.col("count")
+    if order == 1:
+        return rows.select("*", (kept / facts.norm).alias("p"))
+    sums = rows.groupBy("context").agg(F.sum("count").alias("n"), F.sum(kept).alias("kept"), F.sum("lower").alias("below"), F.min("count").alias("least"))
+    norm = F.col("n") + (F.col("least") > DISCOUNTED).cast("long")
+    scales = sums.select("context", norm.alias("norm"), ((1 - F.col("kept") / norm) / (1 - F.col("below"))).alias("alpha"))
+    return rows.join(scales, "context").select("context", "word", "number", "count", (kept / F.col("norm")).alias("p"), "alpha")

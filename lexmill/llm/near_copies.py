@@ -1,17 +1,17 @@
 """Groups of near copies: texts whose sets of five-word shingles have a Jaccard similarity of 0.8.
 
-First the binary-trie self-join of ``simhash`` links what differs least, by fingerprints of the same
-shingles; each of its links is verified by the sets. Near copies of 0.8 differ in up to ten bits or
-more, a radius at which a trie prunes nothing, so prefix filters find the rest, and lose no pair.
+Candidate pairs come from the binary-trie self-join of ``simhash``, which links what differs least,
+by fingerprints of the same shingles, and from prefix filters: near copies of 0.8 differ in up to ten
+bits or more, a radius at which a trie prunes nothing, while the filters lose no pair.
 Sets that similar have at least ``need`` = ceil(0.8 * n) shingles in common, n being
 the size of either; so, whatever order all shingles are put in, they share k of the first
 n - need + k of both. That is used twice: in order of hashes and with k = n / 10 it finds the sets
 that share so many with other sets at all; among those, with k = 1, rarest first and without shingles
 of one set alone, it finds the candidate pairs, which are then compared exactly.
 
-Equal sets fold into one before pairs are made. Of each shingle's sets one is compared with those
-of other groups first; only sets that this leaves in different groups are then compared with each
-other, so a large group of copies doesn't make all its pairs.
+Equal sets fold into one before pairs are made. Of each shingle's sets one is compared with the
+others first; only sets that this leaves in different groups are then compared with each other, so
+a large group of copies doesn't make all its pairs.
 
 Defined results: words are folded by ASCII case; a text of fewer than five words is one shingle;
 texts without words are copies of each other; repeated rows are copies, and unrelated texts of one
@@ -32,6 +32,7 @@ from pyspark.sql.window import Window
 
 from lexmill.operators.components import components
 from lexmill.operators.keyed import lookup
+from lexmill.storage import scratched
 
 from .shared import packed, stored
 from .simhash import bit_counts, fingerprint_edges, majority, shingle_hashes
@@ -106,28 +107,26 @@ def pair(a: str, b: str) -> list[Column]:
     return [F.greatest(a, b).alias("u"), F.least(a, b).alias("v")]
 
 
-def trie_edges(sets: DataFrame) -> DataFrame:
-    """Pairs ``u > v`` of similar sets among those whose fingerprints the trie links, or are equal."""
+def trie_pairs(sets: DataFrame) -> DataFrame:
+    """Pairs ``u > v`` of sets whose fingerprints the trie links, or are equal."""
     prints = stored(sets.groupBy("fp").agg(F.min("set_id").alias("node"), F.count(F.lit(1)).alias("copies")), "prints")
     linked = fingerprint_edges(prints.select("fp", "node"), radius=RADIUS)
     same = sets.select("fp", "set_id").join(prints.where("copies > 1"), "fp").where("set_id <> node").select(*pair("set_id", "node"))
-    return stored(similar(linked.union(same), sets), "trie-edges")
+    return linked.union(same)
 
 
-def probes(sets: DataFrame, label: DataFrame) -> DataFrame:
-    """``set_id, n, kept, r, s, c``: the rarest shingles of each set, as many as similar sets need to
-    meet, with the set's group so far.
+def probes(sets: DataFrame) -> DataFrame:
+    """``set_id, n, kept, r, s``: the rarest shingles of each set, as many as similar sets need to meet.
 
     Shingles of one set alone are left out; ``kept`` counts the others and ``r`` ranks them.
     """
-    long = sets.select("set_id", F.explode("h").alias("s"))
+    long = sets.select("set_id", "n", F.explode("h").alias("s"))
     common = long.groupBy("s").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     own = Window.partitionBy("set_id")
     ranked = long.join(common, "s").withColumn("kept", F.count(F.lit(1)).over(own)).withColumn("r", F.row_number().over(own.orderBy("df", "s")))
     need = F.expr(f"({PART} * n + {WHOLE - 1}) div {WHOLE}")
     # no row is left of a set whose common shingles are too few
-    short = ranked.join(sets.select("set_id", "n"), "set_id").where(F.col("r") <= F.col("kept") - need + 1)
-    return with_group(short.select("set_id", "n", "kept", "r", "s"), label)
+    return ranked.where(F.col("r") <= F.col("kept") - need + 1).select("set_id", "n", "kept", "r", "s")
 
 
 def with_group(rows: DataFrame, label: DataFrame) -> DataFrame:
@@ -138,14 +137,13 @@ def with_group(rows: DataFrame, label: DataFrame) -> DataFrame:
 
 def set_edges(sets: DataFrame) -> DataFrame:
     """Pairs ``u > v`` of similar sets that connect all similar sets."""
-    edges = trie_edges(sets)
-    found = stored(probes(sets, components(edges)), "probes")
-    # first one set for each shingle, that of the fewest shingles of its own, with those of other groups
-    first = found.groupBy("s").agg(F.max_by(F.struct("set_id", "n", "kept", "r", "c"), F.struct(F.col("kept") / F.col("n"), "set_id")).alias("p"))
-    star = found.join(first, "s").where((F.col("c") != F.col("p.c")) & can_match("", "p.")).select(*pair("set_id", "p.set_id")).distinct()
-    edges = edges.unionByName(stored(similar(star, sets), "star-edges"))
+    found = stored(probes(sets), "probes")
+    # first one set for each shingle, that of the fewest shingles of its own, with all others
+    first = found.groupBy("s").agg(F.max_by(F.struct("set_id", "n", "kept", "r"), F.struct(F.col("kept") / F.col("n"), "set_id")).alias("p"))
+    star = found.join(first, "s").where((F.col("set_id") != F.col("p.set_id")) & can_match("", "p.")).select(*pair("set_id", "p.set_id"))
+    edges = stored(similar(star.union(trie_pairs(sets)).distinct(), sets), "first-edges")
     # then sets that this has left apart, with each other
-    rows = stored(with_group(found.drop("c"), components(edges)), "labelled-probes")
+    rows = stored(with_group(found, components(edges)), "labelled-probes")
     apart = rows.groupBy("s").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("s")
     rows = stored(rows.join(apart, "s", "left_semi"), "apart")
     both = rows.alias("a").join(rows.alias("b"), (F.col("a.s") == F.col("b.s")) & (F.col("a.c") < F.col("b.c")) & can_match("a.", "b."))
@@ -153,6 +151,7 @@ def set_edges(sets: DataFrame) -> DataFrame:
     return edges.unionByName(stored(similar(rest, sets), "other-edges"))
 
 
+@scratched("near-copies")
 def near_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, mark, group_id`` for every row of ``docs`` with an id; ``mark`` is a hash of the text, a
     group is named by one of its sets."""
@@ -170,7 +169,7 @@ def near_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 def without_near_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, but one of each group alone: that of the smallest id and,
     if texts of one id differ, of the smallest hash of its text."""
-    found = stored(near_copies(docs, id_col=id_col, text_col=text_col), "near-copies")
+    found = near_copies(docs, id_col=id_col, text_col=text_col)
     rows = stored(found.groupBy("doc_id", "mark").agg(F.min("group_id").alias("group_id"), F.count(F.lit(1)).alias("rows")), "marked")
     heads = rows.groupBy("group_id").agg(F.min(F.struct("doc_id", "mark")).alias("head"), F.count(F.lit(1)).alias("size"))
     own = F.struct("doc_id", "mark") == F.col("head")

@@ -2,28 +2,16 @@
 
 from __future__ import annotations
 
-import gc
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.storage import shared_dir, shared_path, stored
 
-__all__ = ["WORD_SPACE", "byte_slices", "packed", "release_shuffles", "shared_dir", "shared_path", "stored"]
+__all__ = ["WORD_SPACE", "byte_slices", "packed", "shared_dir", "shared_path", "stored"]
 
 WORD_SPACE = r"[\x20\x09-\x0D]+"
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of steps whose results are stored.
-
-    They go once the driver's JVM has collected the objects that stand for them, which on an idle
-    driver can take half an hour; so it is asked to collect now.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def packed(docs: DataFrame) -> DataFrame:
     """``row``: each row as one struct, so that no name of its columns can clash with another."""
     return docs.select(F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in docs.columns]).alias("row"))
