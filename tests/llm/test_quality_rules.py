@@ -50,3 +50,13 @@ def test_cheap_rules_that_reject_come_first(spark):
     slow_rule = F.length(F.repeat(F.regexp_replace("text", "(w|o)(r|x)*", "zz"), 200)) > 0
     rules = [q.Rule("never", F.col("n_words") < 0), q.Rule("dear", slow_rule), q.Rule("cheap", F.col("n_words") > 3)]
     assert [r.name for r in q.ordered_rules(df, rules)] == ["cheap", "dear", "never"]
+
+
+def test_costs_are_those_of_evaluation(spark):
+    df = spark.createDataFrame([(i, f"{i} " + "word " * 200) for i in range(300)], "doc_id long, text string")
+    work = lambda n: F.length(F.regexp_replace(F.repeat("text", n), "(w|o)(r|x)*", "zz")) < 0
+    rules = [q.Rule("little", work(1)), q.Rule("much", work(20)), q.Rule("even", F.col("n_words") % 2 == 0), q.Rule("null", F.lit(None).cast("boolean"))]
+    known = q.estimates(df, rules)
+    assert known["much"][0] > 5 * known["little"][0] > 5 * known["even"][0] > 0
+    assert {k: v[1] for k, v in known.items()} == {"little": 0, "much": 0, "even": 0, "null": 0}
+    assert q.ordered_rules(df.limit(0), rules) == rules and q.ordered_rules(df, []) == []
