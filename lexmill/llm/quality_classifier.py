@@ -4,7 +4,8 @@ A document is the average of learned vectors of its words and character n-grams,
 into buckets; a softmax layer on that average gives the score. Vectors and layer are trained
 together by stochastic gradient descent in numpy, on at most ``sample_docs`` labelled documents
 chosen by a hash of the id. Executors turn the sampled texts into bucket counts, which bounds what
-reaches the driver by sample size times buckets whatever the texts' lengths are.
+reaches the driver by sample size times buckets whatever the texts' lengths are, and the sample holds
+as many texts as ``sample_docs`` at most, even where documents repeat an id.
 
 Since average and layer are linear up to the softmax, the trained model folds into one weight per
 bucket, and scoring is one Arrow pass without a shuffle, over whole texts.
@@ -121,10 +122,10 @@ def train(rows: list[tuple[int, np.ndarray, np.ndarray]], *, epochs: int = EPOCH
             pull = error @ model.layer.T
             model.layer -= now * mean.T @ error / len(batch)
             model.bias -= now * error.mean(axis=0) * 0.1
-            # each row's gradient spreads over its buckets by their share; summed per bucket first
+            # each row's gradient spreads over its buckets by their share, summed per bucket of the batch
             change = np.repeat(pull, sizes, axis=0) * weights[:, None]
-            for d in range(DIMENSIONS):
-                model.vectors[:, d] -= now * np.bincount(ids, change[:, d], BUCKETS)
+            own, place = np.unique(ids, return_inverse=True)
+            model.vectors[own] -= now * np.stack([np.bincount(place, change[:, d], len(own)) for d in range(DIMENSIONS)], axis=1)
     return model
 
 
@@ -149,10 +150,25 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
 
     # at most sample_docs rows of two numbers: a bounded broadcast
     texts = docs.select(id_col, text_col).join(F.broadcast(chosen), id_col).select(id_col, "label", text_col)
+    # ids may repeat among the documents too
+    texts = texts.orderBy(F.xxhash64(id_col), id_col, "label", F.xxhash64(text_col)).limit(sample_docs)
     kind = docs.schema[id_col].dataType.simpleString()
-    found = texts.mapInArrow(count, f"doc_id {kind}, label int, ids array<int>, counts array<int>").toArrow().to_pylist()
-    found.sort(key=lambda r: (r["doc_id"], r["label"], r["ids"]))
-    return train([(r["label"], np.array(r["ids"], np.int64), np.array(r["counts"], np.float64)) for r in found])
+    found = texts.mapInArrow(count, f"doc_id {kind}, label int, ids array<int>, counts array<int>").toArrow()
+    return train(sampled_rows(found))
+
+
+def sampled_rows(found: pa.Table) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """Label, buckets and counts of each sampled text, in an order that doesn't depend on partitions;
+    the arrays are views of the table's."""
+    rows = []
+    for batch in found.to_batches():
+        lists = [batch.column(k) for k in ("ids", "counts")]
+        at = lists[0].offsets.to_numpy()
+        ids, counts = (x.values.to_numpy() for x in lists)
+        for i, (key, label) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("label").to_pylist(), strict=True)):
+            rows.append((key, label, ids[at[i] : at[i + 1]], counts[at[i] : at[i + 1]]))
+    rows.sort(key=lambda r: (r[0], r[1], r[2].tobytes(), r[3].tobytes()))
+    return [r[1:] for r in rows]
 
 
 def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -45,6 +45,85 @@ def test_scores_do_not_depend_on_slices(spark, monkeypatch):
     assert got[2] == got[5] and got[0] == got[1]
 
 
+def slow_train(rows, epochs, rate, seed):
+    """Stochastic gradient descent, one number at a time; the layer's and the bias's steps come first."""
+    rng = np.random.default_rng(seed)
+    vectors, layer, bias = (rng.uniform(-1, 1, (q.BUCKETS, q.DIMENSIONS)) / q.DIMENSIONS), [[0.0, 0.0] for _ in range(q.DIMENSIONS)], [0.0, 0.0]
+    steps, step = epochs * -(-len(rows) // q.BATCH), 0
+    for _ in range(epochs):
+        order = rng.permutation(len(rows))
+        for b in range(0, len(rows), q.BATCH):
+            now, step = rate * (1 - step / steps), step + 1
+            batch = [rows[i] for i in order[b : b + q.BATCH]]
+            layer_step, bias_step, vector_step = [[0.0, 0.0] for _ in range(q.DIMENSIONS)], [0.0, 0.0], {}
+            for label, ids, counts in batch:
+                total = sum(counts)
+                mean = [sum(c / total * vectors[i][d] for i, c in zip(ids, counts)) for d in range(q.DIMENSIONS)]
+                logits = [sum(mean[d] * layer[d][k] for d in range(q.DIMENSIONS)) + bias[k] for k in (0, 1)]
+                odds = [np.exp(x - max(logits)) for x in logits]
+                error = [odds[k] / sum(odds) - (k == label) for k in (0, 1)]
+                for d in range(q.DIMENSIONS):
+                    pull = sum(error[k] * layer[d][k] for k in (0, 1))
+                    for k in (0, 1):
+                        layer_step[d][k] += mean[d] * error[k] / len(batch)
+                    for i, c in zip(ids, counts):
+                        vector_step[i, d] = vector_step.get((i, d), 0.0) + pull * c / total
+                for k in (0, 1):
+                    bias_step[k] += error[k] / len(batch) * 0.1
+            for d in range(q.DIMENSIONS):
+                for k in (0, 1):
+                    layer[d][k] -= now * layer_step[d][k]
+            bias = [bias[k] - now * bias_step[k] for k in (0, 1)]
+            for (i, d), x in vector_step.items():
+                vectors[i][d] -= now * x
+    return vectors, layer, bias
+
+
+def test_training_is_plain_gradient_descent():
+    rng = np.random.default_rng(3)
+    rows = []
+    for _ in range(40):
+        ids = np.sort(rng.choice(60, rng.integers(1, 12), replace=False))
+        rows.append((int(ids[0] % 2), ids.astype(np.int64), rng.integers(1, 5, len(ids)).astype(np.float64)))
+    model = q.train([*rows, (1, np.zeros(0, np.int64), np.zeros(0))], epochs=3, rate=0.7, seed=5)
+    vectors, layer, bias = slow_train(rows, 3, 0.7, 5)
+    assert np.allclose(model.vectors, vectors) and np.allclose(model.layer, layer) and np.allclose(model.bias, bias)
+
+
+def test_gradients_are_those_of_the_loss():
+    rows = [(1, np.array([2, 5]), np.array([1.0, 3.0])), (0, np.array([5, 9]), np.array([2.0, 2.0]))]
+
+    def loss(m):
+        out = 0.0
+        for label, ids, counts in rows:
+            logits = (counts / counts.sum()) @ m.vectors[ids] @ m.layer + m.bias
+            out -= logits[label] - np.log(np.exp(logits).sum())
+        return out / len(rows)
+
+    # the first step leaves the vectors alone, as the layer is zero: two steps tell the layer's change
+    small = 1e-4
+    before = q.train(rows, epochs=1, rate=0.0, seed=1)
+    after = q.train(rows, epochs=1, rate=small, seed=1)
+    for d in range(q.DIMENSIONS):
+        for k in (0, 1):
+            up = q.Model(before.vectors, before.layer.copy(), before.bias)
+            up.layer[d, k] += 1e-5
+            slope = (loss(up) - loss(before)) / 1e-5
+            assert (after.layer - before.layer)[d, k] == pytest.approx(-small * slope, abs=1e-9)
+
+
+def test_repeated_ids_stay_within_the_sample(spark):
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(50)] + [(2, "b")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (2, 0)], "doc_id long, quality int")
+    seen = []
+    q_train, q.train = q.train, lambda rows, **k: seen.extend(rows) or q_train(rows, **k)
+    try:
+        q.fit(docs, labels, sample_docs=10)
+    finally:
+        q.train = q_train
+    assert len(seen) == 10
+
+
 def test_nothing_to_learn(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     labels = spark.createDataFrame([(1, None, 0)], "doc_id long, quality int, toxic int")
