@@ -2,8 +2,9 @@
 
 Records with equal payloads of at least ``REVISIT_BYTES`` are stored once: the one with the largest
 id is the response, the others are revisits that name it. The winners come from a pre-aggregated
-minimum per digest; rows of a digest are joined to it under a salt, so that a payload which a third
-of all rows share is spread over tasks, and only digests that repeat are replicated.
+maximum per digest. Rows learn theirs by a broadcast where a payload has more than a thousandth of
+all rows, so that such rows are never gathered, and by a shuffle otherwise; records under the bound
+are not looked up.
 
 A task trains a dictionary on its first records, writes it as a skippable frame, then compresses
 each record as a frame of its own, which a reader that knows the offset can open alone. Files go to
@@ -28,10 +29,11 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexmill.operators.keyed import lookup
+
 from .shared import shared_path, stored
 
 REVISIT_BYTES = 1000
-SALTS = 16
 DICTIONARY_BYTES, TRAINING_BYTES, TRAINING_RECORDS = 64_000, 6_000_000, 2000
 FILE_BYTES = 256_000_000
 #: Fixed value: the magic number of the skippable frame that holds a dictionary.
@@ -40,18 +42,21 @@ READ_BYTES = 1 << 20
 
 
 def classify(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> DataFrame:
-    """``page_id, url, payload, payload_digest, record_type, refers_to``; a revisit keeps no payload."""
+    """``page_id, url, payload, payload_bytes, payload_digest, record_type, refers_to``; a revisit keeps
+    no payload."""
     payload = F.coalesce(F.encode(F.col(payload_col), "UTF-8"), F.lit(b""))
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), payload.alias("payload"))
-    rows = rows.withColumns({"payload_bytes": F.octet_length("payload").cast("long"), "payload_digest": F.sha1("payload"), "key": F.sha2("payload", 256)})
-    large = rows.where(F.col("payload_bytes") >= REVISIT_BYTES)
-    winners = large.groupBy("key").agg(F.max("page_id").alias("winner"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "winner")
-    winners = winners.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
-    joined = salted.join(winners, ["key", "salt"], "left")
+    rows = rows.withColumn("payload_bytes", F.octet_length("payload").cast("long"))
+    is_large = F.col("payload_bytes") >= REVISIT_BYTES
+    large = rows.where(is_large).withColumn("key", F.sha2("payload", 256))
+    repeated = large.groupBy("key").agg(F.max("page_id").alias("winner"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    repeated = stored(repeated, "repeated-payloads")
+    # small records aren't looked up at all, records of very common payloads without a shuffle
+    known = lookup(large, repeated, "key", "n", pages.count(), "left").drop("key")
+    every = known.unionByName(rows.where(~is_large).withColumn("winner", F.lit(None).cast("long")))
     revisit = F.col("winner").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("winner"))
-    return joined.select(
-        "page_id", "url", F.when(~revisit, F.col("payload")).alias("payload"), "payload_bytes", "payload_digest",
+    return every.select(
+        "page_id", "url", F.when(~revisit, F.col("payload")).alias("payload"), "payload_bytes", F.sha1("payload").alias("payload_digest"),
         F.when(revisit, "revisit").otherwise("response").alias("record_type"), F.when(revisit, F.col("winner")).alias("refers_to"),
     )
 
