@@ -32,7 +32,7 @@ OPEN, ROLE_END, CLOSE = "<s>[INST] ", " [/INST]", "</s>"
 #: Strings that mark turns; each begins with "<" or "[".
 CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]")
 LOSS_ROLE = "assistant"
-BATCH_BYTES = 16_000_000
+BATCH_BYTES, LONG_BYTES = 4_000_000, 65_536
 ESCAPED = re.compile(r"\\(.)", re.DOTALL)
 
 
@@ -59,7 +59,8 @@ def assemble(parts: list[pa.Array]) -> tuple[pa.Array, list[np.ndarray]]:
     """Row-wise concatenation of string columns, and where each column's segments begin in rows.
 
     All segments of the batch are scattered into one buffer: a segment's destination is the row's
-    offset plus the lengths of the row's earlier segments.
+    offset plus the lengths of the row's earlier segments. Indices of bytes are made for segments of
+    up to ``LONG_BYTES``; a longer one is copied as the range that it is.
     """
     pieces = [buffers(p) for p in parts]
     lengths = np.stack([np.diff(at) for at, _ in pieces])
@@ -68,9 +69,12 @@ def assemble(parts: list[pa.Array]) -> tuple[pa.Array, list[np.ndarray]]:
     offsets = np.concatenate(([0], ends))
     out = np.empty(int(offsets[-1]), np.uint8)
     for (at, data), size, begin in zip(pieces, lengths, begins, strict=True):
-        total = int(size.sum())
-        inside = np.arange(total) - np.repeat(np.cumsum(size) - size, size)
-        out[np.repeat(offsets[:-1] + begin, size) + inside] = data[np.repeat(at[:-1], size) + inside]
+        to, source = offsets[:-1] + begin, at[:-1]
+        for i in np.flatnonzero(size > LONG_BYTES).tolist():
+            out[to[i] : to[i] + size[i]] = data[source[i] : source[i] + size[i]]
+        size = np.where(size > LONG_BYTES, 0, size)
+        inside = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        out[np.repeat(to, size) + inside] = data[np.repeat(source, size) + inside]
     array = pa.LargeStringArray.from_buffers(len(ends), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(out))
     return array.cast(pa.string()), list(begins)
 

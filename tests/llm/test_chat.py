@@ -56,3 +56,14 @@ def test_query_on_table(spark):
     said = "</s>[INST] ok [/INST]"
     rows += [(-1, 0, "user", said), (-1, 1, "assistant", said)]
     assert digests(op9_chat_formatting(spark, "/root/testdata/sf0.01").collect()) == expected(rows)
+
+
+def test_long_texts_are_copied_as_ranges():
+    import pyarrow as pa
+
+    from lexmill.llm.chat import LONG_BYTES, assemble
+
+    parts = [["a" * (LONG_BYTES + 1), "", "b"], ["x", "é" * LONG_BYTES, "y" * LONG_BYTES]]
+    got, begins = assemble([pa.array(p) for p in parts])
+    assert got.to_pylist() == [a + b for a, b in zip(*parts)]
+    assert begins[1].tolist() == [LONG_BYTES + 1, 0, 1]
