@@ -9,7 +9,8 @@ The model learns from a bounded sample: about ``sample_docs`` documents of each
 a hash of the id. Counts are gathered as hashed buckets, so the model's size depends on the number
 of languages alone. Prediction is one Arrow pass without a shuffle. Viterbi runs over blocks of
 words in lock step: transfer scores of whole blocks are chained, then each block is run from its
-exact start, so long texts take no longer per word and get the exact best path.
+exact start, so long texts take no longer per word and get the exact best path. A text of many slices
+is run slice by slice, and keeps a byte for each word and language for the way back.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0 and no spans, so is
 any text if there was nothing to learn from; equal scores go to the first language by name;
@@ -36,7 +37,7 @@ SWITCH_PENALTY = 12.0
 #: A language is a candidate for a script from this share of its letters on.
 SCRIPT_SHARE = 0.01
 BLOCK_WORDS = 512
-SLICE_CHARS = 1_000_000
+SLICE_CHARS = 500_000
 IMPOSSIBLE = -1e9
 
 #: First code points of ranges and the script that starts there.
@@ -152,121 +153,190 @@ def sliced(text: str) -> Iterator[str]:
     yield text[start:]
 
 
+class Lattice:
+    """Words of several texts with their scores: back pointers of the best paths, from given starts.
+
+    Words lie in blocks of ``block``, which are run in lock step. ``start`` has the value of each state
+    before each text's first word; ``end`` that after its last, which the text's next slice starts from.
+    """
+
+    def __init__(self, scores: np.ndarray, counts: np.ndarray, start: np.ndarray, penalty: float, block: int):
+        n_lang = scores.shape[1]
+        self.doc = doc = np.repeat(np.arange(len(counts)), -(-counts // block))
+        self.number = number = np.arange(len(doc)) - np.searchsorted(doc, doc)
+        self.begin = begin = (np.cumsum(counts) - counts)[doc] + number * block
+        self.length = np.minimum(block, counts[doc] - number * block)
+        self.stay = stay = np.arange(n_lang, dtype=np.int8 if n_lang < 128 else np.int16)
+        last = np.append(doc[1:] != doc[:-1], True)[: len(doc)]
+        # scores from each state before a block to each state at its end
+        order, active = self.lanes(np.flatnonzero(~last))
+        carry = np.full((len(doc), n_lang, n_lang), IMPOSSIBLE)
+        carry[:, np.arange(n_lang), np.arange(n_lang)] = 0
+        for t, k in enumerate(active):
+            now = order[:k]
+            c = carry[now]
+            carry[now] = scores[begin[now] + t][:, None, :] + np.maximum(c, c.max(axis=2, keepdims=True) - penalty)
+        value = start[doc].astype(float)
+        for j in range(1, int(number.max(initial=0)) + 1):
+            at = np.flatnonzero(number == j)
+            value[at] = (value[at - 1][:, :, None] + carry[at - 1]).max(axis=1)
+            value[at] -= value[at].max(axis=1, keepdims=True)
+        # each block from its exact start, with the state before each word for each state at it
+        order, active = self.lanes(np.arange(len(doc)))
+        self.back = np.zeros((len(scores), n_lang), stay.dtype)
+        for t, k in enumerate(active):
+            now = order[:k]
+            v = value[now]
+            top = v.argmax(axis=1)
+            moved = np.take_along_axis(v, top[:, None], axis=1) - penalty
+            self.back[begin[now] + t] = np.where(v >= moved, stay, top[:, None])
+            value[now] = scores[begin[now] + t] + np.maximum(v, moved)
+        self.end = start.astype(float)
+        self.end[doc[last]] = value[last] - value[last].max(axis=1, keepdims=True)
+
+    def lanes(self, which: np.ndarray) -> tuple[np.ndarray, list[int]]:
+        """Blocks by falling length, and how many are at work at each step."""
+        order = which[np.argsort(-self.length[which], kind="stable")]
+        sizes = self.length[order]
+        return order, [int(x) for x in np.searchsorted(-sizes, -np.arange(1, int(sizes[0]) + 1), side="right")] if len(order) else []
+
+    def labels(self, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The state of each word, given that at the end of each text, and that before each text."""
+        doc, number, begin, length, back = self.doc, self.number, self.begin, self.length, self.back
+        out, first = np.zeros(len(back), self.stay.dtype), last.astype(self.stay.dtype)
+        if not len(doc):
+            return out, first
+        # states before each block for each state at its end, then the states at the ends
+        order, active = self.lanes(np.flatnonzero(number > 0))
+        before = np.tile(self.stay, (len(doc), 1))
+        for t, k in enumerate(active):
+            now = order[:k]
+            before[now] = np.take_along_axis(back[begin[now] + length[now] - 1 - t], before[now], axis=1)
+        state = first[doc]
+        for j in range(int(number.max()), 0, -1):
+            at = np.flatnonzero(number == j)
+            state[at - 1] = before[at, state[at]]
+        order, active = self.lanes(np.arange(len(doc)))
+        for t, k in enumerate(active):
+            now = order[:k]
+            at = begin[now] + length[now] - 1 - t
+            out[at] = state[now]
+            state[now] = back[at, state[now]]
+        first[doc[number == 0]] = state[number == 0]
+        return out, first
+
+
 def best_path(scores: np.ndarray, counts: np.ndarray, penalty: float = SWITCH_PENALTY, block: int = BLOCK_WORDS) -> np.ndarray:
     """The language of each word of several texts: the path of the highest sum of word scores
     less ``penalty`` for each switch. ``counts`` has the number of words of each text."""
-    n_lang = scores.shape[1]
-    labels = np.zeros(len(scores), np.int16)
-    if not len(scores) or n_lang < 2:
-        return labels
-    doc = np.repeat(np.arange(len(counts)), -(-counts // block))
-    number = np.arange(len(doc)) - np.searchsorted(doc, doc)
-    begin = (np.cumsum(counts) - counts)[doc] + number * block
-    length = np.minimum(block, counts[doc] - number * block)
-    last = np.append(doc[1:] != doc[:-1], True)
-
-    def lanes(which: np.ndarray) -> tuple[np.ndarray, list[int]]:
-        """Lanes by falling length, and how many are at work at each step."""
-        order = which[np.argsort(-length[which], kind="stable")]
-        sizes = length[order]
-        return order, [int(x) for x in np.searchsorted(-sizes, -np.arange(1, int(sizes[0]) + 1), side="right")] if len(order) else []
+    if not len(scores) or scores.shape[1] < 2:
+        return np.zeros(len(scores), np.int8)
+    lattice = Lattice(scores, counts, np.zeros((len(counts), scores.shape[1])), penalty, block)
+    return lattice.labels(lattice.end.argmax(axis=1))[0]
 
-    # scores from each state before a block to each state at its end
-    order, active = lanes(np.flatnonzero(~last))
-    carry = np.full((len(doc), n_lang, n_lang), IMPOSSIBLE)
-    carry[:, np.arange(n_lang), np.arange(n_lang)] = 0
-    for t, k in enumerate(active):
-        now = order[:k]
-        c = carry[now]
-        carry[now] = scores[begin[now] + t][:, None, :] + np.maximum(c, c.max(axis=2, keepdims=True) - penalty)
-    value = np.zeros((len(doc), n_lang))
-    for j in range(1, int(number.max()) + 1):
-        at = np.flatnonzero(number == j)
-        value[at] = (value[at - 1][:, :, None] + carry[at - 1]).max(axis=1)
-        value[at] -= value[at].max(axis=1, keepdims=True)
-    # each block from its exact start, with the state before each word for each state at it
-    order, active = lanes(np.arange(len(doc)))
-    back = np.zeros((len(scores), n_lang), np.int16)
-    stay = np.arange(n_lang, dtype=np.int16)
-    for t, k in enumerate(active):
-        now = order[:k]
-        v = value[now]
-        top = v.argmax(axis=1)
-        moved = np.take_along_axis(v, top[:, None], axis=1) - penalty
-        back[begin[now] + t] = np.where(v >= moved, stay, top[:, None])
-        value[now] = scores[begin[now] + t] + np.maximum(v, moved)
-    # states before each block for each state at its end, then the states at the ends
-    order, active = lanes(np.flatnonzero(number > 0))
-    before = np.tile(stay, (len(doc), 1))
-    for t, k in enumerate(active):
-        now = order[:k]
-        before[now] = np.take_along_axis(back[begin[now] + length[now] - 1 - t], before[now], axis=1)
-    state = value.argmax(axis=1).astype(np.int16)
-    for j in range(int(number.max()), 0, -1):
-        at = np.flatnonzero(number == j)
-        state[at - 1] = before[at, state[at]]
-    order, active = lanes(np.arange(len(doc)))
-    for t, k in enumerate(active):
-        now = order[:k]
-        at = begin[now] + length[now] - 1 - t
-        labels[at] = state[now]
-        state[now] = back[at, state[now]]
-    return labels
-
-
-def label_texts(texts: list[str], model: Model) -> list[tuple[str, float, list[tuple[int, int, str]]]]:
-    """Language, score and spans of each text; spans hold first and end character."""
-    starts, ends, found, letter, counts = [], [], [], [], []
-    for text in texts:
-        offset, n = 0, 0
-        for part in sliced(text):
-            words = words_of(part)
-            starts.append(words.start + offset)
-            ends.append(words.end + offset)
-            found.append(model.scores(words))
-            letter.append(words.has_letter)
-            n, offset = n + len(words.start), offset + len(part)
-        counts.append(n)
-    counts = np.array(counts, np.int64)
-    start, end, scores, letter = (np.concatenate(x) for x in (starts, ends, found, letter))
-    labels = best_path(scores, counts)
-    out, first = [], 0
-    for n in counts.tolist():
-        part = slice(first, first + n)
-        first += n
-        if not model.langs or not letter[part].any():
-            out.append((UNDETERMINED, 0.0, []))
+
+@dataclass
+class Labels:
+    """Language (a place among the model's, or -1) and score of texts, and their spans one after
+    another: how many each text has, first and end characters, languages."""
+
+    lang: np.ndarray
+    score: np.ndarray
+    spans: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+    of: np.ndarray
+
+    @staticmethod
+    def joined(parts: list[Labels]) -> Labels:
+        none = Labels(*(np.zeros(0, t) for t in (np.int64, float, np.int64, np.int64, np.int64, np.int64)))
+        return Labels(*(np.concatenate([getattr(p, k) for p in [none, *parts]]) for k in none.__dataclass_fields__))
+
+
+def summed_up(words: list[np.ndarray], counts: np.ndarray, n_lang: int) -> Labels:
+    """Languages, scores and spans from words' first and end characters, letters and labels."""
+    start, end, letter, own = words
+    doc = np.repeat(np.arange(len(counts)), counts)
+    mass = np.bincount(doc * n_lang + own, weights=end - start, minlength=len(counts) * n_lang).reshape(-1, n_lang)
+    known = np.bincount(doc, weights=letter, minlength=len(counts)) > 0
+    kept = known[doc]
+    doc, own, start, end = doc[kept], own[kept], start[kept], end[kept]
+    begins = np.flatnonzero(np.append(True, (np.diff(doc) != 0) | (np.diff(own) != 0))[: len(doc)])
+    ends = np.append(begins[1:], len(doc))[: len(begins)] - 1
+    with np.errstate(invalid="ignore"):
+        share = np.where(known, mass.max(axis=1) / mass.sum(axis=1), 0.0)
+    spans = np.bincount(doc[begins], minlength=len(counts))
+    return Labels(np.where(known, mass.argmax(axis=1), -1), share, spans, start[begins], end[ends], own[begins].astype(np.int64))
+
+
+def label_texts(texts: list[str], model: Model) -> Labels:
+    """Languages and spans of texts that are short together."""
+    if not model.langs:
+        none = np.zeros(len(texts), np.int64)
+        return Labels(none - 1, none.astype(float), none, none[:0], none[:0], none[:0])
+    found = [words_of(text) for text in texts]
+    counts = np.array([len(w.start) for w in found], np.int64)
+    own = best_path(np.concatenate([model.scores(w) for w in found]), counts)
+    return summed_up([*(np.concatenate([getattr(w, k) for w in found]) for k in ("start", "end", "has_letter")), own], counts, len(model.langs))
+
+
+def label_long_text(text: str, model: Model) -> Labels:
+    """As ``label_texts``, for one text, slice by slice: of a slice that is done, the back pointers, a
+    byte for each word and language, and the words' places are left."""
+    if len(model.langs) < 2:
+        return label_texts([text], model)
+    held, start, offset = [], np.zeros((1, len(model.langs))), 0
+    for part in sliced(text):
+        words = words_of(part)
+        lattice = Lattice(model.scores(words), np.array([len(words.start)]), start, SWITCH_PENALTY, BLOCK_WORDS)
+        start = lattice.end
+        held.append((lattice, words.start + offset, words.end + offset, words.has_letter))
+        offset += len(part)
+    state, labels = start.argmax(axis=1), []
+    for lattice, *_ in reversed(held):
+        own, state = lattice.labels(state)
+        labels.append(own)
+    count = np.array([sum(len(x) for x in labels)], np.int64)
+    return summed_up([*(np.concatenate([h[k] for h in held]) for k in (1, 2, 3)), np.concatenate(labels[::-1])], count, len(model.langs))
+
+
+def labelled(column: pa.Array, model: Model) -> Labels:
+    """Labels of a column of texts, in batches of bounded length."""
+    out: list[Labels] = []
+    held, size = [], 0
+
+    def settle() -> None:
+        nonlocal held, size
+        if held:
+            out.append(label_texts(held, model))
+        held, size = [], 0
+
+    for value in column:
+        text = value.as_py() or ""
+        if len(text) > SLICE_CHARS:
+            settle()
+            out.append(label_long_text(text, model))
             continue
-        own, sizes = labels[part], end[part] - start[part]
-        mass = np.bincount(own, weights=sizes, minlength=len(model.langs))
-        cuts = np.concatenate(([0], np.flatnonzero(np.diff(own)) + 1, [n]))
-        spans = [(int(start[part][a]), int(end[part][b - 1]), model.langs[own[a]]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-        out.append((model.langs[int(mass.argmax())], float(mass.max() / mass.sum()), spans))
-    return out
+        held.append(text)
+        size += len(text)
+        if size > SLICE_CHARS:
+            settle()
+    settle()
+    return Labels.joined(out)
 
 
 def identify(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", spans: bool = True) -> DataFrame:
     """``doc_id, lang_pred, score`` and, if wanted, ``spans`` of each row."""
+    names = pa.array([*model.langs, UNDETERMINED])
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple] = []
-            held, size = [], 0
-            for text in batch.column(1):
-                held.append(text.as_py() or "")
-                size += len(held[-1])
-                if size > SLICE_CHARS:
-                    out += label_texts(held, model)
-                    held, size = [], 0
-            if held:
-                out += label_texts(held, model)
-            columns = [batch.column(0), pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.float64())]
-            names = ["doc_id", "lang_pred", "score"]
+            found = labelled(batch.column(1), model)
+            columns = {"doc_id": batch.column(0), "lang_pred": names.take(pa.array(np.where(found.lang < 0, len(model.langs), found.lang))), "score": pa.array(found.score)}
             if spans:
-                kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))
-                columns.append(pa.array([[dict(zip(("start", "end", "lang"), s, strict=True)) for s in x[2]] for x in out], kind))
-                names.append("spans")
-            yield pa.RecordBatch.from_arrays(columns, names)
+                ends = np.concatenate(([0], np.cumsum(found.spans))).astype(np.int32)
+                columns["spans"] = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([pa.array(found.start), pa.array(found.end), names.take(pa.array(found.of))], ["start", "end", "lang"]))
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"doc_id {kind}, lang_pred string, score double" + ", spans array<struct<start:long,end:long,lang:string>>" * spans
@@ -279,15 +349,7 @@ def with_language(docs: DataFrame, model: Model, least_score: float, *, text_col
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found, held, size = [], [], 0
-            for text in batch.column(at):
-                held.append(text.as_py() or "")
-                size += len(held[-1])
-                if size > SLICE_CHARS:
-                    found += label_texts(held, model)
-                    held, size = [], 0
-            if held:
-                found += label_texts(held, model)
-            yield batch.filter(pa.array([lang != UNDETERMINED and score >= least_score for lang, score, _ in found], pa.bool_()))
+            found = labelled(batch.column(at), model)
+            yield batch.filter(pa.array((found.lang >= 0) & (found.score >= least_score)))
 
     return docs.mapInArrow(keep, docs.schema)

@@ -40,13 +40,15 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's language, learnt from the documents that aren't held out."""
+    """Every document's language and the spans of languages in it, as ``lang:start:end`` by code points,
+    learnt from the documents that aren't held out."""
     from .langid import fit, identify
 
     docs = table(spark, sf_dir, "documents")
     fold = F.crc32(F.col("doc_id").cast("string")) % 5
-    found = identify(docs, fit(docs.where(fold != 0)), spans=False)
-    return found.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
+    found = identify(docs, fit(docs.where(fold != 0)))
+    spans = F.array_join(F.transform("spans", lambda x: F.concat_ws(":", x["lang"], x["start"], x["end"])), ",")
+    return found.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"), spans.alias("spans"))
 
 
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
