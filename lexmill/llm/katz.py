@@ -108,6 +108,30 @@ def whole(a: np.ndarray) -> np.ndarray:
     return a.astype(np.int64)
 
 
+def grouped(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct values, where each occurs, and each value's place among them.
+
+    Values that aren't negative and places fit into one number as a rule; sorting those is all it takes.
+    """
+    n = len(values)
+    if not n:
+        return values, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    bits = (n - 1).bit_length()
+    if int(values.max()).bit_length() + bits > 63:
+        return np.unique(values, return_index=True, return_inverse=True)
+    both = np.sort((values << bits) | np.arange(n))
+    at, ordered = both & ((1 << bits) - 1), both >> bits
+    new = np.append(True, ordered[1:] != ordered[:-1])
+    place = np.empty(n, np.int64)
+    place[at] = np.cumsum(new) - 1
+    return ordered[new], at[new], place
+
+
+def by_part(part: np.ndarray, parts: int) -> np.ndarray:
+    """A stable order of numbers below ``parts``."""
+    return np.argsort(part.astype(np.min_scalar_type(parts)), kind="stable")
+
+
 # --- messages -------------------------------------------------------------------------------
 
 MESSAGE = "part int, block string, path string, first long, size long, stats array<long>"
@@ -189,11 +213,15 @@ class Block:
             data = source.read()
         cut = 8 + int.from_bytes(data[:8], "little")
         self.keys = pa.ipc.open_stream(data[8:cut]).read_all().column("keys").combine_chunks()
-        held, counts, self.hashes, tokens = unpack(data[cut:])
-        self.held, self.counts, self.tokens = held.astype(bool), whole(counts), whole(tokens)
+        held, counts, hashes, tokens = unpack(data[cut:])
+        order = np.argsort(hashes)
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        # from here on words are in the order of their hashes, which is that of their numbers
+        self.hashes, self.tokens = hashes[order], rank[tokens]
+        self.held, self.counts = held.astype(bool), whole(counts)
         self.first = np.cumsum(self.counts) - self.counts
         self.learnt = np.repeat(~self.held, self.counts)
-        self.by_hash = np.argsort(self.hashes)
 
 
 def blocks(docs: DataFrame, folder: str, held: Column, *, id_col: str, text_col: str) -> DataFrame:
@@ -290,47 +318,60 @@ def word_ranges(hashes: np.ndarray, parts: int) -> np.ndarray:
 class Questions:
     """What a block asks about its n-grams of one order above the first.
 
-    ``distinct`` n-grams are pairs of a context, a place among the n-grams of the order below or
-    behind them for the start of a text, and a word. ``asked`` are those whose context and whose
-    shorter n-gram have counts. At each part there are contexts, ``run`` of which says how many asked
-    n-grams follow it there. A context ``wants`` its sums if a word follows it that isn't asked
-    about, or if it is spread, so that each of its places is asked.
+    Distinct n-grams are pairs of a context, a place among the n-grams of the order below or
+    behind them for the start of a text, and a word, in the order of their numbers. ``asked`` are those
+    whose context and whose shorter n-gram have counts, part by part. At each part there are contexts,
+    ``run`` of which says how many asked n-grams follow it there. A context ``wants`` its sums if a word
+    follows it that isn't asked about, or if it is spread, so that each of its places is asked.
     """
 
     def __init__(self, block: Block, words: Grams, lower: Grams, learnt_docs: int, parts: int, spread: int):
         n_words, n_lower = len(words.count), len(lower.count)
-        context = np.empty(len(block.tokens), np.int64)
-        context[1:] = lower.place[:-1]
-        context[block.first] = n_lower
-        self.token_context = context
-        self.distinct, self.at, self.place = np.unique(context * n_words + block.tokens, return_index=True, return_inverse=True)
-        self.context, self.word = self.distinct // n_words, self.distinct % n_words
         self.context_count, number = np.append(lower.count, learnt_docs), np.append(lower.number, START)
+        # contexts in the order of their numbers, so that these rise
+        by_number = np.argsort(number)
+        rank = np.empty(n_lower + 1, np.int64)
+        rank[by_number] = np.arange(n_lower + 1)
+        self.token_context = np.empty(len(block.tokens), np.int64)
+        self.token_context[1:] = lower.place[:-1]
+        self.token_context[block.first] = n_lower
+        distinct, self.at, self.place = grouped(rank[self.token_context] * n_words + block.tokens)
+        self.size = len(distinct)
+        self.context, word = self.token_context[self.at], block.tokens[self.at]
         self.lower_count = lower.count[lower.place[self.at]]
         known = self.context_count[self.context] > 0
-        asked = known & (self.lower_count > 0)
+        is_asked = known & (self.lower_count > 0)
         lanes = np.maximum(1, -(-self.context_count // spread))
         self.norm = np.zeros(n_lower + 1, np.int64)
         self.norm[self.context] = lower.norm[self.at]
         wants = lanes > 1
-        wants[self.context[known & ~asked]] = True
-        # contexts in the order of their numbers, so that these rise inside a part
-        by_number = np.argsort(number, kind="stable")
-        rank = np.empty(n_lower + 1, np.int64)
-        rank[by_number] = np.arange(n_lower + 1)
-        # at each part: every lane of a known context
-        own = np.unique(self.context[known])
-        every = np.repeat(own, lanes[own])
-        lane = np.arange(len(every)) - np.repeat(np.cumsum(lanes[own]) - lanes[own], lanes[own])
-        at = np.unique(place_of(number[every], lane, parts) * (n_lower + 1) + rank[every])
-        at_part, self.at_context = at // (n_lower + 1), by_number[at % (n_lower + 1)]
+        wants[self.context[known & ~is_asked]] = True
+        # at each part: every lane of a known context, once
+        own = by_number[self.context_count[by_number] > 0]
+        own = own[np.bincount(self.context, minlength=n_lower + 1)[own] > 0]
+        every, wide = place_of(number[own], np.zeros(len(own), np.int64), parts) * (n_lower + 1) + rank[own], own[lanes[own] > 1]
+        if len(wide):
+            lane = np.concatenate([np.arange(1, n) for n in lanes[wide].tolist()])
+            again = np.repeat(wide, lanes[wide] - 1)
+            every = np.concatenate([every, place_of(number[again], lane, parts) * (n_lower + 1) + rank[again]])
+        every = np.sort(every)
+        every = every[np.append(True, every[1:] != every[:-1])[: len(every)]]
+        at_part, self.at_context = every // (n_lower + 1), by_number[every % (n_lower + 1)]
         self.wants, self.at_number = wants[self.at_context], number[self.at_context]
-        asked = np.flatnonzero(asked)
-        c, w = self.context[asked], words.number[self.word[asked]]
-        key = place_of(number[c], w % lanes[c], parts) * (n_lower + 1) + rank[c]
-        order = np.lexsort((w, key))
+        asked = np.flatnonzero(is_asked)
+        c, w = self.context[asked], words.number[word[asked]]
+        where = place_of(number, np.zeros(n_lower + 1, np.int64), parts)[c]
+        spread_out = lanes[c] > 1
+        where[spread_out] = place_of(number[c[spread_out]], w[spread_out] % lanes[c[spread_out]], parts)
+        order = by_part(where, parts)
         self.asked, self.asked_word = asked[order], w[order]
-        self.run = np.bincount(np.searchsorted(at, key[order]), minlength=len(at))
+        # runs: of a context that has one place only by that place, of others by part and rank
+        slot = np.zeros(n_lower + 1, np.int64)
+        slot[self.at_context] = np.arange(len(self.at_context))
+        slots = slot[c]
+        if len(wide):
+            slots[spread_out] = np.searchsorted(every, where[spread_out] * (n_lower + 1) + rank[c[spread_out]])
+        self.run = np.bincount(slots, minlength=len(at_part))
         self.context_bounds = np.searchsorted(at_part, np.arange(parts + 1))
         self.gram_bounds = np.concatenate(([0], np.cumsum(self.run)))[self.context_bounds]
 
@@ -384,9 +425,7 @@ class Climb:
         for p, (totals, at) in self.answers(1):
             count.append(whole(totals))
             number.append((p << PLACE_BITS) + np.cumsum(whole(at)))
-        out = Grams(block.tokens, np.empty(len(block.hashes), np.int64), np.empty(len(block.hashes), np.int64), np.full(len(block.tokens), self.model.discounts[0].norm if self.model.discounts else 0, np.int64))
-        out.count[block.by_hash], out.number[block.by_hash] = np.concatenate(count), np.concatenate(number)
-        return out
+        return Grams(block.tokens, np.concatenate(count), np.concatenate(number), np.full(len(block.tokens), self.model.discounts[0].norm, np.int64))
 
     def questions(self, order: int, lower: Grams) -> Questions:
         return Questions(self.block, self.words, lower, self.model.learnt_docs, self.model.parts[order - 1], self.model.spread)
@@ -395,7 +434,7 @@ class Climb:
         """The n-grams of an order, with what was asked, and the weight of each context's backoff,
         which is right where it wants one."""
         q, discount = self.questions(order, lower), self.model.discounts[order - 1]
-        count, number = np.zeros((2, len(q.distinct)), np.int64)
+        count, number = np.zeros((2, q.size), np.int64)
         kept, chances, partial = np.zeros(len(q.context_count)), np.zeros(len(q.context_count)), np.zeros(len(q.context_count), bool)
         answers = dict(self.answers(order))
         for p, contexts, grams in q.parts():
@@ -441,10 +480,8 @@ def ask_words(manifest: DataFrame, folder: str, parts: int) -> DataFrame:
         for batch in batches:
             for name in batch.column(0).to_pylist():
                 block = Block(name)
-                own = np.bincount(block.tokens[block.learnt], minlength=len(block.hashes))[block.by_hash]
-                hashes = block.hashes[block.by_hash]
-                bounds = word_ranges(hashes, parts)
-                bodies = [(p, name, pack(hashes[a:b], own[a:b])) for p, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)) if b > a]
+                own, bounds = np.bincount(block.tokens[block.learnt], minlength=len(block.hashes)), word_ranges(block.hashes, parts)
+                bodies = [(p, name, pack(block.hashes[a:b], own[a:b])) for p, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)) if b > a]
                 yield from send(folder, bodies).to_batches()
 
     return manifest.select("block").mapInArrow(run, MESSAGE)
@@ -474,7 +511,7 @@ def ask_grams(told: DataFrame, folder: str, model: Model, n_blocks: int) -> Data
         block = Block(name)
         climb = Climb(block, model, rows)
         q = climb.questions(order, climb.top(order - 1))
-        own = np.bincount(q.place, block.learnt, len(q.distinct)).astype(np.int64)
+        own = np.bincount(q.place, block.learnt, q.size).astype(np.int64)
         return send(folder, [(p, name, body) for p, body in q.bodies(own)])
 
     return told.repartition(n_blocks, "block").groupBy("block").applyInArrow(run, MESSAGE)
@@ -486,12 +523,12 @@ def answer_grams(folder: str, lower: Discounts, last: bool, keep: str | None, or
 
     def run(rows: pa.Table) -> pa.Table:
         bodies, part = list(receive(rows)), rows.column("part")[0].as_py()
-        contexts, context_at = np.unique(np.concatenate([np.cumsum(whole(b[0])) for b in bodies]), return_inverse=True)
+        contexts, _, context_at = grouped(np.concatenate([np.cumsum(whole(b[0])) for b in bodies]))
         gram_context = np.repeat(context_at, np.concatenate([whole(b[3]) for b in bodies]))
         norms = np.ones(len(contexts), np.int64)
         norms[context_at] = np.concatenate([whole(b[2]) for b in bodies])
-        followers, follower_at = np.unique(np.concatenate([unsteps(b[4], whole(b[3])) for b in bodies]), return_inverse=True)
-        distinct, first, place = np.unique(gram_context * max(1, len(followers)) + follower_at, return_index=True, return_inverse=True)
+        followers, _, follower_at = grouped(np.concatenate([unsteps(b[4], whole(b[3])) for b in bodies]))
+        distinct, first, place = grouped(gram_context * max(1, len(followers)) + follower_at)
         totals = np.bincount(place, np.concatenate([whole(b[5]) for b in bodies]), len(distinct)).astype(np.int64)
         seen = totals > 0
         of, c = gram_context[first][seen], totals[seen]
