@@ -1,95 +1,117 @@
-"""Reconciliation of kept records with an answer key: one-to-one, greedily, volume by volume."""
+"""Reconciliation of kept records with an answer key: one-to-one, greedily, volume by volume.
+
+Pairs are made by joins: of one page first, then, of what that leaves, of one volume. Only scored
+pairs that reach their threshold go to a task together, where the greedy choice is made. Captions
+are compared once for each two that differ, however many records have them.
+"""
 
 from __future__ import annotations
 
-import difflib
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexmill.functions.arrow import sequence_ratio
 from lexmill.functions.text import match_key, match_tokens
+from lexmill.operators.resolve import can_reach
+from lexmill.storage import stored
 
 # Thresholds of captions on one page, in one volume, and of copies; the span.
 PAGE_NAME, VOLUME_NAME, COPY_NAME = 0.35, 0.72, 0.7
 FIRST_VOLUME, LAST_VOLUME = 2, 18
-DETAIL = "volume int, kind string, cluster_id long, page string, name string"
 
 
-def ratio(a: str, b: str, floor: float) -> float:
-    """The ratio of two strings if it reaches ``floor``, else 0: two cheap bounds spare most of them."""
-    if not a or not b or 2 * min(len(a), len(b)) < floor * (len(a) + len(b)):
-        return 0.0
-    matcher = difflib.SequenceMatcher(None, a, b)
-    if matcher.quick_ratio() < floor:
-        return 0.0
-    found = matcher.ratio()
-    return found if found >= floor else 0.0
+def token_share(wanted: str, found: str) -> Column:
+    """The share of the key's tokens that a record has, if the key has two or more, else 0."""
+    return F.when(F.size(wanted) >= 2, F.size(F.array_intersect(wanted, found)) / F.size(wanted)).otherwise(F.lit(0.0))
 
 
-def page_score(key: dict, kept: dict) -> float:
-    """Ratio, or the share of the key's tokens that the record has, if the key has two or more."""
-    found, wanted = ratio(key["match"], kept["match"], PAGE_NAME), set(key["tokens"])
-    return found if len(wanted) < 2 else max(found, len(wanted & set(kept["tokens"])) / len(wanted))
+def page_score(ratio: Column, wanted: str, found: str) -> Column:
+    """How well a key and a record of one page agree."""
+    return F.greatest(ratio, token_share(wanted, found))
 
 
-def match_volume(rows: pd.DataFrame) -> pd.DataFrame:
-    """Outcome of each row of a volume: matched, missing, residual_duplicate or anomaly.
+def with_ratio(pairs: DataFrame, a: str, b: str, floor: float) -> DataFrame:
+    """Adds ``ratio`` of two columns, 0 where it is below ``floor``."""
+    names = pairs.select(F.col(a).alias("a_"), F.col(b).alias("b_")).where(can_reach("a_", "b_", floor)).distinct()
+    scored = names.select(F.col("a_").alias(a), F.col("b_").alias(b), sequence_ratio("a_", "b_").alias("ratio")).where(F.col("ratio") >= floor)
+    return pairs.join(scored, [a, b], "left").withColumn("ratio", F.coalesce("ratio", F.lit(0.0)))
 
-    The best pairs of a page go first; keys left over then take, in their order, the most similar
-    record of the volume. What is left of the records is an extra: a copy, if its caption is like
-    a matched one's or its page has a match, else an anomaly.
-    """
-    keys = rows[rows["side"] == "key"].sort_values("ord").to_dict("records")
-    kept = rows[rows["side"] == "kept"].sort_values("ord").to_dict("records")
-    taken: dict[int, int] = {}
-    done: set[int] = set()
-    pages: set[str] = set()
-    pairs = [(page_score(k, c), i, j) for i, k in enumerate(keys) for j, c in enumerate(kept) if k["page"] == c["page"]]
-    for score, i, j in sorted(pairs, key=lambda p: -p[0]):
-        if score >= PAGE_NAME and i not in done and j not in taken:
-            taken[j] = i
-            done.add(i)
-            pages.add(keys[i]["page"])
-    for i, k in enumerate(keys):
-        if i in done:
-            continue
-        open_ = [(ratio(k["match"], c["match"], VOLUME_NAME), -j) for j, c in enumerate(kept) if j not in taken]
-        score, j = max(open_, default=(0.0, 0))
-        if score >= VOLUME_NAME:
-            taken[-j] = i
-            done.add(i)
-            pages.add(kept[-j]["page"])
-    named = [kept[j]["match"] for j in sorted(taken)]
-    out = []
-    for i, k in enumerate(keys):
-        out.append((k["volume"], "matched_key" if i in done else "missing", None, k["page"], k["name"]))
-    for j, c in enumerate(kept):
-        if j in taken:
-            kind = "matched"
-        else:
-            copy = c["page"] in pages or any(ratio(c["match"], n, COPY_NAME) for n in named)
-            kind = "residual_duplicate" if copy else "anomaly"
-        out.append((c["volume"], kind, c["cluster_id"], c["page"], c["name"]))
-    frame = pd.DataFrame(out, columns=["volume", "kind", "cluster_id", "page", "name"])
-    return frame.astype({"cluster_id": "Int64"})
+
+def one_to_one(pairs: DataFrame, by: list[str], *order: tuple[str, bool]) -> DataFrame:
+    """``volume, ord, cluster_id`` of the pairs that are taken one after another in ``order``, each
+    if both of its sides are still free. ``by`` names what pairs of one task share."""
+    names, up = [n for n, _ in order], [x for _, x in order]
+
+    def choose(rows: pd.DataFrame) -> pd.DataFrame:
+        keys, records, taken = set(), set(), []
+        for row in rows.sort_values(names, ascending=up, kind="stable").itertuples():
+            if row.ord not in keys and row.cluster_id not in records:
+                keys.add(row.ord)
+                records.add(row.cluster_id)
+                taken.append((row.volume, row.ord, row.cluster_id))
+        return pd.DataFrame(taken, columns=["volume", "ord", "cluster_id"])
+
+    return pairs.groupBy(*by).applyInPandas(choose, "volume int, ord long, cluster_id long")
 
 
 def outcomes(key: DataFrame, kept: DataFrame) -> DataFrame:
-    """``key(us_volume, page, name, ord)`` against ``kept(cluster_id, us_volume, us_page, case_name)``."""
-    shape = lambda df, side, page, name, ident, order: df.select(
-        F.col("us_volume").cast("int").alias("volume"), F.lit(side).alias("side"), F.coalesce(F.col(page).cast("string"), F.lit("")).alias("page"),
-        F.coalesce(name, F.lit("")).alias("name"), ident.alias("cluster_id"), F.col(order).cast("long").alias("ord"), match_key(name).alias("match"), match_tokens(name).alias("tokens"),
-    )
-    both = shape(key, "key", "page", "name", F.lit(None).cast("long"), "ord").unionByName(shape(kept, "kept", "us_page", "case_name", F.col("cluster_id").cast("long"), "cluster_id"))
-    return both.groupBy("volume").applyInPandas(match_volume, DETAIL)
+    """``volume, kind, cluster_id, page, name`` of every row of ``key(us_volume, page, name, ord)`` and
+    ``kept(cluster_id, us_volume, us_page, case_name)``.
+
+    Keys are matched_key or missing; records matched, residual_duplicate or anomaly. The best pairs
+    of a page go first, ties to the earlier key and the lower id; keys left over then take, in
+    their order, the most similar free record of the volume. A record left over is a copy, if its
+    page has a match or its caption is like a matched one's, else an anomaly. A key is named by its
+    ``ord``, which a volume has once.
+    """
+    shape = lambda page, name: [
+        F.col("us_volume").cast("int").alias("volume"), F.coalesce(F.col(page).cast("string"), F.lit("")).alias("page"),
+        F.coalesce(name, F.lit("")).alias("name"), match_key(name).alias("match"), match_tokens(name).alias("tokens"),
+    ]
+    keys = stored(key.select(*shape("page", "name"), F.col("ord").cast("long").alias("ord")), "keys")
+    records = stored(kept.select(*shape("us_page", "case_name"), F.col("cluster_id").cast("long").alias("cluster_id")), "records")
+    wanted = keys.select("volume", "page", "ord", F.col("match").alias("key_match"), F.col("tokens").alias("key_tokens"))
+    own = records.select("volume", "page", "cluster_id", "match", "tokens")
+
+    paged = with_ratio(wanted.join(own, ["volume", "page"]), "key_match", "match", PAGE_NAME)
+    paged = paged.select("volume", "page", "ord", "cluster_id", page_score(F.col("ratio"), "key_tokens", "tokens").alias("score")).where(F.col("score") >= PAGE_NAME)
+    first = stored(one_to_one(paged, ["volume", "page"], ("score", False), ("ord", True), ("cluster_id", True)), "matched-on-page")
+
+    left = wanted.join(first, ["volume", "ord"], "left_anti").select("volume", "ord", "key_match")
+    free = own.join(first, "cluster_id", "left_anti").select("volume", "cluster_id", "match")
+    wide = left.join(free, "volume").where(can_reach("key_match", "match", VOLUME_NAME))
+    wide = with_ratio(wide, "key_match", "match", VOLUME_NAME).where(F.col("ratio") >= VOLUME_NAME)
+    second = one_to_one(wide.select("volume", "ord", "cluster_id", "ratio"), ["volume"], ("ord", True), ("ratio", False), ("cluster_id", True))
+    taken = stored(first.unionByName(second), "matched")
+
+    named = own.join(taken.select("cluster_id"), "cluster_id", "left_semi")
+    pages = named.select("volume", "page").distinct()  # a match on a page has the key's page
+    extra = records.join(taken.select("cluster_id"), "cluster_id", "left_anti")
+    apart = extra.join(pages, ["volume", "page"], "left_anti").select("volume", "match").distinct()
+    like = apart.join(named.select("volume", F.col("match").alias("other")).distinct(), "volume").where(can_reach("match", "other", COPY_NAME))
+    like = with_ratio(like, "match", "other", COPY_NAME).where(F.col("ratio") >= COPY_NAME).select("volume", "match").distinct()
+    copies = extra.join(pages, ["volume", "page"], "left_semi").unionByName(extra.join(pages, ["volume", "page"], "left_anti").join(like, ["volume", "match"], "left_semi").select(*extra.columns))
+    anomalies = extra.join(copies.select("cluster_id"), "cluster_id", "left_anti")
+
+    nobody = F.lit(None).cast("long").alias("cluster_id")
+    rows = lambda df, kind, who: df.select("volume", F.lit(kind).alias("kind"), who, "page", "name")
+    met = taken.select("volume", "ord")
+    parts = [
+        rows(keys.join(met, ["volume", "ord"], "left_semi"), "matched_key", nobody), rows(keys.join(met, ["volume", "ord"], "left_anti"), "missing", nobody),
+        rows(records.join(taken.select("cluster_id"), "cluster_id", "left_semi"), "matched", F.col("cluster_id")),
+        rows(copies, "residual_duplicate", F.col("cluster_id")), rows(anomalies, "anomaly", F.col("cluster_id")),
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def reconcile(key: DataFrame, kept: DataFrame, first: int = FIRST_VOLUME, last: int = LAST_VOLUME) -> tuple[DataFrame, DataFrame]:
     """A row per volume of the span, also of empty ones, and the rows that didn't match."""
     span = F.col("us_volume").between(first, last)
-    found = outcomes(key.where(span), kept.where(span))
+    found = stored(outcomes(key.where(span), kept.where(span)), "outcomes")
     counts = found.groupBy("volume").agg(
         F.count_if(F.col("cluster_id").isNotNull()).alias("n_keep"), F.count_if(F.col("cluster_id").isNull()).alias("n_reference"), F.count_if(F.col("kind") == "matched").alias("n_matched"),
         F.count_if(F.col("kind") == "missing").alias("n_missing"), F.count_if(F.col("kind").isin("residual_duplicate", "anomaly")).alias("n_extra"),

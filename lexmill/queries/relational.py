@@ -11,23 +11,11 @@ from lexmill.functions import records as R
 from lexmill.functions import text as X
 from lexmill.operators import classify, hierarchy, publish, select, snapshots, unpivot
 from lexmill.plans.checks import suite
+from lexmill.queries.base import Registry
 from lexmill.session import table
 from lexmill.storage import stored
 
-QUERIES, SQL = {}, {}
-
-
-def query(sql: str | None = None):
-    """Registers a function as a query under its own name."""
-
-    def register(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return register
-
+query = Registry()
 
 # --- hierarchy ------------------------------------------------------------------------------
 
@@ -426,5 +414,3 @@ def meta_lineage(spark: SparkSession, d: str) -> DataFrame:
     staged = report_totals(spark, d).select("documents", "labels").unpivot([], ["documents", "labels"], "key", "value").withColumn("value", F.col("value").cast("string"))
     return publish.meta(spark, {"pipeline_version": publish.PIPELINE_VERSION}, staged)
 
-
-__all__ = ["QUERIES", "SQL"]

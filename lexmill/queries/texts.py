@@ -6,40 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.functions import text as X
-from lexmill.functions.arrow import render_markup, sequence_ratio
-from lexmill.operators import clean, reconcile, resolve, search
+from lexmill.functions.arrow import render_markup
+from lexmill.operators import clean, resolve, search
 from lexmill.operators.components import components
+from lexmill.queries.base import RUNS_SQL, WORDS_SQL, Registry, listed, tokens_sql
 from lexmill.session import table
 from lexmill.storage import stored
 
-QUERIES, SQL = {}, {}
+query = Registry()
 
-
-def query(sql: str | None = None):
-    """Registers a function as a query under its own name."""
-
-    def register(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return register
-
-
-def listed(words: tuple[str, ...]) -> str:
-    return "[" + ", ".join(f"'{w}'" for w in words) + "]"
-
-
-def tokens_sql(x: str, dropped: tuple[str, ...]) -> str:
-    plain = rf"regexp_replace(regexp_replace(replace(lower({x}), 'm''', 'mc'), '''s\b', '', 'g'), '[^a-z0-9 ]', ' ', 'g')"
-    return f"list_sort(list_distinct(list_filter(string_split_regex({plain}, ' +'), lambda w: length(w) > 1 AND NOT list_contains({listed(dropped)}, w))))"
-
-
-WORDS_SQL = "list_filter(string_split_regex(regexp_replace(lower(regexp_replace(text, '<[^>]+>', ' ', 'g')), '[^a-z0-9]', ' ', 'g'), ' +'), lambda w: w <> '')"
 SHINGLES_SQL = f"""
     w AS (SELECT doc_id, lang, source, {WORDS_SQL} AS words FROM documents),
-    s AS (SELECT doc_id, lang, source, list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))) AS sh FROM w)
+    s AS (SELECT doc_id, lang, source, {RUNS_SQL} AS sh FROM w)
 """
 PAIRS_SQL = f"""
     WITH RECURSIVE {SHINGLES_SQL},
@@ -90,16 +68,6 @@ def offpage_pairs(spark: SparkSession, d: str) -> DataFrame:
     return pairs.where("a_lang = b_lang AND a_source <> b_source").select("left_id", "right_id", "n_shared")
 
 
-@query()
-def name_similarity_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """Parts of one brand and type whose names, which aren't equal, are alike."""
-    parts = table(spark, d, "part").select("p_partkey", "p_brand", "p_type", X.caption_key(F.concat_ws(" ", "p_name", "p_type", "p_size")).alias("name_key"))
-    pairs = parts.alias("a").join(parts.alias("b"), ["p_brand", "p_type"]).where("a.p_partkey < b.p_partkey AND a.name_key <> b.name_key")
-    pairs = pairs.where(resolve.can_reach("a.name_key", "b.name_key", resolve.NAME_MERGE))
-    scored = pairs.select(F.col("a.p_partkey").alias("left_key"), F.col("b.p_partkey").alias("right_key"), sequence_ratio("a.name_key", "b.name_key").alias("score"))
-    return scored.where(F.col("score") >= resolve.NAME_MERGE)
-
-
 @query(GROUPS_SQL + "SELECT g.doc_id, coalesce(rep, g.doc_id) AS rep, group_id FROM grouped g LEFT JOIN k ON k.doc_id = g.doc_id")
 def duplicate_groups(spark: SparkSession, d: str) -> DataFrame:
     return resolve.groups_by_text(shingled(spark, d))
@@ -151,63 +119,6 @@ def ledger_union(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("doc_id", F.coalesce("component", "group_id").alias("group_id"), F.col("component").isNotNull().alias("by_ledger"))
 
 
-def block_records(spark: SparkSession, d: str, volume: str, known: str, names: bool) -> DataFrame:
-    """Documents in the shape of records; ``volume`` and language make a block."""
-    docs = table(spark, d, "documents")
-    text = docs.select(
-        F.col("doc_id").alias("cluster_id"), F.expr(volume).cast("int").alias("us_volume"), F.col("lang").alias("us_page"), (F.substring("text", 1, 60) if names else F.lit("")).alias("case_name"),
-        F.when(F.expr(known), F.col("doc_id").cast("string")).alias("scdb_id"), F.lit(None).cast("string").alias("year"), X.plain_words("text").alias("words"),
-    )
-    return stored(text.select("*", X.shingles("words").alias("shingles")).drop("words"), "records")
-
-
-@query(f"""
-    WITH {SHINGLES_SQL},
-    e AS (SELECT doc_id, lang, doc_id % 50 AS v, (doc_id // 50) % 4 = 0 AS known, len(sh) AS m, unnest(sh) AS h FROM s),
-    p AS (SELECT a.doc_id, b.doc_id AS anchor, count(*) AS n, least(max(a.m), max(b.m)) AS m FROM e a JOIN e b ON a.h = b.h AND a.lang = b.lang AND a.v = b.v WHERE NOT a.known AND b.known GROUP BY 1, 2)
-    SELECT doc_id, arg_min(anchor, row(-CAST(n AS DOUBLE) / m, anchor)) AS anchor FROM p WHERE n >= 30 AND 2 * n >= m GROUP BY doc_id
-""")
-def anchor_attach(spark: SparkSession, d: str) -> DataFrame:
-    """Records without an identifier, with the anchor of their block whose text they match best."""
-    rows = block_records(spark, d, "doc_id % 50", "doc_id div 50 % 4 = 0", names=False)
-    found = resolve.attachments(resolve.keyed(rows))
-    return found.select(F.col("u").alias("doc_id"), F.col("v").alias("anchor"))
-
-
-@query()
-def resolve_records(spark: SparkSession, d: str) -> DataFrame:
-    """The whole resolution over documents: anchors, pages, across pages, and a reviewed pair."""
-    rows = block_records(spark, d, "regexp_extract(source, '([0-9]+)', 1)", "doc_id % 10 = 0", names=True)
-    pair = rows.groupBy("us_volume").agg(F.max("cluster_id").alias("cluster_id"), F.min("cluster_id").alias("dup_of")).where("us_volume = 3 AND cluster_id > dup_of")
-    return resolve.resolve(rows, pair.select("cluster_id", "dup_of"))
-
-
-@query(f"""
-    WITH b AS (SELECT item_id, item_id % 17 AS v, {tokens_sql('text', (*X.MATCH_STOP_WORDS, *X.DESCRIPTOR_WORDS, *X.ROMAN_NUMERALS))} AS t FROM benchmark),
-    p AS (SELECT doc_id, doc_id % 17 AS v, {tokens_sql('substr(text, 1, 400)', (*X.MATCH_STOP_WORDS, *X.DESCRIPTOR_WORDS, *X.ROMAN_NUMERALS))} AS t FROM documents)
-    SELECT item_id, doc_id, CAST(len(list_intersect(b.t, p.t)) AS DOUBLE) / len(b.t) AS score FROM b JOIN p USING (v) WHERE len(b.t) >= 2 AND 10 * len(list_intersect(b.t, p.t)) >= len(b.t)
-""")
-def page_token_score(spark: SparkSession, d: str) -> DataFrame:
-    """The share of a key's tokens that a record of its block has, from a tenth on."""
-    item = table(spark, d, "benchmark").select("item_id", (F.col("item_id") % 17).alias("v"), X.match_tokens("text").alias("t"))
-    docs = table(spark, d, "documents").select("doc_id", (F.col("doc_id") % 17).alias("v"), X.match_tokens(F.substring("text", 1, 400)).alias("u"))
-    score = F.size(F.array_intersect("t", "u")) / F.size("t")
-    return item.where(F.size("t") >= 2).join(docs, "v").where(10 * F.size(F.array_intersect("t", "u")) >= F.size("t")).select("item_id", "doc_id", score.alias("score"))
-
-
-@query()
-def reconcile_volumes(spark: SparkSession, d: str) -> DataFrame:
-    """Documents against an answer key that names two in three of them, some with a wrong page."""
-    docs = table(spark, d, "documents").select(
-        F.col("doc_id").alias("cluster_id"), (F.col("doc_id") % 17 + 2).cast("int").alias("us_volume"), ((F.col("doc_id") * 7) % 50).cast("string").alias("us_page"), F.substring("text", 1, 50).alias("case_name")
-    )
-    key = docs.where("cluster_id % 3 > 0").select(
-        "us_volume", F.when(F.col("cluster_id") % 5 == 0, F.lit("999")).otherwise(F.col("us_page")).alias("page"), F.substring("case_name", 1, 40).alias("name"), F.col("cluster_id").alias("ord")
-    )
-    summary, _ = reconcile.reconcile(key, docs)
-    return summary
-
-
 @query(r"""
     SELECT doc_id, contains(text, '■') OR regexp_matches(lower(text), '(^|[^\p{L}\p{N}_])(' || '""" + "|".join(X.DIRTY_TOKENS) + r"""' || ')($|[^\p{L}\p{N}_])') AS is_ocr_dirty FROM documents
 """)
@@ -308,5 +219,3 @@ def search_join(spark: SparkSession, d: str) -> DataFrame:
     """Distinct properties of the documents that a search finds."""
     return table(spark, d, "documents").join(search_and(spark, d), "doc_id").select("source", "lang").distinct()
 
-
-__all__ = ["QUERIES", "SQL"]

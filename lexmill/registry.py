@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexmill.queries import relational, texts
+from lexmill.queries import matching, relational, texts
+
+PARTS = (relational.query, texts.query, matching.query)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return relational.QUERIES | texts.QUERIES
+    return {k: f for part in PARTS for k, f in part.queries.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return relational.SQL | texts.SQL
+    return {k: q for part in PARTS for k, q in part.sql.items()}
