@@ -31,6 +31,13 @@ def longest_text(fields: tuple[str, ...]) -> Column:
     return F.array_max(ranked)["t"]
 
 
+def longest_child(children: DataFrame, parent: str, child: str, text: str) -> DataFrame:
+    """``parent, text``: the longest text of each parent's children; of equally long ones, that of the
+    child with the lowest number."""
+    size = F.struct(F.coalesce(F.length(text), F.lit(0)).alias("n"), (-F.col(child)).alias("o"))
+    return children.groupBy(parent).agg(F.max_by(text, size).alias(text))
+
+
 def select_sources(children: DataFrame, fields: tuple[str, ...] = SOURCE_PRIORITY) -> DataFrame:
     """``opinion_id, cluster_id, type, chosen_source, is_ocr_dirty`` of each child; text stays behind."""
     text = chosen_text(fields)

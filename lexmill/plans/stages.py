@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from lexmill import config
 from lexmill.functions.text import plain_words, shingles, year_of
 from lexmill.operators import classify, clean, hierarchy, publish, reconcile, resolve, select, unpivot
+from lexmill.plans.checks import IntegrityError
 from lexmill.sources import archive, records, rest
 from lexmill.storage import stored
 
@@ -53,7 +54,7 @@ def candidates(spark: SparkSession, staging: str) -> DataFrame:
     kept = spark.read.parquet(f"{staging}/stg_cluster_scope").where("is_scotus = 'true'").select("cluster_id")
     parents = spark.read.parquet(f"{staging}/stg_clusters").join(kept, "cluster_id")
     texts = spark.read.parquet(f"{staging}/stg_opinions").select("cluster_id", "opinion_id", select.longest_text(LONGEST).alias("text"))
-    longest = texts.groupBy("cluster_id").agg(F.max_by("text", F.struct(F.coalesce(F.length("text"), F.lit(0)).alias("n"), (-F.col("opinion_id")).alias("o"))).alias("text"))
+    longest = select.longest_child(texts, "cluster_id", "opinion_id", "text")
     rows = parents.join(longest, "cluster_id", "left").withColumn("words", plain_words("text"))
     return rows.select("cluster_id", "us_volume", "us_page", "case_name", "scdb_id", year_of("date_filed").alias("year"), shingles("words").alias("shingles"))
 
@@ -89,7 +90,12 @@ def load(spark: SparkSession, staging: str, target: str) -> dict[str, int]:
 
 
 def auxiliary(spark: SparkSession, raw: str, labels: str, target: str) -> dict[str, int]:
-    """Auxiliary texts of the corpus, resolved to canonical records, and a manifest of their kinds."""
+    """Auxiliary texts of the corpus, resolved to canonical records, and a manifest of their kinds.
+
+    Without the labels nothing says which records are in the corpus, so their absence raises.
+    """
+    if not records.exists(spark, labels):
+        raise IntegrityError(f"no labels of the corpus at {labels}: publish it first")
     known = records.read_csv(spark, labels, ("cluster_id", "bucket", "dedup_role", "dup_of"))
     known = known.select(F.col("cluster_id").cast("long"), "bucket", "dedup_role", F.nullif("dup_of", F.lit("")).cast("long").alias("dup_of"))
     pointers = unpivot.canonical_pointers(known)
@@ -109,7 +115,10 @@ def tally(rows: DataFrame, column: str) -> dict[str, int]:
 def extract(raw: str, parent_url: str, child_url: str, after: str, before: str) -> dict:
     """Mirrors an API's records between two dates; what is there already isn't fetched again."""
     client = rest.Client(headers=config.headers(config.api_token()))
-    return rest.extract(client, parent_url, child_url, after, before, Path(raw), timestamp(), commit())
+    manifest = rest.extract(client, parent_url, child_url, after, before, Path(raw), timestamp(), commit())
+    if manifest["wider_than_run"]:
+        print(f"the mirror is wider than this run: {manifest['wider_than_run']} of {manifest['n_clusters']} records lie outside its dates")
+    return manifest
 
 
 def mirror_gaps(spark: SparkSession, raw: str) -> tuple[DataFrame, DataFrame]:

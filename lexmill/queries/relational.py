@@ -6,10 +6,12 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lexmill.functions import records as R
 from lexmill.functions import text as X
-from lexmill.operators import classify, hierarchy, publish, select, snapshots, unpivot
+from lexmill.operators import classify, clean, hierarchy, publish, select, snapshots, unpivot
+from lexmill.operators.keyed import lookup
 from lexmill.plans.checks import suite
 from lexmill.queries.base import Registry
 from lexmill.session import table
@@ -92,11 +94,65 @@ def citation_parse(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("o_orderkey", F.col("c.volume").alias("us_volume"), F.col("c.page").alias("us_page"), F.col("c.cite").alias("us_cite"), "linked_id")
 
 
+@query("""
+    SELECT o_orderkey, CAST(len(list_distinct(list_filter(p, lambda x: x > 3))) AS INTEGER) AS n_declared, CAST(list_sum(p) AS BIGINT) AS sum_declared, types FROM
+      (SELECT o_orderkey, [o_orderkey, o_custkey, 3] AS p, o_orderstatus || ';' || o_orderpriority AS types FROM orders)
+""")
+def cleaned_references(spark: SparkSession, d: str) -> DataFrame:
+    """Ids in lists of URLs, and citations without the fields that a server sets anew."""
+    url = lambda c: F.concat(F.lit("https://host/o/"), c.cast("string"), F.lit("/"))
+    cite = lambda kind: F.struct(F.lit("U.S.").alias("reporter"), F.lit("1").alias("volume"), F.lit("2").alias("page"), kind.alias("type"), F.current_timestamp().alias("date_created"))
+    rows = table(spark, d, "orders").select(
+        "o_orderkey", R.declared_children(F.array(url(F.col("o_orderkey")), url(F.col("o_custkey")), F.lit("/o/3"))).alias("ids"), R.clean_citations(F.array(cite(F.col("o_orderstatus")), cite(F.col("o_orderpriority")))).alias("c")
+    )
+    total = F.aggregate("ids", F.lit(0).cast("long"), lambda a, x: a + x)
+    kept = F.size(F.array_distinct(F.filter("ids", lambda x: x > 3)))
+    return rows.select("o_orderkey", kept.alias("n_declared"), total.alias("sum_declared"), F.array_join(F.transform("c", lambda x: x["type"]), ";").alias("types"))
+
+
+@query("SELECT doc_id, coalesce(CAST(quality AS VARCHAR), 'None') AS volume, coalesce(CAST(toxic AS VARCHAR), 'None') AS page FROM documents LEFT JOIN labels USING (doc_id)")
+def citation_text(spark: SparkSession, d: str) -> DataFrame:
+    """Values as text, with the published word for those that are absent."""
+    rows = table(spark, d, "documents").select("doc_id").join(table(spark, d, "labels"), "doc_id", "left")
+    return rows.select("doc_id", R.text_or_none("quality").alias("volume"), R.text_or_none("toxic").alias("page"))
+
+
+@query("""
+    SELECT p_partkey, trim(p_name) AS case_name_full, nullif(p_type, 'SMALL') AS attorneys, NULL::VARCHAR AS judges FROM part
+""")
+def meta_fields(spark: SparkSession, d: str) -> DataFrame:
+    """Short fields, stripped, blank as null; rows without any are left out."""
+    padded = table(spark, d, "part").select("p_partkey", F.concat(F.lit(" \t"), "p_name", F.lit(" \n")).alias("case_name_full"), F.when(F.col("p_type") == "SMALL", " ").otherwise(F.col("p_type")).alias("attorneys"), F.lit(" ").alias("judges"))
+    return unpivot.meta_rows(padded, "p_partkey")
+
+
+@query("""
+    SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS INTEGER) AS ordinal, CAST(turn AS VARCHAR) AS page_label, turn * 7 AS char_offset, left(text, 20) AS anchor FROM conversations
+""")
+def break_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Page breaks of texts as rows of their own."""
+    one = F.struct(
+        F.row_number().over(Window.partitionBy("conv_id").orderBy("turn")).alias("ordinal"), F.col("turn").cast("string").alias("page_label"), (F.col("turn") * 7).alias("char_offset"), F.substring("text", 1, 20).alias("anchor")
+    )
+    texts = table(spark, d, "conversations").select("conv_id", one.alias("b")).groupBy("conv_id").agg(F.collect_list("b").alias("page_breaks"))
+    return clean.page_breaks(texts, "conv_id")
+
+
+@query("""
+    WITH t AS (SELECT conv_id, turn, text FROM conversations)
+    SELECT conv_id, arg_max(text, row(coalesce(length(text), 0), -turn)) AS text FROM t GROUP BY conv_id
+""")
+def longest_child(spark: SparkSession, d: str) -> DataFrame:
+    """The longest text of each parent; of equally long ones the first child's."""
+    return select.longest_child(table(spark, d, "conversations"), "conv_id", "turn", "text")
+
+
 # --- classification -------------------------------------------------------------------------
 
 
 def judged_documents(spark: SparkSession, d: str) -> DataFrame:
-    """Documents in the shape of records: made-up volumes, pages and identifiers, labels as ledger.
+    """Documents in the shape of records: made-up volumes, pages and identifiers, labels as ledger. The
+    caption is the beginning of a text, as a case's is; what is said of whole texts uses their hash.
 
     Texts are read once, for a name and a hash; the rest of a plan works on narrow rows.
     """
@@ -104,7 +160,7 @@ def judged_documents(spark: SparkSession, d: str) -> DataFrame:
     records = docs.select(
         F.col("doc_id").alias("cluster_id"), F.substring("text", 1, 40).alias("case_name"), (F.col("doc_id") % 24).cast("int").alias("us_volume"),
         ((F.col("doc_id") * 7) % 900).cast("string").alias("us_page"), F.when(F.col("doc_id") % 11 != 0, F.lit("cited")).alias("us_cite"), F.when(F.col("doc_id") % 3 == 0, F.col("lang")).alias("scdb_id"),
-        F.sha2("text", 256).alias("text_hash"),
+        F.coalesce(F.sha2("text", 256), F.lit("")).alias("text_hash"),  # texts that are null are equal
     )
     ledger = table(spark, d, "labels").where("toxic = 1").select(F.col("doc_id").alias("cluster_id"), F.when(F.col("quality") == 1, "keep").otherwise("drop").alias("disposition"))
     return classify.scope(records, ledger)
@@ -159,8 +215,8 @@ def published_documents(spark: SparkSession, d: str) -> DataFrame:
     """Judged documents, with exact copies as duplicates of the smallest id in scope."""
     judged = stored(judged_documents(spark, d), "judged")
     texts = judged.where("is_scotus = 'true'").select("cluster_id", F.col("text_hash").alias("h"))
-    first = texts.groupBy("h").agg(F.min("cluster_id").alias("first"))
-    resolved = texts.join(first, "h").select(
+    first = texts.groupBy("h").agg(F.min("cluster_id").alias("first"), F.count(F.lit(1)).alias("copies"))
+    resolved = lookup(texts, first, "h", "copies", judged.count()).select(
         "cluster_id", F.when(F.col("cluster_id") == F.col("first"), "canonical").otherwise("duplicate").alias("dedup_role"),
         F.when(F.col("cluster_id") != F.col("first"), F.col("first")).alias("dup_of"), F.when(F.col("cluster_id") != F.col("first"), F.lit("text")).alias("dup_method"),
     )
@@ -222,6 +278,43 @@ def integrity_suite(spark: SparkSession, d: str) -> DataFrame:
     return suite(publish.violations(parents) | extra)
 
 
+def published_turns(spark: SparkSession, d: str) -> tuple[DataFrame, ...]:
+    """Published tables made of the corpus: conversations are children of the documents of their number,
+    turns are their page breaks, and words of the second turn's end are suspect spots."""
+    parents = stored(published_documents(spark, d), "published")
+    turns = table(spark, d, "conversations")
+    children = turns.groupBy(F.col("conv_id").alias("opinion_id")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"]), " ").alias("clean_text"))
+    children = stored(children.select("opinion_id", F.col("opinion_id").alias("cluster_id"), "clean_text", F.lit(1).alias("clean_version")), "children")
+    citations = table(spark, d, "labels").select(F.col("doc_id").alias("cluster_id"))
+    breaks = turns.select(F.col("conv_id").alias("opinion_id"), (F.col("turn") * 100).alias("char_offset"))
+    spots = table(spark, d, "pages").select(F.col("page_id").alias("opinion_id"), F.lit(0).cast("long").alias("char_offset"))
+    return parents, children, citations, breaks, spots
+
+
+@query(PUBLISHED + """,
+    ch AS (SELECT conv_id AS id, string_agg(text, ' ' ORDER BY turn) AS t FROM conversations GROUP BY 1),
+    spots AS (SELECT page_id AS id, 0 AS place FROM pages), breaks AS (SELECT conv_id AS id, turn * 100 AS place FROM conversations)
+    SELECT * FROM (SELECT 'scope_unrecognized' AS name, count(*) FILTER (WHERE is_scotus IS NULL) AS violations FROM pub
+      UNION ALL SELECT 'status_impossible', count(*) FILTER (WHERE corpus_status IS NULL) FROM pub
+      UNION ALL SELECT 'duplicate_incomplete', count(*) FILTER (WHERE dedup_role = 'duplicate' AND dup_of IS NULL) FROM pub
+      UNION ALL SELECT 'duplicate_target_not_canonical', count(*) FROM pub a LEFT JOIN pub b ON b.cluster_id = a.dup_of WHERE a.dedup_role = 'duplicate' AND b.dedup_role IS DISTINCT FROM 'canonical'
+      UNION ALL SELECT 'fields_on_non_duplicate', count(*) FILTER (WHERE dedup_role IS DISTINCT FROM 'duplicate' AND dup_of IS NOT NULL) FROM pub
+      UNION ALL SELECT 'parent_repeated', count(*) FROM (SELECT cluster_id FROM pub GROUP BY 1 HAVING count(*) > 1)
+      UNION ALL SELECT 'opinion_orphans', count(*) FROM ch WHERE id NOT IN (SELECT cluster_id FROM pub)
+      UNION ALL SELECT 'citation_orphans', count(*) FROM labels WHERE doc_id NOT IN (SELECT cluster_id FROM pub)
+      UNION ALL SELECT 'break_orphans', 0
+      UNION ALL SELECT 'suspect_orphans', count(*) FROM spots WHERE id NOT IN (SELECT id FROM ch)
+      UNION ALL SELECT 'break_offsets', count(*) FROM breaks JOIN ch USING (id) WHERE place > length(t)
+      UNION ALL SELECT 'suspect_offsets', count(*) FROM spots JOIN ch USING (id) WHERE place > length(t)
+      UNION ALL SELECT 'clean_versions', 0
+      UNION ALL SELECT 'empty_strings', count(*) FROM ch WHERE t = ''
+      UNION ALL SELECT 'status_recomputed', 0)
+""")
+def published_integrity(spark: SparkSession, d: str) -> DataFrame:
+    """Every rule across published tables, with how many rows break it."""
+    return suite(publish.integrity(*published_turns(spark, d)))
+
+
 @query("""
     WITH p AS (SELECT conv_id, max(text) FILTER (WHERE role = 'assistant' AND turn < 3) AS a, max(text) FILTER (WHERE role = 'system') AS s, max(text) FILTER (WHERE role = 'user') AS u FROM conversations GROUP BY 1)
     SELECT conv_id, CASE WHEN s <> '' THEN 'system' WHEN a <> '' THEN 'assistant' WHEN u <> '' THEN 'user' END AS chosen, coalesce(s, a, u) AS text FROM p

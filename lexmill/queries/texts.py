@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.functions import text as X
-from lexmill.functions.arrow import render_markup
+from lexmill.functions.arrow import BLOCK_ELEMENTS, render_markup
 from lexmill.operators import clean, resolve, search
 from lexmill.operators.components import components
 from lexmill.queries.base import RUNS_SQL, WORDS_SQL, Registry, listed, tokens_sql
@@ -90,9 +90,8 @@ def duplicate_records(spark: SparkSession, d: str) -> DataFrame:
     found = components(links).select(F.col("node").alias("doc_id"), "component")
     rows = docs.select("doc_id", F.size("shingles").alias("n")).join(sets.select(F.col("id").alias("doc_id"), "rep"), "doc_id", "left").join(found, "doc_id", "left")
     rows = rows.select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep"), F.coalesce("component", "doc_id").alias("group_id"))
-    rows = rows.join(table(spark, d, "labels").select("doc_id", F.lit(0).alias("labelled")).distinct(), "doc_id", "left")
-    order = F.struct(F.coalesce("labelled", F.lit(1)).alias("l"), (-F.col("n")).alias("n"), F.col("doc_id").alias("i"))
-    heads = rows.groupBy("group_id").agg(F.min_by(F.struct("doc_id", "rep"), order).alias("h"))
+    rows = rows.join(table(spark, d, "labels").select("doc_id", F.lit("labelled").alias("known")).distinct(), "doc_id", "left")
+    heads = rows.groupBy("group_id").agg(F.min_by(F.struct("doc_id", "rep"), resolve.canonical_key(F.col("known"), F.col("n"), F.col("doc_id"))).alias("h"))
     both = rows.join(heads, "group_id").select("doc_id", "rep", F.col("h.doc_id").alias("head"), F.col("h.rep").alias("head_rep"))
     near = pairs.select("left_id", "right_id", F.lit("text").alias("how"))
     both = both.join(near, (F.least("rep", "head_rep") == F.col("left_id")) & (F.greatest("rep", "head_rep") == F.col("right_id")), "left")
@@ -181,11 +180,29 @@ def page_of_hit(spark: SparkSession, d: str) -> DataFrame:
     return clean.page_of(texts.select("conv_id", F.col("m.text").alias("clean_text")), breaks, "er the", "conv_id")
 
 
-@query()
+RENDER_SQL = rf"""
+    WITH p AS (SELECT page_id, regexp_extract_all(replace(html, '<li>', '<li><page-number>*7</page-number>'),
+           '(?s)<!--.*?-->|<![^>]*>|<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<page-number>.*?</page-number>|<[^>]+>|[^<]+') AS tokens FROM pages),
+    t AS (SELECT page_id, array_to_string(list_transform(tokens, lambda x: CASE
+            WHEN starts_with(x, '<!') THEN '' WHEN starts_with(x, '<page-number') THEN chr(57344)
+            WHEN starts_with(x, '<script') OR starts_with(x, '<style') THEN regexp_replace(x, '(?s)^<[^>]*>|</[a-z]+>$', '', 'g')
+            WHEN regexp_matches(x, '^</?({"|".join(sorted(BLOCK_ELEMENTS))})[ />]') THEN chr(10) WHEN starts_with(x, '<') THEN ''
+            ELSE replace(replace(replace(replace(x, '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&') END), '') AS x FROM p),
+    n AS (SELECT page_id, string_split(regexp_replace(regexp_replace(regexp_replace(regexp_replace(x, '[ \t]+', ' ', 'g'), ' *\n *', chr(10), 'g'), '\n{{3,}}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g'), chr(57344)) AS parts FROM t),
+    o AS (SELECT page_id, array_to_string(parts, '') AS clean_text, list_transform(range(1, len(parts)), lambda k: CAST(list_sum(list_transform(parts[1:k], lambda y: length(y))) AS BIGINT)) AS places FROM n)
+"""
+
+
+@query(RENDER_SQL + r"""
+    SELECT page_id, clean_text, CAST(len(places) AS INTEGER) AS n_breaks, CAST(coalesce(list_sum(list_transform(places, lambda a: a + length(regexp_extract(substr(clean_text, a + 1), '^[ \n\t]*')))), 0) AS BIGINT) AS offset_sum,
+      CASE WHEN len(places) > 0 THEN '7' END AS label FROM o
+""")
 def render_pages(spark: SparkSession, d: str) -> DataFrame:
-    """Pages as text, with the page breaks in it."""
-    pages = table(spark, d, "pages").select("page_id", render_markup("html").alias("r"))
-    return pages.select("page_id", "r.clean_text", F.size("r.page_breaks").alias("n_breaks"))
+    """Pages as text, with the page breaks in it: each list item has a marker."""
+    marked = F.replace("html", F.lit("<li>"), F.lit("<li><page-number>*7</page-number>"))
+    pages = table(spark, d, "pages").select("page_id", render_markup(marked).alias("r"))
+    offsets = F.aggregate("r.page_breaks", F.lit(0).cast("long"), lambda a, b: a + b["char_offset"])
+    return pages.select("page_id", "r.clean_text", F.size("r.page_breaks").alias("n_breaks"), offsets.alias("offset_sum"), F.array_max(F.transform("r.page_breaks", lambda b: b["page_label"])).alias("label"))
 
 
 INDEX_SQL = r"""

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -13,7 +17,8 @@ TABLES = (
 def build_session(app: str = "lexmill", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the engine relies on: UTC, ANSI and adaptive execution.
 
-    On a cluster, ``master`` and memory come from spark-submit; pass ``master`` for local work.
+    On a cluster, ``master`` and memory come from spark-submit; pass ``master`` for local work. The
+    package is shipped to a cluster's executors; a session made otherwise needs ``ship``.
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -25,7 +30,18 @@ def build_session(app: str = "lexmill", master: str | None = None, **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
     } | conf
-    return builder.config(map=settings).getOrCreate()
+    spark = builder.config(map=settings).getOrCreate()
+    if not spark.sparkContext.master.startswith("local"):
+        ship(spark)
+    return spark
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, which need it for Arrow functions."""
+    with tempfile.TemporaryDirectory() as folder:
+        package = os.path.dirname(os.path.abspath(__file__))
+        made = shutil.make_archive(os.path.join(folder, "lexmill"), "zip", os.path.dirname(package), os.path.basename(package))
+        spark.sparkContext.addPyFile(made)
 
 
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:

@@ -219,3 +219,39 @@ def test_hashes_in_spark_match(spark, tmp_path):
     got = {r.path.split("/")[-1]: r.h for r in files.select("path", F.sha2("content", 256).alias("h")).collect()}
     assert got == {"1.json": hashlib.sha256(b"{}").hexdigest(), "10.json": archive.sha256(raw / "opinions/10.json")}
     assert issubclass(checks.IntegrityError, RuntimeError)
+
+
+def test_auxiliary_texts_from_files(spark, tmp_path):
+    rows = [{"id": 1, "summary": " s ", "disposition": "d", "headmatter": "h", "attorneys": " A "}, {"id": 2, "syllabus": "text", "judges": " "}, {"id": 3, "summary": " "}, {"id": 9, "summary": "not in the corpus"}]
+    (tmp_path / "raw.json").write_text(json.dumps(rows))
+    (tmp_path / "labels.csv").write_text("cluster_id,bucket,dedup_role,dup_of\n1,KEEP,canonical,\n2,KEEP,duplicate,1\n3,KEEP,canonical,\n")
+    out = f"{tmp_path}/out"
+    with pytest.raises(checks.IntegrityError, match="no labels"):
+        stages.auxiliary(spark, f"{tmp_path}/raw.json", f"{tmp_path}/none.csv", out)
+    found = stages.auxiliary(spark, f"{tmp_path}/raw.json", f"{tmp_path}/labels.csv", out)
+    assert found == {"kind_summary": 1, "kind_headmatter": 1, "kind_disposition": 1, "kind_syllabus": 1, "n_texts": 4, "n_clusters_with_text": 2, "n_meta": 1, "n_skipped": 1}
+    texts = spark.read.parquet(f"{out}/cluster_text").collect()
+    assert {(r.cluster_id, r.canonical_cluster_id, r.kind) for r in texts} == {(1, 1, "summary"), (1, 1, "headmatter"), (1, 1, "disposition"), (2, 1, "syllabus")}
+    manifest = next((tmp_path / "out/manifest").glob("*.csv")).read_text().splitlines()
+    assert manifest[1:] == ["1,KEEP,canonical,1,summary;headmatter;disposition,5", "2,KEEP,duplicate,1,syllabus,4"]
+    assert stages.auxiliary(spark, f"{tmp_path}/raw.json", f"{tmp_path}/labels.csv", out) == found
+
+
+def test_mirror_goes_round(tmp_path):
+    """Packed with its ledger by one stage, fetched by the other."""
+    raw = mirror(tmp_path / "raw")
+    args = type("Args", (), {"raw": str(raw), "target": str(tmp_path / "m.tar.gz"), "ledger": str(tmp_path / "SUMS")})
+    stages.STAGES["package-mirror"](None, args)
+    (tmp_path / "there").mkdir()
+    (tmp_path / "got").mkdir()
+    data = (tmp_path / "m.tar.gz").read_bytes()
+    assert archive.fetch("http://h/m", tmp_path / "there", tmp_path / "SUMS", tmp_path / "got/m.tar.gz", lambda r, timeout: io.BytesIO(data)) == 2
+    assert (tmp_path / "there/opinions/10.json").read_text() == '{"a": 1}'
+
+
+def test_extract_says_that_the_mirror_is_wider(tmp_path):
+    (tmp_path / "clusters").mkdir()
+    rest.store(tmp_path / "clusters", parent(77))
+    server = Server(parents=[{"results": [parent(1)]}], children=[{"results": []}, {"results": []}])
+    manifest = rest.extract(server.client(), "http://h/parents", "http://h/children", "1801-01-01", "1801-12-31", tmp_path)
+    assert (manifest["n_clusters"], manifest["wider_than_run"]) == (2, 1)
