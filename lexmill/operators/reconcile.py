@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from lexmill.functions.arrow import sequence_ratio
 from lexmill.functions.text import match_key, match_tokens
 from lexmill.operators.resolve import can_reach
-from lexmill.storage import stored
+from lexmill.storage import scratched, stored
 
 # Thresholds of captions on one page, in one volume, and of copies; the span.
 PAGE_NAME, VOLUME_NAME, COPY_NAME = 0.35, 0.72, 0.7
@@ -58,6 +58,7 @@ def one_to_one(pairs: DataFrame, by: list[str], *order: tuple[str, bool]) -> Dat
     return pairs.groupBy(*by).applyInPandas(choose, "volume int, ord long, cluster_id long")
 
 
+@scratched("outcomes")
 def outcomes(key: DataFrame, kept: DataFrame) -> DataFrame:
     """``volume, kind, cluster_id, page, name`` of every row of ``key(us_volume, page, name, ord)`` and
     ``kept(cluster_id, us_volume, us_page, case_name)``.
@@ -111,7 +112,7 @@ def outcomes(key: DataFrame, kept: DataFrame) -> DataFrame:
 def reconcile(key: DataFrame, kept: DataFrame, first: int = FIRST_VOLUME, last: int = LAST_VOLUME) -> tuple[DataFrame, DataFrame]:
     """A row per volume of the span, also of empty ones, and the rows that didn't match."""
     span = F.col("us_volume").between(first, last)
-    found = stored(outcomes(key.where(span), kept.where(span)), "outcomes")
+    found = outcomes(key.where(span), kept.where(span))
     counts = found.groupBy("volume").agg(
         F.count_if(F.col("cluster_id").isNotNull()).alias("n_keep"), F.count_if(F.col("cluster_id").isNull()).alias("n_reference"), F.count_if(F.col("kind") == "matched").alias("n_matched"),
         F.count_if(F.col("kind") == "missing").alias("n_missing"), F.count_if(F.col("kind").isin("residual_duplicate", "anomaly")).alias("n_extra"),

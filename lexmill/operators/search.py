@@ -2,27 +2,51 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.functions.text import fold_tokens
 
+#: Parts of a stored index; a query reads those of its terms.
+BUCKETS = 256
 
-def inverted_index(texts: DataFrame, key: str, text: str) -> DataFrame:
-    """``term, key, n``: how often a text has each term, diacritics and case folded."""
-    terms = texts.where(F.col(text).isNotNull()).select(key, F.explode(fold_tokens(text)).alias("term"))
-    return terms.groupBy("term", key).agg(F.count(F.lit(1)).alias("n"))
 
+def inverted_index(texts: DataFrame, key: str, text: str, terms: list[str] | None = None) -> DataFrame:
+    """``term, key, n``: how often a text has each term, diacritics and case folded; of ``terms`` alone,
+    if they are given, so that a single query counts no others."""
+    tokens = fold_tokens(text)
+    if terms is not None:
+        tokens = F.filter(tokens, lambda t: t.isin(*terms))
+    found = texts.where(F.col(text).isNotNull()).select(key, F.explode(tokens).alias("term"))
+    return found.groupBy("term", key).agg(F.count(F.lit(1)).alias("n"))
 
-def query_terms(index: DataFrame, query: str) -> list[str]:
-    """Terms of a query, folded like those of the index."""
-    row = index.sparkSession.range(1).select(fold_tokens(F.lit(query)).alias("t")).first()
+
+def bucket(term, buckets: int = BUCKETS):
+    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
+
+
+def write_index(index: DataFrame, path: str, buckets: int = BUCKETS) -> None:
+    """Stores an index by buckets of terms, each sorted by term."""
+    parts = index.withColumn("bucket", bucket(F.col("term"), buckets)).repartition("bucket").sortWithinPartitions("bucket", "term")
+    parts.write.mode("overwrite").partitionBy("bucket").parquet(path)
+
+
+def read_index(spark: SparkSession, path: str, query: str, buckets: int = BUCKETS) -> DataFrame:
+    """What a query needs of a stored index: the rows of its terms, from their buckets alone."""
+    terms = query_terms(spark, query)
+    row = spark.range(1).select(*[bucket(F.lit(t), buckets) for t in terms]).first() if terms else ()
+    return spark.read.parquet(path).where(F.col("bucket").isin(*set(row)) & F.col("term").isin(*terms)).drop("bucket")
+
+
+def query_terms(spark: SparkSession, query: str) -> list[str]:
+    """Terms of a query, folded like those of the index; OR between alternatives is none."""
+    row = spark.range(1).select(fold_tokens(F.lit(query.replace(" OR ", " "))).alias("t")).first()
     return list(dict.fromkeys(row.t))
 
 
 def match_all(index: DataFrame, query: str, key: str) -> DataFrame:
     """Keys of texts that have every term of ``query``, in any order."""
-    terms = query_terms(index, query)
+    terms = query_terms(index.sparkSession, query)
     return index.where(F.col("term").isin(*terms)).groupBy(key).agg(F.count_distinct("term").alias("n_")).where(F.col("n_") == len(terms)).select(key)
 
 

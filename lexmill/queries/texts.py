@@ -11,7 +11,7 @@ from lexmill.operators import clean, resolve, search
 from lexmill.operators.components import components
 from lexmill.queries.base import RUNS_SQL, WORDS_SQL, Registry, listed, tokens_sql
 from lexmill.session import table
-from lexmill.storage import stored
+from lexmill.storage import scratched, stored
 
 query = Registry()
 
@@ -54,7 +54,7 @@ def shingle_counts(spark: SparkSession, d: str) -> DataFrame:
 @query(PAIRS_SQL + "SELECT left_id, right_id, n_shared, containment FROM pairs")
 def containment_pairs(spark: SparkSession, d: str) -> DataFrame:
     """Different texts of which one holds half of the other's shingles; copies go by their smallest id."""
-    return resolve.representative_pairs(stored(resolve.shingle_sets(shingled(spark, d)), "sets"))
+    return resolve.representative_pairs(resolve.shingle_sets(shingled(spark, d))[1])
 
 
 @query(PAIRS_SQL + """
@@ -81,14 +81,14 @@ def duplicate_groups(spark: SparkSession, d: str) -> DataFrame:
       CASE WHEN n > 1 THEN CASE WHEN rep = head_rep OR EXISTS (SELECT 1 FROM pairs p WHERE p.left_id = least(rep, head_rep) AND p.right_id = greatest(rep, head_rep)) THEN 'text' ELSE 'grouped' END END AS dup_method
     FROM o JOIN h USING (group_id)
 """)
+@scratched("duplicate-records")
 def duplicate_records(spark: SparkSession, d: str) -> DataFrame:
     """Each document's role: labelled ones first, then more shingles, then the lower id, stand for a group."""
-    docs = stored(shingled(spark, d), "shingled")
-    sets = stored(resolve.shingle_sets(docs), "sets")
-    pairs = stored(resolve.representative_pairs(sets), "pairs")
-    links = pairs.select(F.col("right_id").alias("u"), F.col("left_id").alias("v")).union(sets.where("id <> rep").select("id", "rep"))
-    found = components(links).select(F.col("node").alias("doc_id"), "component")
-    rows = docs.select("doc_id", F.size("shingles").alias("n")).join(sets.select(F.col("id").alias("doc_id"), "rep"), "doc_id", "left").join(found, "doc_id", "left")
+    docs = shingled(spark, d)
+    members, sets = resolve.shingle_sets(docs)
+    pairs = resolve.representative_pairs(sets)
+    found = components(resolve.text_links(members, pairs)).select(F.col("node").alias("doc_id"), "component")
+    rows = docs.select("doc_id", F.size("shingles").alias("n")).join(members.select(F.col("id").alias("doc_id"), "rep"), "doc_id", "left").join(found, "doc_id", "left")
     rows = rows.select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep"), F.coalesce("component", "doc_id").alias("group_id"))
     rows = rows.join(table(spark, d, "labels").select("doc_id", F.lit("labelled").alias("known")).distinct(), "doc_id", "left")
     heads = rows.groupBy("group_id").agg(F.min_by(F.struct("doc_id", "rep"), resolve.canonical_key(F.col("known"), F.col("n"), F.col("doc_id"))).alias("h"))
@@ -210,8 +210,10 @@ INDEX_SQL = r"""
 """
 
 
-def index(spark: SparkSession, d: str) -> DataFrame:
-    return search.inverted_index(table(spark, d, "documents"), "doc_id", "text")
+def index(spark: SparkSession, d: str, query: str | None = None) -> DataFrame:
+    """The documents' index: all of it, or what a query's terms need."""
+    docs = table(spark, d, "documents")
+    return search.inverted_index(docs, "doc_id", "text", None if query is None else search.query_terms(spark, query))
 
 
 @query(INDEX_SQL + "SELECT term, doc_id, count(*) AS n FROM terms GROUP BY term, doc_id")
@@ -221,12 +223,12 @@ def search_index(spark: SparkSession, d: str) -> DataFrame:
 
 @query(INDEX_SQL + "SELECT doc_id FROM terms WHERE term IN ('license', 'under') GROUP BY doc_id HAVING count(DISTINCT term) = 2")
 def search_and(spark: SparkSession, d: str) -> DataFrame:
-    return search.match_all(index(spark, d), "Únder LICENSE", "doc_id")
+    return search.match_all(index(spark, d, "Únder LICENSE"), "Únder LICENSE", "doc_id")
 
 
 @query(INDEX_SQL + "SELECT DISTINCT doc_id FROM terms WHERE term IN ('reserved', 'license')")
 def search_or(spark: SparkSession, d: str) -> DataFrame:
-    return search.match(index(spark, d), "reserved OR license", "doc_id")
+    return search.match(index(spark, d, "reserved OR license"), "reserved OR license", "doc_id")
 
 
 @query(INDEX_SQL + """

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lexmill.operators import classify, components, hierarchy, publish, reconcile, resolve, snapshots
+from lexmill.operators import classify, components, hierarchy, publish, reconcile, resolve, search, snapshots
 from lexmill.plans import checks, reports
 
 PARENT = "id long, case_name string, case_name_full string, date_filed string, citations array<struct<reporter:string,volume:string,page:string,type:int>>, scdb_id string, source string, citation_count int, precedential_status string, sub_opinions array<string>"
@@ -215,3 +215,27 @@ def test_snapshot_diff(spark):
     a = make(("1", '{"x": 1, "date_modified": "a"}'), ("2", '{"x": 1}'), ("3", '{"x": {"date_modified": 1}}'), ("4", "{}"), ("6", '{"a": 1, "b": 2}'))
     b = make(("1", '{"date_modified": "b", "x": 1}'), ("2", '{"x": 2}'), ("3", '{"x": {"date_modified": 2}}'), ("5", "{}"), ("6", '{"b": 2, "a": 1}'))
     assert {tuple(r) for r in snapshots.diff(a, b).collect()} == {("1", "volatile"), ("2", "substantive"), ("3", "substantive"), ("4", "only_a"), ("5", "only_b")}
+
+
+def test_stored_index_answers_like_the_whole(spark, tmp_path):
+    texts = spark.createDataFrame([(1, "Necessary and próper"), (2, "proper"), (3, None), (4, "necessary, necessary")], "k long, t string")
+    whole = search.inverted_index(texts, "k", "t")
+    search.write_index(whole, f"{tmp_path}/index", 8)
+    for q in ("necessary proper", "PROPER", "absent", "proper OR necessary"):
+        want = sorted(r.k for r in search.match(whole, q, "k").collect())
+        part = search.read_index(spark, f"{tmp_path}/index", q, 8)
+        assert sorted(r.k for r in search.match(part, q, "k").collect()) == want
+        assert sorted(r.k for r in search.match(search.inverted_index(texts, "k", "t", search.query_terms(spark, q)), q, "k").collect()) == want
+    assert "PartitionFilters: [isnotnull(bucket" in search.read_index(spark, f"{tmp_path}/index", "proper", 8)._jdf.queryExecution().toString()
+
+
+def test_lookup_of_hot_keys(spark, monkeypatch):
+    from lexmill.operators import keyed
+
+    monkeypatch.setattr(keyed, "HOT_PARTS", 4)
+    rows = spark.createDataFrame([(i, "hot" if i % 2 else f"k{i % 6}") for i in range(40)] + [(99, "none")], "i long, k string")
+    values = rows.where("k <> 'none'").groupBy("k").agg(F.count(F.lit(1)).alias("n")).withColumn("v", F.upper("k"))
+    for how, more in (("inner", []), ("left", [(99, None)])):
+        got = keyed.lookup(rows, values, "k", "n", 41, how)
+        assert "n" not in got.columns
+        assert sorted((r.i, r.v) for r in got.collect()) == sorted([(i, "HOT" if i % 2 else f"K{i % 6}") for i in range(40)] + more)

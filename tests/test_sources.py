@@ -158,6 +158,21 @@ def test_ingest_keeps_the_newest_reading(spark, tmp_path):
     assert sorted(r.id for r in ingest.latest(spark, f"{tmp_path}/table").collect()) == [1, 2, 3]
 
 
+def test_batches_rewrite_the_buckets_they_touch(spark, tmp_path):
+    make = lambda rows: spark.createDataFrame(rows, "id long, v long, t string")
+    t = f"{tmp_path}/table"
+    ingest.upsert(make([(i, 0, "a") for i in range(60)]), 0, t, "id", "v", 8)
+    before = ingest.versions(spark, t)
+    assert sorted(before) == list(range(8))
+    for n in (1, 2, 3):
+        ingest.upsert(make([(5, n, str(n))]), n, t, "id", "v", 8)
+    after = ingest.versions(spark, t)
+    changed = [b for b in after if after[b] != before[b]]
+    assert len(changed) == 1 and after[changed[0]] == [2, 3]
+    ingest.upsert(make([(5, 3, "3")]), 3, t, "id", "v", 8)
+    assert {r.id: r.t for r in ingest.latest(spark, t).collect()} == {i: "3" if i == 5 else "a" for i in range(60)}
+
+
 def test_stages_from_files_to_tables(spark, tmp_path):
     raw = tmp_path / "raw"
     for folder in archive.FOLDERS:
