@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .shared import byte_slices, shared_path
+from .shared import byte_slices, filtered, shared_path
 from .warc import filesystem
 
 SHINGLE_WORDS = 5
@@ -332,7 +332,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", similarity: float = SIMILARITY, radius: int = RADIUS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no item."""
-    at, schema = docs.columns.index(text_col), docs.schema
+    at = docs.columns.index(text_col)
 
     def dropper(path: str):
         def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -345,7 +345,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "tex
         return drop
 
     for path in item_blocks(benchmark, item_col, item_text_col, block_bytes):
-        docs = docs.mapInArrow(dropper(path), schema)
+        docs = filtered(docs, dropper(path))
     return docs
 
 

@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import filtered
+
 UNDETERMINED = "und"
 BUCKET_BITS = 16
 BUCKETS = 1 << BUCKET_BITS
@@ -290,14 +292,21 @@ def label_long_text(text: str, model: Model) -> Labels:
         words = words_of(part)
         lattice = Lattice(model.scores(words), np.array([len(words.start)]), start, SWITCH_PENALTY, BLOCK_WORDS)
         start = lattice.end
-        held.append((lattice, words.start + offset, words.end + offset, words.has_letter))
+        held.append((lattice, offset, words.start.astype(np.int32), words.end.astype(np.int32), bool(words.has_letter.any())))
         offset += len(part)
-    state, labels = start.argmax(axis=1), []
-    for lattice, *_ in reversed(held):
+    known, mass, state = any(h[4] for h in held), np.zeros(len(model.langs)), start.argmax(axis=1)
+    runs: list[np.ndarray] = []  # first, end and language of runs of one language, the last slice's first
+    while held:
+        lattice, offset, first, end, _ = held.pop()
         own, state = lattice.labels(state)
-        labels.append(own)
-    count = np.array([sum(len(x) for x in labels)], np.int64)
-    return summed_up([*(np.concatenate([h[k] for h in held]) for k in (1, 2, 3)), np.concatenate(labels[::-1])], count, len(model.langs))
+        mass += np.bincount(own, weights=end - first, minlength=len(mass))
+        begins = np.flatnonzero(np.append(True, np.diff(own) != 0)[: len(own)])
+        runs.append(np.stack([first[begins] + offset, end[np.append(begins[1:], len(own))[: len(begins)] - 1] + offset, own[begins].astype(np.int64)]))
+    first, end, own = np.concatenate(runs[::-1], axis=1) if known else np.zeros((3, 0), np.int64)
+    begins = np.flatnonzero(np.append(True, np.diff(own) != 0)[: len(own)])
+    ends = np.append(begins[1:], len(own))[: len(begins)] - 1
+    share = mass.max() / mass.sum() if known else 0.0
+    return Labels(np.array([mass.argmax() if known else -1]), np.array([share]), np.array([len(begins)]), first[begins].astype(np.int64), end[ends].astype(np.int64), own[begins].astype(np.int64))
 
 
 def labelled(column: pa.Array, model: Model) -> Labels:
@@ -352,4 +361,4 @@ def with_language(docs: DataFrame, model: Model, least_score: float, *, text_col
             found = labelled(batch.column(at), model)
             yield batch.filter(pa.array((found.lang >= 0) & (found.score >= least_score)))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return filtered(docs, keep)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.storage import shared_dir, shared_path, stored
 
-__all__ = ["WORD_SPACE", "byte_slices", "packed", "shared_dir", "shared_path", "stored"]
+__all__ = ["WORD_SPACE", "byte_slices", "filtered", "packed", "shared_dir", "shared_path", "stored"]
 
 WORD_SPACE = r"[\x20\x09-\x0D]+"
 
@@ -17,6 +20,13 @@ def packed(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in docs.columns]).alias("row"))
 
 
+def filtered(docs: DataFrame, keep: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
+    """``docs`` without the rows that ``keep`` takes out of its batches. Columns go through Arrow under
+    plain names, by position, and get their own back, whatever those are."""
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    return plain.mapInArrow(keep, plain.schema).toDF(*docs.columns)
+
+
 def byte_slices(payload: bytes, limit: int):
     """``payload`` in order, cut at ASCII white space into slices of about ``limit`` bytes."""
     start, size = 0, len(payload)
