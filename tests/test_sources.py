@@ -270,3 +270,13 @@ def test_extract_says_that_the_mirror_is_wider(tmp_path):
     server = Server(parents=[{"results": [parent(1)]}], children=[{"results": []}, {"results": []}])
     manifest = rest.extract(server.client(), "http://h/parents", "http://h/children", "1801-01-01", "1801-12-31", tmp_path)
     assert (manifest["n_clusters"], manifest["wider_than_run"]) == (2, 1)
+
+
+def test_json_lines_and_arrays(spark, tmp_path):
+    rows = spark.createDataFrame([(2, None, "ü"), (1, 5, "x")], "b long, a int, c string")
+    records.write_json(rows.coalesce(1), f"{tmp_path}/lines")
+    text = next((tmp_path / "lines").glob("part-*")).read_text(encoding="utf-8")
+    assert text.splitlines() == ['{"a":null,"b":2,"c":"ü"}', '{"a":5,"b":1,"c":"x"}']
+    (tmp_path / "array.json").write_text(f"[{','.join(text.splitlines())}]", encoding="utf-8")
+    got = records.read_array(spark, f"{tmp_path}/array.json", records.schema(b=records.LONG, a=records.INT, c=records.TEXT))
+    assert sorted(map(tuple, got.collect())) == [(1, 5, "x"), (2, None, "ü")]
