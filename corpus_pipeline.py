@@ -25,7 +25,7 @@ from lexmill.llm.langid import fit, with_language
 from lexmill.llm.near_copies import without_near_copies
 from lexmill.llm.packing import pack_documents
 from lexmill.llm.secrets import without_secrets
-from lexmill.llm.shared import stored
+from lexmill.storage import remove, shared_path
 
 #: The least share of letters that the language of a document has.
 LEAST_SCORE = 0.5
@@ -70,8 +70,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the table ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the table ``documents``; a stage's table goes once the next one is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        path = shared_path(spark, name)
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.schema(docs.schema).parquet(path)
+        if before:
+            remove(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from lexmill.operators.components import components
 from lexmill.operators.keyed import lookup
+from lexmill.storage import scratched
 
 from .shared import byte_slices, stored
 
@@ -218,6 +219,7 @@ def fingerprint_edges(distinct: DataFrame, *, radius: int = RADIUS, part_rows: i
     return parts.join(shared, "part", "left_semi").groupBy("part").applyInArrow(join, "u long, v long").distinct()
 
 
+@scratched("near-duplicates")
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, part_rows: int = PART_ROWS) -> DataFrame:
     """``doc_id, fp, component_id`` for every row of ``docs``."""
     prints = stored(fingerprints(docs, id_col=id_col, text_col=text_col), "fingerprints")
