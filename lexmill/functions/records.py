@@ -10,6 +10,9 @@ from .text import column
 # Fields that a server sets anew on each read.
 VOLATILE_FIELDS = ("date_created", "date_modified", "resource_uri", "absolute_url")
 CITATION_VOLATILE = ("date_created", "date_modified")
+# Kinds of values: the types that a parser gives them, and what their JSON looks like. Messages.
+KINDS = {"integer": (int, r"^(-?[0-9]+|true|false)$"), "array": (list, r"^\s*\["), "object": (dict, r"^\s*\{")}
+ABSENT, OTHER_KIND = "'{}' is absent", "'{}' is no {}"
 
 
 def clean_citations(citations: Column | str) -> Column:
@@ -59,9 +62,14 @@ def contract_violations(record: Column | str, required: tuple[str, ...], kinds:
     """
     record = column(record)
     keys = F.coalesce(F.json_object_keys(record), F.array().cast("array<string>"))
-    tests = {"integer": r"^(-?[0-9]+|true|false)$", "array": r"^\s*\[", "object": r"^\s*\{"}
-    found = [F.when(~F.array_contains(keys, k), F.lit(f"missing required field '{k}'")) for k in required]
+    found = [F.when(~F.array_contains(keys, k), F.lit(ABSENT.format(k))) for k in required]
     for key, kind in kinds.items():
         value = F.get_json_object(record, f"$.{key}")
-        found.append(F.when(value.isNotNull() & ~value.rlike(tests[kind]), F.lit(f"'{key}' expected {kind}")))
+        found.append(F.when(value.isNotNull() & ~value.rlike(KINDS[kind][1]), F.lit(OTHER_KIND.format(key, kind))))
     return F.array_compact(F.array(*found))
+
+
+def violations_of(record: dict, required: tuple[str, ...], kinds: dict[str, str]) -> list[str]:
+    """The same for a record that is parsed already."""
+    wrong = [ABSENT.format(k) for k in required if k not in record]
+    return wrong + [OTHER_KIND.format(k, kind) for k, kind in kinds.items() if not isinstance(record.get(k), (KINDS[kind][0], type(None)))]

@@ -1,5 +1,6 @@
 """Scalars: captions, shingles, citations, spots, markup."""
 
+import json
 import re
 
 import pytest
@@ -80,8 +81,10 @@ def test_ids_in_urls(spark):
 
 def test_contracts(spark):
     rule = records.contract_violations("x", ("id", "cites"), {"id": "integer", "cites": "array"})
-    got = values(spark, rule, '{"id": 1, "cites": []}', '{"id": "a", "cites": null}', '{"cites": {}}', '{"id": true, "cites": [1]}')
-    assert got == [[], ["'id' expected integer"], ["missing required field 'id'", "'cites' expected array"], []]
+    rows = '{"id": 1, "cites": []}', '{"id": "a", "cites": null}', '{"cites": {}}', '{"id": true, "cites": [1]}'
+    got = values(spark, rule, *rows)
+    assert got == [records.violations_of(json.loads(r), ("id", "cites"), {"id": "integer", "cites": "array"}) for r in rows]
+    assert got == [[], ["'id' is no integer"], ["'id' is absent", "'cites' is no array"], []]
 
 
 def test_ratio_keeps_its_order(spark):
