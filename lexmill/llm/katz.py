@@ -177,31 +177,67 @@ class Places(dict):
         return place
 
 
-def write_block(folder: str, keys: pa.Array, held: np.ndarray, texts: list[bytes]) -> tuple[str, int, int]:
-    """Tokenises texts into a file: ids, held-out flags, tokens per text, hashes of distinct words by
-    falling frequency, and tokens as places among them. Returns path, tokens and distinct words."""
+@dataclass
+class Piece:
+    """A text or a part of one: the words before it, whether it begins and ends the text, and a name
+    that the parts of one text share."""
+
+    body: bytes
+    lead: list[bytes]
+    begins: bool = True
+    ends: bool = True
+    whole: str | None = None
+
+
+def pieces(text: bytes, context: int, limit: int = BLOCK_BYTES) -> Iterator[Piece]:
+    """A text in pieces of about ``limit`` bytes, each with the ``context`` words before it."""
+    if len(text) <= limit:
+        yield Piece(text, [])
+        return
+    whole, lead, begins, held = uuid.uuid4().hex, [], True, None
+    for body in byte_slices(text, limit):
+        words = body.lower().split()
+        if not words:
+            continue
+        if held:
+            yield held
+        held = Piece(body, lead, begins, False, whole)
+        lead, begins = (lead + words)[len(lead) + len(words) - context :] if len(lead) + len(words) > context else lead + words, False
+    held = held or Piece(b"", [], whole=whole)
+    held.ends = True
+    yield held
+
+
+def write_block(folder: str, keys: pa.Array, held: np.ndarray, texts: list[Piece]) -> tuple[str, int, int]:
+    """Tokenises texts into a file: ids, held-out flags, tokens per text and how many of them are
+    context, hashes of distinct words by falling frequency, and tokens as places among them. Returns
+    path, tokens and distinct words."""
     places = Places()
     end = places[END]
     tokens, counts = [], []
     for text in texts:
-        n = 1
-        for part in byte_slices(text.lower(), SLICE_BYTES):
+        lead = np.fromiter(map(places.__getitem__, text.lead), np.uint32, len(text.lead))
+        tokens.append(lead)
+        n = len(lead)
+        for part in byte_slices(text.body.lower(), SLICE_BYTES):
             words = part.split()
             tokens.append(np.fromiter(map(places.__getitem__, words), np.uint32, len(words)))
             n += len(words)
-        tokens.append(np.array([end], np.uint32))
-        counts.append(n)
+        if text.ends:
+            tokens.append(np.array([end], np.uint32))
+        counts.append(n + text.ends)
     flat = np.concatenate(tokens)
     order = np.argsort(-np.bincount(flat, minlength=len(places)), kind="stable")
     rank = np.empty(len(order), np.uint32)
     rank[order] = np.arange(len(order), dtype=np.uint32)
     hashes = np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in places), np.uint64, len(places))
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, pa.schema([("keys", keys.type)])) as writer:
-        writer.write_table(pa.table({"keys": keys}))
+    leads = np.array([len(t.lead) for t in texts])
+    rows, sink = pa.table({"keys": keys, "whole": pa.array([t.whole for t in texts], pa.string())}), pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema) as writer:
+        writer.write_table(rows)
     ids = sink.getvalue().to_pybytes()
-    path = write_file(folder, [len(ids).to_bytes(8, "little"), ids, pack(held.astype(np.uint8), np.array(counts), hashes[order], rank[flat])])
-    return path, len(flat), len(places)
+    path = write_file(folder, [len(ids).to_bytes(8, "little"), ids, pack(held.astype(np.uint8), np.array(counts), leads, hashes[order], rank[flat])])
+    return path, len(flat) - int(leads.sum()), len(places)
 
 
 class Block:
@@ -212,19 +248,26 @@ class Block:
         with where.open_input_file(place) as source:
             data = source.read()
         cut = 8 + int.from_bytes(data[:8], "little")
-        self.keys = pa.ipc.open_stream(data[8:cut]).read_all().column("keys").combine_chunks()
-        held, counts, hashes, tokens = unpack(data[cut:])
+        rows = pa.ipc.open_stream(data[8:cut]).read_all().combine_chunks()
+        self.keys, self.whole = rows.column("keys"), rows.column("whole")
+        held, counts, leads, hashes, tokens = unpack(data[cut:])
         order = np.argsort(hashes)
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
         # from here on words are in the order of their hashes, which is that of their numbers
         self.hashes, self.tokens = hashes[order], rank[tokens]
-        self.held, self.counts = held.astype(bool), whole(counts)
-        self.first = np.cumsum(self.counts) - self.counts
-        self.learnt = np.repeat(~self.held, self.counts)
+        self.held, self.leads, counts = held.astype(bool), whole(leads), whole(counts)
+        self.first, self.counts = np.cumsum(counts) - counts, counts - self.leads
+        # tokens that are no context of a later piece
+        self.own = np.arange(len(tokens)) - np.repeat(self.first, counts) >= np.repeat(self.leads, counts)
+        self.learnt = self.own & np.repeat(~self.held, counts)
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        """Sums of values of tokens by text."""
+        return np.add.reduceat(np.where(self.own, values, 0), self.first)
 
 
-def blocks(docs: DataFrame, folder: str, held: Column, *, id_col: str, text_col: str) -> DataFrame:
+def blocks(docs: DataFrame, folder: str, held: Column, context: int, *, id_col: str, text_col: str) -> DataFrame:
     """Writes blocks and returns their stored manifest ``block, tokens, words, learnt_docs``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,17 +277,19 @@ def blocks(docs: DataFrame, folder: str, held: Column, *, id_col: str, text_col:
             keys = pa.concat_arrays([k for k, _ in rows])
             flags = np.array([h for _, h in rows])
             made = write_block(folder, keys, flags, texts)
-            return pa.RecordBatch.from_arrays([pa.array([x]) for x in (*made, int((~flags).sum()))], ["block", "tokens", "words", "learnt_docs"])
+            learnt = int((~flags & np.array([t.begins for t in texts])).sum())
+            return pa.RecordBatch.from_arrays([pa.array([x]) for x in (*made, learnt)], ["block", "tokens", "words", "learnt_docs"])
 
         for batch in batches:
             bodies = batch.column(1).cast(pa.binary())
             for i, (h, text) in enumerate(zip(batch.column(2).to_pylist(), bodies, strict=True)):
-                rows.append((batch.column(0).slice(i, 1), h))
-                texts.append(text.as_py() or b"")
-                size += len(texts[-1]) + 16
-                if size > BLOCK_BYTES:
-                    yield give()
-                    rows, texts, size = [], [], 0
+                for piece in pieces(text.as_py() or b"", context, BLOCK_BYTES):
+                    rows.append((batch.column(0).slice(i, 1), h))
+                    texts.append(piece)
+                    size += len(piece.body) + 16
+                    if size > BLOCK_BYTES:
+                        yield give()
+                        rows, texts, size = [], [], 0
         if rows:
             yield give()
 
@@ -558,6 +603,7 @@ def write_table(folder: str, columns: dict[str, np.ndarray]) -> str:
     return write_file(folder, [sink.getvalue().to_pybytes()])
 
 
+SUMMED = ("n_tokens", "n_known", "base_score", "score")
 SCORES = "held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -567,14 +613,13 @@ def score_blocks(told: DataFrame, model: Model, n_blocks: int, kind: str) -> Dat
         climb, words = Climb(block, model, rows), model.discounts[0]
         count = climb.words.count
         base = np.log10((count + 1) / (words.total + words.types + 1))
-        add = lambda x: np.add.reduceat(x, block.first)
         columns = [
-            block.keys, pa.array(block.held), pa.array(block.counts), pa.array(add((count > 0).astype(np.int64)[block.tokens])),
-            pa.array(np.full(len(block.counts), words.total, np.int64)), pa.array(add(base[block.tokens])), pa.array(add(np.log10(climb.chances()))),
+            block.keys, pa.array(block.held), pa.array(block.counts), pa.array(block.sums((count > 0).astype(np.int64)[block.tokens])), pa.array(np.full(len(block.counts), words.total, np.int64)),
+            pa.array(block.sums(base[block.tokens])), pa.array(block.sums(np.log10(climb.chances()))), block.whole,
         ]
-        return pa.table(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+        return pa.table(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "whole"])
 
-    return told.repartition(n_blocks, "block").groupBy("block").applyInArrow(run, f"doc_id {kind}, {SCORES}")
+    return told.repartition(n_blocks, "block").groupBy("block").applyInArrow(run, f"doc_id {kind}, {SCORES}, whole string")
 
 
 @scratched("scores")
@@ -585,7 +630,7 @@ def score(docs: DataFrame, held: Column, *, id_col: str = "doc_id", text_col: st
     """
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
-    manifest = blocks(docs, shared_path(spark, "tokens"), F.coalesce(held, F.lit(False)), id_col=id_col, text_col=text_col)
+    manifest = blocks(docs, shared_path(spark, "tokens"), F.coalesce(held, F.lit(False)), order - 1, id_col=id_col, text_col=text_col)
     n_blocks, tokens, n_words, learnt_docs = manifest.agg(F.count(F.lit(1)), F.sum("tokens"), F.sum("words"), F.sum("learnt_docs")).first()
     if not n_blocks:
         return spark.createDataFrame([], f"doc_id {kind}, {SCORES}")
@@ -606,7 +651,10 @@ def score(docs: DataFrame, held: Column, *, id_col: str = "doc_id", text_col: st
     if keep:
         rows = [(k, d.norm, d.left, d.factors.tolist()) for k, d in enumerate(model.discounts, 1)]
         spark.createDataFrame(rows, "order int, norm long, left double, factors array<double>").write.parquet(f"{keep}/discounts")
-    return score_blocks(told, model, n_blocks, kind)
+    scored = stored(score_blocks(told, model, n_blocks, kind), "scored")
+    parts = scored.where("whole IS NOT NULL").groupBy("whole")
+    joined = parts.agg(*[(F.sum if c in SUMMED else F.first)(c).alias(c) for c in scored.columns if c != "whole"])
+    return scored.where("whole IS NULL").drop("whole").unionByName(joined.drop("whole"))
 
 
 def table(spark: SparkSession, keep: str, order: int) -> DataFrame:

@@ -98,6 +98,18 @@ def test_odd_texts(spark, words, parts, order):
             assert sum(model.p(h, w) for w in model.uni) + model.p(h, "\0never") == pytest.approx(1)
 
 
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_texts_larger_than_a_block(spark, monkeypatch, order):
+    rnd = random.Random(order)
+    monkeypatch.setattr(katz, "BLOCK_BYTES", 40)
+    words = lambda n: " ".join("w%d" % min(rnd.randrange(9), rnd.randrange(9)) for _ in range(n))
+    texts = [(i, words(rnd.choice([2, 10, 60]))) for i in range(40)] + [(50, " " * 200), (51, "x" * 300), (52, " " * 90 + words(30) + "\n" * 90 + words(9) + " " * 90), (7, words(80))]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    held = lambda i: i % 5 == 2
+    assert max(len(list(katz.pieces((t or "").encode(), order - 1, 40))) for _, t in texts) > 3
+    check(katz.score(df.coalesce(1), F.col("doc_id") % 5 == 2, order=order).collect(), texts, held, order)
+
+
 def test_kept_tables_are_the_model(spark, tmp_path):
     rnd = random.Random(6)
     texts = [(i, " ".join("w%d" % min(rnd.randrange(30), rnd.randrange(30)) for _ in range(rnd.randrange(40)))) for i in range(200)]

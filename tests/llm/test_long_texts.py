@@ -33,6 +33,20 @@ langid.labelled(pa.array([text(kind).decode()]), model)
 """,
     "chat": "from lexmill.llm.chat import assemble; t = pa.array([text(kind).decode()]); assemble([pa.array(['a']), t, pa.array(['b'])])",
     "packing": "from lexmill.llm import packing; list(packing.encoded([text(kind)], packing.WordTokens(packing.TOKENIZER)))",
+    "katz": """
+from lexmill.llm import katz
+for p in katz.pieces(text(kind), 2):
+    path, _, _ = katz.write_block("/tmp", pa.array([1]), np.array([False]), [p])
+    b = katz.Block(path)
+    own = np.bincount(b.tokens, minlength=len(b.hashes))
+    g = katz.Grams(b.tokens, own, np.arange(len(own)), np.full(len(b.tokens), 10**8))
+    for _ in range(2):
+        q = katz.Questions(b, katz.Grams(b.tokens, own, np.arange(len(own)), g.norm), g, 9, 8, 500_000)
+        list(q.bodies(np.bincount(q.place, minlength=q.size)))
+        g = katz.Grams(q.place, np.bincount(q.place, minlength=q.size), np.arange(q.size), g.norm)
+    import os
+    os.remove(path)
+""",
     "classifier": """
 from lexmill.llm import quality_classifier as q
 for part in q.slices(text(kind).decode()):
