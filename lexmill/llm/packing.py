@@ -35,7 +35,7 @@ END_ID = 0
 SHARD_PIECES = 20_000
 TOKENIZER = "word_bpe_49k.json"
 #: Words that a worker keeps with their ids, and their bytes; beyond either it starts anew.
-CACHE_WORDS, CACHE_BYTES = 600_000, 20_000_000
+CACHE_WORDS, CACHE_BYTES = 1_500_000, 40_000_000
 SLICE_BYTES = 1_000_000
 #: A full stop or comma that ends a word of ASCII letters is a token of its own in this vocabulary.
 STOP = re.compile(rb"(?<=[a-z])([.,])(?![^\x20\x09-\x0D])")
