@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .shared import byte_slices, filtered, shared_path
+from .shared import byte_slices, filtered, shared_path, trimmed
 from .warc import filesystem
 
 SHINGLE_WORDS = 5
@@ -325,7 +325,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text
 
     found = None
     for path in item_blocks(benchmark, item_col, item_text_col, block_bytes):
-        part = docs.select(F.col(id_col), F.col(text_col)).mapInArrow(scanner(path), schema)
+        part = docs.select(F.col(id_col), F.col(text_col)).mapInArrow(trimmed(scanner(path)), schema)
         found = part if found is None else found.unionByName(part)
     return docs.sparkSession.createDataFrame([], schema) if found is None else found
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import filtered
+from .shared import filtered, trimmed
 
 UNDETERMINED = "und"
 BUCKET_BITS = 16
@@ -135,7 +135,7 @@ def fit(train: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lan
         yield pa.RecordBatch.from_arrays([pa.array(lang.astype(np.int32)), pa.array(bucket.astype(np.int32)), pa.array(held[lang, bucket])], ["lang", "bucket", "n"])
 
     counts = np.zeros((BUCKETS + len(SCRIPT_NAMES), len(langs)))
-    found = chosen.select(lang_col, text_col).mapInArrow(count, "lang int, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    found = chosen.select(lang_col, text_col).mapInArrow(trimmed(count), "lang int, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     counts[found.column("bucket").to_numpy(), found.column("lang").to_numpy()] = found.column("n").to_numpy()
     grams, scripts = counts[:BUCKETS], counts[BUCKETS:]
     table = np.log((grams + 0.5) / (grams.sum(axis=0) + 0.5 * BUCKETS)).astype(np.float32)
@@ -349,7 +349,7 @@ def identify(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
 
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"doc_id {kind}, lang_pred string, score double" + ", spans array<struct<start:long,end:long,lang:string>>" * spans
-    return docs.select(id_col, text_col).mapInArrow(predict, schema)
+    return docs.select(id_col, text_col).mapInArrow(trimmed(predict), schema)
 
 
 def with_language(docs: DataFrame, model: Model, least_score: float, *, text_col: str = "text") -> DataFrame:

@@ -34,7 +34,7 @@ from lexmill.operators.components import components
 from lexmill.operators.keyed import lookup
 from lexmill.storage import scratched
 
-from .shared import packed, stored
+from .shared import packed, stored, trimmed
 from .simhash import bit_counts, fingerprint_edges, majority, shingle_hashes
 
 SHINGLE_WORDS = 5
@@ -74,7 +74,7 @@ def shingled(docs: DataFrame, whole: bool) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *longs, lists], ["doc_id", "mark", "set_id", "n", "fp", "h"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(compute, f"doc_id {kind}, mark long, set_id long, n long, fp long, h array<long>")
+    return docs.mapInArrow(trimmed(compute), f"doc_id {kind}, mark long, set_id long, n long, fp long, h array<long>")
 
 
 def can_match(a: str, b: str) -> Column:

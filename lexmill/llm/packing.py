@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import byte_slices, stored
+from .shared import byte_slices, stored, trimmed
 
 CAPACITY = 2048
 END_ID = 0
@@ -209,7 +209,7 @@ def token_pieces(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * keep_ids
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(cut, schema)
+    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(trimmed(cut), schema)
 
 
 def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
@@ -341,7 +341,7 @@ def pack(pieces: DataFrame, *, capacity: int = CAPACITY, shard_pieces: int = SHA
         yield from rows.to_batches(max_chunksize=10_000)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id long, offset long"
-    return pieces.select(*columns).repartition(shards).mapInArrow(place, schema)
+    return pieces.select(*columns).repartition(shards).mapInArrow(trimmed(place), schema)
 
 
 def pack_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:

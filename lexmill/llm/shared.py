@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lexmill.storage import shared_dir, shared_path, stored
 
-__all__ = ["WORD_SPACE", "byte_slices", "filtered", "packed", "shared_dir", "shared_path", "stored"]
+__all__ = ["WORD_SPACE", "byte_slices", "filtered", "give_back", "packed", "shared_dir", "shared_path", "stored", "trimmed"]
 
 WORD_SPACE = r"[\x20\x09-\x0D]+"
 
@@ -20,11 +22,32 @@ def packed(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in docs.columns]).alias("row"))
 
 
+def give_back() -> None:
+    """Returns memory that a worker's allocators keep to the system: a worker lives on after its task,
+    and shares its executor's memory with all that comes then."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # of the C library of Linux alone
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function of batches that gives memory back after each of them."""
+
+    def careful(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for out in run(batches):
+            yield out
+            del out
+            give_back()
+        give_back()
+
+    return careful
+
+
 def filtered(docs: DataFrame, keep: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
     """``docs`` without the rows that ``keep`` takes out of its batches. Columns go through Arrow under
     plain names, by position, and get their own back, whatever those are."""
     plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
-    return plain.mapInArrow(keep, plain.schema).toDF(*docs.columns)
+    return plain.mapInArrow(trimmed(keep), plain.schema).toDF(*docs.columns)
 
 
 def byte_slices(payload: bytes, limit: int):

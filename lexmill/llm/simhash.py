@@ -31,7 +31,7 @@ from lexmill.operators.components import components
 from lexmill.operators.keyed import lookup
 from lexmill.storage import scratched
 
-from .shared import byte_slices, stored
+from .shared import byte_slices, stored, trimmed
 
 SHINGLE_WORDS = 3
 SEED = 42
@@ -94,7 +94,7 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(compute, f"doc_id {kind}, fp long")
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(trimmed(compute), f"doc_id {kind}, fp long")
 
 
 def differing_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
