@@ -15,6 +15,7 @@ Rows without an id have no place in a group of near-duplicates and pass that sta
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,19 +30,38 @@ from lexmill.storage import remove, shared_path
 
 #: The least share of letters that the language of a document has.
 LEAST_SCORE = 0.5
+#: Documents in one Arrow batch: Spark's 10,000 of a few kilobytes each, held by the JVM and by the
+#: Python worker of every running task, are much of an executor's memory.
+BATCH_ROWS = 2000
 
 
+def with_small_batches(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """Lowers the session's batch size for a stage and what comes after it, if it is larger."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+        if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+            spark.conf.set(key, str(BATCH_ROWS))
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
+@with_small_batches
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language, learnt from the documents that aren't held out."""
     learnt = docs.where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
     return with_language(docs, fit(learnt), LEAST_SCORE)
 
 
+@with_small_batches
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, that of the smallest id."""
     return without_near_copies(docs)
 
 
+@with_small_batches
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     return without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -52,6 +72,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return without_secrets(docs)
 
 
+@with_small_batches
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of all documents, packed into sequences."""
     return pack_documents(docs)
