@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, quality_rules, secrets
+from . import chat, quality_rules, secrets, vector_codes
 
 SPACE = r"[\x20\x09-\x0D]"
 
@@ -99,5 +99,28 @@ def chats() -> str:
     """
 
 
+def codes() -> str:
+    k, parts = vector_codes.ENTRIES, vector_codes.PARTS
+    near = lambda book: f"""SELECT r, vec_id, label, p, v, s.e, s.d FROM (SELECT r, vec_id, label, x.p, v, min({{'d': list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 'e': e}}) AS s
+        FROM x JOIN {book} AS b ON b.p = x.p GROUP BY ALL)"""
+    rounds = "".join(f"""
+        n{i} AS ({near(f"b{i}")}),
+        m{i} AS (SELECT p, e, i, CAST(sum(c) AS BIGINT) AS s, count(*) AS n FROM (SELECT p, e, unnest(v) AS c, generate_subscripts(v, 1) AS i FROM n{i}) GROUP BY ALL),
+        f{i} AS (SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM m{i} GROUP BY p, e),
+        b{i + 1} AS (SELECT b{i}.p, b{i}.e, coalesce(f{i}.c, b{i}.c) AS c FROM b{i} LEFT JOIN f{i} USING (p, e)),""" for i in range(vector_codes.ROUNDS))
+    last = vector_codes.ROUNDS
+    return f"""
+        WITH g AS (SELECT *, row_number() OVER () AS r FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+        q AS (SELECT r, vec_id, label, list_transform(embedding, lambda c: CAST(floor({vector_codes.SCALE} * CAST(c AS DOUBLE)) AS BIGINT)) AS w, len(embedding) // {parts} AS width FROM g),
+        x AS (SELECT r, vec_id, label, p, w[p * width + 1 : (p + 1) * width] AS v FROM q, range({parts}) AS t(p)),
+        o AS (SELECT r, row_number() OVER (ORDER BY vec_id NULLS LAST) - 1 AS e FROM g QUALIFY e < {k}),
+        b0 AS (SELECT p, e, v AS c FROM x JOIN o USING (r)), {rounds}
+        z AS ({near(f"b{last}")}),
+        done AS (SELECT r, vec_id, label, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM z GROUP BY r, vec_id, label),
+        h AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b{last})
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM done, h
+    """
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_secret_scans": secret_spans(), "op2_quality_rules": rules(), "op8_warc": warc(), "op9_chat_formatting": chats()}
+    return {"op1_secret_scans": secret_spans(), "op2_quality_rules": rules(), "op8_warc": warc(), "op9_chat_formatting": chats(), "op11_vector_code_compression": codes()}

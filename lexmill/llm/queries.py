@@ -96,6 +96,13 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_vector_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable vector's product code and errors, under codebooks learnt from all of them."""
+    from .vector_codes import vector_codes
+
+    return vector_codes(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 

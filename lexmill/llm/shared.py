@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lexmill.storage import shared_dir, shared_path, stored
 
-__all__ = ["WORD_SPACE", "byte_slices", "filtered", "give_back", "packed", "shared_dir", "shared_path", "stored", "trimmed"]
+__all__ = ["WORD_SPACE", "byte_slices", "filtered", "give_back", "named", "packed", "shared_dir", "shared_path", "stored", "trimmed"]
 
 WORD_SPACE = r"[\x20\x09-\x0D]+"
 
@@ -22,6 +22,13 @@ def packed(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in docs.columns]).alias("row"))
 
 
+def named(df: DataFrame, **columns: str) -> DataFrame:
+    """Columns of ``df`` under new names. They are told apart exactly, and the first of equal names
+    counts, so that no other column's name can clash with them."""
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    return plain.select(*[F.col(f"c{df.columns.index(old)}").alias(new) for new, old in columns.items()])
+
+
 def give_back() -> None:
     """Returns memory that a worker's allocators keep to the system: a worker lives on after its task,
     and shares its executor's memory with all that comes then."""

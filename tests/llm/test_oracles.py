@@ -12,7 +12,7 @@ KINDS = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "D
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_same_rows(spark, name):
     db = duckdb.connect()
-    for table in ("documents", "pages", "conversations"):
+    for table in ("documents", "pages", "conversations", "embeddings"):
         db.sql(f"CREATE VIEW {table} AS SELECT * FROM '{DIR}/{table}.parquet'")
     mine, theirs = queries.queries()[name](spark, DIR), db.sql(queries.oracle_sql()[name])
     columns = sorted(mine.columns)
