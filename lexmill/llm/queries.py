@@ -103,6 +103,13 @@ def op11_vector_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes(table(spark, sf_dir, "embeddings"))
 
 
+def op13_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words and how many of them a mixture of its source's weight takes."""
+    from .mixing import mix
+
+    return mix(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
