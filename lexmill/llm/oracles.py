@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, quality_rules, secrets, vector_codes
+from . import chat, prefix_trie, quality_rules, secrets, vector_codes
 
 SPACE = r"[\x20\x09-\x0D]"
 
@@ -122,5 +122,27 @@ def codes() -> str:
     """
 
 
+def tries() -> str:
+    bit = "list_reduce([CAST(xor(a, b) AS BIGINT), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, _: CAST(xor(x >> 1, (x & 1) * 3988292384) AS BIGINT))"
+    crc = f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))), lambda a, b: {bit}), 4294967295)"
+    return f"""
+        WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS p FROM conversations WHERE conv_id IS NOT NULL),
+        n AS (SELECT conv_id, count(*) AS n FROM t GROUP BY conv_id),
+        c AS (SELECT conv_id, conv_id - conv_id % {prefix_trie.GROUP} AS base, CAST({crc} AS BIGINT) % {prefix_trie.HEADS} AS h FROM n),
+        k AS (SELECT c.*, least(h, coalesce(n.n, 0)) AS taken FROM c LEFT JOIN n ON n.conv_id = base),
+        r AS (SELECT k.conv_id, p AS d, role, text FROM k JOIN t ON t.conv_id = base AND p <= taken UNION ALL SELECT k.conv_id, p - h + taken, role, text FROM k JOIN t ON t.conv_id = k.conv_id AND p > h),
+        s AS (SELECT k.conv_id, coalesce(list({{'role': role, 'text': text}} ORDER BY d) FILTER (WHERE d IS NOT NULL), []) AS said FROM k LEFT JOIN r ON r.conv_id = k.conv_id GROUP BY k.conv_id),
+        m AS (SELECT conv_id, said, unnest(range(0, len(said) + 1)) AS depth FROM s),
+        g AS (SELECT *, said[:depth] AS top FROM m),
+        o AS (SELECT depth, top, min(conv_id) AS node, count(*) AS n_convs, coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE len(said) = depth), '') AS ends FROM g GROUP BY depth, top),
+        x AS (SELECT g.conv_id, g.depth, node FROM g JOIN o ON o.depth = g.depth AND o.top = g.top),
+        v AS (SELECT o.node, o.depth, x.node AS above, x.depth AS level, CASE WHEN o.depth > 0 THEN (n_convs - 1) * octet_length(encode(top[-1].text)) ELSE 0 END AS own FROM o JOIN x ON x.conv_id = o.node AND x.depth <= o.depth),
+        f AS (SELECT above AS node, level AS depth, count(*) AS n FROM v WHERE depth = level + 1 GROUP BY ALL),
+        a AS (SELECT above AS node, level AS depth, count(*) FILTER (WHERE f.n IS NULL) AS n_leaves, CAST(sum(own) AS BIGINT) AS saved FROM v LEFT JOIN f ON f.node = v.node AND f.depth = v.depth GROUP BY ALL)
+        SELECT o.node AS conv_id, o.depth, u.above AS parent_conv_id, n_convs, coalesce(f.n, 0) AS n_children, n_leaves, saved AS saved_tokens, sha256(ends) AS ends_sha256
+        FROM o JOIN a ON a.node = o.node AND a.depth = o.depth LEFT JOIN f ON f.node = o.node AND f.depth = o.depth LEFT JOIN v AS u ON u.node = o.node AND u.depth = o.depth AND u.level = o.depth - 1
+    """
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_secret_scans": secret_spans(), "op2_quality_rules": rules(), "op8_warc": warc(), "op9_chat_formatting": chats(), "op11_vector_code_compression": codes()}
+    return {"op1_secret_scans": secret_spans(), "op2_quality_rules": rules(), "op8_warc": warc(), "op9_chat_formatting": chats(), "op11_vector_code_compression": codes(), "op12_conversation_prefix_trie": tries()}

@@ -103,6 +103,13 @@ def op11_vector_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes(table(spark, sf_dir, "embeddings"))
 
 
+def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of rebuilt conversations, with its rollups."""
+    from .prefix_trie import prefix_trie
+
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's words and how many of them a mixture of its source's weight takes."""
     from .mixing import mix
