@@ -14,9 +14,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.functions.arrow import sequence_ratio
 from lexmill.functions.text import match_key, match_tokens
-from lexmill.operators.resolve import can_reach
+from lexmill.operators.captions import can_reach, with_ratio
 from lexmill.storage import scratched, stored
 
 # Thresholds of captions on one page, in one volume, and of copies; the span.
@@ -34,13 +33,6 @@ def page_score(ratio: Column, wanted: str, found: str) -> Column:
     return F.greatest(ratio, token_share(wanted, found))
 
 
-def with_ratio(pairs: DataFrame, a: str, b: str, floor: float) -> DataFrame:
-    """Adds ``ratio`` of two columns, 0 where it is below ``floor``."""
-    names = pairs.select(F.col(a).alias("a_"), F.col(b).alias("b_")).where(can_reach("a_", "b_", floor)).distinct()
-    scored = names.select(F.col("a_").alias(a), F.col("b_").alias(b), sequence_ratio("a_", "b_").alias("ratio")).where(F.col("ratio") >= floor)
-    return pairs.join(scored, [a, b], "left").withColumn("ratio", F.coalesce("ratio", F.lit(0.0)))
-
-
 def one_to_one(pairs: DataFrame, by: list[str], *order: tuple[str, bool]) -> DataFrame:
     """``volume, ord, cluster_id`` of the pairs that are taken one after another in ``order``, each
     if both of its sides are still free. ``by`` names what pairs of one task share."""
