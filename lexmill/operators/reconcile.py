@@ -1,18 +1,21 @@
 """Reconciliation of kept records with an answer key: one-to-one, greedily, volume by volume.
 
-Pairs are made by joins: of one page first, then, of what that leaves, of one volume. Only scored
-pairs that reach their threshold go to a task together, where the greedy choice is made. Captions
-are compared once for each two that differ, however many records have them.
+Pairs are made by joins: of one page first, then, of what that leaves, of one volume. Of scored
+pairs that reach their threshold, up to ``TASK_PAIRS`` of a page or volume go to a task together, where the
+greedy choice is made; more are worked down by joins first. Captions are compared once for each two
+that differ, however many records have them.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lexmill.functions.text import match_key, match_tokens
 from lexmill.operators.captions import can_reach, with_ratio
@@ -21,6 +24,10 @@ from lexmill.storage import scratched, stored
 # Thresholds of captions on one page, in one volume, and of copies; the span.
 PAGE_NAME, VOLUME_NAME, COPY_NAME = 0.35, 0.72, 0.7
 FIRST_VOLUME, LAST_VOLUME = 2, 18
+#: Pairs that one task chooses from.
+TASK_PAIRS = 200_000
+
+log = logging.getLogger(__name__)
 
 
 def token_share(wanted: str, found: str) -> Column:
@@ -33,21 +40,53 @@ def page_score(ratio: Column, wanted: str, found: str) -> Column:
     return F.greatest(ratio, token_share(wanted, found))
 
 
-def one_to_one(pairs: DataFrame, by: list[str], *order: tuple[str, bool]) -> DataFrame:
-    """``volume, ord, cluster_id`` of the pairs that are taken one after another in ``order``, each
-    if both of its sides are still free. ``by`` names what pairs of one task share."""
-    names, up = [n for n, _ in order], [x for _, x in order]
+def greedy(pairs: DataFrame, by: list[str]) -> DataFrame:
+    """The pairs that are taken one after another, by ``rank``, each if both of its sides are still free; the pairs
+    of one group are in one task."""
 
     def choose(rows: pd.DataFrame) -> pd.DataFrame:
         keys, records, taken = set(), set(), []
-        for row in rows.sort_values(names, ascending=up, kind="stable").itertuples():
-            if row.ord not in keys and row.cluster_id not in records:
-                keys.add(row.ord)
+        for row in rows.sort_values("place", kind="stable").itertuples():
+            if (row.volume, row.ord) not in keys and row.cluster_id not in records:
+                keys.add((row.volume, row.ord))
                 records.add(row.cluster_id)
                 taken.append((row.volume, row.ord, row.cluster_id))
         return pd.DataFrame(taken, columns=["volume", "ord", "cluster_id"])
 
-    return pairs.groupBy(*by).applyInPandas(choose, "volume int, ord long, cluster_id long")
+    place = F.row_number().over(Window.partitionBy(*by).orderBy("rank"))
+    return pairs.withColumn("place", place).drop("rank").groupBy(*by).applyInPandas(choose, "volume int, ord long, cluster_id long")
+
+
+def dominant(pairs: DataFrame) -> DataFrame:
+    """The pairs that are the best left for both of their sides. A key or a record has one best pair
+    each, so that however many pairs one of them is in, they meet as single rows."""
+    of_key = pairs.groupBy("volume", "ord").agg(F.min("rank").alias("rank"))
+    of_record = pairs.groupBy("cluster_id").agg(F.min("rank").alias("rank"))
+    return of_key.join(of_record, "rank").select("volume", "ord", "cluster_id")
+
+
+def one_to_one(pairs: DataFrame, by: list[str], *order: tuple[str, bool], task_pairs: int = TASK_PAIRS) -> DataFrame:
+    """``volume, ord, cluster_id`` of the pairs that are taken one after another in ``order`` (names, and
+    whether they ascend), each if both of its sides are still free. ``by`` names what pairs have in common
+    that can get in each other's way.
+
+    Groups of more than ``task_pairs`` are worked down in rounds: every pair that is the best left for both
+    of its sides is taken, and all other pairs of these sides go. As no two pairs are of one rank,
+    that takes the same pairs as going through them one by one. What is left of a group then fits
+    into a task.
+    """
+    rank = F.struct(*[(F.col(n) if up else -F.col(n)).alias(n) for n, up in order], *[F.col(c) for c in ("ord", "cluster_id") if c not in dict(order)])
+    left, found, rounds = stored(pairs.select(*dict.fromkeys([*by, "volume", "ord", "cluster_id"]), rank.alias("rank")), "pairs"), [], 0
+    while True:
+        large = left.groupBy(*by).agg(F.count("*").alias("n_")).where(F.col("n_") > task_pairs).drop("n_")
+        if large.isEmpty():
+            break
+        rounds += 1
+        taken = stored(dominant(left.join(large, by, "left_semi")), "dominant-pairs")
+        found.append(taken)
+        left = stored(left.join(taken, ["volume", "ord"], "left_anti").join(taken, "cluster_id", "left_anti"), "pairs")
+    log.info("%d rounds before the rest went to tasks", rounds)
+    return reduce(DataFrame.unionByName, found, greedy(left, by))
 
 
 @scratched("outcomes")
