@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lexmill.functions.folding import without_marks
+
 # Word lists whose members decide results.
 STOP_WORDS = ("v", "the", "of", "a", "and", "et", "al", "in", "for")
 MATCH_STOP_WORDS = ("v", "the", "of", "a", "and", "et", "al", "in")
@@ -174,7 +176,5 @@ def inline_breaks(text: Column | str) -> Column:
 
 def fold_tokens(text: Column | str) -> Column:
     """Search tokens: runs of letters, digits and marks, in lower case, without diacritics."""
-    from .arrow import without_diacritics
-
-    folded = without_diacritics(F.coalesce(column(text), F.lit("")))
-    return F.array_remove(F.split(F.lower(folded), r"[^\p{L}\p{N}\p{Co}]+"), "")
+    folded = bound(F.coalesce(column(text), F.lit("")), lambda t: F.lower(without_marks(t)))
+    return F.array_remove(F.split(folded, r"[^\p{L}\p{N}\p{Co}]+"), "")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.functions.records import text_or_none
 from lexmill.operators.clean import page_breaks, suspect_rows
-from lexmill.operators.search import inverted_index
+from lexmill.operators.search import inverted_index, read_blocks, rows_of, write_index
+from lexmill.operators.versions import Draft, current, table
 from lexmill.plans.checks import IntegrityError, enforce
 
 # Staged tables with the stage that makes each; the volumes of the corpus; the version.
@@ -45,21 +46,32 @@ def publish_parents(parents: DataFrame, scope: DataFrame, resolved: DataFrame) -
     return rows.withColumn("corpus_status", corpus_status(F.col("is_scotus"), F.col("dedup_role"), F.col("us_volume"))).drop("scope_")
 
 
-def violations(parents: DataFrame) -> dict[str, DataFrame]:
-    """Rules over published parents, each as the rows that break it."""
+def row_rules() -> dict[str, Column]:
+    """Rules that a published parent breaks by itself."""
     duplicate = F.coalesce(F.col("dedup_role") == "duplicate", F.lit(False))
+    return {
+        "scope_unrecognized": F.col("is_scotus").isNull(),
+        "status_impossible": F.col("corpus_status").isNull(),
+        "duplicate_incomplete": duplicate & (F.col("dup_of").isNull() | F.col("dup_method").isNull()),
+        "fields_on_non_duplicate": ~duplicate & (F.col("dup_of").isNotNull() | F.col("dup_method").isNotNull()),
+    }
+
+
+def joined_rules(parents: DataFrame) -> dict[str, DataFrame]:
+    """Rules that take several parents, each as the rows that break it."""
     roles = parents.select(F.col("cluster_id").alias("dup_of"), F.col("dedup_role").alias("target_role"))
-    targets = parents.where(duplicate & F.col("dup_of").isNotNull()).join(roles, "dup_of", "left")
+    targets = parents.where((F.col("dedup_role") == "duplicate") & F.col("dup_of").isNotNull()).join(roles, "dup_of", "left")
     return {
-        "scope_unrecognized": parents.where(F.col("is_scotus").isNull()),
-        "status_impossible": parents.where(F.col("corpus_status").isNull()),
-        "duplicate_incomplete": parents.where(duplicate & (F.col("dup_of").isNull() | F.col("dup_method").isNull())),
         "duplicate_target_not_canonical": targets.where(~F.col("target_role").eqNullSafe("canonical")),
-        "fields_on_non_duplicate": parents.where(~duplicate & (F.col("dup_of").isNotNull() | F.col("dup_method").isNotNull())),
         "parent_repeated": parents.groupBy("cluster_id").count().where("count > 1"),
     }
 
 
+def violations(parents: DataFrame) -> dict[str, DataFrame]:
+    """Rules over published parents, each as the rows that break it."""
+    return {k: parents.where(rule) for k, rule in row_rules().items()} | joined_rules(parents)
+
+
 def publish_citations(parents: DataFrame) -> DataFrame:
     """Citations of each parent; of equal ones the first, with its type."""
     every = parents.select("cluster_id", F.posexplode("citations").alias("pos", "c"))
@@ -123,31 +135,54 @@ def staged_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 
 def build(spark: SparkSession, staging: str, target: str, values: dict[str, object] | None = None) -> dict[str, int]:
-    """Publishes the set anew under ``target`` and registers its views; returns its counts.
+    """Publishes the set as a new version under ``target`` and registers its views; returns its counts.
 
-    Rules are enforced before anything is written, so a bad staging fails the build.
+    A table's counts and the rules that a row can break by itself are observed as it is written; rules that
+    take a join follow. A set that breaks any isn't committed, and the version before it stays.
     """
     staged = staged_tables(spark, staging)
+    draft = Draft(spark, target)
     parents = publish_parents(staged["stg_clusters"], staged["stg_cluster_scope"], staged["stg_cluster_dedup"])
-    enforce(violations(parents))
+    of_status = {f"n_clusters_{s}": F.count_if(F.col("corpus_status") == s) for s in STATUSES}
+    seen = draft.write(
+        "clusters", parents.drop("citations", "declared_ids"), n_clusters_total=F.count(F.lit(1)), **of_status, n_decisions=F.count_if(F.col("corpus_status") == "included"),
+        n_review_ledger_folds=F.count_if(F.col("dup_method") == "human_review"), **{k: F.count_if(rule) for k, rule in row_rules().items()},
+    )
+    if bad := [(k, seen[k]) for k in row_rules() if seen[k]]:
+        raise IntegrityError(", ".join(f"{k}: {n} rows" for k, n in bad))
+    enforce(joined_rules(draft.read("clusters")))
     cleaned = staged["stg_opinion_clean"]
-    children = publish_children(staged["stg_opinions"], staged["stg_opinion_source"], cleaned)
-    citations = publish_citations(staged["stg_clusters"])
-    spots = suspect_rows(cleaned)
-    tables = {"clusters": parents.drop("citations", "declared_ids"), "citations": citations, "opinions": children, "page_breaks": staged["stg_page_break"], "ocr_suspects": spots}
-    for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{target}/{name}")
-    out = {name: spark.read.parquet(f"{target}/{name}") for name in tables}
-    found = counts(out["clusters"], out["opinions"], staged["stg_clusters"], out["citations"], out["page_breaks"], out["ocr_suspects"])
-    inverted_index(out["opinions"].where("clean_text IS NOT NULL"), "opinion_id", "clean_text").write.mode("overwrite").parquet(f"{target}/opinions_fts")
-    meta(spark, {"pipeline_version": PIPELINE_VERSION} | (values or {}) | found, staged["stg_meta"]).write.mode("overwrite").parquet(f"{target}/meta")
-    for name in (*tables, "opinions_fts", "meta"):
-        spark.read.parquet(f"{target}/{name}").createOrReplaceTempView(name)
-    decisions(out["clusters"]).createOrReplaceTempView("scotus_decisions")
-    duplicates(out["clusters"]).createOrReplaceTempView("duplicate_clusters")
+    declared = Observation()
+    cited = staged["stg_clusters"].observe(declared, F.sum(F.size("citations")).alias("n"))
+    draft.write("citations", publish_citations(cited))
+    texts = draft.write("opinions", publish_children(staged["stg_opinions"], staged["stg_opinion_source"], cleaned), n_opinions=F.count(F.lit(1)), n_corpus_opinions=F.count("clean_text"))
+    draft.write("page_breaks", staged["stg_page_break"])
+    draft.write("ocr_suspects", suspect_rows(cleaned))
+    rows = {k: t["rows"] for k, t in draft.tables.items()}
+    found = {k: n for k, n in seen.items() if k not in row_rules()} | texts | {"n_citations": rows["citations"], "n_citation_dupes_dropped": (declared.get["n"] or 0) - rows["citations"], "n_page_breaks": rows["page_breaks"], "n_ocr_suspects": rows["ocr_suspects"]}
+    if sum(found[k] for k in of_status) != found["n_clusters_total"]:
+        raise IntegrityError("the statuses don't sum to the total")
+    write_index(inverted_index(draft.read("opinions").where("clean_text IS NOT NULL"), "opinion_id", "clean_text"), draft.path("opinions_fts"), "opinion_id")
+    draft.write("meta", meta(spark, {"pipeline_version": PIPELINE_VERSION} | (values or {}) | found, staged["stg_meta"]))
+    draft.commit()
+    register(spark, target)
     return found
 
 
+def register(spark: SparkSession, target: str) -> None:
+    """Views of the last committed set."""
+    for name in ("clusters", "citations", "opinions", "page_breaks", "ocr_suspects", "meta"):
+        table(spark, target, name).createOrReplaceTempView(name)
+    rows_of(read_blocks(spark, index_path(spark, target)), "opinion_id").createOrReplaceTempView("opinions_fts")
+    decisions(spark.table("clusters")).createOrReplaceTempView("scotus_decisions")
+    duplicates(spark.table("clusters")).createOrReplaceTempView("duplicate_clusters")
+
+
+def index_path(spark: SparkSession, target: str) -> str:
+    """Where the index of the last committed set is, for ``search.find``."""
+    return f"{target}/v={current(spark, target)['version']}/opinions_fts"
+
+
 def integrity(parents: DataFrame, children: DataFrame, citations: DataFrame, breaks: DataFrame, spots: DataFrame) -> dict[str, DataFrame]:
     """Rules across the published tables, each as the rows that break it."""
     texts = children.select("opinion_id", F.length("clean_text").alias("n"))

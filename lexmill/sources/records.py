@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -64,12 +64,20 @@ def exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
-def read_csv(spark: SparkSession, path: str, columns: tuple[str, ...]) -> DataFrame:
-    """A CSV file with a header, all text; a file that isn't there is an empty table."""
+def read_csv(spark: SparkSession, path: str, columns: tuple[str, ...], ordered: bool = False) -> DataFrame:
+    """A CSV file with a header, or a folder of them, all text; what isn't there is an empty table. ``ordered``
+    adds ``row``, by which rows are in order."""
     if not exists(spark, path):
-        return spark.createDataFrame([], schema(**dict.fromkeys(columns, TEXT)))
+        empty = spark.createDataFrame([], schema(**dict.fromkeys(columns, TEXT)))
+        return empty.withColumn("row", F.struct(F.lit("").alias("file"), F.lit(0).cast("long").alias("line"))) if ordered else empty
     found = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
-    return found.select(*[F.col(c) if c in found.columns else F.lit(None).cast("string").alias(c) for c in columns])
+    return found.select(*[F.col(c) if c in found.columns else F.lit(None).cast("string").alias(c) for c in columns], *([row_order().alias("row")] if ordered else []))
+
+
+def row_order() -> Column:
+    """A row's place in a CSV file or a folder of them: files by path, and rows as they stand in one. A file
+    with line breaks inside values is read by one task, in which the ids of rows rise."""
+    return F.struct(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line"))
 
 
 def read_scope_ledger(spark: SparkSession, path: str) -> DataFrame:
@@ -77,7 +85,7 @@ def read_scope_ledger(spark: SparkSession, path: str) -> DataFrame:
 
     Dispositions other than keep and drop have no effect.
     """
-    rows = read_csv(spark, path, ("cluster_id", "disposition")).withColumn("row", F.monotonically_increasing_id())
+    rows = read_csv(spark, path, ("cluster_id", "disposition"), ordered=True)
     rows = rows.where(F.coalesce("cluster_id", F.lit("")) != "")
     kept = rows.groupBy(F.col("cluster_id").cast("long").alias("cluster_id")).agg(F.max_by(F.trim(F.coalesce("disposition", F.lit(""))), "row").alias("disposition"))
     return kept
@@ -94,7 +102,7 @@ def read_answer_key(spark: SparkSession, path: str) -> DataFrame:
     """``us_volume, page, name, year, ord``; the volume is the column ``rep_vol``."""
     if not exists(spark, path):
         raise IntegrityError(f"no answer key at {path}")
-    rows = read_csv(spark, path, ("rep_vol", "page", "name", "year")).withColumn("row", F.monotonically_increasing_id())
+    rows = read_csv(spark, path, ("rep_vol", "page", "name", "year"), ordered=True)
     order = Window.partitionBy("rep_vol").orderBy("row")
     return rows.select(F.col("rep_vol").cast("int").alias("us_volume"), "page", "name", "year", F.row_number().over(order).alias("ord"))
 

@@ -2,11 +2,13 @@
 
 import json
 import re
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
 
 from lexmill.functions import arrow, records, text
+from lexmill.functions.folding import without_marks
 from lexmill.operators import select, unpivot
 
 
@@ -167,3 +169,12 @@ def test_many_spots_in_one_text(spark):
 def test_running_sums(spark, size):
     df = spark.createDataFrame([(list(range(1, size + 1)),)], "a array<long>")
     assert df.select(text.before_each(F.col("a"), 4)).first()[0] == [i * (i + 1) // 2 for i in range(size)]
+
+
+def test_folding_of_every_character(spark):
+    every = [chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000]
+    rows = [("".join(every[i : i + 500]),) for i in range(0, len(every), 500)] + [("a\u0301\u0327é",), ("",), ("plain",), ("각가a",)]
+    plain = lambda t: "".join(c for c in unicodedata.normalize("NFD", t) if not unicodedata.combining(c))
+    got = spark.createDataFrame(rows, "t string").select("t", without_marks(F.col("t")).alias("f"))
+    assert all(r.f == plain(r.t) for r in got.collect())
+    assert "Python" not in got._jdf.queryExecution().toString()

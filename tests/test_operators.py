@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lexmill.operators import classify, components, hierarchy, publish, reconcile, resolve, search, snapshots
+from lexmill.operators import classify, components, hierarchy, publish, reconcile, resolve, search, snapshots, versions
 from lexmill.plans import checks, reports
 
 PARENT = "id long, case_name string, case_name_full string, date_filed string, citations array<struct<reporter:string,volume:string,page:string,type:int>>, scdb_id string, source string, citation_count int, precedential_status string, sub_opinions array<string>"
@@ -217,16 +217,53 @@ def test_snapshot_diff(spark):
     assert {tuple(r) for r in snapshots.diff(a, b).collect()} == {("1", "volatile"), ("2", "substantive"), ("3", "substantive"), ("4", "only_a"), ("5", "only_b")}
 
 
-def test_stored_index_answers_like_the_whole(spark, tmp_path):
-    texts = spark.createDataFrame([(1, "Necessary and próper"), (2, "proper"), (3, None), (4, "necessary, necessary")], "k long, t string")
-    whole = search.inverted_index(texts, "k", "t")
-    search.write_index(whole, f"{tmp_path}/index", 8)
-    for q in ("necessary proper", "PROPER", "absent", "proper OR necessary"):
+def test_stored_index_answers_like_the_whole(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(search, "BLOCK_IDS", 4)
+    words = ["necessary", "próper", "Rare", "plain"]
+    rows = [(i - 9, " ".join(w for k, w in enumerate(words) if i % (k + 2) == 0 or (w == "Rare" and i == 6))) for i in range(60)] + [(90, None), (91, ""), (92, "necessary, necessary")]
+    texts = spark.createDataFrame(rows, "k long, t string")
+    whole, path = search.inverted_index(texts, "k", "t"), f"{tmp_path}/index"
+    search.write_index(search.inverted_index(texts.where("k < 30"), "k", "t"), path, "k", 0, 8)
+    search.write_index(search.inverted_index(texts.where("k >= 30"), "k", "t"), path, "k", 1, 8)  # texts that came later
+    for q in ("necessary proper", "PROPER", "absent", "proper OR necessary", "plain rare necessary", "absent necessary OR rare", "", "necessary absent"):
         want = sorted(r.k for r in search.match(whole, q, "k").collect())
-        part = search.read_index(spark, f"{tmp_path}/index", q, 8)
-        assert sorted(r.k for r in search.match(part, q, "k").collect()) == want
+        assert sorted(r.k for r in search.find(spark, path, q, "k", 8).collect()) == want
         assert sorted(r.k for r in search.match(search.inverted_index(texts, "k", "t", search.query_terms(spark, q)), q, "k").collect()) == want
-    assert "PartitionFilters: [isnotnull(bucket" in search.read_index(spark, f"{tmp_path}/index", "proper", 8)._jdf.queryExecution().toString()
+    assert sorted(map(tuple, search.rows_of(search.read_blocks(spark, path), "k").collect())) == sorted(map(tuple, whole.collect()))
+    plan = search.find(spark, path, "rare necessary", "k", 8)._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [bucket" in plan
+    assert "In(block" in plan and "EqualTo(term" in plan  # only the blocks of the rarest term
+
+
+def test_killed_publish_leaves_the_version_before(spark, tmp_path, monkeypatch):
+    out = f"{tmp_path}/out"
+    staging(spark, f"{tmp_path}/s")
+    publish.build(spark, f"{tmp_path}/s", out)
+    want = {t: sorted(map(str, versions.table(spark, out, t).collect())) for t in ("clusters", "citations", "opinions", "page_breaks", "ocr_suspects")}
+    assert versions.current(spark, out)["tables"]["citations"]["rows"] == 2
+    staging(spark, f"{tmp_path}/s", {"stg_page_break": ([], None)})
+    write, commit = versions.Draft.write, versions.Draft.commit
+    for stop in range(6):
+        def killed(self, name, df, *by, left=[stop], **asked):  # noqa: B006
+            if not left[0]:
+                raise KeyboardInterrupt
+            left[0] -= 1
+            return write(self, name, df, *by, **asked)
+
+        monkeypatch.setattr(versions.Draft, "write", killed)
+        with pytest.raises(KeyboardInterrupt):
+            publish.build(spark, f"{tmp_path}/s", out)
+        assert versions.current(spark, out)["version"] == 1
+    monkeypatch.setattr(versions.Draft, "write", write)
+    monkeypatch.setattr(versions.Draft, "commit", lambda self: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        publish.build(spark, f"{tmp_path}/s", out)
+    assert {t: sorted(map(str, versions.table(spark, out, t).collect())) for t in want} == want
+    monkeypatch.setattr(versions.Draft, "commit", commit)
+    publish.build(spark, f"{tmp_path}/s", out)
+    assert versions.table(spark, out, "page_breaks").count() == 0 and spark.table("page_breaks").count() == 0
+    publish.build(spark, f"{tmp_path}/s", out)
+    assert len(versions.numbers(spark, out, "v=")) == 2 and versions.current(spark, out)["version"] > 2
 
 
 def test_lookup_of_hot_keys(spark, monkeypatch):

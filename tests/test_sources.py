@@ -280,3 +280,19 @@ def test_json_lines_and_arrays(spark, tmp_path):
     (tmp_path / "array.json").write_text(f"[{','.join(text.splitlines())}]", encoding="utf-8")
     got = records.read_array(spark, f"{tmp_path}/array.json", records.schema(b=records.LONG, a=records.INT, c=records.TEXT))
     assert sorted(map(tuple, got.collect())) == [(1, 5, "x"), (2, None, "ü")]
+
+
+def test_last_row_of_the_last_file_counts(spark, tmp_path):
+    folder = tmp_path / "ledger"
+    folder.mkdir()
+    (folder / "a.csv").write_text("cluster_id,disposition\n1,keep\n2,drop\n")
+    (folder / "b.csv").write_text("cluster_id,disposition\n" + "".join(f"{i},keep\n" for i in range(10, 3000)) + "1,keep\n")
+    (folder / "c.csv").write_text("cluster_id,disposition\n1,drop\n")
+    got = {r.cluster_id: r.disposition for r in records.read_scope_ledger(spark, str(folder)).collect()}
+    assert (got[1], got[2], len(got)) == ("drop", "drop", 2992)
+    keys = tmp_path / "keys"
+    keys.mkdir()
+    (keys / "a.csv").write_text("rep_vol,page,name,year\n2,1,A,1801\n")
+    (keys / "b.csv").write_text("rep_vol,page,name,year\n" + "".join(f"2,{i},B{i},\n" for i in range(2, 900)))
+    (keys / "c.csv").write_text("rep_vol,page,name,year\n2,900,C,\n")
+    assert [r.page for r in records.read_answer_key(spark, str(keys)).orderBy("ord").collect()] == [str(i) for i in range(1, 901)]
