@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from lexmill import config
 from lexmill.functions.text import plain_words, shingles, year_of
 from lexmill.operators import classify, clean, hierarchy, publish, reconcile, resolve, select, unpivot
+from lexmill.plans import reports
 from lexmill.plans.checks import IntegrityError
 from lexmill.sources import archive, records, rest
 from lexmill.storage import stored
@@ -128,6 +129,28 @@ def mirror_gaps(spark: SparkSession, raw: str) -> tuple[DataFrame, DataFrame]:
     return hierarchy.undelivered(parents, children, "cluster_id", "declared_ids", "opinion_id"), hierarchy.orphans(children, parents, "cluster_id", "cluster_id").select("opinion_id", "cluster_id")
 
 
+def show_gaps(spark: SparkSession, raw: str) -> int:
+    """Prints what a mirror lacks, line by line; returns how many lines."""
+    n = 0
+    for what, rows in zip(("undelivered", "orphan"), mirror_gaps(spark, raw), strict=True):
+        for row in rows.orderBy(*rows.columns).toLocalIterator():
+            print(what, *row)
+            n += 1
+    return n
+
+
+def show_report(spark: SparkSession, target: str) -> list[str]:
+    """Prints the report pack over the last published set; returns its sections."""
+    publish.register(spark, target)
+    for name in reports.SECTIONS:
+        print(name)
+        rows = reports.report(spark, name)
+        print("", *rows.columns, sep=" | ")
+        for row in rows.toLocalIterator():
+            print("", *["" if x is None else x for x in row], sep=" | ")
+    return list(reports.SECTIONS)
+
+
 STAGES = {
     "extract": lambda s, a: extract(a.raw, a.url, a.children, a.after, a.before),
     "package-mirror": lambda s, a: archive.package(Path(a.raw), Path(a.target), Path(a.ledger)),
@@ -140,6 +163,8 @@ STAGES = {
     "clean": lambda s, a: clean_texts(s, a.staging),
     "load": lambda s, a: load(s, a.staging, a.target),
     "apparatus": lambda s, a: auxiliary(s, a.raw, a.ledger, a.target),
+    "report": lambda s, a: show_report(s, a.target),
+    "gaps": lambda s, a: show_gaps(s, a.raw),
 }
 
 

@@ -1,10 +1,12 @@
 """Hierarchies, rules, resolution, reconciliation, publishing and snapshots on hand-worked cases."""
 
+import argparse
+
 import pytest
 from pyspark.sql import functions as F
 
 from lexmill.operators import classify, components, hierarchy, publish, reconcile, resolve, search, snapshots, versions
-from lexmill.plans import checks, reports
+from lexmill.plans import checks, reports, stages
 
 PARENT = "id long, case_name string, case_name_full string, date_filed string, citations array<struct<reporter:string,volume:string,page:string,type:int>>, scdb_id string, source string, citation_count int, precedential_status string, sub_opinions array<string>"
 CHILD = "id long, cluster_id long, cluster string, type string, author_str string, extracted_by_ocr boolean, ordering_key int, html string, plain_text string"
@@ -217,6 +219,28 @@ def test_snapshot_diff(spark):
     assert {tuple(r) for r in snapshots.diff(a, b).collect()} == {("1", "volatile"), ("2", "substantive"), ("3", "substantive"), ("4", "only_a"), ("5", "only_b")}
 
 
+@pytest.mark.parametrize("n, touched", [(1, 1), (700, 0), (3000, 30)])
+def test_diff_joins_only_what_differs(spark, n, touched):
+    a = spark.range(n).select(F.col("id").cast("string").alias("id"), F.to_json(F.struct(F.col("id").alias("x"))).alias("record"))
+    b = a.withColumn("record", F.when(F.col("id").cast("long") < touched, '{"x": -1}').otherwise(F.col("record")))
+    more = spark.createDataFrame([("new", "{}"), (None, "{}")], "id string, record string") if touched else b.limit(0)
+    b = b.unionByName(more)
+    got = sorted(map(tuple, snapshots.diff(a, b).collect()), key=str)
+    assert got == sorted([(str(i), "substantive") for i in range(touched)] + ([("new", "only_b"), (None, "only_b")] if touched else []), key=str)
+    levels = 2
+    apart = snapshots.differing(*[snapshots.leaves(x, "id", "record", levels) for x in (a, b)], levels)
+    assert (apart is None) == (not touched)
+    if touched:
+        assert apart.count() <= touched + 1 and snapshots.changed(a, apart, "id", levels).count() <= 2 * touched
+
+
+def test_report_of_the_command_line(spark, tmp_path, capsys):
+    staging(spark, f"{tmp_path}/s")
+    publish.build(spark, f"{tmp_path}/s", f"{tmp_path}/out")
+    assert stages.STAGES["report"](spark, argparse.Namespace(target=f"{tmp_path}/out")) == list(reports.SECTIONS)
+    assert " | A | 5 U.S. 1" in capsys.readouterr().out
+
+
 def test_stored_index_answers_like_the_whole(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(search, "BLOCK_IDS", 4)
     words = ["necessary", "próper", "Rare", "plain"]

@@ -45,6 +45,7 @@ def test_retries():
     assert client.get("http://h/x", paced=True) == {"ok": 1}
     assert server.slept == [4, 10, 15] and client.pace == 1.5
     assert client.log == {"attempts": 4, "retry_after": 1, "server_errors": 1, "network_errors": 1}
+    assert client.trace == [{"url": "http://h/x", "attempts": 4, "codes": [429, 503, None], "waits": [4, 10, 15]}]
     with pytest.raises(urllib.error.HTTPError):
         Server(x=[(404, {})]).client().get("http://h/x")
     with pytest.raises(RuntimeError, match="no answer"):
@@ -60,6 +61,7 @@ def test_mirror_and_resume(tmp_path):
     args = ("http://h/parents", "http://h/children", "1801-05-01", "1801-09-30", tmp_path)
     manifest = rest.extract(server.client(), *args)
     assert (manifest["n_clusters"], manifest["n_opinions"], manifest["opinions_fetched_this_run"]) == (2, 1, 1)
+    assert len(manifest["trace"]) == 5 and all(x["attempts"] == 1 and not x["codes"] for x in manifest["trace"])
     assert (manifest["wider_than_run"], manifest["requests"]["attempts"], manifest["requests"]["retry_after"]) == (0, 5, 0)
     assert manifest["clusters_by_year"] == [{"year": 1801, "api_count": 2, "stored": 2, "pages": 2}]
     again = Server(children=[{"results": []}])
