@@ -10,7 +10,8 @@ Repeated word windows are found inside the row: windows are compared as a set fi
 text in which the set is smaller sorts its windows to find which words repeat.
 
 Defined results: a null or empty text has no words, fails the base and isn't kept; repeated rows
-repeat; an empty table gives an empty table and the rules' given order; extra columns are ignored.
+repeat; an empty table gives an empty table and the rules' given order; extra columns come back as they were,
+but for those named like an added one in any case, which are replaced.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import WORD_SPACE, stored
+from .shared import WORD_SPACE, rows_and_text, stored
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEATED_PERCENT = 50, 50
@@ -69,16 +70,20 @@ CASE WHEN size(array_distinct(windows)) = size(windows) THEN 0L ELSE
 """
 
 
+#: What ``judge`` adds; columns of these names, in any case, are replaced.
+ADDED = ("text", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def measures(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     """Adds ``text`` (never null), ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines`` and
     ``n_repeat_words``, all over whole texts."""
     spaces = " \t\n\x0b\x0c\r"
-    rows = docs.withColumn("text", F.coalesce(F.col(text_col), F.lit("")))
+    rows = rows_and_text(docs, text_col, without=ADDED)
     rows = rows.withColumn("words", F.array_remove(F.split("text", WORD_SPACE), ""))
     rows = rows.withColumn("windows", F.expr(WINDOWS))
     lines = F.expr(r"filter(split(text, '\n'), x -> x RLIKE '[^\\x20\\x09-\\x0D]')")
     return rows.select(
-        *[c for c in docs.columns if c not in ("text", "words", "windows", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
+        "row.*",
         "text",
         F.size("words").cast("long").alias("n_words"),
         F.length(F.translate(F.col("text"), spaces, "")).cast("long").alias("word_chars"),
@@ -107,7 +112,10 @@ def estimates(docs: DataFrame, rules: list[Rule], *, text_col: str = "text", sam
     """Each rule's nanoseconds and share of rejections, on about ``sample_rows`` of ``docs``."""
     chosen = docs.sample(fraction=min(1.0, sample_rows / max(1, docs.count())), seed=11).limit(2 * sample_rows)
     # stored, so that no measure is computed again where a rule names it
-    rows = stored(measures(chosen, text_col=text_col), "rule-sample").select(*[timed(r.rejects).alias(f"rule{i}") for i, r in enumerate(rules)])
+    found = measures(chosen, text_col=text_col)
+    lower = [c.lower() for c in found.columns]
+    clear = [F.col(f"`{c.replace('`', '``')}`") for c in found.columns if lower.count(c.lower()) == 1]  # no rule can name the others
+    rows = stored(found.select(*clear), "rule-sample").select(*[timed(r.rejects).alias(f"rule{i}") for i, r in enumerate(rules)])
     found = rows.agg(*[f(F.col(f"rule{i}.{k}")).alias(f"{k}{i}") for i in range(len(rules)) for k, f in (("nanos", F.median), ("hit", lambda c: F.avg(c.cast("int"))))]).first()
     return {r.name: ((found[f"nanos{i}"] or 0.0) / REPEATS, found[f"hit{i}"] or 0.0) for i, r in enumerate(rules)}
 

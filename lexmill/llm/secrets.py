@@ -25,7 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import packed
+from .shared import rows_and_text
 
 #: Kinds in the order of their listing, with pattern, group to measure and least length.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -138,20 +138,15 @@ def findings(rows: DataFrame) -> DataFrame:
     return rows.select("row", F.sort_array(F.concat(*parts, high)).alias("found"))
 
 
-def with_text(docs: DataFrame, text_col: str) -> DataFrame:
-    return packed(docs).select("row", F.coalesce(F.col("row").getField(text_col), F.lit("")).alias("text"))
-
-
 def scan(docs: DataFrame, *, text_col: str = "text", found_col: str = "found") -> DataFrame:
-    """Adds ``found_col``: an array of ``start, rank, kind, end`` by start and kind; ranks below
-    ``len(KINDS)`` are those of the patterns."""
-    own = [F.col("row").getField(c).alias(c) for c in docs.columns if c != found_col]
-    return findings(with_text(docs, text_col)).select(*own, F.col("found").alias(found_col))
+    """Adds ``found_col``, in place of a column of that name in any case: an array of ``start, rank, kind, end``
+    by start and kind; ranks below ``len(KINDS)`` are those of the patterns."""
+    return findings(rows_and_text(docs, text_col, without=(found_col.lower(),))).select("row.*", F.col("found").alias(found_col))
 
 
 def without_secrets(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, in which nothing is found."""
-    return findings(with_text(docs, text_col)).where(F.size("found") == 0).select("row.*")
+    return findings(rows_and_text(docs, text_col)).where(F.size("found") == 0).select("row.*")
 
 
 def spans_text(found: str, most_rank: int | None = None) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lexmill.storage import shared_dir, shared_path, stored
 
-__all__ = ["WORD_SPACE", "byte_slices", "filtered", "give_back", "named", "packed", "shared_dir", "shared_path", "stored", "trimmed"]
+__all__ = ["WORD_SPACE", "byte_slices", "filtered", "give_back", "named", "packed", "rows_and_text", "shared_dir", "shared_path", "stored", "trimmed"]
 
 WORD_SPACE = r"[\x20\x09-\x0D]+"
 
@@ -29,6 +29,14 @@ def named(df: DataFrame, **columns: str) -> DataFrame:
     return plain.select(*[F.col(f"c{df.columns.index(old)}").alias(new) for new, old in columns.items()])
 
 
+def rows_and_text(docs: DataFrame, text_col: str, without: tuple[str, ...] = ()) -> DataFrame:
+    """``row`` and ``text``, never null: each row as one struct, but for columns whose names, in any case, are among
+    ``without``. Columns are taken by position, so that names that differ by case alone don't clash."""
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    own = [F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns) if c.lower() not in without]
+    return plain.select(F.struct(*own).alias("row"), F.coalesce(F.col(f"c{docs.columns.index(text_col)}"), F.lit("")).alias("text"))
+
+
 def give_back() -> None:
     """Returns memory that a worker's allocators keep to the system: a worker lives on after its task,
     and shares its executor's memory with all that comes then."""

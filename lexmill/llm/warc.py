@@ -86,7 +86,21 @@ def train_dictionary(samples: list[bytes]) -> zstandard.ZstdCompressionDict | No
         return None
 
 
+#: Hadoop's names of stores that Arrow has others for; a mounted store is a local folder to Arrow.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "gcs": "gs", "wasb": "abfs", "wasbs": "abfss"}
+MOUNTED = {"dbfs": "/dbfs"}
+
+
+def arrow_path(path: str) -> str:
+    """A path as Arrow names it: a URI of a scheme that it knows, or a local path."""
+    scheme, found, rest = path.partition(":/")
+    if found and scheme in MOUNTED:
+        return MOUNTED[scheme] + "/" + rest.lstrip("/")
+    return SCHEMES.get(scheme, scheme) + found + rest
+
+
 def filesystem(path: str) -> tuple[fs.FileSystem, str]:
+    path = arrow_path(path)
     return fs.FileSystem.from_uri(path) if ":/" in path else (fs.LocalFileSystem(), path)
 
 

@@ -40,6 +40,15 @@ def test_odd_texts(spark):
     assert q.judge(df.limit(0)).collect() == []
 
 
+def test_names_of_columns_cannot_clash(spark):
+    names = ["doc_id", "text", "Words", "words", "windows", "N_words", "kept", "Base_Failed", "row", "a.b", "Doc_ID"]
+    texts = ["w " * 60, None, "a b c d " * 20 + "# " * 40]
+    got = q.judge(spark.createDataFrame([(i, t, *"abcdefghi") for i, t in enumerate(texts)], names))
+    assert got.columns == ["doc_id", "Words", "words", "windows", "row", "a.b", "Doc_ID", *q.ADDED]
+    want = [(i, "a", "b", "c", "g", "h", "i", t or "", *slow(t)) for i, t in enumerate(texts)]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
 def test_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
     assert rows_of(op2_quality_rules(spark, "/root/testdata/sf0.001")) == sorted((r.doc_id, *slow(r.text)) for r in docs)

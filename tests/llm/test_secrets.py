@@ -99,3 +99,6 @@ def test_names_of_columns_cannot_clash(spark):
     assert got.columns == names and sorted(map(tuple, got.collect()), key=str) == [(1, "nothing", *"abcdefg"), (3, None, *"abcdefg")]
     got = s.scan(df, found_col="row")
     assert sorted(got.columns) == sorted(names) and {r.doc_id: len(r["row"]) for r in got.collect()} == {1: 0, 2: 1, 3: 0}
+    got = s.scan(df.withColumnRenamed("found", "Found").withColumnRenamed("text_", "Text"))
+    assert got.columns == ["doc_id", "text", "Text", "found_assign", "found_entropy", "row", "count", "a.b", "found"]
+    assert [len(r.found) for r in got.select("doc_id", "found").orderBy("doc_id").collect()] == [0, 1, 0]

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import duckdb
+import pytest
 import zstandard
 
 from lexmill.llm import warc
@@ -55,3 +56,11 @@ def test_query_matches_sql(spark):
     db.sql("CREATE VIEW pages AS SELECT * FROM '/root/testdata/sf0.01/pages.parquet'")
     want = sorted(db.sql(oracle_sql()["op8_warc"]).project("page_id, payload_bytes, payload_digest, record_type, refers_to").fetchall(), key=str)
     assert sorted((tuple(r) for r in op8_warc(spark, "/root/testdata/sf0.01").collect()), key=str) == want
+
+
+@pytest.mark.parametrize("path, want", [
+    ("s3a://bucket/a b/c", "s3://bucket/a b/c"), ("s3n://b/c", "s3://b/c"), ("gs://b/c", "gs://b/c"), ("hdfs://host:8020/x", "hdfs://host:8020/x"), ("file:///x/y", "file:///x/y"), ("file:/x/y", "file:/x/y"),
+    ("abfss://c@a.dfs.core.windows.net/x", "abfss://c@a.dfs.core.windows.net/x"), ("wasbs://c@a/x", "abfss://c@a/x"), ("dbfs:/tmp/x", "/dbfs/tmp/x"), ("/x/s3a", "/x/s3a"),
+])
+def test_paths_of_object_stores(path, want):
+    assert warc.arrow_path(path) == want
