@@ -152,13 +152,13 @@ def longest_child(spark: SparkSession, d: str) -> DataFrame:
 
 def judged_documents(spark: SparkSession, d: str) -> DataFrame:
     """Documents in the shape of records: made-up volumes, pages and identifiers, labels as ledger. The
-    caption is the beginning of a text, as a case's is; what is said of whole texts uses their hash.
+    source is the caption; what is said of whole texts uses their hash.
 
-    Texts are read once, for a name and a hash; the rest of a plan works on narrow rows.
+    Texts are read once, for the hash; the rest of a plan works on narrow rows.
     """
     docs = table(spark, d, "documents")
     records = docs.select(
-        F.col("doc_id").alias("cluster_id"), F.substring("text", 1, 40).alias("case_name"), (F.col("doc_id") % 24).cast("int").alias("us_volume"),
+        F.col("doc_id").alias("cluster_id"), F.col("source").alias("case_name"), (F.col("doc_id") % 24).cast("int").alias("us_volume"),
         ((F.col("doc_id") * 7) % 900).cast("string").alias("us_page"), F.when(F.col("doc_id") % 11 != 0, F.lit("cited")).alias("us_cite"), F.when(F.col("doc_id") % 3 == 0, F.col("lang")).alias("scdb_id"),
         F.coalesce(F.sha2("text", 256), F.lit("")).alias("text_hash"),  # texts that are null are equal
     )
@@ -168,7 +168,7 @@ def judged_documents(spark: SparkSession, d: str) -> DataFrame:
 
 JUDGED = """
     WITH r AS (
-      SELECT doc_id AS cluster_id, lower(substr(text, 1, 40)) AS name, doc_id % 24 AS v, (doc_id * 7) % 900 AS p, doc_id % 11 <> 0 AS cited, doc_id % 3 = 0 AS known,
+      SELECT doc_id AS cluster_id, lower(source) AS name, doc_id % 24 AS v, (doc_id * 7) % 900 AS p, doc_id % 11 <> 0 AS cited, doc_id % 3 = 0 AS known,
              CASE WHEN toxic = 1 THEN CASE WHEN quality = 1 THEN 'keep' ELSE 'drop' END END AS disposition
       FROM documents LEFT JOIN labels USING (doc_id)),
     t AS (SELECT *, concat_ws(';', CASE WHEN starts_with(name, 'respublica') OR contains(name, 'commonwealth') THEN 'respublica/commonwealth' END,
@@ -225,9 +225,9 @@ def published_documents(spark: SparkSession, d: str) -> DataFrame:
 
 
 PUBLISHED = JUDGED + """,
-    f AS (SELECT j.*, d.text, d.n_chars, starts_with(x, 'true') AS kept, CASE WHEN starts_with(x, 'true') THEN min(cluster_id) OVER (PARTITION BY d.text, starts_with(x, 'true')) END AS first
+    f AS (SELECT j.*, d.text, d.source, d.n_chars, starts_with(x, 'true') AS kept, CASE WHEN starts_with(x, 'true') THEN min(cluster_id) OVER (PARTITION BY d.text, starts_with(x, 'true')) END AS first
           FROM j JOIN documents d ON d.doc_id = cluster_id),
-    pub AS (SELECT cluster_id, substr(text, 1, 40) AS case_name, text, v, CASE WHEN kept THEN 1 ELSE 0 END AS is_scotus, CASE WHEN kept THEN CASE WHEN first = cluster_id THEN 'canonical' ELSE 'duplicate' END END AS dedup_role,
+    pub AS (SELECT cluster_id, source AS case_name, text, v, CASE WHEN kept THEN 1 ELSE 0 END AS is_scotus, CASE WHEN kept THEN CASE WHEN first = cluster_id THEN 'canonical' ELSE 'duplicate' END END AS dedup_role,
           CASE WHEN kept AND first <> cluster_id THEN first END AS dup_of,
           CASE WHEN NOT kept THEN 'not_scotus' WHEN first <> cluster_id THEN 'duplicate' WHEN v BETWEEN 2 AND 18 THEN 'included' ELSE 'outside_volume' END AS corpus_status FROM f)
 """

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexmill.queries import matching, relational, texts
+from lexmill.queries import matching, relational, staged, texts
 
-PARTS = (relational.query, texts.query, matching.query)
+PARTS = (relational.query, texts.query, matching.query, staged.query)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
