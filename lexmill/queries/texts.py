@@ -9,6 +9,7 @@ from lexmill.functions import text as X
 from lexmill.functions.arrow import BLOCK_ELEMENTS, render_markup
 from lexmill.operators import clean, resolve, search
 from lexmill.operators.components import components
+from lexmill.operators.keyed import lookup
 from lexmill.queries.base import RUNS_SQL, WORDS_SQL, Registry, listed, tokens_sql
 from lexmill.session import table
 from lexmill.storage import scratched, stored
@@ -91,8 +92,9 @@ def duplicate_records(spark: SparkSession, d: str) -> DataFrame:
     rows = docs.select("doc_id", F.size("shingles").alias("n")).join(members.select(F.col("id").alias("doc_id"), "rep"), "doc_id", "left").join(found, "doc_id", "left")
     rows = rows.select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep"), F.coalesce("component", "doc_id").alias("group_id"))
     rows = rows.join(table(spark, d, "labels").select("doc_id", F.lit("labelled").alias("known")).distinct(), "doc_id", "left")
-    heads = rows.groupBy("group_id").agg(F.min_by(F.struct("doc_id", "rep"), resolve.canonical_key(F.col("known"), F.col("n"), F.col("doc_id"))).alias("h"))
-    both = rows.join(heads, "group_id").select("doc_id", "rep", F.col("h.doc_id").alias("head"), F.col("h.rep").alias("head_rep"))
+    rows = stored(rows, "grouped-documents")
+    heads = rows.groupBy("group_id").agg(F.min_by(F.struct("doc_id", "rep"), resolve.canonical_key(F.col("known"), F.col("n"), F.col("doc_id"))).alias("h"), F.count("*").alias("copies"))
+    both = lookup(rows, heads, "group_id", "copies", rows.count()).select("doc_id", "rep", F.col("h.doc_id").alias("head"), F.col("h.rep").alias("head_rep"))
     near = pairs.select("left_id", "right_id", F.lit("text").alias("how"))
     both = both.join(near, (F.least("rep", "head_rep") == F.col("left_id")) & (F.greatest("rep", "head_rep") == F.col("right_id")), "left")
     copy = F.col("doc_id") != F.col("head")
@@ -114,7 +116,8 @@ def ledger_union(spark: SparkSession, d: str) -> DataFrame:
     pairs = groups.where("doc_id % 10 = 1").select("group_id", (F.col("doc_id") - 1).alias("other"))
     edges = pairs.join(groups.select(F.col("doc_id").alias("other"), F.col("group_id").alias("v")), "other").select(F.col("group_id").alias("u"), "v")
     final = components(edges).select(F.col("node").alias("group_id"), "component")
-    rows = groups.join(final, "group_id", "left")
+    sizes = groups.groupBy("group_id").agg(F.count("*").alias("copies"))
+    rows = lookup(groups, sizes.join(final, "group_id", "left"), "group_id", "copies", groups.count())
     return rows.select("doc_id", F.coalesce("component", "group_id").alias("group_id"), F.col("component").isNotNull().alias("by_ledger"))
 
 
