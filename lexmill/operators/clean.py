@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.functions.arrow import CLEAN_VERSION, render_markup
+from lexmill.functions.arrow import CLEAN_VERSION
+from lexmill.functions.markup import rendered as rendered_markup
 from lexmill.functions.text import suspects, suspects_json
 
 
 def clean(texts: DataFrame, key: str = "opinion_id", text: str = "text") -> DataFrame:
     """``key, clean_text, page_breaks, suspects, ocr_suspect, clean_version`` of each row.
 
-    Markup is parsed in Arrow batches; spots are then found natively in the text that results.
+    Plain markup is rendered natively, other markup in Arrow batches; spots are then found in the text that results.
     """
-    rendered = texts.select(key, render_markup(text).alias("r")).select(key, "r.clean_text", "r.page_breaks")
+    rendered = texts.select(key, rendered_markup(F.col(text)).alias("r")).select(key, "r.clean_text", "r.page_breaks")
     found = rendered.withColumn("suspects", suspects("clean_text"))
     return found.select("*", suspects_json("suspects").alias("ocr_suspect"), F.lit(CLEAN_VERSION).alias("clean_version"))
 

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.functions import text as X
-from lexmill.functions.arrow import BLOCK_ELEMENTS, render_markup
+from lexmill.functions.arrow import BLOCK_ELEMENTS
+from lexmill.functions.markup import rendered
 from lexmill.operators import clean, resolve, search
 from lexmill.operators.components import components
 from lexmill.operators.keyed import lookup
@@ -203,7 +204,7 @@ RENDER_SQL = rf"""
 def render_pages(spark: SparkSession, d: str) -> DataFrame:
     """Pages as text, with the page breaks in it: each list item has a marker."""
     marked = F.replace("html", F.lit("<li>"), F.lit("<li><page-number>*7</page-number>"))
-    pages = table(spark, d, "pages").select("page_id", render_markup(marked).alias("r"))
+    pages = table(spark, d, "pages").select("page_id", rendered(marked).alias("r"))
     offsets = F.aggregate("r.page_breaks", F.lit(0).cast("long"), lambda a, b: a + b["char_offset"])
     return pages.select("page_id", "r.clean_text", F.size("r.page_breaks").alias("n_breaks"), offsets.alias("offset_sum"), F.array_max(F.transform("r.page_breaks", lambda b: b["page_label"])).alias("label"))
 
