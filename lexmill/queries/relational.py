@@ -166,6 +166,7 @@ def judged_documents(spark: SparkSession, d: str) -> DataFrame:
     return classify.scope(records, ledger)
 
 
+# The evidence strings and tells in this SQL are those that the rules give.
 JUDGED = """
     WITH r AS (
       SELECT doc_id AS cluster_id, lower(source) AS name, doc_id % 24 AS v, (doc_id * 7) % 900 AS p, doc_id % 11 <> 0 AS cited, doc_id % 3 = 0 AS known,
