@@ -6,13 +6,16 @@ shingle of any item are passed over, since they can't be similar to one. Fingerp
 ``BLOCKS`` blocks of bits. Two of them within ``radius`` bits agree in one block but for
 ``radius // BLOCKS`` bits, so an item stands in a table under every (block, value) that near to its
 own, and looking up a window's blocks finds all items within the radius: these are the candidates,
-wherever they come from in the text. Around each candidate, windows are checked by the exact
+wherever they come from in the text. Of many items each stands under fewer values, and windows are
+looked up under the flips that this leaves, so that the table's size is bounded and it finds the
+same. Around each candidate, windows are checked by the exact
 weighted similarity of their word shingles: each weighs as often as it occurs, and the sum of the
 smaller weights is taken over that of the larger.
 
-Items are the stated query set. They are split into blocks of bounded size, stored in the shared
-folder, from which workers read them; each block is one pass over the documents, and no shuffle
-moves texts. The driver holds their number alone.
+Items are the stated query set. They are stored in the shared folder, from which workers read them;
+no shuffle moves texts. A worker holds the items of one block: 12 bytes for each of their shingles, and the
+bounded tables. Items beyond ``BLOCK_BYTES`` make more blocks, each one pass over the documents. The
+driver holds their number alone.
 
 Defined results: words are folded (ASCII case, punctuation at their ends); a null or empty text and
 an item without words match nothing; an item of fewer than five words is one shingle; repeated
@@ -25,17 +28,18 @@ from __future__ import annotations
 import functools
 import math
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
+import xxhash
 from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .shared import byte_slices, filtered, shared_path, trimmed
+from .shared import byte_slices, filtered, shared_path, stored, trimmed
 from .warc import filesystem
 
 SHINGLE_WORDS = 5
@@ -45,7 +49,11 @@ SIMILARITY = 0.8
 #: make candidates too, in hardly more.
 RADIUS, BLOCKS, BLOCK_BITS = 15, 4, 16
 #: Bytes of item texts in one pass over the documents.
-BLOCK_BYTES = 1_000_000
+BLOCK_BYTES = 100_000_000
+#: Entries of all tables of a block's fingerprints, unless there are more items than a fourth of them.
+TABLE_KEYS = 4_000_000
+#: Lookups, and candidates, that are compared at once.
+LOOKUPS = 1_000_000
 SLICE_BYTES = 400_000
 #: Shingles of which window fingerprints are held at once.
 RANGE_SHINGLES = 50_000
@@ -145,6 +153,16 @@ def window_prints(running: np.ndarray, size: int) -> np.ndarray:
     return np.packbits(set_bits, axis=1, bitorder="little").view(np.uint64).ravel()
 
 
+def run_prints(hashes: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """SimHash of the runs of ``size`` shingles at ``starts``."""
+    out, step = [], max(1, RANGE_SHINGLES // size)
+    for i in range(0, len(starts), step):
+        at = starts[i : i + step, None] + np.arange(size)
+        counts = bits_of(hashes[at].ravel()).reshape(len(at), size, 64).sum(axis=1, dtype=np.int64)
+        out.append(np.packbits(2 * counts > size, axis=1, bitorder="little").view(np.uint64).ravel())
+    return np.concatenate(out)
+
+
 @functools.lru_cache(maxsize=4)
 def flips(most: int) -> np.ndarray:
     """All values of a block with at most ``most`` bits."""
@@ -159,62 +177,130 @@ def block_values(prints: np.ndarray) -> np.ndarray:
     return values.astype(np.uint32) | (np.arange(BLOCKS, dtype=np.uint32) << np.uint32(BLOCK_BITS))
 
 
+def own_flips(prints: int, radius: int, table_keys: int) -> int:
+    """How many bits of a block the table's side flips, for ``prints`` fingerprints in all."""
+    fitting = (n for n in range(radius // BLOCKS, 0, -1) if prints * BLOCKS * len(flips(n)) <= table_keys)
+    return next(fitting, 0)
+
+
 class BlockTable:
-    """Fingerprints by their blocks: finds all within ``radius`` bits of others."""
+    """Fingerprints by their blocks: finds all within ``radius`` bits of others.
+
+    Up to ``flipped`` bits of a block are flipped here, those that are left of ``radius // BLOCKS``
+    in the fingerprints that are looked up; all of them here if it isn't given.
+    """
 
-    def __init__(self, prints: np.ndarray, radius: int):
+    def __init__(self, prints: np.ndarray, radius: int, flipped: int | None = None):
         self.prints, self.radius = prints, radius
-        near = flips(radius // BLOCKS)
+        flipped = radius // BLOCKS if flipped is None else flipped
+        near, self.asked_flips = flips(flipped), flips(radius // BLOCKS - flipped)
         keys = (block_values(prints)[:, :, None] ^ near).reshape(-1)
-        owner = np.repeat(np.arange(len(prints), dtype=np.int32), BLOCKS * len(near))
         order = np.argsort(keys, kind="stable")
-        self.keys, self.owner = keys[order], owner[order]
+        self.keys, self.owner = keys[order], (order // (BLOCKS * len(near))).astype(np.int32)
+        self.starts = None
+        if len(keys) >= 1 << BLOCK_BITS:  # places by value are smaller than the keys, and quicker
+            self.starts = np.concatenate(([0], np.cumsum(np.bincount(keys, minlength=BLOCKS << BLOCK_BITS)))).astype(np.int32)
+            self.keys = None
+
+    def entries(self, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First entry and end of each value's."""
+        if self.starts is None:
+            return np.searchsorted(self.keys, asked, "left"), np.searchsorted(self.keys, asked, "right")
+        return self.starts[asked].astype(np.int64), self.starts[asked + np.uint32(1)].astype(np.int64)
 
     def near(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pairs of places, in ``prints`` and among the table's own, within the radius."""
-        asked = block_values(prints).reshape(-1)
-        first, end = np.searchsorted(self.keys, asked, "left"), np.searchsorted(self.keys, asked, "right")
-        sizes = end - first
+        own, each = len(self.prints), BLOCKS * len(self.asked_flips)
+        step, pairs = max(1, LOOKUPS // each), [np.zeros(0, np.int64)]
+        for low in range(0, len(prints), step):
+            asked = (block_values(prints[low : low + step])[:, :, None] ^ self.asked_flips).reshape(-1)
+            first, end = self.entries(asked)
+            hit = np.flatnonzero(end > first)
+            first, sizes, window = first[hit], (end - first)[hit], low + hit // each
+            total = np.cumsum(sizes)
+            cuts = np.searchsorted(total, np.arange(LOOKUPS, int(sizes.sum()) + LOOKUPS, LOOKUPS), "right")
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(hit)], strict=True):
+                if a < b:
+                    pairs.append(self.compared(prints, window[a:b], first[a:b], sizes[a:b]))
+        found = np.unique(np.concatenate(pairs))
+        return found // own, found % own
+
+    def compared(self, prints: np.ndarray, window: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Those candidates that are within the radius, as one number a pair."""
         at = np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
-        window, own = np.repeat(np.arange(len(asked)) // BLOCKS, sizes), self.owner[at]
+        window, own = np.repeat(window, sizes), self.owner[at]
         close = np.bitwise_count(prints[window] ^ self.prints[own]) <= self.radius
-        pairs = np.unique(window[close] * len(self.prints) + own[close])
-        return pairs // len(self.prints), pairs % len(self.prints)
+        return np.unique(window[close] * len(self.prints) + own[close])
 
 
 class Items:
-    """A block of benchmark items: their shingles, and tables of their fingerprints by size."""
+    """A block of benchmark items: their shingles, and tables of their fingerprints by size.
+
+    Items of the same text are one, ``ids`` has all of theirs.
+    """
 
-    def __init__(self, rows: list[tuple[object, bytes]], radius: int, similarity: float):
+    def __init__(self, rows: Iterable[tuple[object, bytes]], radius: int, similarity: float, table_keys: int = TABLE_KEYS):
         self.similarity = similarity
-        self.ids, self.bags = [], []
-        groups: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
-        known: dict[int, set[int]] = defaultdict(set)
+        self.ids: list[list[object]] = []
+        shingles: dict[int, list[np.ndarray]] = defaultdict(list)
+        numbers: dict[int, list[int]] = defaultdict(list)
+        for names, words, bounds in worded(self.distinct(rows)):
+            usual = shingle_hashes(words, SHINGLE_WORDS)
+            for n, a, b in zip(names, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                if a < b:
+                    width = min(SHINGLE_WORDS, b - a)
+                    shingles[width].append(usual[a : b - width + 1] if width == SHINGLE_WORDS else shingle_hashes(words[a:b], width))
+                    numbers[width].append(n)
+        #: by width: all shingles in order; by item: width, and its shingles as places among these
+        self.known: dict[int, np.ndarray] = {}
+        self.flat: dict[int, np.ndarray] = {}
+        self.filters: dict[int, np.ndarray] = {}
+        self.place: dict[int, tuple[int, int, int]] = {}
+        self.tables: dict[tuple[int, int], tuple[list[int], BlockTable]] = {}
+        flipped = own_flips(sum(map(len, numbers.values())), radius, table_keys)
+        for width in sorted(shingles):
+            sizes = np.array([len(x) for x in shingles[width]])
+            every = np.concatenate(shingles.pop(width))
+            self.known[width] = np.unique(every)
+            self.flat[width] = np.searchsorted(self.known[width], every).astype(np.int32)
+            ends = np.cumsum(sizes)
+            self.place |= {n: (width, b - z, b) for n, b, z in zip(numbers[width], ends.tolist(), sizes.tolist(), strict=True)}
+            bits = min(24, max(20, (4 * len(self.known[width])).bit_length()))
+            self.filters[width] = np.zeros(1 << bits, bool)
+            self.filters[width][self.low_bits(self.known[width], width)] = True
+            for size in np.unique(sizes).tolist():
+                own = np.flatnonzero(sizes == size)
+                prints = run_prints(every, ends[own] - size, size)
+                self.tables[width, size] = ([numbers[width][i] for i in own.tolist()], BlockTable(prints, radius, flipped))
+
+    def distinct(self, rows: Iterable[tuple[object, bytes]]) -> Iterator[tuple[int, bytes]]:
+        """Number and text of each different text; ``ids`` gets the ids."""
+        seen: dict[int, int] = {}
         for key, text in rows:
-            words = long_text_hashes(text)
-            if not len(words):
-                continue
-            width = min(SHINGLE_WORDS, len(words))
-            hashes = shingle_hashes(words, width)
-            groups[width, len(hashes)].append((len(self.ids), int(window_prints(running_bits(hashes), len(hashes))[0])))
-            self.ids.append(key)
-            self.bags.append(Counter(hashes.tolist()))
-            known[width].update(self.bags[-1])
-        self.tables = {k: ([n for n, _ in own], BlockTable(np.array([p for _, p in own], np.uint64), radius)) for k, own in sorted(groups.items())}
-        self.known = {w: np.array(sorted(x), np.uint64) for w, x in known.items()}
-        self.filters = {}
-        for w, x in self.known.items():
-            self.filters[w] = np.zeros(1 << 20, bool)
-            self.filters[w][(x & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
+            n = seen.setdefault(xxhash.xxh3_128_intdigest(text), len(self.ids))
+            if n == len(self.ids):
+                self.ids.append([key])
+                yield n, text
+            else:
+                self.ids[n].append(key)
+
+    def low_bits(self, hashes: np.ndarray, width: int) -> np.ndarray:
+        return (hashes & np.uint64(len(self.filters[width]) - 1)).astype(np.int64)
 
     def spots(self, hashes: np.ndarray, width: int) -> np.ndarray:
         """Where shingles of any item are."""
-        at = np.flatnonzero(self.filters[width][(hashes & np.uint64((1 << 20) - 1)).astype(np.int64)])
-        return at[np.isin(hashes[at], self.known[width])]
-
-    def best_window(self, hashes: list[int], size: int, n: int) -> tuple[float, int]:
-        """The highest similarity to item ``n`` of a window of ``size``, and the first such window."""
-        own, bag, low = self.bags[n], Counter(), 0
+        at, known = np.flatnonzero(self.filters[width][self.low_bits(hashes, width)]), self.known[width]
+        found = np.minimum(np.searchsorted(known, hashes[at]), len(known) - 1)
+        return at[known[found] == hashes[at]]
+
+    def bag(self, n: int) -> Counter:
+        """How often an item has each of its shingles."""
+        width, a, b = self.place[n]
+        return Counter(self.known[width][self.flat[width][a:b]].tolist())
+
+    def best_window(self, hashes: list[int], size: int, own: Counter) -> tuple[float, int]:
+        """The highest similarity to an item's bag of a window of ``size``, and the first such window."""
+        bag, low = Counter(), 0
         total = own.total()
         best = (0.0, 0)
         for i, h in enumerate(hashes):
@@ -242,14 +328,17 @@ class Items:
                     running = {(width, low, high): running_bits(part)}
                 take = min(size, len(part))
                 windows, found = table.near(window_prints(running[width, low, high], take))
-                for k in np.unique(found).tolist():
-                    at = windows[found == k]
+                order = np.argsort(found, kind="stable")
+                kinds, starts = np.unique(found[order], return_index=True)
+                for k, at in zip(kinds.tolist(), np.split(windows[order], starts[1:]), strict=False):
+                    own = self.bag(numbers[k])
                     for a, b in merged(at.tolist(), take, len(part) - take + 1):
-                        score, first = self.best_window(part[a : b + take - 1].tolist(), take, numbers[k])
+                        score, first = self.best_window(part[a : b + take - 1].tolist(), take, own)
                         if score >= self.similarity and (score, -(low + a + first)) > best.get(numbers[k], (0.0, 0)):
                             best[numbers[k]] = (score, -(low + a + first))
         for n, (score, first) in sorted(best.items()):
-            yield self.ids[n], -first, score
+            for key in self.ids[n]:
+                yield key, -first, score
 
 
 def merged(places: list[int], size: int, total: int) -> Iterator[tuple[int, int]]:
@@ -298,9 +387,9 @@ def read_block(path: str, radius: int, similarity: float) -> Items:
     """A block of items in a worker, kept from task to task."""
     where, place = filesystem(path)
     files = [f for f in where.get_file_info(fs.FileSelector(place)) if f.path.endswith(".parquet")]
-    table = pa.concat_tables([pq.ParquetFile(where.open_input_file(f.path)).read(["item_id", "text"]) for f in files])
-    rows = zip(table.column("item_id").to_pylist(), (x.encode() for x in table.column("text").to_pylist()), strict=True)
-    return Items(sorted(rows, key=lambda r: (str(r[0]), r[1])), radius, similarity)
+    tables = (pq.ParquetFile(where.open_input_file(f.path)).read(["item_id", "text"]) for f in files)
+    rows = ((key.as_py(), text.as_buffer().to_pybytes()) for t in tables for b in t.to_batches() for key, text in zip(b.column(0), b.column(1).cast(pa.binary()), strict=True))
+    return Items(rows, radius, similarity)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", similarity: float = SIMILARITY, radius: int = RADIUS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -331,7 +420,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", similarity: float = SIMILARITY, radius: int = RADIUS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The rows of ``docs``, all columns, that hold no item."""
+    """The rows of ``docs``, all columns, that hold no item. Of several blocks of items each but the
+    last ends in a stored table, so that a task never has workers for more than one."""
     at = docs.columns.index(text_col)
 
     def dropper(path: str):
@@ -344,40 +434,44 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "tex
 
         return drop
 
-    for path in item_blocks(benchmark, item_col, item_text_col, block_bytes):
-        docs = filtered(docs, dropper(path))
+    for i, path in enumerate(item_blocks(benchmark, item_col, item_text_col, block_bytes)):
+        docs = filtered(stored(docs, "unleaked") if i else docs, dropper(path))
     return docs
 
 
 def batch_hits(items: Items, texts: pa.Array) -> Iterator[tuple[int, tuple[object, int, float]]]:
     """Row and hit of each item found in a column of texts."""
+    buffers = ((i, text.as_buffer()) for i, text in enumerate(texts.cast(pa.binary())) if text.is_valid)
+    for rows, words, bounds in worded(buffers):
+        # only texts with a shingle that some item has are searched one by one
+        wanted = np.zeros(len(rows), bool)
+        for width in items.known:
+            wanted[np.searchsorted(bounds, items.spots(shingle_hashes(words, width), width), side="right") - 1] = True
+        for k in np.flatnonzero(wanted).tolist():
+            for hit in items.search(words[bounds[k] : bounds[k + 1]]):
+                yield rows[k], hit
+
+
+def worded(texts: Iterable[tuple[int, bytes | pa.Buffer]]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+    """Numbers of texts, their words' hashes and the bounds of each text's: long texts one by one, the
+    words of several others in one go; empty ones are left out."""
     held, size = [], 0
-    for i, text in enumerate(texts.cast(pa.binary())):
-        buffer = text.as_buffer() if text.is_valid else b""
-        if len(buffer) > SLICE_BYTES:
-            for hit in items.search(long_text_hashes(buffer.to_pybytes())):
-                yield i, hit
-        elif len(buffer):
-            held.append((i, buffer))
-            size += len(buffer)
+    for n, text in texts:
+        if len(text) > SLICE_BYTES:
+            words = long_text_hashes(bytes(text))
+            yield [n], words, np.array([0, len(words)])
+        elif len(text):
+            held.append((n, text))
+            size += len(text)
         if size > SLICE_BYTES:
-            yield from hits(items, held)
+            yield joined(held)
             held, size = [], 0
-    yield from hits(items, held)
+    if held:
+        yield joined(held)
 
 
-def hits(items: Items, held: list[tuple[int, pa.Buffer]]) -> Iterator[tuple[int, tuple]]:
-    """Hits of several texts, whose words are hashed in one go."""
-    if not held:
-        return
-    buffer = np.frombuffer(b" ".join(x for _, x in held), np.uint8)
+def joined(held: list[tuple[int, bytes | pa.Buffer]]) -> tuple[list[int], np.ndarray, np.ndarray]:
+    """Numbers, words and bounds of several texts, hashed as one."""
+    words, first = word_hashes(np.frombuffer(b" ".join(x for _, x in held), np.uint8))
     sizes = np.array([len(x) + 1 for _, x in held])
-    words, first = word_hashes(buffer)
-    bounds = np.searchsorted(first, np.concatenate(([0], np.cumsum(sizes))))
-    # only texts with a shingle that some item has are searched one by one
-    wanted = np.zeros(len(held), bool)
-    for width in items.known:
-        wanted[np.searchsorted(bounds, items.spots(shingle_hashes(words, width), width), side="right") - 1] = True
-    for k in np.flatnonzero(wanted).tolist():
-        for hit in items.search(words[bounds[k] : bounds[k + 1]]):
-            yield held[k][0], hit
+    return [n for n, _ in held], words, np.searchsorted(first, np.concatenate(([0], np.cumsum(sizes))))
