@@ -49,7 +49,7 @@ SIMILARITY = 0.8
 #: make candidates too, in hardly more.
 RADIUS, BLOCKS, BLOCK_BITS = 15, 4, 16
 #: Bytes of item texts in one pass over the documents.
-BLOCK_BYTES = 100_000_000
+BLOCK_BYTES = 32_000_000
 #: Entries of all tables of a block's fingerprints, unless there are more items than a fourth of them.
 TABLE_KEYS = 4_000_000
 #: Lookups, and candidates, that are compared at once.
@@ -236,53 +236,54 @@ class BlockTable:
 class Items:
     """A block of benchmark items: their shingles, and tables of their fingerprints by size.
 
-    Items of the same text are one, ``ids`` has all of theirs.
+    Items of the same text are one: ``ids`` has the first's id, ``repeats`` the others'.
     """
 
     def __init__(self, rows: Iterable[tuple[object, bytes]], radius: int, similarity: float, table_keys: int = TABLE_KEYS):
         self.similarity = similarity
-        self.ids: list[list[object]] = []
-        shingles: dict[int, list[np.ndarray]] = defaultdict(list)
-        numbers: dict[int, list[int]] = defaultdict(list)
+        self.ids: list[object] = []
+        self.repeats: dict[int, list[object]] = defaultdict(list)
+        # by width: arrays of shingles, of how many each item has, and of the items' numbers
+        parts: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = defaultdict(list)
         for names, words, bounds in worded(self.distinct(rows)):
-            usual = shingle_hashes(words, SHINGLE_WORDS)
-            for n, a, b in zip(names, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                if a < b:
-                    width = min(SHINGLE_WORDS, b - a)
-                    shingles[width].append(usual[a : b - width + 1] if width == SHINGLE_WORDS else shingle_hashes(words[a:b], width))
-                    numbers[width].append(n)
-        #: by width: all shingles in order; by item: width, and its shingles as places among these
+            counts = np.diff(bounds)
+            for width in np.unique(np.minimum(counts[counts > 0], SHINGLE_WORDS)).tolist():
+                own = np.flatnonzero(counts >= width if width == SHINGLE_WORDS else counts == width)
+                sizes = counts[own] - width + 1
+                at = np.repeat(bounds[own] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+                parts[width].append((shingle_hashes(words, width)[at], sizes, np.array(names)[own]))
+        #: by width: all shingles in order, and those of the items as places among them
         self.known: dict[int, np.ndarray] = {}
         self.flat: dict[int, np.ndarray] = {}
         self.filters: dict[int, np.ndarray] = {}
-        self.place: dict[int, tuple[int, int, int]] = {}
-        self.tables: dict[tuple[int, int], tuple[list[int], BlockTable]] = {}
-        flipped = own_flips(sum(map(len, numbers.values())), radius, table_keys)
-        for width in sorted(shingles):
-            sizes = np.array([len(x) for x in shingles[width]])
-            every = np.concatenate(shingles.pop(width))
+        #: by item: width, first of its shingles and their end
+        self.place = np.zeros((len(self.ids), 3), np.int32)
+        self.tables: dict[tuple[int, int], tuple[np.ndarray, BlockTable]] = {}
+        flipped = own_flips(sum(len(x[1]) for own in parts.values() for x in own), radius, table_keys)
+        for width in sorted(parts):
+            every, sizes, numbers = (np.concatenate(x) for x in zip(*parts.pop(width), strict=True))
             self.known[width] = np.unique(every)
-            self.flat[width] = np.searchsorted(self.known[width], every).astype(np.int32)
+            self.flat[width] = np.concatenate([np.searchsorted(self.known[width], every[i : i + LOOKUPS]).astype(np.int32) for i in range(0, len(every), LOOKUPS)])
             ends = np.cumsum(sizes)
-            self.place |= {n: (width, b - z, b) for n, b, z in zip(numbers[width], ends.tolist(), sizes.tolist(), strict=True)}
+            self.place[numbers] = np.stack([np.full(len(sizes), width), ends - sizes, ends], axis=1)
             bits = min(24, max(20, (4 * len(self.known[width])).bit_length()))
             self.filters[width] = np.zeros(1 << bits, bool)
             self.filters[width][self.low_bits(self.known[width], width)] = True
             for size in np.unique(sizes).tolist():
                 own = np.flatnonzero(sizes == size)
                 prints = run_prints(every, ends[own] - size, size)
-                self.tables[width, size] = ([numbers[width][i] for i in own.tolist()], BlockTable(prints, radius, flipped))
+                self.tables[width, size] = (numbers[own], BlockTable(prints, radius, flipped))
 
     def distinct(self, rows: Iterable[tuple[object, bytes]]) -> Iterator[tuple[int, bytes]]:
-        """Number and text of each different text; ``ids`` gets the ids."""
+        """Number and text of each different text; ``ids`` gets its first id, ``repeats`` others."""
         seen: dict[int, int] = {}
         for key, text in rows:
             n = seen.setdefault(xxhash.xxh3_128_intdigest(text), len(self.ids))
             if n == len(self.ids):
-                self.ids.append([key])
+                self.ids.append(key)
                 yield n, text
             else:
-                self.ids[n].append(key)
+                self.repeats[n].append(key)
 
     def low_bits(self, hashes: np.ndarray, width: int) -> np.ndarray:
         return (hashes & np.uint64(len(self.filters[width]) - 1)).astype(np.int64)
@@ -295,7 +296,7 @@ class Items:
 
     def bag(self, n: int) -> Counter:
         """How often an item has each of its shingles."""
-        width, a, b = self.place[n]
+        width, a, b = self.place[n].tolist()
         return Counter(self.known[width][self.flat[width][a:b]].tolist())
 
     def best_window(self, hashes: list[int], size: int, own: Counter) -> tuple[float, int]:
@@ -331,13 +332,14 @@ class Items:
                 order = np.argsort(found, kind="stable")
                 kinds, starts = np.unique(found[order], return_index=True)
                 for k, at in zip(kinds.tolist(), np.split(windows[order], starts[1:]), strict=False):
-                    own = self.bag(numbers[k])
+                    n = int(numbers[k])
+                    own = self.bag(n)
                     for a, b in merged(at.tolist(), take, len(part) - take + 1):
                         score, first = self.best_window(part[a : b + take - 1].tolist(), take, own)
-                        if score >= self.similarity and (score, -(low + a + first)) > best.get(numbers[k], (0.0, 0)):
-                            best[numbers[k]] = (score, -(low + a + first))
+                        if score >= self.similarity and (score, -(low + a + first)) > best.get(n, (0.0, 0)):
+                            best[n] = (score, -(low + a + first))
         for n, (score, first) in sorted(best.items()):
-            for key in self.ids[n]:
+            for key in (self.ids[n], *self.repeats.get(n, ())):
                 yield key, -first, score
 
 
