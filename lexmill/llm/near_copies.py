@@ -13,6 +13,8 @@ Equal sets fold into one before pairs are made. Of each shingle's sets one is co
 others first; only sets that this leaves in different groups are then compared with each other, so
 a large group of copies doesn't make all its pairs.
 
+Texts aren't shuffled: what is found about a row goes back to its place in its file (``places``).
+
 Defined results: words are folded by ASCII case; a text of fewer than five words is one shingle;
 texts without words are copies of each other; repeated rows are copies, and unrelated texts of one
 id aren't; rows without an id have no group and aren't dropped; an empty table gives an empty table;
@@ -34,7 +36,8 @@ from lexmill.operators.components import components
 from lexmill.operators.keyed import lookup
 from lexmill.storage import scratched
 
-from .shared import packed, stored, trimmed
+from .places import Keys, asked, marked, picked, plain_names, positioned, write_keys
+from .shared import stored, trimmed
 from .simhash import bit_counts, fingerprint_edges, majority, shingle_hashes
 
 SHINGLE_WORDS = 5
@@ -57,13 +60,16 @@ def prefix_size(n: int) -> int:
     return n - -(-PART * n // WHOLE) - (-n // SHARED_OVER)
 
 
-def shingled(docs: DataFrame, whole: bool) -> DataFrame:
-    """``doc_id, mark, set_id, n, fp, h`` of ``doc_id, mark, text``: a text's shingle set by a hash of
-    it, its size and fingerprint, and its members, all of them or those that come first."""
+def shingled(docs: DataFrame, only: Keys | None = None) -> DataFrame:
+    """``doc_id, mark, place, set_id, n, fp, h`` of ``doc_id, mark, place, text``: a text's shingle set by a
+    hash of it, its size and fingerprint, and its members: those that come first, or all of them for rows of given keys."""
+    columns, whole = ["doc_id", "mark", "place", "text"], only is not None
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if only is not None:
+            batches = picked(batches, only, among=True)
         for batch in (x.slice(i, ROWS_AT_ONCE) for x in batches for i in range(0, x.num_rows, ROWS_AT_ONCE)):
-            sets = [shingle_set(x.as_py() or b"") for x in batch.column(2).cast(pa.binary())]
+            sets = [shingle_set(x.as_py() or b"") for x in batch.column(3).cast(pa.binary())]
             names = np.fromiter((xxhash.xxh3_64_intdigest(h.tobytes()) for h in sets), np.uint64, len(sets))
             prints = np.fromiter((majority(bit_counts(h.view(np.uint64)), len(h)) for h in sets), np.uint64, len(sets))
             sizes = [len(h) for h in sets]
@@ -71,10 +77,11 @@ def shingled(docs: DataFrame, whole: bool) -> DataFrame:
             ends = np.cumsum([0, *map(len, shown)])
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *shown])))
             longs = [pa.array(x) for x in (names.view(np.int64), np.array(sizes, np.int64), prints.view(np.int64))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *longs, lists], ["doc_id", "mark", "set_id", "n", "fp", "h"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *longs, lists], ["doc_id", "mark", "place", "set_id", "n", "fp", "h"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(trimmed(compute), f"doc_id {kind}, mark long, set_id long, n long, fp long, h array<long>")
+    rows = docs.select(*columns) if only is None else asked(docs, only, columns)
+    return rows.mapInArrow(trimmed(compute), f"doc_id {kind}, mark long, place long, set_id long, n long, fp long, h array<long>")
 
 
 def can_match(a: str, b: str) -> Column:
@@ -93,11 +100,11 @@ def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def sharing(short: DataFrame) -> DataFrame:
     """``set_id, n, fp, node`` of sets that share enough of their first shingles with other sets; a
-    node is the id and mark of one of a set's texts."""
+    node is the id, mark and place of one of a set's texts."""
     rows = short.select("set_id", F.explode("h").alias("s"))
     shared = stored(rows.groupBy("s").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high")).where("low < high").select("s"), "shared-shingles")
     met = rows.join(shared.hint("merge"), "s", "left_semi").groupBy("set_id").agg(F.count(F.lit(1)).alias("shared"))
-    known = short.groupBy("set_id").agg(F.min(F.struct("doc_id", "mark")).alias("node"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.count(F.lit(1)).alias("copies"))
+    known = short.groupBy("set_id").agg(F.min(F.struct("doc_id", "mark", "place")).alias("node"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.count(F.lit(1)).alias("copies"))
     # the least k of a pair is that of the smallest set which is still similar
     least = F.expr(f"(({PART} * n + {WHOLE - 1}) div {WHOLE} + {SHARED_OVER - 1}) div {SHARED_OVER}")
     return known.join(met, "set_id").where(F.col("shared") >= least * F.col("copies")).select("set_id", "n", "fp", "node")
@@ -152,35 +159,55 @@ def set_edges(sets: DataFrame) -> DataFrame:
 
 
 @scratched("near-copies")
-def near_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, mark, group_id`` for every row of ``docs`` with an id; ``mark`` is a hash of the text, a
-    group is named by one of its sets."""
-    texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("mark"), F.col(text_col).alias("text"))
-    short = stored(shingled(texts, whole=False), "first-shingles")
+def placed_groups(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id, mark, place, group_id`` for every row of a positioned table with an id."""
+    text = F.col(f"c{docs.columns.index(text_col)}").alias("text")
+    texts = marked(docs, id_col, text_col).where("doc_id IS NOT NULL").select("doc_id", "mark", "place", text)
+    short = stored(shingled(texts), "first-shingles")
     met = stored(sharing(short), "sharing")
-    ones = texts.join(met.select("node.doc_id", "node.mark").hint("merge"), ["doc_id", "mark"], "left_semi")
+    ones = shingled(texts, write_keys(met.select("node.*"), "whole-keys"))
     # rows that repeat, and so give one set several times, are folded
-    sets = stored(shingled(ones, whole=True).groupBy("set_id").agg(F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("h").alias("h")), "whole-sets")
+    sets = stored(ones.groupBy("set_id").agg(F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("h").alias("h")), "whole-sets")
     linked = components(set_edges(sets))
     named = stored(with_group(short.groupBy("set_id").agg(F.count(F.lit(1)).alias("copies")), linked), "groups")
-    return lookup(short.select("doc_id", "mark", "set_id"), named, "set_id", "copies", short.count()).select("doc_id", "mark", F.col("c").alias("group_id"))
+    found = lookup(short.select("doc_id", "mark", "place", "set_id"), named, "set_id", "copies", short.count())
+    return found.select("doc_id", "mark", "place", F.col("c").alias("group_id"))
 
 
-def without_near_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, but one of each group alone: that of the smallest id and,
-    if texts of one id differ, of the smallest hash of its text."""
-    found = near_copies(docs, id_col=id_col, text_col=text_col)
+def near_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, mark, group_id`` for every row of ``docs`` with an id; ``mark`` is a hash of the text, a
+    group is named by one of its sets."""
+    return placed_groups(positioned(docs), id_col, text_col).drop("place")
+
+
+@scratched("taken-out")
+def taken_out(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id, mark, place, first`` of the rows to take out of a positioned table: copies, and first rows that
+    repeat, of which one comes back."""
+    found = placed_groups(docs, id_col, text_col)
     rows = stored(found.groupBy("doc_id", "mark").agg(F.min("group_id").alias("group_id"), F.count(F.lit(1)).alias("rows")), "marked")
     heads = rows.groupBy("group_id").agg(F.min(F.struct("doc_id", "mark")).alias("head"), F.count(F.lit(1)).alias("size"))
     own = F.struct("doc_id", "mark") == F.col("head")
     ruled = lookup(rows, heads, "group_id", "size", rows.count()).select("doc_id", "mark", own.alias("first"), "rows")
-    # all rows to take out: copies, and first rows that repeat, of which one comes back
-    out = stored(ruled.where("NOT first OR rows > 1").select("doc_id", "mark", "first"), "taken-out")
-    every = packed(docs).select("row", F.col(f"row.`{id_col}`").alias("doc_id"), F.xxhash64(f"row.`{text_col}`").alias("mark"))
-    # both sides grow with the corpus, so the plan is a merge join at every size
-    kept = every.join(out.select("doc_id", "mark").hint("merge"), ["doc_id", "mark"], "left_anti").select("row")
-    again = out.where("first").select("doc_id", "mark")
+    out = ruled.where("NOT first OR rows > 1").select("doc_id", "mark", "first")
+    return found.select("doc_id", "mark", "place").distinct().join(out, ["doc_id", "mark"])
+
+
+def without_near_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, but one of each group alone: that of the smallest id and,
+    if texts of one id differ, of the smallest hash of its text."""
+    docs = positioned(docs)
+    every, plain = marked(docs, id_col, text_col), plain_names(docs)
+    out = taken_out(docs, id_col, text_col)
+
+    def rows_of(keys: DataFrame, label: str, among: bool, more: list[str]) -> DataFrame:
+        place, columns = write_keys(keys, label), [*plain.columns, *more]
+        return asked(every, place, columns).mapInArrow(trimmed(lambda batches: picked(batches, place, among)), every.select(*columns).schema)
+
+    kept = rows_of(out, "taken-keys", False, [])
+    again = out.where("first")
     if not again.isEmpty():
-        back = every.join(again, ["doc_id", "mark"], "left_semi").groupBy("doc_id", "mark")
-        kept = kept.unionByName(back.agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row")).select("row"))
-    return kept.select("row.*")
+        back = rows_of(again, "first-keys", True, ["doc_id", "mark"]).select("doc_id", "mark", F.struct(*plain.columns).alias("row"))
+        one = back.groupBy("doc_id", "mark").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row"))
+        kept = kept.unionByName(one.select("row.*"))
+    return kept.toDF(*docs.columns)

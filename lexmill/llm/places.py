@@ -1,0 +1,109 @@
+"""Rows of a table chosen by keys, where they are: no join moves the rows.
+
+A row has a place: a file of the table and a range of rows in it. Keys carry the place of the row that
+they stand for, are stored in buckets by place, and each task reads those of its own rows' places
+alone. Keys move, rows and their texts don't. A bucket is of about ``BUCKET_KEYS`` keys and a place is at most
+``PLACE_ROWS`` rows of one file, so a task's memory is bounded however large a file or the table is.
+
+A key is an id and a hash of a text, by two hashes of both: a place only says where it is looked for. Rows without an
+id have no key. Tables that aren't read from Parquet are stored first.
+"""
+
+from __future__ import annotations
+
+import functools
+import math
+from collections.abc import Iterator
+from typing import NamedTuple
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from .shared import shared_path, stored
+from .warc import filesystem
+
+#: Rows of a file in one place, as a power of two, and keys in one bucket.
+PLACE_BITS = 18
+BUCKET_KEYS = 200_000
+#: The columns after a table's own that ``marked`` adds.
+MARKS = ["doc_id", "mark", "place"]
+
+
+class Keys(NamedTuple):
+    """A stored table of keys."""
+
+    path: str
+    buckets: int
+
+
+def place_of(docs: DataFrame) -> Column:
+    read_from = docs.metadataColumn("_metadata")
+    return F.xxhash64(read_from["file_path"], F.shiftright(read_from["row_index"], PLACE_BITS))
+
+
+def positioned(docs: DataFrame) -> DataFrame:
+    """``docs``, stored under the same names if its rows aren't read from Parquet as they are."""
+    try:
+        plain_names(docs).select(place_of(plain_names(docs)))
+    except AnalysisException:
+        return stored(plain_names(docs), "documents").toDF(*docs.columns)
+    return docs
+
+
+def plain_names(docs: DataFrame) -> DataFrame:
+    """``docs`` with its columns named by position, so that none clashes with another."""
+    return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+
+
+def marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """All columns of a positioned table under plain names, then its key and its place."""
+    plain = plain_names(docs)
+    at, text = (F.col(f"c{docs.columns.index(c)}") for c in (id_col, text_col))
+    return plain.select(*plain.columns, at.alias("doc_id"), F.xxhash64(text).alias("mark"), place_of(plain).alias("place"))
+
+
+def write_keys(keys: DataFrame, label: str) -> Keys:
+    """Stores ``doc_id, mark, place`` in buckets; ``keys`` must be stable on rereading."""
+    buckets = max(1, math.ceil(keys.count() / BUCKET_KEYS))
+    path = shared_path(keys.sparkSession, label)
+    rows = keys.select(F.pmod("place", F.lit(buckets)).alias("bucket"), F.xxhash64("doc_id", "mark").alias("a"), F.xxhash64("mark", "doc_id").alias("b"))
+    rows.repartition("bucket").write.partitionBy("bucket").parquet(path)
+    return Keys(path, buckets)
+
+
+@functools.lru_cache(maxsize=2)
+def read_bucket(path: str, bucket: int) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of a bucket, by the first of their hashes."""
+    where, place = filesystem(f"{path}/bucket={bucket}")
+    files = [f for f in where.get_file_info(fs.FileSelector(place, allow_not_found=True)) if f.path.endswith(".parquet")]
+    tables = [pq.ParquetFile(where.open_input_file(f.path)).read(["a", "b"]) for f in files]
+    a, b = (np.concatenate([np.zeros(0, np.int64), *[t.column(c).to_numpy() for t in tables]]) for c in ("a", "b"))
+    order = np.argsort(a, kind="stable")
+    return a[order], b[order]
+
+
+def asked(rows: DataFrame, keys: Keys, columns: list[str]) -> DataFrame:
+    """``columns`` of a marked table, then what ``picked`` takes: the bucket, null for rows without an
+    id, and both hashes."""
+    bucket = F.when(F.col("doc_id").isNotNull(), F.pmod("place", F.lit(keys.buckets)))
+    return rows.select(*columns, bucket.alias("bucket"), F.xxhash64("doc_id", "mark").alias("a"), F.xxhash64("mark", "doc_id").alias("b"))
+
+
+def picked(batches: Iterator[pa.RecordBatch], keys: Keys, among: bool) -> Iterator[pa.RecordBatch]:
+    """Batches without the three last columns, with those rows whose key is among the keys, or isn't."""
+    for batch in batches:
+        buckets, a, b = batch.columns[-3:]
+        buckets, a, b = buckets.fill_null(-1).to_numpy(), a.to_numpy(), b.to_numpy()
+        found = np.zeros(len(buckets), bool)
+        for bucket in np.unique(buckets[buckets >= 0]).tolist():
+            own = np.flatnonzero(buckets == bucket)
+            first, second = read_bucket(keys.path, bucket)
+            if len(first):
+                at = np.minimum(np.searchsorted(first, a[own]), len(first) - 1)
+                found[own] = (first[at] == a[own]) & (second[at] == b[own])
+        yield batch.select(range(batch.num_columns - 3)).filter(pa.array(found if among else ~found))

@@ -1,0 +1,56 @@
+"""Rows chosen by place against plain sets of keys."""
+
+from pyspark.sql import functions as F
+
+from lexmill.llm import places
+from lexmill.llm.places import asked, marked, picked, positioned, write_keys
+from lexmill.storage import stored
+
+SCHEMA = "doc_id long, text string, Text string, place string, a long, `x.y` int"
+
+
+def table(spark, n):
+    rows = [(None if i % 11 == 0 else i % 60, None if i % 7 == 0 else f"text {i % 13}", "T", "p", i, i) for i in range(n)]
+    return spark.createDataFrame(rows, SCHEMA).repartition(5)
+
+
+def chosen(docs, where, among):
+    docs = positioned(docs)
+    rows = marked(docs, "doc_id", "text")
+    keys = write_keys(stored(rows.where(where).select("doc_id", "mark", "place"), "some"), "keys")
+    columns = rows.columns[: len(docs.columns)]
+    found = asked(rows, keys, columns).mapInArrow(lambda b: picked(b, keys, among), rows.select(*columns).schema)
+    return keys, sorted(map(tuple, found.collect()), key=lambda r: r[4])
+
+
+def test_rows_of_keys_and_the_others(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(places, "BUCKET_KEYS", 20)
+    monkeypatch.setattr(places, "PLACE_BITS", 3)
+    plain = table(spark, 300)
+    path = str(tmp_path / "docs")
+    plain.toDF(*[f"c{i}" for i in range(6)]).write.parquet(path)
+    read = spark.read.parquet(path).toDF(*plain.columns)
+    where = (F.col("doc_id") % 3 == 0) & F.col("mark").isNotNull()
+    for docs in (plain, read):
+        every = sorted(map(tuple, docs.collect()), key=lambda r: r[4])
+        keys, inside = chosen(docs, where, True)
+        _, outside = chosen(docs, where, False)
+        assert keys.buckets > 2
+        assert inside == [r for r in every if r[0] is not None and r[0] % 3 == 0]
+        assert outside == [r for r in every if r[0] is None or r[0] % 3]
+
+
+def test_tables_read_from_files_are_not_stored_again(spark, tmp_path):
+    path = str(tmp_path / "docs")
+    spark.range(9).selectExpr("id AS doc_id", "'t' AS text").write.parquet(path)
+    read = spark.read.parquet(path)
+    assert positioned(read) is read
+    assert positioned(spark.range(3)) is not read
+
+
+def test_no_keys(spark):
+    docs = table(spark, 40)
+    _, inside = chosen(docs, F.lit(False), True)
+    _, outside = chosen(docs, F.lit(False), False)
+    assert inside == [] and len(outside) == 40
+    assert chosen(docs.limit(0), F.lit(True), False)[1] == []
