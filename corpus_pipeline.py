@@ -15,8 +15,8 @@ Rows without an id have no place in a group of near-duplicates and pass that sta
 
 from __future__ import annotations
 
-import functools
-from collections.abc import Callable
+import contextlib
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,33 +35,30 @@ LEAST_SCORE = 0.5
 BATCH_ROWS = 2000
 
 
-def with_small_batches(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
-    """Lowers the session's batch size for a stage and what comes after it, if it is larger."""
+@contextlib.contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """The session's batch size, if it is larger, is ``BATCH_ROWS`` inside and what it was afterwards."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    if not 0 < int(before) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
-    @functools.wraps(stage)
-    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-        if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
-            spark.conf.set(key, str(BATCH_ROWS))
-        return stage(spark, docs, sf_dir)
 
-    return run_stage
-
-
-@with_small_batches
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language, learnt from the documents that aren't held out."""
     learnt = docs.where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
     return with_language(docs, fit(learnt), LEAST_SCORE)
 
 
-@with_small_batches
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, that of the smallest id."""
     return without_near_copies(docs)
 
 
-@with_small_batches
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     return without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -72,7 +69,6 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return without_secrets(docs)
 
 
-@with_small_batches
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of all documents, packed into sequences."""
     return pack_documents(docs)
@@ -91,13 +87,21 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the table ``documents``; a stage's table goes once the next one is written."""
+    """All stages over the table ``documents``; a stage's table goes once the next one is written.
+
+    Work on texts is done when this returns, in small batches; what is left to the caller's action is
+    to place the pieces, rows of numbers. The session's settings are left as they were.
+    """
     docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
-    for name, stage in STAGES[:-1]:
-        path = shared_path(spark, name)
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.schema(docs.schema).parquet(path)
-        if before:
-            remove(spark, before)
-        before = path
-    return STAGES[-1][1](spark, docs, sf_dir)
+    with small_batches(spark):
+        for name, stage in STAGES[:-1]:
+            path = shared_path(spark, name)
+            stage(spark, docs, sf_dir).write.parquet(path)
+            docs = spark.read.schema(docs.schema).parquet(path)
+            if before:
+                remove(spark, before)
+            before = path
+        packed = STAGES[-1][1](spark, docs, sf_dir)
+    if before:
+        remove(spark, before)
+    return packed
