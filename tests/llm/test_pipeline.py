@@ -14,6 +14,7 @@ from tests.llm.test_packing import check as check_packing
 from tests.llm.test_secrets import slow as slow_secrets
 
 DIR = "/root/testdata/sf0.001"
+BATCHES = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def ids(df):
@@ -69,8 +70,10 @@ def slow_run(docs, items):
 def test_run_is_what_plain_stages_give(spark):
     docs = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet(f"{DIR}/documents.parquet").collect()]
     items = [r.text for r in spark.read.parquet(f"{DIR}/benchmark.parquet").collect()]
-    kept = slow_run(docs, items)
-    rows = pipeline.run(spark, DIR).collect()
+    kept, batch_rows = slow_run(docs, items), spark.conf.get(BATCHES)
+    found = pipeline.run(spark, DIR)
+    assert spark.conf.get(BATCHES) == batch_rows
+    rows = found.collect()
     assert {r.doc_id for r in rows} == {i for i, _ in kept} and 0 < len(kept) < len(docs)
     sequences = check_packing(rows, kept, Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")))
     assert sequences <= -(-sum(r.length for r in rows) // 2048) + 1
