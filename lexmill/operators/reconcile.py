@@ -1,13 +1,15 @@
 """Reconciliation of kept records with an answer key: one-to-one, greedily, volume by volume.
 
-Pairs are made by joins: of one page first, then, of what that leaves, of one volume. Of scored
-pairs that reach their threshold, up to ``TASK_PAIRS`` of a page or volume go to a task together, where the
-greedy choice is made; more are worked down by joins first. Captions are compared once for each two
-that differ, however many records have them.
+Pairs are made by joins: of one page first, then, of what that leaves, of one volume. Keys of one
+caption are alike in all that scores, and so are records: they are paired as looks, each with the ids
+that have it, so that copies make no pairs. Up to ``TASK_LOOKS`` scored pairs of looks of a page or volume go
+to a task together, where the greedy choice is made; more are expanded into rows and worked down by joins first.
 """
 
 from __future__ import annotations
 
+import heapq
+import itertools
 import logging
 from collections.abc import Iterator
 from functools import reduce
@@ -24,8 +26,8 @@ from lexmill.storage import scratched, stored
 # Thresholds of captions on one page, in one volume, and of copies; the span.
 PAGE_NAME, VOLUME_NAME, COPY_NAME = 0.35, 0.72, 0.7
 FIRST_VOLUME, LAST_VOLUME = 2, 18
-#: Pairs that one task chooses from.
-TASK_PAIRS = 200_000
+#: Pairs of rows, and of looks, that one task chooses from.
+TASK_PAIRS, TASK_LOOKS = 200_000, 2_000_000
 
 log = logging.getLogger(__name__)
 
@@ -89,6 +91,103 @@ def one_to_one(pairs: DataFrame, by: list[str], *order: tuple[str, bool], task_p
     return reduce(DataFrame.unionByName, found, greedy(left, by))
 
 
+class Members:
+    """The ids of each look, ascending; the first free one goes first, so what is left is a tail."""
+
+    def __init__(self, rows: pd.DataFrame):
+        self.ids = {who: list(ids) for who, ids in zip(rows["a"].tolist(), rows["members"], strict=True)}
+        self.at = dict.fromkeys(self.ids, 0)
+
+    def first(self, who: int) -> int | None:
+        """The first free id of a look."""
+        ids, at = self.ids[who], self.at[who]
+        return ids[at] if at < len(ids) else None
+
+    def lowest(self, heap: list[tuple[int, int]]) -> int | None:
+        """The look with the lowest free id, of a heap of ids that were once first and their looks."""
+        while heap:
+            known, who = heap[0]
+            now = self.first(who)
+            if now == known:
+                return who
+            heapq.heapreplace(heap, (now, who)) if now is not None else heapq.heappop(heap)
+        return None
+
+    def take(self, who: int) -> int:
+        self.at[who] += 1
+        return self.ids[who][self.at[who] - 1]
+
+
+def levels(pairs: pd.DataFrame, column: str) -> Iterator[pd.DataFrame]:
+    """Rows of each value of a column, the largest first."""
+    ordered = pairs.sort_values(column, ascending=False, kind="stable")
+    ends = [0, *(ordered[column].to_numpy()[1:] != ordered[column].to_numpy()[:-1]).nonzero()[0] + 1, len(ordered)]
+    return (ordered.iloc[i:j] for i, j in itertools.pairwise(ends))
+
+
+def chosen(keys: Members, records: Members, pairs: pd.DataFrame, by_key: bool) -> Iterator[tuple[int, int]]:
+    """``ord, cluster_id`` as ``one_to_one`` takes them from pairs of looks ``a, b, score``: in the order of scores, keys and
+    records, or ``by_key`` in that of keys, scores and records."""
+    free: dict[int, list[list[tuple[int, int]]]] = {}
+
+    def give(heap: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+        """Keys of a heap in order, each the first free record of its best level; keys of a look without any are done."""
+        while (a := keys.lowest(heap)) is not None:
+            while free[a] and (b := records.lowest(free[a][-1])) is None:
+                free[a].pop()
+            if not free[a]:
+                heapq.heappop(heap)
+                continue
+            yield keys.take(a), records.take(b)
+
+    for level in levels(pairs, "score"):
+        found: dict[int, list[tuple[int, int]]] = {}
+        for a, b in zip(level["a"].tolist(), level["b"].tolist(), strict=True):
+            if keys.first(a) is not None and (low := records.first(b)) is not None:
+                found.setdefault(a, []).append((low, b))
+        for a, heap in found.items():
+            heapq.heapify(heap)
+            free.setdefault(a, []).insert(0, heap)
+        if not by_key:
+            yield from give(sorted((keys.first(a), a) for a in found))
+    if by_key:
+        yield from give(sorted((keys.first(a), a) for a in free))
+
+
+def one_to_one_looks(keys: DataFrame, records: DataFrame, pairs: DataFrame, by: list[str], by_key: bool, task_looks: int = TASK_LOOKS, task_pairs: int = TASK_PAIRS) -> DataFrame:
+    """``one_to_one`` for looks: ``keys`` and ``records`` have columns ``by``, ``a`` or ``b``, the lowest id of a look, and
+    ``members``, its ids in order; ``pairs`` has ``by, a, b, score``. A key is named by its ``ord``, a record by its ``cluster_id``.
+    All three are stable on rereading."""
+    volume = by[0]
+    counts = pairs.groupBy(*by).agg(F.count("*").alias("n_"))
+    large = stored(counts.where(F.col("n_") > task_looks).drop("n_"), "large-groups")
+    small = counts.where(F.col("n_") <= task_looks).drop("n_")
+    row = lambda df, kind, a, b, score, members: df.select(*by, F.lit(kind).alias("kind"), a.alias("a"), b.alias("b"), score.alias("score"), members.alias("members"))
+    zero, none = F.lit(0).cast("long"), F.array().cast("array<bigint>")
+    rows = [
+        row(pairs, 0, F.col("a"), F.col("b"), F.col("score"), none), row(keys.join(pairs.select(*by, "a").distinct(), [*by, "a"], "left_semi"), 1, F.col("a"), zero, F.lit(0.0), F.col("members")),
+        row(records.join(pairs.select(*by, "b").distinct(), [*by, "b"], "left_semi"), 2, F.col("b"), zero, F.lit(0.0), F.col("members")),
+    ]
+
+    def choose(rows: pd.DataFrame) -> pd.DataFrame:
+        kind = rows["kind"]
+        taken = list(chosen(Members(rows[kind == 1]), Members(rows[kind == 2]), rows[kind == 0], by_key))
+        return pd.DataFrame({"volume": rows[volume].iloc[0], "ord": [k for k, _ in taken], "cluster_id": [r for _, r in taken]})
+
+    found = reduce(DataFrame.unionByName, rows).join(small, by, "left_semi").groupBy(*by).applyInPandas(choose, "volume int, ord long, cluster_id long")
+    if large.isEmpty():
+        return found
+    side = lambda df, name, to: df.select(*by, name, F.explode("members").alias(to))
+    every = pairs.join(large, by, "left_semi").join(side(keys, "a", "ord"), [*by, "a"]).join(side(records, "b", "cluster_id"), [*by, "b"])
+    order = (("ord", True), ("score", False)) if by_key else (("score", False), ("ord", True))
+    return found.unionByName(one_to_one(every, by, *order, ("cluster_id", True), task_pairs=task_pairs))
+
+
+def looks(rows: DataFrame, by: list[str], ident: str, name: str) -> DataFrame:
+    """Rows alike in ``by`` as one: ``name``, the lowest id, and ``members``, all ids in order."""
+    return rows.groupBy(*by).agg(F.min(ident).alias(name), F.sort_array(F.collect_list(ident)).alias("members"))
+
+
 @scratched("outcomes")
 def outcomes(key: DataFrame, kept: DataFrame) -> DataFrame:
     """``volume, kind, cluster_id, page, name`` of every row of ``key(us_volume, page, name, ord)`` and
@@ -109,15 +208,18 @@ def outcomes(key: DataFrame, kept: DataFrame) -> DataFrame:
     wanted = keys.select("volume", "page", "ord", F.col("match").alias("key_match"), F.col("tokens").alias("key_tokens"))
     own = records.select("volume", "page", "cluster_id", "match", "tokens")
 
-    paged = with_ratio(wanted.join(own, ["volume", "page"]), "key_match", "match", PAGE_NAME)
-    paged = paged.select("volume", "page", "ord", "cluster_id", page_score(F.col("ratio"), "key_tokens", "tokens").alias("score")).where(F.col("score") >= PAGE_NAME)
-    first = stored(one_to_one(paged, ["volume", "page"], ("score", False), ("ord", True), ("cluster_id", True)), "matched-on-page")
-
-    left = wanted.join(first, ["volume", "ord"], "left_anti").select("volume", "ord", "key_match")
-    free = own.join(first, "cluster_id", "left_anti").select("volume", "cluster_id", "match")
-    wide = left.join(free, "volume").where(can_reach("key_match", "match", VOLUME_NAME))
-    wide = with_ratio(wide, "key_match", "match", VOLUME_NAME).where(F.col("ratio") >= VOLUME_NAME)
-    second = one_to_one(wide.select("volume", "ord", "cluster_id", "ratio"), ["volume"], ("ord", True), ("ratio", False), ("cluster_id", True))
+    page = ["volume", "page"]
+    a, b = stored(looks(wanted, [*page, "key_match", "key_tokens"], "ord", "a"), "page-key-looks"), stored(looks(own, [*page, "match", "tokens"], "cluster_id", "b"), "page-record-looks")
+    paged = with_ratio(a.drop("members").join(b.drop("members"), page), "key_match", "match", PAGE_NAME)
+    paged = paged.select(*page, "a", "b", page_score(F.col("ratio"), "key_tokens", "tokens").alias("score")).where(F.col("score") >= PAGE_NAME)
+    first = stored(one_to_one_looks(a, b, stored(paged, "page-pairs"), page, False), "matched-on-page")
+
+    left = wanted.join(first, ["volume", "ord"], "left_anti")
+    free = own.join(first, "cluster_id", "left_anti")
+    a, b = stored(looks(left, ["volume", "key_match"], "ord", "a"), "key-looks"), stored(looks(free, ["volume", "match"], "cluster_id", "b"), "record-looks")
+    wide = a.drop("members").join(b.drop("members"), "volume").where(can_reach("key_match", "match", VOLUME_NAME))
+    wide = with_ratio(wide, "key_match", "match", VOLUME_NAME).where(F.col("ratio") >= VOLUME_NAME).select("volume", "a", "b", F.col("ratio").alias("score"))
+    second = one_to_one_looks(a, b, stored(wide, "volume-pairs"), ["volume"], True)
     taken = stored(first.unionByName(second), "matched")
 
     named = own.join(taken.select("cluster_id"), "cluster_id", "left_semi")

@@ -48,3 +48,32 @@ def test_token_shares(spark):
         assert got == want
     probes = rare_tokens(q, t.selectExpr("text", "explode(found) AS w"), 0.5).groupBy("query").count().collect()
     assert all(r["count"] <= len(queries[r["query"]]) // 2 + 1 for r in probes)
+
+
+@pytest.mark.parametrize("by_key, task_looks, seed", [(False, 10**6, 1), (True, 10**6, 2), (False, 3, 3), (True, 3, 4), (False, 10**6, 5), (True, 10**6, 6)])
+def test_one_to_one_of_looks(spark, by_key, task_looks, seed):
+    rnd = random.Random(seed)
+    keys, records, pairs = [], [], []
+    for v in (1, 2, 3):
+        ords, ids = rnd.sample(range(1000), 40), rnd.sample(range(1000 * v, 1000 * v + 1000), 40)
+        a, b = [sorted(ords[i::7]) for i in range(7)], [sorted(ids[i::6]) for i in range(6)]
+        keys += [(v, x[0], x) for x in a]
+        records += [(v, x[0], x) for x in b]
+        pairs += [(v, x[0], y[0], rnd.choice([0.5, 0.75, 1.0])) for x in a for y in b if rnd.random() < v / 3]
+    frames = [spark.createDataFrame(rows, f"volume int, {names}") for rows, names in ((keys, "a long, members array<long>"), (records, "b long, members array<long>"), (pairs, "a long, b long, score double"))]
+    got = reconcile.one_to_one_looks(*frames, ["volume"], by_key, task_looks=task_looks, task_pairs=40)
+    members = {(v, x): m for v, x, m in keys}, {x: m for _, x, m in records}
+    every = [(s, (v, k), r) for v, x, y, s in pairs for k in members[0][v, x] for r in members[1][y]]
+    want = slow_greedy([(s, k, r) for s, k, r in every]) if not by_key else slow_greedy([(-k[1] * 10 + s, k, r) for s, k, r in every])
+    assert sorted(map(tuple, got.collect())) == want
+
+
+def test_copies_make_no_pairs(spark, monkeypatch):
+    sizes = []
+    looks = reconcile.one_to_one_looks
+    monkeypatch.setattr(reconcile, "one_to_one_looks", lambda keys, records, pairs, *rest: sizes.append(pairs.count()) or looks(keys, records, pairs, *rest))
+    key = spark.range(2000).selectExpr("3 AS us_volume", "IF(id < 1000, '7', '9') AS page", "'alpha beta' AS name", "id AS ord")
+    kept = spark.range(1500).selectExpr("10000 + id AS cluster_id", "3 AS us_volume", "'7' AS us_page", "'alpha beta' AS case_name")
+    got = reconcile.outcomes(key, kept)
+    assert {(r.kind, r.page): r["count"] for r in got.groupBy("kind", "page").count().collect()} == {("matched_key", "7"): 1000, ("matched_key", "9"): 500, ("missing", "9"): 500, ("matched", "7"): 1500}
+    assert sizes == [1, 1]
