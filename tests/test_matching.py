@@ -77,3 +77,14 @@ def test_copies_make_no_pairs(spark, monkeypatch):
     got = reconcile.outcomes(key, kept)
     assert {(r.kind, r.page): r["count"] for r in got.groupBy("kind", "page").count().collect()} == {("matched_key", "7"): 1000, ("matched_key", "9"): 500, ("missing", "9"): 500, ("matched", "7"): 1500}
     assert sizes == [1, 1]
+
+
+def test_volumes_of_copies(spark, monkeypatch):
+    sizes = []
+    looks = reconcile.one_to_one_looks
+    monkeypatch.setattr(reconcile, "one_to_one_looks", lambda keys, records, pairs, *rest: sizes.append(pairs.count()) or looks(keys, records, pairs, *rest))
+    key = spark.range(1200).selectExpr("CAST(id % 2 + 4 AS int) AS us_volume", "'1' AS page", "IF(id % 3 = 0, 'alpha beta', 'gamma delta') AS name", "id AS ord")
+    kept = spark.range(1000).selectExpr("id AS cluster_id", "CAST(id % 2 + 4 AS int) AS us_volume", "'1' AS us_page", "'alpha beta' AS case_name")
+    rows = {r.volume: tuple(r)[1:] for r in reconcile.reconcile(key, kept, 4, 6)[0].collect()}
+    assert rows == {4: (500, 600, 200, 400, 300), 5: (500, 600, 200, 400, 300), 6: (0, 0, 0, 0, 0)}
+    assert sizes[0] <= 4
