@@ -44,3 +44,12 @@ def test_pages(spark):
     pages = [r.m for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select(marked.alias("m")).collect()]
     plain = compare(spark, pages)
     assert sum(plain.values()) >= 0.9 * len(pages)
+
+
+def test_pages_decode_whole_entities_alone(spark, tmp_path):
+    from lexmill.queries import texts
+
+    pages = [(1, "<title>a&amp;&amp</title><script>x && y &amp z</script>b &lt; c &copy;"), (2, "<p>plain &amp; &quot;</p>"), (3, "<!-- & --><li>d & e</li>"), (4, None)]
+    spark.createDataFrame(pages, "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: r.clean_text for r in texts.render_pages(spark, str(tmp_path)).collect()}
+    assert got == {1: "a&&ampx && y &amp zb &lt; c ©", 2: 'plain & "', 3: "d & e", 4: ""}
