@@ -300,3 +300,26 @@ def test_lookup_of_hot_keys(spark, monkeypatch):
         got = keyed.lookup(rows, values, "k", "n", 41, how)
         assert "n" not in got.columns
         assert sorted((r.i, r.v) for r in got.collect()) == sorted([(i, "HOT" if i % 2 else f"K{i % 6}") for i in range(40)] + more)
+
+
+def test_captions_are_compared_by_many_tasks(spark, tmp_path):
+    from lexmill.operators.captions import spread
+
+    rows = spark.range(40).selectExpr("CAST(id AS string) AS a", "'x' AS b")
+    spread(rows, "a", "b").groupBy("a").count().count()
+    assert spread(rows, "a", "b").rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_names_are_compared_once_for_all_brands(spark, tmp_path, monkeypatch):
+    from lexmill.operators import captions
+    from lexmill.queries import matching
+
+    seen = []
+    ratio = captions.with_ratio
+    monkeypatch.setattr(captions, "with_ratio", lambda pairs, *rest: seen.append(pairs.count()) or ratio(pairs, *rest))
+    names = [(i, f"Brand#{i % 9}", "SMALL", n, 20) for i, n in enumerate(["hot plate", "hot plates", "blue gear"] * 9)]
+    names = [(k, f"Brand#{k // 3}", *rest) for k, _, *rest in names]
+    spark.createDataFrame(names, "p_partkey long, p_brand string, p_type string, p_name string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    got = sorted((r.left_key, r.right_key) for r in matching.name_similarity_pairs(spark, str(tmp_path)).collect())
+    assert got == [(3 * i, 3 * i + 1) for i in range(9)]
+    assert seen == [2]
