@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lexmill.functions.text import match_key, match_tokens
-from lexmill.operators.captions import can_reach, with_ratio
+from lexmill.operators.captions import can_reach, ratios, with_ratio
 from lexmill.storage import scratched, stored
 
 # Thresholds of captions on one page, in one volume, and of copies; the span.
@@ -188,6 +188,14 @@ def looks(rows: DataFrame, by: list[str], ident: str, name: str) -> DataFrame:
     return rows.groupBy(*by).agg(F.min(ident).alias(name), F.sort_array(F.collect_list(ident)).alias("members"))
 
 
+def numbered_looks(rows: DataFrame, by: list[str], caption: list[str], ident: str, name: str, number: str) -> tuple[DataFrame, DataFrame]:
+    """Looks of rows alike in ``by`` and ``caption``, with a ``number`` in the caption's place, and the captions by number: pairs
+    of looks are many, and of captions few."""
+    found = stored(looks(rows, [*by, *caption], ident, name), f"{name}-looks")
+    captions = stored(found.select(*caption).distinct().withColumn(number, F.monotonically_increasing_id()), f"{name}-captions")
+    return stored(found.join(captions, caption).drop(*caption), f"{name}-numbered-looks"), captions
+
+
 @scratched("outcomes")
 def outcomes(key: DataFrame, kept: DataFrame) -> DataFrame:
     """``volume, kind, cluster_id, page, name`` of every row of ``key(us_volume, page, name, ord)`` and
@@ -209,9 +217,13 @@ def outcomes(key: DataFrame, kept: DataFrame) -> DataFrame:
     own = records.select("volume", "page", "cluster_id", "match", "tokens")
 
     page = ["volume", "page"]
-    a, b = stored(looks(wanted, [*page, "key_match", "key_tokens"], "ord", "a"), "page-key-looks"), stored(looks(own, [*page, "match", "tokens"], "cluster_id", "b"), "page-record-looks")
-    paged = with_ratio(a.drop("members").join(b.drop("members"), page), "key_match", "match", PAGE_NAME)
-    paged = paged.select(*page, "a", "b", page_score(F.col("ratio"), "key_tokens", "tokens").alias("score")).where(F.col("score") >= PAGE_NAME)
+    a, key_captions = numbered_looks(wanted, page, ["key_match", "key_tokens"], "ord", "a", "key_caption")
+    b, captions = numbered_looks(own, page, ["match", "tokens"], "cluster_id", "b", "caption")
+    paged = a.drop("members").join(b.drop("members"), page)
+    asked = paged.select("key_caption", "caption").distinct().join(key_captions, "key_caption").join(captions, "caption")
+    scored = ratios(asked, "key_match", "match").withColumn("ratio", F.when(F.col("ratio") >= PAGE_NAME, F.col("ratio")).otherwise(0.0))
+    scored = stored(scored.select("key_caption", "caption", page_score(F.col("ratio"), "key_tokens", "tokens").alias("score")).where(F.col("score") >= PAGE_NAME), "caption-scores")
+    paged = paged.join(scored, ["key_caption", "caption"]).select(*page, "a", "b", "score")
     first = stored(one_to_one_looks(a, b, stored(paged, "page-pairs"), page, False), "matched-on-page")
 
     left = wanted.join(first, ["volume", "ord"], "left_anti")

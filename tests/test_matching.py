@@ -1,10 +1,13 @@
 """Greedy matching and token search against plain loops."""
 
 import random
+import uuid
 
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
-from lexmill.operators import reconcile
+from lexmill.operators import captions, reconcile
 from lexmill.operators.tokens import rare_tokens, token_shares
 
 
@@ -88,3 +91,28 @@ def test_volumes_of_copies(spark, monkeypatch):
     rows = {r.volume: tuple(r)[1:] for r in reconcile.reconcile(key, kept, 4, 6)[0].collect()}
     assert rows == {4: (500, 600, 200, 400, 300), 5: (500, 600, 200, 400, 300), 6: (0, 0, 0, 0, 0)}
     assert sizes[0] <= 4
+
+
+def test_captions_of_many_pairs_are_compared_once(spark, monkeypatch, tmp_path):
+    def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+        (tmp_path / uuid.uuid4().hex).write_text(str(len(a)))
+        return (a.str.len() / b.str.len()).astype("float64")
+
+    monkeypatch.setattr(captions, "sequence_ratio", F.pandas_udf(ratio, "double"))
+    pairs = spark.range(3000).selectExpr("id", "concat('abc', id % 3) AS a", "concat('abcde', id % 2) AS b")
+    got = captions.with_ratio(pairs, "a", "b", 0.5).where("ratio >= 0.5").groupBy("ratio").count().collect()
+    assert [(r.ratio, r["count"]) for r in got] == [(4 / 6, 3000)]
+    assert sum(int(f.read_text()) for f in tmp_path.iterdir()) == 6
+
+
+def test_outcomes_compare_each_two_captions_once(spark, monkeypatch, tmp_path):
+    def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+        (tmp_path / uuid.uuid4().hex).write_text(str(len(a)))
+        return pd.Series([1.0 if x == y else 0.5 for x, y in zip(a, b, strict=True)])
+
+    monkeypatch.setattr(captions, "sequence_ratio", F.pandas_udf(ratio, "double"))
+    key = spark.range(400).selectExpr("CAST(id % 2 + 4 AS int) AS us_volume", "CAST(id % 20 AS string) AS page", "IF(id % 40 < 20, 'alpha beta', 'gamma delta') AS name", "id AS ord")
+    kept = spark.range(400).selectExpr("id AS cluster_id", "CAST(id % 2 + 4 AS int) AS us_volume", "CAST(id % 20 AS string) AS us_page", "IF(id % 40 < 20, 'alpha beta', 'gamma omega') AS case_name")
+    rows = {(r.kind, r.name): r["count"] for r in reconcile.outcomes(key, kept).groupBy("kind", "name").count().collect()}
+    assert rows == {("matched_key", "alpha beta"): 200, ("matched_key", "gamma delta"): 200, ("matched", "alpha beta"): 200, ("matched", "gamma omega"): 200}
+    assert sum(int(f.read_text()) for f in tmp_path.iterdir()) == 4
