@@ -62,7 +62,7 @@ def corpus_selection(spark: SparkSession, d: str) -> DataFrame:
     resolved = published_documents(spark, d).where("dedup_role IS NOT NULL")
     kids = children(spark, d)
     chosen = select.select_sources(select.corpus_children(kids, resolved))
-    texts = select.read_chosen(kids, chosen).select("opinion_id", F.length("text").alias("n_chars"))
+    texts = select.read_chosen(kids, chosen).select("opinion_id", F.length("text").cast("long").alias("n_chars"))
     return chosen.join(texts, "opinion_id").select("opinion_id", "cluster_id", "chosen_source", "is_ocr_dirty", "n_chars")
 
 
@@ -75,7 +75,7 @@ def scope_candidates(spark: SparkSession, d: str) -> DataFrame:
     scope = judged_documents(spark, d).where("is_scotus = 'true'").select("cluster_id", "us_volume")
     texts = children(spark, d).select("cluster_id", "opinion_id", F.nullif(select.longest_text(stages.LONGEST), F.lit("")).alias("text"))
     rows = scope.join(select.longest_child(texts, "cluster_id", "opinion_id", "text"), "cluster_id", "left")
-    return rows.select("cluster_id", F.length("text").alias("n_chars"), F.regexp_extract("text", "<title>([^<]*)</title>", 1).alias("title"), "us_volume")
+    return rows.select("cluster_id", F.length("text").cast("long").alias("n_chars"), F.regexp_extract("text", "<title>([^<]*)</title>", 1).alias("title"), "us_volume")
 
 
 @query(STAGED_SQL + """
